@@ -1,0 +1,3 @@
+"""Importing this module registers every query in ``REGISTRY``."""
+
+from cohortlens.plans import queries  # noqa: F401
