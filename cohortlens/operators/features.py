@@ -168,3 +168,68 @@ def customer_features(clients: DataFrame, contracts: DataFrame, tickets: DataFra
                     "qt_contratos_12m", "valor_contratado_12m", "produtos_distintos_12m",
                     "periodicidade_max_meses_12m", quote(F_CLOSED_YEAR_12M), "multi_produto_12m",
                     quote(F_CLOSED_YEAR_TOTAL), "multi_produto_total", "ticket_medio_por_mes", "data_base"))
+
+
+# ---------------------------------------------------------------------------
+# The individual aggregates (F1-F3), as separate operators
+# ---------------------------------------------------------------------------
+def _two_level(tc: DataFrame, col_id: str) -> DataFrame:
+    """(customer, product) partial aggregate feeding a per-customer aggregate."""
+    per_product = tc.groupBy(col_id, "produto").agg(
+        F.count("data_assinatura_contrato").alias("n"),
+        F.sum("valor_total_contrato").alias("v"),
+        F.max("period_meses").alias("p"))
+    return per_product.groupBy(col_id).agg(
+        F.sum("n").alias("n"), F.sum("v").alias("v"),
+        F.count(F.when(F.col("produto").isNotNull(), F.lit(1))).alias("d"),
+        F.max("p").alias("p"))
+
+
+def contracts_12m(contracts: DataFrame, as_of, col_id: str = "cd_cliente", months: int = 12,
+                  money_parser=parse_money_ptbr) -> DataFrame:
+    """Customers with contracts in the window: count, sum (0 if all missing), distinct
+    products, max period months, and the two 12-month flags."""
+    start, end = lookback_bounds(as_of, months)
+    tc = typed_contracts(contracts, col_id, money_parser)
+    tc = tc.filter(F.col(col_id).isNotNull() & (F.col("data_assinatura_contrato") >= start)
+                   & (F.col("data_assinatura_contrato") <= end))
+    a = _two_level(tc, col_id)
+    return a.select(
+        col_id,
+        F.col("n").alias("qt_contratos_12m"),
+        F.coalesce(F.col("v"), F.lit(0.0)).alias("valor_contratado_12m"),
+        F.col("d").alias("produtos_distintos_12m"),
+        F.col("p").alias("periodicidade_max_meses_12m"),
+        (F.coalesce(F.col("p"), F.lit(0)) >= 12).alias(F_CLOSED_YEAR_12M),
+        (F.col("d") > 1).alias("multi_produto_12m"))
+
+
+def contracts_lifetime(contracts: DataFrame, col_id: str = "cd_cliente",
+                       money_parser=parse_money_ptbr) -> DataFrame:
+    tc = typed_contracts(contracts, col_id, money_parser).filter(F.col(col_id).isNotNull())
+    a = _two_level(tc, col_id)
+    return a.select(
+        col_id,
+        F.col("d").alias("produtos_distintos_total"),
+        F.col("p").alias("periodicidade_max_meses_total"),
+        (F.coalesce(F.col("p"), F.lit(0)) >= 12).alias(F_CLOSED_YEAR_TOTAL),
+        (F.col("d") > 1).alias("multi_produto_total"))
+
+
+def tickets_12m(tickets: DataFrame, as_of, col_id: str = "cd_cliente", months: int = 12) -> DataFrame:
+    start, end = lookback_bounds(as_of, months)
+    t = as_timestamp("dt_criacao", _dtype(tickets, "dt_criacao"))
+    return (tickets.select(F.col(quote(col_id)).alias(col_id), t.alias("dt_criacao"))
+            .filter(F.col(col_id).isNotNull() & (F.col("dt_criacao") >= start) & (F.col("dt_criacao") <= end))
+            .groupBy(col_id)
+            .agg(F.count("dt_criacao").alias("qt_tickets_12m"))
+            .withColumn("ticket_medio_por_mes", F.col("qt_tickets_12m") / F.lit(12)))
+
+
+def tenure(clients: DataFrame, as_of, col_id: str = "cd_cliente") -> DataFrame:
+    """Elapsed whole days (floor) and years (days / 365.25) from opening to the reference date."""
+    end = as_of if isinstance(as_of, Column) else ts_lit(as_of)
+    opening = as_timestamp("dt_abertura", _dtype(clients, "dt_abertura"))
+    d = elapsed_days(end, opening)
+    return clients.select(F.col(quote(col_id)).alias(col_id), opening.alias("dt_abertura"),
+                          d.alias("tempo_vida_dias"), (d / F.lit(365.25)).alias("tempo_vida_anos"))

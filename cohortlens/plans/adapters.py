@@ -104,3 +104,60 @@ def survey_score(event_id, value) -> F.Column:
 
 SURVEY_SCORE_SQL = ("CASE WHEN event_id % 7 = 0 THEN NULL "
                     "ELSE (floor(value) % 12 - 1) + CASE WHEN event_id % 5 = 0 THEN 0.5 ELSE 0.0 END END")
+
+
+START = _dt.date(2000, 8, 1)             # AS_OF minus 12 months
+BAND_WIDTH = 45000                       # revenue band = floor(o_totalprice / 45000) as text: '0'..'11'
+
+
+def nullable_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame N: every customer left-joined to its orders of the 12 months to AS_OF
+    (customers without such orders carry NULL order columns)."""
+    from cohortlens.operators.relational import lookback_filter
+
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    o = lookback_filter(read(spark, sf_dir, "orders"), "o_orderdate", AS_OF).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey")
+
+
+def band_text(price) -> F.Column:
+    return F.floor(price / F.lit(BAND_WIDTH)).cast("long").cast("string")
+
+
+def client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped client-profile rows, many per customer (one per order)."""
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+         .join(r, n.n_regionkey == r.r_regionkey))
+    return j.select(
+        F.col("o_custkey").alias("cd_cliente"),
+        F.col("n_name").alias("nm_cidade"),
+        F.col("c_mktsegment").alias("ds_cnae"),
+        F.col("o_orderstatus").alias("ds_segmento"),
+        F.col("o_orderpriority").alias("ds_subsegmento"),
+        band_text(F.col("o_totalprice")).alias("vl_faixa_faturamento"),
+        F.col("c_nationkey").cast("string").alias("nm_pais"),
+        F.col("r_name").alias("nm_uf"),
+    )
+
+
+def client_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clients(spark, sf_dir).select("cd_cliente", F.col("dt_abertura").cast("date").alias("dt_abertura"))
+
+
+def hires_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.operators.relational import lookback_filter
+
+    o = lookback_filter(read(spark, sf_dir, "orders"), "o_orderdate", AS_OF)
+    return o.groupBy(F.col("o_custkey").alias("cd_cliente")).agg(
+        F.count(F.lit(1)).alias("qt_contratacao_12m"),
+        F.round(F.sum("o_totalprice"), 2).alias("vl_contratacao_12m"))
+
+
+def mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events")
+    return ev.groupBy(F.col("user_id").alias("cd_cliente")).agg(F.round(F.sum("value"), 2).alias("vl_mrr_12m"))

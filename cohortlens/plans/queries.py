@@ -93,3 +93,436 @@ def _round_money(df: DataFrame, *cols: str) -> DataFrame:
        sql=f"WITH {SQL_FEATURES_CTE} SELECT * REPLACE (round(valor_contratado_12m, 2) AS valor_contratado_12m) FROM feats")
 def q_customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_money(features_frame(spark, sf_dir), "valor_contratado_12m")
+
+
+# ---------------------------------------------------------------------------
+# Shared pieces for the per-operator queries
+# ---------------------------------------------------------------------------
+from cohortlens.functions import clean as C  # noqa: E402
+from cohortlens.operators import relational as R  # noqa: E402
+from cohortlens.operators.mapping import Field, MappingSpec, apply_mapping  # noqa: E402
+
+SQL_N = f"""
+n AS (
+  SELECT c.c_custkey, c.c_name, c.c_mktsegment, c.c_acctbal, o.o_orderkey, o.o_orderstatus, o.o_totalprice,
+         o.o_orderdate, o.o_orderpriority
+  FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS}) o
+    ON c.c_custkey = o.o_custkey
+)"""
+
+SQL_PERIOD_LABEL = ("CASE o_orderpriority WHEN '1-URGENT' THEN '00 - Mensal' WHEN '2-HIGH' THEN '02 - Trimestral' "
+                    "WHEN '3-MEDIUM' THEN '05 - Semestral' WHEN '4-NOT SPECIFIED' THEN '04' "
+                    "WHEN '5-LOW' THEN '11 - Anual' END")
+SQL_PERIOD_OF_LABEL = ("CASE {x} WHEN '00 - Mensal' THEN 1 WHEN '01 - Bimestral' THEN 2 WHEN '02 - Trimestral' THEN 3 "
+                       "WHEN '03 - Quadrimestral' THEN 4 WHEN '05 - Semestral' THEN 6 WHEN '11 - Anual' THEN 12 END")
+NPS_SQL = ("CASE WHEN {s} IS NULL THEN 'Não Avaliado' WHEN {s} <= 6 THEN 'Detrator' "
+           "WHEN {s} >= 7 AND {s} <= 8 THEN 'Neutro' WHEN {s} >= 9 THEN 'Promotor' ELSE 'Não Avaliado' END")
+
+
+def _orders(spark, sf_dir):
+    return A.read(spark, sf_dir, "orders")
+
+
+# ---------------------------------------------------------------------------
+# projections
+# ---------------------------------------------------------------------------
+ORDERS_AS_PROPOSALS = MappingSpec(
+    name="orders_as_proposals", table="orders", key="o_orderkey",
+    fields=(
+        Field("o_orderkey", "id_proposta"),
+        Field("o_custkey", "cd_cliente"),
+        Field("o_orderstatus", "st_proposta"),
+        Field("o_totalprice", "vl_total"),
+        Field("o_orderdate", "dt_upload"),
+        Field(None, "categoria", "const", "relacional"),
+    ),
+)
+
+
+@query("map_columns", inventory="C1 C3",
+       sql="SELECT o_orderkey AS id_proposta, o_custkey AS cd_cliente, o_orderstatus AS st_proposta, "
+           "o_totalprice AS vl_total, o_orderdate AS dt_upload, 'relacional' AS categoria "
+           "FROM orders WHERE o_orderkey IS NOT NULL")
+def q_map_columns(spark, sf_dir):
+    return apply_mapping(_orders(spark, sf_dir), ORDERS_AS_PROPOSALS)
+
+
+@query("cast_columns", inventory="C8",
+       sql="SELECT CAST(o_orderkey AS VARCHAR) AS id_item_proposta, CAST(o_custkey AS INTEGER) AS cd_cliente, "
+           "CAST(o_custkey AS DOUBLE) AS vl_cliente, CAST(o_orderdate AS DATE) AS dt_upload FROM orders")
+def q_cast_columns(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    return o.select(F.col("o_orderkey").cast("string").alias("id_item_proposta"),
+                    F.col("o_custkey").cast("int").alias("cd_cliente"),
+                    F.col("o_custkey").cast("double").alias("vl_cliente"),
+                    F.col("o_orderdate").cast("date").alias("dt_upload"))
+
+
+@query("lowercase_columns", inventory="C10",
+       sql="SELECT o_orderkey AS id_proposta, o_custkey AS cd_cliente, o_orderpriority AS periodicidade FROM orders")
+def q_lowercase_columns(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("ID_PROPOSTA"), F.col("o_custkey").alias("Cd_Cliente"),
+                                      F.col("o_orderpriority").alias("PERIODICIDADE"))
+    return R.lowercase_columns(o)
+
+
+# ---------------------------------------------------------------------------
+# Defaults on the nullable frame N
+# ---------------------------------------------------------------------------
+@query("default_text", inventory="C4",
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, coalesce(o_orderstatus, '-') AS situacao_contrato, "
+           "coalesce(o_orderpriority, '-') AS periodicidade FROM n")
+def q_default_text(spark, sf_dir):
+    n = A.nullable_orders(spark, sf_dir)
+    return n.select(F.col("c_custkey").alias("cd_cliente"), C.default_text("o_orderstatus").alias("situacao_contrato"),
+                    C.default_text("o_orderpriority").alias("periodicidade"))
+
+
+@query("default_number", inventory="C5",
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, coalesce(o_totalprice, 0.0) AS valor_total_contrato, "
+           "coalesce(CAST(o_orderkey AS BIGINT), 0) AS id_proposta FROM n")
+def q_default_number(spark, sf_dir):
+    n = A.nullable_orders(spark, sf_dir)
+    return n.select(F.col("c_custkey").alias("cd_cliente"),
+                    C.default_number("o_totalprice").alias("valor_total_contrato"),
+                    C.default_number("o_orderkey", 0, "bigint").alias("id_proposta"))
+
+
+@query("default_date", inventory="C6",
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, "
+           "coalesce(CAST(o_orderdate AS DATE), DATE '1900-01-01') AS data_assinatura_contrato FROM n")
+def q_default_date(spark, sf_dir):
+    n = A.nullable_orders(spark, sf_dir)
+    text = F.date_format("o_orderdate", "dd/MM/yyyy")
+    return n.select(F.col("c_custkey").alias("cd_cliente"), C.default_date(text).alias("data_assinatura_contrato"))
+
+
+# ---------------------------------------------------------------------------
+# Key filters
+# ---------------------------------------------------------------------------
+@query("filter_key_not_null", inventory="B1",
+       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n WHERE o_orderkey IS NOT NULL")
+def q_filter_key_not_null(spark, sf_dir):
+    return R.filter_not_null(A.nullable_orders(spark, sf_dir), "o_orderkey").select("c_custkey", "o_orderkey")
+
+
+@query("filter_exclude_key", inventory="B2",
+       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n "
+           f"WHERE c_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND c_custkey <> {A.ISOLATED_KEY}")
+def q_filter_exclude_key(spark, sf_dir):
+    n = A.nullable_orders(spark, sf_dir)
+    return R.exclude_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["o_orderkey"]).select("c_custkey", "o_orderkey")
+
+
+@query("filter_isolate_key", inventory="B3",
+       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n "
+           f"WHERE c_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND c_custkey = {A.ISOLATED_KEY}")
+def q_filter_isolate_key(spark, sf_dir):
+    n = A.nullable_orders(spark, sf_dir)
+    return R.isolate_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["o_orderkey"]).select("c_custkey", "o_orderkey")
+
+
+# ---------------------------------------------------------------------------
+# Safe parsing of text built from the tables
+# ---------------------------------------------------------------------------
+@query("safe_cast_int", inventory="C7 Q2",
+       sql="SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS prioridade, "
+           "TRY_CAST(o_orderstatus AS INTEGER) AS id_pais, "
+           "coalesce(TRY_CAST(o_orderstatus AS INTEGER), 1000) AS id_pais_default FROM orders")
+def q_safe_cast_int(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    return o.select("o_orderkey", C.safe_cast_int(F.substring("o_orderpriority", 1, 1)).alias("prioridade"),
+                    C.safe_cast_int("o_orderstatus").alias("id_pais"),
+                    C.safe_cast_int("o_orderstatus", 1000).alias("id_pais_default"))
+
+
+def _ptbr_text(x):
+    """12345.6 -> '12.345,60' (thousands dot, decimal comma)."""
+    us = F.format_number(x, 2)
+    return F.translate(us, ",.", ".,")
+
+
+@query("parse_decimal_comma", inventory="J1",
+       sql="SELECT o_orderkey, o_totalprice AS valor_simples, "
+           "CASE WHEN o_totalprice >= 1000 THEN NULL ELSE o_totalprice END AS valor_simples_milhar FROM orders")
+def q_parse_decimal_comma(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    plain = F.translate(F.format_string("%.2f", F.col("o_totalprice")), ".", ",")
+    return o.select("o_orderkey", C.parse_decimal_comma(plain).alias("valor_simples"),
+                    C.parse_decimal_comma(_ptbr_text(F.col("o_totalprice"))).alias("valor_simples_milhar"))
+
+
+@query("parse_money_ptbr", inventory="J2",
+       sql="SELECT o_orderkey, o_totalprice AS valor, CAST(o_totalprice * 100 AS DOUBLE) AS valor_ponto FROM orders")
+def q_parse_money_ptbr(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    dotted = F.format_string("%.2f", F.col("o_totalprice"))  # '1234.56' -> 123456 under the localised parser
+    return o.select("o_orderkey", C.parse_money_ptbr(_ptbr_text(F.col("o_totalprice"))).alias("valor"),
+                    C.parse_money_ptbr(dotted).alias("valor_ponto"))
+
+
+@query("parse_date_dayfirst", inventory="J3 Q8",
+       sql="SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_orderdate END AS data FROM orders")
+def q_parse_date_dayfirst(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    text = (F.when(F.pmod("o_orderkey", F.lit(10)) == 3, F.lit("xx"))
+            .when(F.pmod("o_orderkey", F.lit(2)) == 0, F.date_format("o_orderdate", "dd/MM/yyyy"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    return o.select("o_orderkey", C.parse_date_dayfirst(text).alias("data"))
+
+
+# ---------------------------------------------------------------------------
+# NPS class
+# ---------------------------------------------------------------------------
+@query("nps_class", inventory="C9 J8 Q3 Q4",
+       sql=f"SELECT event_id, s AS nota, {NPS_SQL.format(s='s')} AS classificacao_nps, "
+           f"CASE WHEN event_type = 'error' THEN 'Não Avaliado' ELSE {NPS_SQL.format(s='s')} END AS classificacao_texto "
+           f"FROM (SELECT event_id, event_type, {A.SURVEY_SCORE_SQL} AS s FROM events)")
+def q_nps_class(spark, sf_dir):
+    ev = A.read(spark, sf_dir, "events")
+    s = A.survey_score(F.col("event_id"), F.col("value"))
+    text = F.when(F.col("event_type") == "error", F.lit("x")).otherwise(s.cast("string"))
+    return ev.select("event_id", s.alias("nota"), C.nps_class(s).alias("classificacao_nps"),
+                     C.nps_class(text).alias("classificacao_texto"))
+
+
+# ---------------------------------------------------------------------------
+# Period map and threshold flags
+# ---------------------------------------------------------------------------
+@query("map_period_months", inventory="C11 Q27",
+       sql=f"SELECT o_orderkey, {SQL_PERIOD_LABEL} AS periodicidade, "
+           f"{SQL_PERIOD_OF_LABEL.format(x=SQL_PERIOD_LABEL)} AS period_meses FROM orders")
+def q_map_period_months(spark, sf_dir):
+    o = _orders(spark, sf_dir).select("o_orderkey", A.priority_to_period(F.col("o_orderpriority")).alias("periodicidade"))
+    return o.withColumn("period_meses", C.period_months("periodicidade"))
+
+
+@query("threshold_flags", inventory="C14 C15",
+       sql=f"SELECT o_custkey AS cd_cliente, CAST(coalesce(max({SQL_PERIOD_MONTHS.replace('o.', '')}), 0) >= 12 AS INTEGER) "
+           "AS \"fechou_>=1ano_total\", CAST(coalesce(count(DISTINCT o_orderpriority), 0) > 1 AS INTEGER) "
+           "AS multi_produto_total FROM orders GROUP BY o_custkey")
+def q_threshold_flags(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(
+        "o_custkey", "o_orderpriority",
+        C.period_months(A.priority_to_period(F.col("o_orderpriority"))).alias("pm"))
+    per = (o.groupBy("o_custkey", "o_orderpriority").agg(F.max("pm").alias("pm"))
+           .groupBy("o_custkey").agg(F.max("pm").alias("pm"), F.count("o_orderpriority").alias("d")))
+    return per.select(F.col("o_custkey").alias("cd_cliente"),
+                      (F.coalesce(F.col("pm"), F.lit(0)) >= 12).cast("int").alias("fechou_>=1ano_total"),
+                      (F.coalesce(F.col("d"), F.lit(0)) > 1).cast("int").alias("multi_produto_total"))
+
+
+# ---------------------------------------------------------------------------
+# Reference date;  B5 B6 J5: look-back filters
+# ---------------------------------------------------------------------------
+@query("reference_date", inventory="F4 J4 B8 Q9",
+       sql=f"WITH {SQL_CLIENTS}, {SQL_CONTRACTS}, {SQL_TICKETS} "
+           "SELECT greatest(TIMESTAMP '1990-01-01 00:00:00', date_trunc('day', (SELECT max(dt) FROM contracts)), "
+           "date_trunc('day', (SELECT max(dt_abertura) FROM clients)), "
+           "date_trunc('day', (SELECT max(dt_criacao) FROM tickets)))::TIMESTAMP AS data_base")
+def q_reference_date(spark, sf_dir):
+    import datetime as _dt
+
+    return feat.reference_date_frame(A.clients(spark, sf_dir), A.contracts(spark, sf_dir), A.tickets(spark, sf_dir),
+                                     floor=_dt.date(1990, 1, 1))
+
+
+@query("lookback_filter", inventory="B5 J5 Q10",
+       sql=f"SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS}")
+def q_lookback_filter(spark, sf_dir):
+    return R.lookback_filter(_orders(spark, sf_dir), "o_orderdate", A.AS_OF).select("o_orderkey", "o_custkey",
+                                                                                    "o_orderdate")
+
+
+@query("lookback_filter_events", inventory="B6",
+       sql=f"WITH {SQL_TICKETS.replace('SELECT user_id AS cd_cliente,', 'SELECT event_id, user_id AS cd_cliente,')} "
+           f"SELECT event_id, cd_cliente, dt_criacao FROM tickets WHERE dt_criacao BETWEEN {START_TS} AND {BASE_TS}")
+def q_lookback_filter_events(spark, sf_dir):
+    ev = A.read(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("cd_cliente"),
+        (F.col("ts") - F.expr(f"INTERVAL {A.TICKET_SHIFT_DAYS} DAYS")).alias("dt_criacao"))
+    return R.lookback_filter(ev, "dt_criacao", A.AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# Aggregates, tenure
+# ---------------------------------------------------------------------------
+@query("contracts_12m", inventory="F1 Q11 Q12 Q26",
+       sql=f"WITH {SQL_CONTRACTS} SELECT cd_cliente, count(dt) AS qt_contratos_12m, "
+           "round(coalesce(sum(valor), 0), 2) AS valor_contratado_12m, count(DISTINCT produto) AS produtos_distintos_12m, "
+           "max(pm) AS periodicidade_max_meses_12m, coalesce(max(pm), 0) >= 12 AS \"fechou_>=1ano_12m\", "
+           "count(DISTINCT produto) > 1 AS multi_produto_12m "
+           f"FROM contracts WHERE cd_cliente IS NOT NULL AND dt BETWEEN {START_TS} AND {BASE_TS} GROUP BY cd_cliente")
+def q_contracts_12m(spark, sf_dir):
+    return _round_money(feat.contracts_12m(A.contracts(spark, sf_dir), A.AS_OF), "valor_contratado_12m")
+
+
+@query("contracts_lifetime", inventory="F2",
+       sql=f"WITH {SQL_CONTRACTS} SELECT cd_cliente, count(DISTINCT produto) AS produtos_distintos_total, "
+           "max(pm) AS periodicidade_max_meses_total, coalesce(max(pm), 0) >= 12 AS \"fechou_>=1ano_total\", "
+           "count(DISTINCT produto) > 1 AS multi_produto_total FROM contracts WHERE cd_cliente IS NOT NULL "
+           "GROUP BY cd_cliente")
+def q_contracts_lifetime(spark, sf_dir):
+    return feat.contracts_lifetime(A.contracts(spark, sf_dir))
+
+
+@query("tickets_12m", inventory="F3",
+       sql=f"WITH {SQL_TICKETS} SELECT cd_cliente, count(dt_criacao) AS qt_tickets_12m, "
+           f"count(dt_criacao) / 12 AS ticket_medio_por_mes FROM tickets "
+           f"WHERE cd_cliente IS NOT NULL AND dt_criacao BETWEEN {START_TS} AND {BASE_TS} GROUP BY cd_cliente")
+def q_tickets_12m(spark, sf_dir):
+    return feat.tickets_12m(A.tickets(spark, sf_dir), A.AS_OF)
+
+
+@query("monthly_rate", inventory="C16",
+       sql=f"WITH {SQL_TICKETS} SELECT cd_cliente, count(dt_criacao) / 12 AS ticket_medio_por_mes FROM tickets "
+           f"WHERE cd_cliente IS NOT NULL AND dt_criacao BETWEEN {START_TS} AND {BASE_TS} GROUP BY cd_cliente")
+def q_monthly_rate(spark, sf_dir):
+    return feat.tickets_12m(A.tickets(spark, sf_dir), A.AS_OF).select("cd_cliente", "ticket_medio_por_mes")
+
+
+SQL_TENURE = (f"CAST(floor((epoch_us({BASE_TS}) - epoch_us(dt_abertura)) / 86400000000) AS BIGINT)")
+
+
+@query("tenure", inventory="J6 C16 Q7",
+       sql=f"WITH {SQL_CLIENTS} SELECT cd_cliente, dt_abertura, {SQL_TENURE} AS tempo_vida_dias, "
+           f"{SQL_TENURE} / 365.25 AS tempo_vida_anos FROM clients")
+def q_tenure(spark, sf_dir):
+    return feat.tenure(A.clients(spark, sf_dir), A.AS_OF)
+
+
+@query("drop_missing_tenure", inventory="B7",
+       sql=f"WITH {SQL_CLIENTS} SELECT cd_cliente, {SQL_TENURE} AS tempo_vida_dias FROM clients "
+           f"WHERE {SQL_TENURE} IS NOT NULL")
+def q_drop_missing_tenure(spark, sf_dir):
+    t = feat.tenure(A.clients(spark, sf_dir), A.AS_OF)
+    return t.dropna(subset=["tempo_vida_dias"]).select("cd_cliente", "tempo_vida_dias")
+
+
+# ---------------------------------------------------------------------------
+# Joins, fills, best row per key
+# ---------------------------------------------------------------------------
+SQL_PROFILE = f"""
+profile AS (
+  SELECT o.o_custkey AS cd_cliente, n.n_name AS nm_cidade, c.c_mktsegment AS ds_cnae, o.o_orderstatus AS ds_segmento,
+         o.o_orderpriority AS ds_subsegmento, CAST(CAST(floor(o.o_totalprice / {A.BAND_WIDTH}) AS BIGINT) AS VARCHAR)
+         AS vl_faixa_faturamento, CAST(c.c_nationkey AS VARCHAR) AS nm_pais, r.r_name AS nm_uf
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+)"""
+SQL_RANKED = """
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY cd_cliente ORDER BY vl_faixa_faturamento DESC NULLS LAST,
+     nm_cidade DESC NULLS LAST, ds_cnae DESC NULLS LAST, ds_segmento DESC NULLS LAST,
+     ds_subsegmento DESC NULLS LAST, nm_pais DESC NULLS LAST, nm_uf DESC NULLS LAST) AS rn
+  FROM profile
+)"""
+PROFILE_COLS = "cd_cliente, nm_cidade, ds_cnae, ds_segmento, ds_subsegmento, vl_faixa_faturamento, nm_pais, nm_uf"
+
+
+@query("top1_per_key", inventory="G1 B4 Q5",
+       sql=f"WITH {SQL_PROFILE}, {SQL_RANKED} SELECT {PROFILE_COLS} FROM ranked WHERE rn = 1")
+def q_top1_per_key(spark, sf_dir):
+    return R.top1_per_key(A.client_profile(spark, sf_dir), "cd_cliente", ["vl_faixa_faturamento"])
+
+
+@query("rank_within_key", inventory="G1",
+       sql=f"WITH {SQL_PROFILE}, {SQL_RANKED} SELECT {PROFILE_COLS}, rn FROM ranked")
+def q_rank_within_key(spark, sf_dir):
+    return R.rank_within_key(A.client_profile(spark, sf_dir), "cd_cliente", ["vl_faixa_faturamento"])
+
+
+SQL_C12_SIMPLE = f"""
+c12 AS (
+  SELECT cd_cliente, count(dt) AS qt_contratos_12m, round(coalesce(sum(valor), 0), 2) AS valor_contratado_12m
+  FROM contracts WHERE cd_cliente IS NOT NULL AND dt BETWEEN {START_TS} AND {BASE_TS} GROUP BY cd_cliente
+)"""
+
+
+@query("join_left_using", inventory="E1",
+       sql=f"WITH {SQL_CLIENTS}, {SQL_CONTRACTS}, {SQL_C12_SIMPLE} SELECT b.cd_cliente, b.vl_faixa_faturamento, "
+           "c12.qt_contratos_12m, c12.valor_contratado_12m FROM clients b LEFT JOIN c12 USING (cd_cliente)")
+def q_join_left_using(spark, sf_dir):
+    agg = _round_money(feat.contracts_12m(A.contracts(spark, sf_dir), A.AS_OF), "valor_contratado_12m")
+    base = A.clients(spark, sf_dir).select("cd_cliente", "vl_faixa_faturamento")
+    return base.join(agg.select("cd_cliente", "qt_contratos_12m", "valor_contratado_12m"), on="cd_cliente", how="left")
+
+
+@query("fill_after_join", inventory="C12 C13 Q14",
+       sql=f"WITH {SQL_CLIENTS}, {SQL_CONTRACTS}, {SQL_C12_SIMPLE} SELECT b.cd_cliente, "
+           "coalesce(c12.qt_contratos_12m, 0) AS qt_contratos_12m, "
+           "coalesce(c12.valor_contratado_12m, 0.0) AS valor_contratado_12m, "
+           "coalesce(c12.qt_contratos_12m > 0, false) AS tem_contrato_12m "
+           "FROM clients b LEFT JOIN c12 USING (cd_cliente)")
+def q_fill_after_join(spark, sf_dir):
+    agg = _round_money(feat.contracts_12m(A.contracts(spark, sf_dir), A.AS_OF), "valor_contratado_12m")
+    agg = agg.select("cd_cliente", "qt_contratos_12m", "valor_contratado_12m",
+                     (F.col("qt_contratos_12m") > 0).alias("tem_contrato_12m"))
+    j = A.clients(spark, sf_dir).select("cd_cliente").join(agg, on="cd_cliente", how="left")
+    return j.na.fill(0, ["qt_contratos_12m"]).na.fill(0.0, ["valor_contratado_12m"]).na.fill(False, ["tem_contrato_12m"])
+
+
+@query("join_left_residual", inventory="E2",
+       sql=f"WITH {SQL_CLIENTS}, {SQL_PROFILE}, {SQL_RANKED} SELECT b.cd_cliente, b.vl_faixa_faturamento AS segmento, "
+           "r.vl_faixa_faturamento, r.rn FROM clients b LEFT JOIN ranked r ON b.cd_cliente = r.cd_cliente AND r.rn = 1")
+def q_join_left_residual(spark, sf_dir):
+    ranked = R.rank_within_key(A.client_profile(spark, sf_dir), "cd_cliente", ["vl_faixa_faturamento"])
+    a = A.clients(spark, sf_dir).select("cd_cliente", F.col("vl_faixa_faturamento").alias("segmento")).alias("a")
+    r = ranked.select("cd_cliente", "vl_faixa_faturamento", "rn").alias("r")
+    j = a.join(r, (F.col("a.cd_cliente") == F.col("r.cd_cliente")) & (F.col("r.rn") == 1), "left")
+    return j.select(F.col("a.cd_cliente"), F.col("a.segmento"), F.col("r.vl_faixa_faturamento"), F.col("r.rn"))
+
+
+# ---------------------------------------------------------------------------
+# Unions and distinct
+# ---------------------------------------------------------------------------
+@query("union_distinct", inventory="H4 H6 Q25",
+       sql="SELECT DISTINCT o_custkey AS cd_cliente, o_orderpriority AS periodicidade FROM orders "
+           "WHERE o_custkey IS NOT NULL")
+def q_union_distinct(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(F.col("o_custkey").alias("cd_cliente"),
+                                      F.col("o_orderpriority").alias("periodicidade"))
+    rest = R.exclude_keys(o, "cd_cliente", [A.ISOLATED_KEY])
+    hot = R.isolate_keys(o, "cd_cliente", [A.ISOLATED_KEY])
+    return R.union_distinct([rest, hot])
+
+
+@query("union_many", inventory="H5 A3",
+       sql="SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")
+def q_union_many(spark, sf_dir):
+    li = A.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    slices = [li.filter(F.month("l_shipdate") == m) for m in range(1, 13)]
+    slices.append(li.filter(F.col("l_shipdate").isNull()))
+    return R.union_many(slices)
+
+
+@query("dedup_rows", inventory="F10",
+       sql="SELECT DISTINCT o_custkey AS cd_cliente, o_orderpriority AS periodicidade FROM orders")
+def q_dedup_rows(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(F.col("o_custkey").alias("cd_cliente"),
+                                      F.col("o_orderpriority").alias("periodicidade"))
+    return R.dedup_rows(o)
+
+
+# ---------------------------------------------------------------------------
+# Customer master
+# ---------------------------------------------------------------------------
+@query("customer_master", inventory="P1 E3 A7(plan) Q2 Q5 Q24 Q25",
+       sql=f"""WITH {SQL_CLIENTS}, {SQL_PROFILE}, {SQL_RANKED},
+hires AS (SELECT o_custkey AS cd_cliente, count(*) AS qt, round(sum(o_totalprice), 2) AS vl FROM orders
+          WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS} GROUP BY o_custkey),
+mrr AS (SELECT user_id AS cd_cliente, round(sum(value), 2) AS vl FROM events GROUP BY user_id)
+SELECT DISTINCT a.cd_cliente, CAST(a.dt_abertura AS DATE) AS dt_abertura,
+       CAST(coalesce(h.qt, 0) AS INTEGER) AS qt_contratacao_12m, CAST(coalesce(h.vl, 0) AS DOUBLE) AS vl_contratacao_12m,
+       coalesce(r.nm_cidade, '-') AS nm_cidade, coalesce(r.ds_cnae, '-') AS ds_cnae,
+       coalesce(r.ds_segmento, '-') AS ds_segmento, coalesce(r.ds_subsegmento, '-') AS ds_subsegmento,
+       coalesce(r.vl_faixa_faturamento, '-') AS vl_faixa_faturamento, TRY_CAST(r.nm_pais AS INTEGER) AS id_pais,
+       coalesce(r.nm_uf, '-') AS nm_uf, CAST(coalesce(m.vl, 0) AS DOUBLE) AS vl_mrr_12m
+FROM clients a LEFT JOIN hires h ON a.cd_cliente = h.cd_cliente
+JOIN ranked r ON a.cd_cliente = r.cd_cliente AND r.rn = 1
+LEFT JOIN mrr m ON a.cd_cliente = m.cd_cliente""")
+def q_customer_master(spark, sf_dir):
+    from cohortlens.plans.jobs import customer_master
+
+    return customer_master(A.client_since(spark, sf_dir), A.hires_12m(spark, sf_dir),
+                           A.client_profile(spark, sf_dir), A.mrr(spark, sf_dir))
