@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.clean import quote, winsorize as winsorize_expr
-from cohortlens.operators.quantiles import exact_quantiles, exact_quantiles_wide, maybe_broadcast
+from cohortlens.operators.quantiles import exact_quantiles, exact_quantiles_wide
 
 
 def _num(c: str):
@@ -93,7 +93,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> D
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     qs = qs.withColumn("lo_fence", F.col("q1") - F.lit(whis) * F.col("iqr")).withColumn(
         "hi_fence", F.col("q3") + F.lit(whis) * F.col("iqr"))
-    j = st.join(maybe_broadcast(qs.select("variavel", "lo_fence", "hi_fence")), on="variavel")
+    j = st.join(qs.select("variavel", "lo_fence", "hi_fence"), on="variavel")
     ends = j.groupBy("variavel").agg(
         F.min(F.when(F.col("valor") >= F.col("lo_fence"), F.col("valor"))).alias("whisker_lo"),
         F.max(F.when(F.col("valor") <= F.col("hi_fence"), F.col("valor"))).alias("whisker_hi"),

@@ -526,3 +526,102 @@ def q_customer_master(spark, sf_dir):
 
     return customer_master(A.client_since(spark, sf_dir), A.hires_12m(spark, sf_dir),
                            A.client_profile(spark, sf_dir), A.mrr(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Quality pass
+# ---------------------------------------------------------------------------
+from cohortlens.operators import quality as Q  # noqa: E402
+
+
+def _round_stats(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    # + 0.0 turns a rounded -0.0 into 0.0 (the oracle does the same)
+    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in cols})
+
+
+@query("missing_report", inventory="F5",
+       sql=f"WITH {SQL_N} SELECT * FROM (" + " UNION ALL ".join(
+           f"SELECT '{c}' AS variaveis, count(*) - count({c}) AS n FROM n"
+           for c in ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "o_orderkey", "o_orderstatus",
+                     "o_totalprice", "o_orderdate", "o_orderpriority"]) + ")")
+def q_missing_report(spark, sf_dir):
+    return Q.missing_report(A.nullable_orders(spark, sf_dir))
+
+
+def _describe_sql(src_cte: str, src: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{c}' AS variavel, count({c}) AS count, round(avg({c}), 6) + 0.0 AS mean, "
+            f"round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, "
+            f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM {src}")
+    return f"WITH {src_cte} " + " UNION ALL ".join(parts)
+
+
+DESCRIBE_STATS = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+
+
+@query("describe_numeric", inventory="F7 Q17",
+       sql=_describe_sql(SQL_N, "n", ["o_totalprice", "c_acctbal"]))
+def q_describe_numeric(spark, sf_dir):
+    d = Q.describe_numeric(A.nullable_orders(spark, sf_dir), ["o_totalprice", "c_acctbal"])
+    return _round_stats(d, *DESCRIBE_STATS)
+
+
+def _boxplot_sql(cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS variavel, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+  round(q3 - q1, 6) AS iqr,
+  round((SELECT min({c}) FROM n WHERE {c} >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
+  round((SELECT max({c}) FROM n WHERE {c} <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+  (SELECT count(*) FROM n WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med, quantile_cont({c}, 0.75) AS q3 FROM n)""")
+    return f"WITH {SQL_N} " + " UNION ALL ".join(parts)
+
+
+@query("boxplot_stats", inventory="F8",
+       sql=_boxplot_sql(["o_totalprice", "c_acctbal"]))
+def q_boxplot_stats(spark, sf_dir):
+    b = Q.boxplot_stats(A.nullable_orders(spark, sf_dir), ["o_totalprice", "c_acctbal"])
+    return _round_stats(b, "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")
+
+
+@query("quantile_bounds", inventory="F6",
+       sql="SELECT round(quantile_cont(o_totalprice, 0.05), 6) AS q_lo, "
+           "round(quantile_cont(o_totalprice, 0.90), 6) AS q_hi FROM orders")
+def q_quantile_bounds(spark, sf_dir):
+    return _round_stats(Q.quantile_bounds_frame(_orders(spark, sf_dir), "o_totalprice"), "q_lo", "q_hi")
+
+
+SQL_WINS = ("CASE WHEN o_totalprice IS NULL THEN NULL ELSE least(greatest(o_totalprice, "
+            "(SELECT quantile_cont(o_totalprice, 0.05) FROM orders)), "
+            "(SELECT quantile_cont(o_totalprice, 0.90) FROM orders)) END")
+
+
+@query("winsorize", inventory="J7 Q15",
+       sql=f"SELECT o_orderkey, o_totalprice, round({SQL_WINS}, 6) AS valor_wins FROM orders")
+def q_winsorize(spark, sf_dir):
+    w = Q.winsorize(_orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), "o_totalprice", out="valor_wins")
+    return _round_stats(w, "valor_wins")
+
+
+SQL_Z = ("(o_totalprice - (SELECT avg(o_totalprice) FROM orders)) / "
+         "(SELECT CASE WHEN stddev_pop(o_totalprice) = 0 THEN 1 ELSE stddev_pop(o_totalprice) END FROM orders)")
+
+
+@query("zscore", inventory="G2 Q16",
+       sql=f"SELECT o_orderkey, round({SQL_Z}, 6) AS valor_z FROM orders")
+def q_zscore(spark, sf_dir):
+    z = Q.zscore(_orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), "o_totalprice")
+    return _round_stats(z.select("o_orderkey", "valor_z"), "valor_z")
+
+
+@query("quality_report", inventory="P12 F7 G2 J1 J7",
+       sql=_describe_sql(f"q AS (SELECT o_totalprice, {SQL_Z} AS valor_z, {SQL_WINS} AS valor_wins FROM orders)",
+                         "q", ["o_totalprice", "valor_z", "valor_wins"]))
+def q_quality_report(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(F.translate(F.format_string("%.2f", "o_totalprice"), ".", ",").alias("o_totalprice"))
+    d = Q.quality_report(o, "o_totalprice", parser=C.parse_decimal_comma)
+    return _round_stats(d, *DESCRIBE_STATS)
