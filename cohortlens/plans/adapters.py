@@ -161,3 +161,171 @@ def hires_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
     return ev.groupBy(F.col("user_id").alias("cd_cliente")).agg(F.round(F.sum("value"), 2).alias("vl_mrr_12m"))
+
+
+# ---------------------------------------------------------------------------
+# Raw-shaped sources: text columns under the original header names, built from the
+# test tables, so the mapping jobs run their real specs (parsing included).
+# ---------------------------------------------------------------------------
+def comma_text(x) -> F.Column:
+    """12345.6 -> '12345,60' (decimal comma, no thousands separator)."""
+    return F.translate(F.format_string("%.2f", x), ".", ",")
+
+
+def dayfirst_text(ts) -> F.Column:
+    return F.date_format(ts, "dd/MM/yyyy")
+
+
+def dayfirst_time_text(ts) -> F.Column:
+    return F.date_format(ts, "dd/MM/yyyy HH:mm:ss")
+
+
+def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag",
+                                                "l_linestatus")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                                             "o_orderstatus")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    return j.select(
+        F.col("o_custkey").cast("string").alias("CD_CLIENTE"),
+        F.col("p_brand").alias("DS_PROD"),
+        F.col("p_type").alias("DS_LIN_REC"),
+        F.col("l_linestatus").alias("MARCA_TOTVS"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("MODAL_COMERC"),
+        priority_to_period(F.col("o_orderpriority")).alias("PERIODICIDADE"),
+        F.col("o_orderstatus").alias("SITUACAO_CONTRATO"),
+        F.when(F.col("l_returnflag") != "A", comma_text(F.col("l_extendedprice"))).alias("VL_TOTAL_CONTRATO"),
+        F.when(F.col("l_linestatus") != "O", dayfirst_text(F.col("o_orderdate"))).alias("DT_ASSINATURA_CONTRATO"),
+    )
+
+
+def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events")
+    return ev.select(
+        F.col("user_id").cast("string").alias("CODIGO_ORGANIZACAO"),
+        F.col("event_type").alias("NOME_GRUPO"),
+        F.col("event_type").alias("TIPO_TICKET"),
+        F.when(F.col("value") >= 50, F.lit("Fechado")).otherwise(F.lit("Aberto")).alias("STATUS_TICKET"),
+        dayfirst_time_text(F.col("ts")).alias("DT_CRIACAO"),
+        dayfirst_time_text(F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("DT_ATUALIZACAO"),
+        F.col("event_id").cast("string").alias("BK_TICKET"),
+        F.col("props").alias("PRIORIDADE_TICKET"),
+    )
+
+
+def raw_telemetry_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Eleven comma-source "files": lineitem sliced by ship month (1..10, then 11-12 and
+    missing dates together), covering every row exactly once."""
+    li = read(spark, sf_dir, "lineitem")
+    t = li.select(
+        F.col("l_orderkey").cast("string").alias("clienteid"),
+        F.col("l_quantity").cast("string").alias("eventduration"),
+        F.col("l_partkey").cast("string").alias("moduloid"),
+        F.col("l_suppkey").cast("string").alias("productlineid"),
+        dayfirst_text(F.col("l_shipdate")).alias("referencedatestart"),
+        F.col("l_linenumber").cast("string").alias("slotid"),
+        F.col("l_linestatus").alias("statuslicenca"),
+        F.col("l_returnflag").alias("tcloud"),
+        F.when(F.col("l_discount") >= 0.05, F.lit("S")).otherwise(F.lit("N")).alias("clienteprime"),
+        F.month("l_shipdate").alias("_m"))
+    cols = [c for c in t.columns if not c.startswith("_")]
+    slices = [t.filter(F.col("_m") == k).select(*cols) for k in range(1, 11)]
+    slices.append(t.filter((F.col("_m") >= 11) | F.col("_m").isNull()).select(*cols))
+    return slices
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice")
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("NR_PROPOSTA"),
+        F.col("l_linenumber").alias("ITEM_PROPOSTA"),
+        dayfirst_text(F.col("l_shipdate")).alias("DT_UPLOAD"),
+        F.col("l_returnflag").alias("HOSPEDAGEM"),
+        F.col("l_suppkey").cast("string").alias("CD_CLI"),
+        F.col("l_partkey").cast("string").alias("CD_PROD"),
+        comma_text(F.col("l_quantity")).alias("QTD"),
+        F.when(F.col("l_linestatus") == "O", F.col("l_linenumber").cast("string")).alias("MESES_BONIF"),
+        F.when(F.col("l_returnflag") == "R", comma_text(F.col("l_tax"))).alias("VL_PCT_DESC_TEMP"),
+        comma_text(F.col("l_discount")).alias("VL_PCT_DESCONTO"),
+        comma_text(price).alias("PRC_UNITARIO"),
+        F.when(F.col("l_returnflag") == "R", comma_text(F.col("l_tax"))).alias("VL_DESCONTO_TEMPORARIO"),
+        comma_text(price).alias("VL_TOTAL"),
+        F.when(F.col("l_linestatus") == "F", F.lit("-")).otherwise(comma_text(price)).alias("VL_FULL"),
+        comma_text(F.col("l_discount")).alias("VL_DESCONTO"),
+    )
+
+
+def _score_text(event_id, value, shift: int) -> F.Column:
+    """Text score of one survey question (the same fold as ``survey_score`` with a shift)."""
+    return survey_score(event_id + F.lit(shift), value + F.lit(shift)).cast("string")
+
+
+def _survey_roles(spec) -> dict[str, tuple[str, int]]:
+    """Role of each source header of a survey spec: key, date, score (with its shift)
+    or text."""
+    roles: dict[str, tuple[str, int]] = {}
+    shift = 0
+    for f in spec.fields:
+        if f.src is None or f.src in roles:
+            continue
+        if f.src == spec.key:
+            roles[f.src] = ("key", 0)
+        elif f.kind == "timestamp":
+            roles[f.src] = ("date", 0)
+        elif f.kind in ("double", "nps"):
+            roles[f.src] = ("score", shift)
+            shift += 1
+        else:
+            roles[f.src] = ("text", 0)
+    return roles
+
+
+def raw_survey(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    """Survey-shaped text frame from ``events`` for one mapping spec: the key is the user,
+    the date is the event time as day-first text, every score question is a shifted
+    ``survey_score`` fold as text, other text questions carry the event type."""
+    ev = read(spark, sf_dir, "events")
+    cols = []
+    for src, (role, shift) in _survey_roles(spec).items():
+        if role == "key":
+            e = F.col("user_id").cast("string")
+        elif role == "date":
+            e = dayfirst_time_text(F.col("ts"))
+        elif role == "score":
+            e = _score_text(F.col("event_id"), F.col("value"), shift)
+        else:
+            e = F.col("event_type")
+        cols.append(e.alias(src))
+    return ev.select(*cols)
+
+
+def survey_oracle_sql(spec, nps_sql: str) -> str:
+    """DuckDB oracle of ``apply_mapping(raw_survey(spec), spec)``."""
+    roles = _survey_roles(spec)
+    out = []
+    for f in spec.fields:
+        if f.kind == "const":
+            out.append(f"'{f.value}' AS {f.dst}")
+            continue
+        role, shift = roles[f.src]
+        if role == "key":
+            e = "CAST(user_id AS VARCHAR)"
+        elif role == "date":
+            e = "date_trunc('second', ts)"
+        elif role == "score":
+            e = f"({survey_score_sql(shift)})"
+            if f.kind == "nps":
+                e = nps_sql.format(s=e)
+        else:
+            e = "event_type"
+        out.append(f"{e} AS {f.dst}")
+    return "SELECT " + ", ".join(out) + " FROM events WHERE user_id IS NOT NULL"
+
+
+def survey_score_sql(shift: int) -> str:
+    e = f"(event_id + {shift})"
+    v = f"(value + {shift})"
+    return (f"CASE WHEN {e} % 7 = 0 THEN NULL "
+            f"ELSE (floor({v}) % 12 - 1) + CASE WHEN {e} % 5 = 0 THEN 0.5 ELSE 0.0 END END")

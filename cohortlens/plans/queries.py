@@ -625,3 +625,67 @@ def q_quality_report(spark, sf_dir):
     o = _orders(spark, sf_dir).select(F.translate(F.format_string("%.2f", "o_totalprice"), ".", ",").alias("o_totalprice"))
     d = Q.quality_report(o, "o_totalprice", parser=C.parse_decimal_comma)
     return _round_stats(d, *DESCRIBE_STATS)
+
+
+# ---------------------------------------------------------------------------
+# The ten mapping jobs, real specs over raw-shaped text sources
+# ---------------------------------------------------------------------------
+from cohortlens.operators import mapping as M  # noqa: E402
+
+
+@query("contracts", inventory="P2 A1 B1 C1 C4-C6",
+       sql=f"""SELECT CAST(o.o_custkey AS VARCHAR) AS cd_cliente, p.p_brand AS produto, p.p_type AS linha_receita,
+  l.l_linestatus AS marca_totvs, coalesce(CASE WHEN l.l_returnflag <> 'N' THEN l.l_returnflag END, '-') AS modalidade_comercial,
+  coalesce({SQL_PERIOD_LABEL.replace('o_orderpriority', 'o.o_orderpriority')}, '-') AS periodicidade,
+  o.o_orderstatus AS situacao_contrato,
+  CASE WHEN l.l_returnflag <> 'A' THEN l.l_extendedprice ELSE 0.0 END AS valor_total_contrato,
+  CASE WHEN l.l_linestatus <> 'O' THEN CAST(o.o_orderdate AS DATE) ELSE DATE '1900-01-01' END AS data_assinatura_contrato
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+WHERE o.o_custkey IS NOT NULL""")
+def q_contracts(spark, sf_dir):
+    return M.apply_mapping(A.raw_contracts(spark, sf_dir), M.CONTRACTS)
+
+
+@query("tickets", inventory="P3 A1 B1 C1",
+       sql="""SELECT CAST(user_id AS VARCHAR) AS cd_cliente, event_type AS nm_grupo, event_type AS ds_ticket,
+  CASE WHEN value >= 50 THEN 'Fechado' ELSE 'Aberto' END AS st_ticket, date_trunc('second', ts) AS dt_criacao,
+  date_trunc('second', ts + INTERVAL 2 HOUR) AS dt_atualizacao, CAST(event_id AS VARCHAR) AS bk_ticket,
+  props AS ds_prio_ticket FROM events WHERE user_id IS NOT NULL""")
+def q_tickets(spark, sf_dir):
+    return M.apply_mapping(A.raw_tickets(spark, sf_dir), M.TICKETS)
+
+
+@query("telemetry", inventory="P4 A3 B1 C1 H5",
+       sql="""SELECT CAST(l_orderkey AS VARCHAR) AS cd_cliente, l_quantity AS duracao_evento,
+  CAST(l_partkey AS VARCHAR) AS id_modulo, CAST(l_suppkey AS VARCHAR) AS id_linha_produto,
+  CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS dt_referencia_inicio, CAST(l_linenumber AS VARCHAR) AS id_slot,
+  l_linestatus AS status_licenca, l_returnflag AS tcloud,
+  CASE WHEN l_discount >= 0.05 THEN 'S' ELSE 'N' END AS cliente_prime FROM lineitem WHERE l_orderkey IS NOT NULL""")
+def q_telemetry(spark, sf_dir):
+    return M.apply_mapping(R.union_many(A.raw_telemetry_slices(spark, sf_dir)), M.TELEMETRY)
+
+
+@query("transactions", inventory="P5 A1 B1 C1 C5 C8",
+       sql="""SELECT CAST(l_orderkey AS VARCHAR) AS id_proposta, CAST(l_linenumber AS VARCHAR) AS id_item_proposta,
+  CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS dt_upload, l_returnflag AS ds_hospedagem,
+  CAST(l_suppkey AS VARCHAR) AS cd_cliente, CAST(l_partkey AS VARCHAR) AS cd_prod, l_quantity AS qt_solicitada,
+  CASE WHEN l_linestatus = 'O' THEN l_linenumber ELSE 0 END AS meses_bonificacao,
+  CASE WHEN l_returnflag = 'R' THEN l_tax ELSE 0.0 END AS vl_pct_desc_temp, l_discount AS vl_pct_desc,
+  l_extendedprice AS vl_preco_unitario, CASE WHEN l_returnflag = 'R' THEN l_tax ELSE 0.0 END AS vl_desc_temp,
+  l_extendedprice AS vl_total, CASE WHEN l_linestatus = 'F' THEN 0.0 ELSE l_extendedprice END AS vl_cheio,
+  l_discount AS vl_desconto FROM lineitem WHERE l_orderkey IS NOT NULL""")
+def q_transactions(spark, sf_dir):
+    return M.apply_mapping(A.raw_transactions(spark, sf_dir), M.TRANSACTIONS)
+
+
+def _survey_query(spec, inventory):
+    @query(spec.name, inventory=inventory, sql=A.survey_oracle_sql(spec, NPS_SQL))
+    def run(spark, sf_dir):
+        return M.apply_mapping(A.raw_survey(spark, sf_dir, spec), spec)
+    return run
+
+
+for _spec, _inv in [(M.NPS_RELATIONAL, "P6 A1 B1 C1 C3 C9"), (M.NPS_ACQUISITION, "P7 A2 B1 C1 C2 C9"),
+                    (M.NPS_IMPLEMENTATION, "P8 A2 B1 C1 C2 C9"), (M.NPS_ONBOARDING, "P9 A2 B1 C1 C2 C9 Q28"),
+                    (M.NPS_PRODUCT, "P10 A2 B1 C1 C2 C9"), (M.NPS_SUPPORT, "P11 A1 B1 C1 C9")]:
+    _survey_query(_spec, _inv)
