@@ -689,3 +689,145 @@ for _spec, _inv in [(M.NPS_RELATIONAL, "P6 A1 B1 C1 C3 C9"), (M.NPS_ACQUISITION,
                     (M.NPS_IMPLEMENTATION, "P8 A2 B1 C1 C2 C9"), (M.NPS_ONBOARDING, "P9 A2 B1 C1 C2 C9 Q28"),
                     (M.NPS_PRODUCT, "P10 A2 B1 C1 C2 C9"), (M.NPS_SUPPORT, "P11 A1 B1 C1 C9")]:
     _survey_query(_spec, _inv)
+
+
+# ---------------------------------------------------------------------------
+# K1-K6: preprocessing
+# ---------------------------------------------------------------------------
+from cohortlens.operators import prep as P  # noqa: E402
+
+SQL_NF = f"""{SQL_N},
+nf AS (
+  SELECT c_custkey, c_mktsegment, count(o_orderkey) AS n_orders,
+         sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(o_totalprice) / 100.0 AS avg_price,
+         max({SQL_PERIOD_OF_LABEL.format(x=SQL_PERIOD_LABEL)}) AS pmax, max(o_orderpriority) AS top_prio
+  FROM n GROUP BY c_custkey, c_mktsegment
+)"""
+
+
+def nullable_features(spark, sf_dir) -> DataFrame:
+    """Per-customer aggregates of frame N before any fill (NULL for customers without orders)."""
+    n = A.nullable_orders(spark, sf_dir)
+    return n.groupBy("c_custkey", "c_mktsegment").agg(
+        F.count("o_orderkey").alias("n_orders"),
+        # mean from exact integer cents: the same double in every engine
+        (F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / F.count("o_totalprice") / F.lit(100.0))
+        .alias("avg_price"),
+        F.max(C.period_months(A.priority_to_period(F.col("o_orderpriority")))).alias("pmax"),
+        F.max("o_orderpriority").alias("top_prio"))
+
+
+@query("impute_median", inventory="K1 Q18",
+       sql=f"WITH {SQL_NF} SELECT c_custkey, round(coalesce(avg_price, (SELECT median(avg_price) FROM nf)), 6) AS avg_price, "
+           "round(coalesce(CAST(pmax AS DOUBLE), (SELECT median(pmax) FROM nf)), 6) AS pmax FROM nf")
+def q_impute_median(spark, sf_dir):
+    nf = nullable_features(spark, sf_dir)
+    return _round_stats(P.impute_median(nf, ["avg_price", "pmax"]).select("c_custkey", "avg_price", "pmax"),
+                        "avg_price", "pmax")
+
+
+@query("impute_mode", inventory="K4 Q19",
+       sql=f"WITH {SQL_NF} SELECT c_custkey, coalesce(top_prio, (SELECT top_prio FROM nf WHERE top_prio IS NOT NULL "
+           "GROUP BY top_prio ORDER BY count(*) DESC, top_prio LIMIT 1)) AS top_prio FROM nf")
+def q_impute_mode(spark, sf_dir):
+    return P.impute_mode(nullable_features(spark, sf_dir), ["top_prio"]).select("c_custkey", "top_prio")
+
+
+@query("standardize", inventory="K3 Q16",
+       sql=f"""WITH {SQL_NF},
+imp AS (SELECT c_custkey, coalesce(avg_price, (SELECT median(avg_price) FROM nf)) AS x FROM nf)
+SELECT c_custkey, round((x - (SELECT avg(x) FROM imp)) / (SELECT stddev_pop(x) FROM imp), 6) AS avg_price FROM imp""")
+def q_standardize(spark, sf_dir):
+    nf = P.impute_median(nullable_features(spark, sf_dir), ["avg_price"])
+    return _round_stats(P.standardize(nf, ["avg_price"]).select("c_custkey", "avg_price"), "avg_price")
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # test-data categories
+
+
+@query("one_hot", inventory="K5 Q20",
+       sql=f"WITH {SQL_NF} SELECT c_custkey, " + ", ".join(
+           f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END AS \"segmento_{s}\"" for s in SEGMENTS) + " FROM nf")
+def q_one_hot(spark, sf_dir):
+    nf = nullable_features(spark, sf_dir)
+    trained = nf.filter(F.col("n_orders") > 0)
+    return P.one_hot(nf.select("c_custkey", "c_mktsegment"), "c_mktsegment", fit_on=trained,
+                     prefix="segmento").drop("c_mktsegment")
+
+
+def yj_sql(x: str, lam: str) -> str:
+    lam = f"({lam})"
+    return (f"CASE WHEN {x} >= 0 THEN (CASE WHEN {lam} = 0 THEN ln({x} + 1) ELSE (pow({x} + 1, {lam}) - 1) / {lam} END) "
+            f"ELSE (CASE WHEN {lam} = 2 THEN -ln(1 - {x}) ELSE -(pow(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END) END")
+
+
+def yj_lambda_ctes(p: str, src: str, col: str) -> str:
+    """CTEs ending in ``{p}_lam(lam)``: the grid-search maximum-likelihood lambda of src.col."""
+    lo, hi, step = P.YJ_COARSE
+    w = P.YJ_REFINE_HALF_WIDTH
+    ll = f"-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s"
+    parts = [f"""{p}_base AS (SELECT count({col}) AS n, sum(sign({col}) * ln(1 + abs({col}))) AS s,
+  var_pop({col}) AS v0 FROM {src} WHERE {col} IS NOT NULL)""",
+             f"{p}_g1 AS (SELECT range AS m FROM range({lo}, {hi + 1}, {step}))"]
+    steps = list(P.YJ_REFINE_STEPS)
+    for i in range(1, len(steps) + 2):
+        parts.append(f"""{p}_l{i} AS (SELECT g.m, var_pop({yj_sql(col, 'g.m / 1000.0')}) AS v
+  FROM {src} CROSS JOIN {p}_g{i} g WHERE {col} IS NOT NULL GROUP BY g.m)""")
+        parts.append(f"""{p}_b{i} AS (SELECT l.m FROM {p}_l{i} l, {p}_base b WHERE l.v > 0
+  ORDER BY {ll} DESC, l.m LIMIT 1)""")
+        if i <= len(steps):
+            parts.append(f"{p}_g{i + 1} AS (SELECT b.m + k.range * {steps[i - 1]} AS m FROM {p}_b{i} b, "
+                         f"range({-w}, {w + 1}) k)")
+    last = len(steps) + 1
+    parts.append(f"""{p}_lam AS (SELECT CASE WHEN (SELECT v0 FROM {p}_base) > 0
+  THEN (SELECT m FROM {p}_b{last}) / 1000.0 ELSE 1.0 END AS lam)""")
+    return ",\n".join(parts)
+
+
+@query("yeo_johnson", inventory="K2",
+       sql=f"""WITH src AS (SELECT c_custkey, c_acctbal AS x FROM customer),
+{yj_lambda_ctes('a', 'src', 'x')}
+SELECT c_custkey, round({yj_sql('x', 'lam')}, 6) AS c_acctbal, lam AS lambda FROM src, a_lam""")
+def q_yeo_johnson(spark, sf_dir):
+    cust = A.read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    out, lam = P.yeo_johnson(cust, ["c_acctbal"])
+    return _round_stats(out, "c_acctbal").withColumn("lambda", F.lit(lam["c_acctbal"]))
+
+
+def _feature_matrix_sql() -> str:
+    cols = P.NUMERIC_FEATURES
+    ctes = [SQL_FEATURES_CTE,
+            "fm AS (SELECT cd_cliente, tempo_vida_anos, CAST(qt_contratos_12m AS DOUBLE) AS qt_contratos_12m, "
+            "valor_contratado_12m, CAST(produtos_distintos_12m AS DOUBLE) AS produtos_distintos_12m, "
+            "CAST(periodicidade_max_meses_12m AS DOUBLE) AS periodicidade_max_meses_12m, "
+            "CAST(\"fechou_>=1ano_12m\" AS INTEGER)::DOUBLE AS c5, CAST(multi_produto_total AS INTEGER)::DOUBLE AS c6, "
+            "vl_faixa_faturamento FROM feats)"]
+    src_names = ["tempo_vida_anos", "qt_contratos_12m", "valor_contratado_12m", "produtos_distintos_12m",
+                 "periodicidade_max_meses_12m", "c5", "c6"]
+    imp = ", ".join(f"coalesce({s}, (SELECT median({s}) FROM fm)) AS x{i}" for i, s in enumerate(src_names))
+    ctes.append(f"imp AS (SELECT cd_cliente, vl_faixa_faturamento, {imp} FROM fm)")
+    for i in range(len(cols)):
+        ctes.append(yj_lambda_ctes(f"p{i}", "imp", f"x{i}"))
+    tr = ", ".join(f"{yj_sql(f'x{i}', f'(SELECT lam FROM p{i}_lam)')} AS y{i}" for i in range(len(cols)))
+    ctes.append(f"tr AS (SELECT cd_cliente, vl_faixa_faturamento, {tr} FROM imp)")
+    outs = ["cd_cliente"]
+    for i, c in enumerate(cols):
+        outs.append(f"round((y{i} - (SELECT avg(y{i}) FROM tr)) / (SELECT CASE WHEN stddev_pop(y{i}) > 0 "
+                    f"THEN stddev_pop(y{i}) ELSE 1 END FROM tr), 6) + 0.0 AS \"num__{c}\"")
+    for s in SEGMENTS:
+        outs.append(f"CASE WHEN vl_faixa_faturamento = '{s}' THEN 1.0 ELSE 0.0 END AS \"cat__vl_faixa_faturamento_{s}\"")
+    return "WITH " + ",\n".join(ctes) + "\nSELECT " + ", ".join(outs) + " FROM tr"
+
+
+def fitted_preprocessor(spark, sf_dir):
+    from cohortlens.session import cut_lineage
+
+    feats = cut_lineage(P.model_inputs(features_frame(spark, sf_dir)))
+    return feats, P.fit_preprocessor(feats, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES)
+
+
+@query("feature_matrix", inventory="K6 K1-K5 C15", sql=_feature_matrix_sql())
+def q_feature_matrix(spark, sf_dir):
+    feats, model = fitted_preprocessor(spark, sf_dir)
+    wide = model.transform_columns(feats, keep=["cd_cliente"])
+    return _round_stats(wide, *[f"num__{c}" for c in P.NUMERIC_FEATURES])
