@@ -831,3 +831,116 @@ def q_feature_matrix(spark, sf_dir):
     feats, model = fitted_preprocessor(spark, sf_dir)
     wide = model.transform_columns(feats, keep=["cd_cliente"])
     return _round_stats(wide, *[f"num__{c}" for c in P.NUMERIC_FEATURES])
+
+
+# ---------------------------------------------------------------------------
+# Indices, model choice and profile on fixed labellings
+# ---------------------------------------------------------------------------
+from cohortlens.operators import cluster as K  # noqa: E402
+
+METRIC_COLS = ["tempo_vida_anos", "qt_contratos_12m", "produtos_distintos_12m", "periodicidade_max_meses_12m"]
+
+
+def labelled_features(spark, sf_dir, k: int = 3) -> DataFrame:
+    """Feature table with a fixed labelling: cluster = cd_cliente mod k."""
+    return features_frame(spark, sf_dir).withColumn("cluster", F.pmod(F.col("cd_cliente"), F.lit(k)))
+
+
+def _metrics_sql_parts(k: int, tag: str) -> str:
+    xs = [f"CAST({c} AS DOUBLE)" for c in METRIC_COLS]
+    d = len(xs)
+    sel = ", ".join(f"{x} AS x{i}" for i, x in enumerate(xs))
+    norm = " + ".join(f"p.x{i} * p.x{i}" for i in range(d))
+    return f"""
+pts{tag} AS (SELECT cd_cliente, cd_cliente % {k} AS lab, {sel} FROM feats),
+st{tag} AS (SELECT lab, count(*) AS n, {', '.join(f'sum(x{i}) AS s{i}' for i in range(d))},
+  sum({' + '.join(f'x{i} * x{i}' for i in range(d))}) AS sq FROM pts{tag} GROUP BY lab),
+pd{tag} AS (SELECT p.cd_cliente, p.lab AS own, s.lab, s.n,
+  ({norm}) + s.sq / s.n - 2 * ({' + '.join(f'p.x{i} * s.s{i}' for i in range(d))}) / s.n AS d2
+  FROM pts{tag} p CROSS JOIN st{tag} s),
+ab{tag} AS (SELECT cd_cliente, max(CASE WHEN lab = own THEN n END) AS nown,
+  max(CASE WHEN lab = own AND n > 1 THEN d2 * n / (n - 1.0) END) AS a, min(CASE WHEN lab <> own THEN d2 END) AS b
+  FROM pd{tag} GROUP BY cd_cliente),
+sil{tag} AS (SELECT avg(CASE WHEN nown <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)
+  AS silhouette FROM ab{tag}),
+cen{tag} AS (SELECT lab, count(*) AS n, {', '.join(f'avg(x{i}) AS c{i}' for i in range(d))} FROM pts{tag} GROUP BY lab),
+sc{tag} AS (SELECT p.lab, avg(sqrt({' + '.join(f'(p.x{i} - c.c{i}) * (p.x{i} - c.c{i})' for i in range(d))})) AS s,
+  sum({' + '.join(f'(p.x{i} - c.c{i}) * (p.x{i} - c.c{i})' for i in range(d))}) AS w
+  FROM pts{tag} p JOIN cen{tag} c ON p.lab = c.lab GROUP BY p.lab),
+pr{tag} AS (SELECT a.lab AS i, CASE WHEN sqrt({' + '.join(f'(a.c{i} - b.c{i}) * (a.c{i} - b.c{i})' for i in range(d))}) > 0
+  THEN (sa.s + sb.s) / sqrt({' + '.join(f'(a.c{i} - b.c{i}) * (a.c{i} - b.c{i})' for i in range(d))}) ELSE 0 END AS r
+  FROM cen{tag} a JOIN cen{tag} b ON a.lab <> b.lab JOIN sc{tag} sa ON sa.lab = a.lab JOIN sc{tag} sb ON sb.lab = b.lab),
+db{tag} AS (SELECT avg(mr) AS davies_bouldin FROM (SELECT i, max(r) AS mr FROM pr{tag} GROUP BY i)),
+ov{tag} AS (SELECT {', '.join(f'avg(x{i}) AS o{i}' for i in range(d))}, count(*) AS n FROM pts{tag}),
+ch{tag} AS (SELECT ((SELECT sum(c.n * ({' + '.join(f'(c.c{i} - o.o{i}) * (c.c{i} - o.o{i})' for i in range(d))}))
+    FROM cen{tag} c, ov{tag} o) / ({k} - 1)) / ((SELECT sum(w) FROM sc{tag}) / ((SELECT n FROM ov{tag}) - {k}))
+  AS calinski_harabasz),
+m{tag} AS (SELECT {k} AS k, round(silhouette, 6) + 0.0 AS silhouette, round(davies_bouldin, 6) + 0.0 AS davies_bouldin,
+  round(calinski_harabasz, 6) + 0.0 AS calinski_harabasz FROM sil{tag}, db{tag}, ch{tag})"""
+
+
+def _metric_sql(metric: str) -> str:
+    return f"WITH {SQL_FEATURES_CTE},{_metrics_sql_parts(3, '')} SELECT {metric} FROM m"
+
+
+def _metric_frame(spark, sf_dir, k: int = 3) -> dict:
+    lf = labelled_features(spark, sf_dir, k)
+    return K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
+
+
+def _one_metric(spark, sf_dir, name):
+    r = _metric_frame(spark, sf_dir)
+    df = spark.createDataFrame([(float(r[name]),)], f"{name} double")
+    return _round_stats(df, name)
+
+
+@query("silhouette", inventory="K8 Q21", sql=_metric_sql("silhouette"))
+def q_silhouette(spark, sf_dir):
+    return _one_metric(spark, sf_dir, "silhouette")
+
+
+@query("davies_bouldin", inventory="K9", sql=_metric_sql("davies_bouldin"))
+def q_davies_bouldin(spark, sf_dir):
+    return _one_metric(spark, sf_dir, "davies_bouldin")
+
+
+@query("calinski_harabasz", inventory="K10", sql=_metric_sql("calinski_harabasz"))
+def q_calinski_harabasz(spark, sf_dir):
+    return _one_metric(spark, sf_dir, "calinski_harabasz")
+
+
+SELECT_KS = list(range(2, 10))
+
+
+@query("select_k", inventory="H2 K15",
+       sql=f"WITH {SQL_FEATURES_CTE}," + ",".join(_metrics_sql_parts(k, f'_{k}') for k in SELECT_KS)
+           + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT * FROM m_{k}" for k in SELECT_KS)
+           + ") ORDER BY silhouette DESC, davies_bouldin ASC, k ASC LIMIT 1")
+def q_select_k(spark, sf_dir):
+    from cohortlens.session import cut_lineage
+
+    feats = cut_lineage(features_frame(spark, sf_dir))
+    rows = []
+    for k in SELECT_KS:
+        lf = feats.withColumn("cluster", F.pmod(F.col("cd_cliente"), F.lit(k)))
+        r = K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
+        rows.append((k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"]))
+    metrics = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
+    return K.select_k(_round_stats(metrics, "silhouette", "davies_bouldin", "calinski_harabasz"))
+
+
+@query("cluster_profile", inventory="F9 E5 H1 Q22",
+       sql=f"""WITH {SQL_FEATURES_CTE}
+SELECT cd_cliente % 3 AS cluster, count(*) AS clientes,
+  round(median(tempo_vida_anos), 6) + 0.0 AS tempo_vida_anos_median,
+  round(median(qt_contratos_12m), 6) + 0.0 AS qt_contratos_12m_median,
+  round(median(valor_contratado_12m), 6) + 0.0 AS valor_contratado_12m_median,
+  round(median(produtos_distintos_12m), 6) + 0.0 AS produtos_distintos_12m_median,
+  max(periodicidade_max_meses_12m) AS periodicidade_max_meses_12m_max,
+  round(100.0 * avg(CAST("fechou_>=1ano_12m" AS INTEGER)), 6) + 0.0 AS "pct_fechou_>=1ano_12m",
+  round(100.0 * avg(CAST(multi_produto_total AS INTEGER)), 6) + 0.0 AS pct_multi_produto_total
+FROM feats GROUP BY 1""")
+def q_cluster_profile(spark, sf_dir):
+    prof = K.cluster_profile(labelled_features(spark, sf_dir), "cluster")
+    return _round_stats(prof, "tempo_vida_anos_median", "qt_contratos_12m_median", "valor_contratado_12m_median",
+                        "produtos_distintos_12m_median", "pct_fechou_>=1ano_12m", "pct_multi_produto_total")
