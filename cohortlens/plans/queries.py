@@ -944,3 +944,153 @@ def q_cluster_profile(spark, sf_dir):
     prof = K.cluster_profile(labelled_features(spark, sf_dir), "cluster")
     return _round_stats(prof, "tempo_vida_anos_median", "qt_contratos_12m_median", "valor_contratado_12m_median",
                         "produtos_distintos_12m_median", "pct_fechou_>=1ano_12m", "pct_multi_produto_total")
+
+
+# ---------------------------------------------------------------------------
+# Fitted models (no SQL oracle: rows-only check + unit invariants)
+# ---------------------------------------------------------------------------
+_SEGMENTS: dict = {}
+
+
+def segmentation(spark, sf_dir):
+    """The segmentation of one scale, fitted once per Spark application and reused by the
+    model queries (its inputs are checkpointed, so reuse is safe)."""
+    from cohortlens.plans.jobs import segment_customers
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SEGMENTS:
+        _SEGMENTS[key] = segment_customers(features_frame(spark, sf_dir))
+    return _SEGMENTS[key]
+
+
+@query("kmeans_sweep", inventory="K7 K8-K10 K15")
+def q_kmeans_sweep(spark, sf_dir):
+    return segmentation(spark, sf_dir).kmeans.metrics
+
+
+@query("gmm_sweep", inventory="K11 K12 K15")
+def q_gmm_sweep(spark, sf_dir):
+    return segmentation(spark, sf_dir).gmm.metrics
+
+
+@query("select_k_bic", inventory="H3")
+def q_select_k_bic(spark, sf_dir):
+    return K.select_k_bic(segmentation(spark, sf_dir).gmm.metrics)
+
+
+@query("choose_model", inventory="K13")
+def q_choose_model(spark, sf_dir):
+    r = segmentation(spark, sf_dir)
+    return spark.createDataFrame([(r.algorithm, int(r.k), float(r.kmeans.best["silhouette"]))],
+                                 "algoritmo string, k int, silhouette_kmeans double")
+
+
+@query("cluster_assign", inventory="K14 E6")
+def q_cluster_assign(spark, sf_dir):
+    return segmentation(spark, sf_dir).labels
+
+
+@query("segment_customers", inventory="P14 F9 H1")
+def q_segment_customers(spark, sf_dir):
+    return segmentation(spark, sf_dir).profile
+
+
+@query("pca_2d", inventory="K16 P16")
+def q_pca_2d(spark, sf_dir):
+    from cohortlens.plans.jobs import pca_view
+
+    return pca_view(segmentation(spark, sf_dir))
+
+
+@query("export_segments", inventory="P15 A8")
+def q_export_segments(spark, sf_dir):
+    from cohortlens.plans.jobs import export_segments
+    from cohortlens.session import scratch_path
+    from cohortlens.sources.io import scan_csv
+
+    feats = features_frame(spark, sf_dir)
+    rows_path, _ = export_segments(feats, segmentation(spark, sf_dir), scratch_path(spark, "export"))
+    cols = feats.columns + ["cluster"]
+    return scan_csv(spark, rows_path, cols)
+
+
+# ---------------------------------------------------------------------------
+# CSV round trips through the shared scratch folder
+# ---------------------------------------------------------------------------
+def _roundtrip(spark, df: DataFrame, name: str, delimiter=";", encoding="UTF-8", header_map=None) -> str:
+    from cohortlens.session import scratch_path
+    from cohortlens.sources.io import sink_csv
+
+    out = df
+    if header_map:
+        out = out.select(*[F.col(c).alias(header_map.get(c, c)) for c in df.columns])
+    path = scratch_path(spark, name)
+    sink_csv(out, path, delimiter=delimiter, encoding=encoding)
+    return path
+
+
+CUSTOMER_TEXT_SQL = ("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+
+
+def _customer_typed(df: DataFrame) -> DataFrame:
+    return df.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
+                     F.col("c_nationkey").try_cast("int").alias("c_nationkey"),
+                     C.to_double("c_acctbal").alias("c_acctbal"), "c_mktsegment")
+
+
+@query("scan_csv", inventory="A1 A4", sql=CUSTOMER_TEXT_SQL)
+def q_scan_csv(spark, sf_dir):
+    from cohortlens.sources.io import scan_csv
+
+    cust = A.read(spark, sf_dir, "customer")
+    path = _roundtrip(spark, cust, "scan-csv")
+    return _customer_typed(scan_csv(spark, path, cust.columns))
+
+
+@query("sink_csv", inventory="A8", sql=CUSTOMER_TEXT_SQL)
+def q_sink_csv(spark, sf_dir):
+    from cohortlens.sources.io import scan_csv
+
+    cust = A.read(spark, sf_dir, "customer")
+    return _customer_typed(scan_csv(spark, _roundtrip(spark, cust, "sink-csv"), cust.columns))
+
+
+@query("scan_csv_latin1", inventory="A2 C2",
+       sql=f"SELECT CAST(user_id AS VARCHAR) AS cd_cliente, date_trunc('second', ts) AS dt_resposta, "
+           f"({A.survey_score_sql(0)}) AS nota_nps, {NPS_SQL.format(s='(' + A.survey_score_sql(0) + ')')} "
+           f"AS classificacao_nps, ({A.survey_score_sql(1)}) AS nota_agilidade, ({A.survey_score_sql(2)}) AS "
+           f"nota_conhecimento, ({A.survey_score_sql(3)}) AS nota_custo, ({A.survey_score_sql(4)}) AS nota_facilidade, "
+           f"({A.survey_score_sql(5)}) AS nota_flexibilidade FROM events WHERE user_id IS NOT NULL")
+def q_scan_csv_latin1(spark, sf_dir):
+    from cohortlens.sources.io import scan_source
+
+    spec = M.NPS_ACQUISITION
+    raw = A.raw_survey(spark, sf_dir, spec)
+    path = _roundtrip(spark, raw, "latin1", delimiter=spec.delimiter, encoding=spec.encoding)
+    return M.apply_mapping(scan_source(spark, path, spec), spec)
+
+
+@query("map_awkward_columns", inventory="C2 A2",
+       sql=A.survey_oracle_sql(M.NPS_ONBOARDING, NPS_SQL))
+def q_map_awkward_columns(spark, sf_dir):
+    from cohortlens.sources.io import scan_source
+
+    spec = M.NPS_ONBOARDING
+    path = _roundtrip(spark, A.raw_survey(spark, sf_dir, spec), "awkward", delimiter=spec.delimiter,
+                      encoding=spec.encoding)
+    return M.apply_mapping(scan_source(spark, path, spec), spec)
+
+
+@query("scan_csv_multi", inventory="A3 H5 P4",
+       sql="""SELECT CAST(l_orderkey AS VARCHAR) AS cd_cliente, l_quantity AS duracao_evento,
+  CAST(l_partkey AS VARCHAR) AS id_modulo, CAST(l_suppkey AS VARCHAR) AS id_linha_produto,
+  CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS dt_referencia_inicio, CAST(l_linenumber AS VARCHAR) AS id_slot,
+  l_linestatus AS status_licenca, l_returnflag AS tcloud,
+  CASE WHEN l_discount >= 0.05 THEN 'S' ELSE 'N' END AS cliente_prime FROM lineitem WHERE l_orderkey IS NOT NULL""")
+def q_scan_csv_multi(spark, sf_dir):
+    from cohortlens.sources.io import scan_source
+
+    spec = M.TELEMETRY
+    paths = [_roundtrip(spark, s, f"telemetria-{i + 1}", delimiter=spec.delimiter)
+             for i, s in enumerate(A.raw_telemetry_slices(spark, sf_dir))]
+    return M.apply_mapping(scan_source(spark, paths, spec), spec)
