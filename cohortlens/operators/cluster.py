@@ -7,7 +7,8 @@ Scale notes
   vector, sum of squared norms): one aggregate pass for the statistics and one scoring
   pass per labelling.  No pair of points is ever formed, so the cost is O(n k d).
 * The silhouette is therefore the *squared*-Euclidean silhouette (the definition of
-  Spark's ``ClusteringEvaluator``), which decomposes exactly over those statistics.
+  Spark's ``ClusteringEvaluator``, and equal to it), which decomposes exactly over
+  those statistics.
   The plain-Euclidean silhouette needs every pair of points (O(n^2)) and is not built;
   the model-switch threshold is a parameter (``choose_model``).
 * Davies-Bouldin and Calinski-Harabasz are exact from the same two passes.
@@ -143,6 +144,69 @@ def cluster_metrics_row(df: DataFrame, cols: Sequence[str], label: str) -> dict:
     return {"k": k, "silhouette": silhouette, "davies_bouldin": db, "calinski_harabasz": ch}
 
 
+def vector_metrics_row(pred: DataFrame, features: str = "features", prediction: str = "cluster",
+                       d: int | None = None) -> dict:
+    """The same three indices for a vector column (model sweeps), in two passes: one
+    statistics aggregate (count, sum vector, sum of squared norms per label) and one
+    scoring aggregate whose per-row work is O(k d) array arithmetic with a fixed-size
+    expression (the k centroids are one literal array), whatever k is."""
+    arr = vector_to_array(F.col(features))
+    if d is None:
+        d = len(pred.select(features).first()[0])
+    norm2 = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v * v)
+    rows = (pred.groupBy(F.col(prediction).alias("lab"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(norm2).alias("sq"),
+                 *[F.sum(arr[i]).alias(f"s{i}") for i in range(d)])
+            .limit(MAX_CLUSTERS + 1).collect())
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    labels = sorted(r["lab"] for r in rows)
+    by = {r["lab"]: r for r in rows}
+    n = {c: by[c]["n"] for c in labels}
+    cent = {c: [by[c][f"s{i}"] / n[c] for i in range(d)] for c in labels}
+    k = len(labels)
+    n_total = sum(n.values())
+    if k < 2:
+        return {"k": k, "silhouette": 0.0, "davies_bouldin": 0.0, "calinski_harabasz": 1.0}
+
+    idx = F.create_map(*[x for j, c in enumerate(labels) for x in (F.lit(c), F.lit(j))])
+    own = F.element_at(idx, F.col(prediction))                       # 0-based label index
+    cents = F.array(*[F.array(*[F.lit(v) for v in cent[c]]) for c in labels])
+    q = F.array(*[F.lit(by[c]["sq"] / n[c]) for c in labels])
+    ns = F.array(*[F.lit(float(n[c])) for c in labels])
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
+    # mean squared distance to the members of each cluster: |x|^2 + Q_c/n_c - 2 x.mu_c
+    avg = F.zip_with(F.transform(cents, lambda m: dot(arr, m)), q, lambda dt, qq: norm2 + qq - F.lit(2.0) * dt)
+    scored = pred.select(F.col(prediction).alias("lab"), own.alias("o"), arr.alias("x"), avg.alias("avg"))
+    n_own = F.element_at(ns, F.col("o") + 1)
+    a = F.element_at(F.col("avg"), F.col("o") + 1) * n_own / (n_own - F.lit(1.0))
+    b = F.array_min(F.filter(F.col("avg"), lambda v, i: i != F.col("o")))
+    sil = (F.when(n_own <= 1, F.lit(0.0)).when(a < b, F.lit(1.0) - a / b)
+           .when(a > b, b / a - F.lit(1.0)).otherwise(F.lit(0.0)))
+    mu = F.element_at(cents, F.col("o") + 1)
+    d2 = F.aggregate(F.zip_with(F.col("x"), mu, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
+    out = (scored.groupBy("lab").agg(F.sum(sil).alias("sil"), F.sum(F.sqrt(d2)).alias("dist"),
+                                      F.sum(d2).alias("w")).collect())
+    agg = {r["lab"]: r for r in out}
+
+    silhouette = sum(agg[c]["sil"] for c in labels) / n_total
+    scatter = {c: agg[c]["dist"] / n[c] for c in labels}
+    scores = []
+    for i in labels:
+        best = 0.0
+        for j in labels:
+            if i != j:
+                m = math.dist(cent[i], cent[j])
+                best = max(best, (scatter[i] + scatter[j]) / m if m > 0 else 0.0)
+        scores.append(best)
+    db = sum(scores) / k
+    overall = [sum(by[c][f"s{i}"] for c in labels) / n_total for i in range(d)]
+    between = sum(n[c] * sum((u - v) ** 2 for u, v in zip(cent[c], overall)) for c in labels)
+    within = sum(agg[c]["w"] for c in labels)
+    ch = (between / (k - 1)) / (within / (n_total - k)) if within > 0 else 1.0
+    return {"k": k, "silhouette": silhouette, "davies_bouldin": db, "calinski_harabasz": ch}
+
+
 def cluster_metrics(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     r = cluster_metrics_row(df, cols, label)
     return df.sparkSession.createDataFrame(
@@ -225,7 +289,7 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
         km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
         model = km.fit(vec)
         pred = model.transform(vec)
-        m = cluster_metrics_row(pred, cols, "cluster")
+        m = vector_metrics_row(pred, "features", "cluster", d=len(cols))
         m["k"] = k
         rows.append((k, m["silhouette"], m["davies_bouldin"], m["calinski_harabasz"]))
         if best is None or m["silhouette"] > best["silhouette"] or (

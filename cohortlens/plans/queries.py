@@ -764,23 +764,22 @@ def yj_sql(x: str, lam: str) -> str:
 def yj_lambda_ctes(p: str, src: str, col: str) -> str:
     """CTEs ending in ``{p}_lam(lam)``: the grid-search maximum-likelihood lambda of src.col."""
     lo, hi, step = P.YJ_COARSE
-    w = P.YJ_REFINE_HALF_WIDTH
-    ll = f"-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s"
+    ll = "-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s"
     parts = [f"""{p}_base AS (SELECT count({col}) AS n, sum(sign({col}) * ln(1 + abs({col}))) AS s,
   var_pop({col}) AS v0 FROM {src} WHERE {col} IS NOT NULL)""",
              f"{p}_g1 AS (SELECT range AS m FROM range({lo}, {hi + 1}, {step}))"]
-    steps = list(P.YJ_REFINE_STEPS)
-    for i in range(1, len(steps) + 2):
+    levels = len(P.YJ_REFINE) + 1
+    for i in range(1, levels + 1):
         parts.append(f"""{p}_l{i} AS (SELECT g.m, var_pop({yj_sql(col, 'g.m / 1000.0')}) AS v
   FROM {src} CROSS JOIN {p}_g{i} g WHERE {col} IS NOT NULL GROUP BY g.m)""")
-        parts.append(f"""{p}_b{i} AS (SELECT l.m FROM {p}_l{i} l, {p}_base b WHERE l.v > 0
+        parts.append(f"""{p}_b{i} AS (SELECT l.m FROM {p}_l{i} l, {p}_base b WHERE l.v > 0 AND NOT isinf(l.v)
   ORDER BY {ll} DESC, l.m LIMIT 1)""")
-        if i <= len(steps):
-            parts.append(f"{p}_g{i + 1} AS (SELECT b.m + k.range * {steps[i - 1]} AS m FROM {p}_b{i} b, "
-                         f"range({-w}, {w + 1}) k)")
-    last = len(steps) + 1
+        if i < levels:
+            st, half = P.YJ_REFINE[i - 1]
+            parts.append(f"{p}_g{i + 1} AS (SELECT b.m + k.range * {st} AS m FROM {p}_b{i} b, "
+                         f"range({-half}, {half + 1}) k)")
     parts.append(f"""{p}_lam AS (SELECT CASE WHEN (SELECT v0 FROM {p}_base) > 0
-  THEN (SELECT m FROM {p}_b{last}) / 1000.0 ELSE 1.0 END AS lam)""")
+  THEN (SELECT m FROM {p}_b{levels}) / 1000.0 ELSE 1.0 END AS lam)""")
     return ",\n".join(parts)
 
 
