@@ -37,11 +37,24 @@ def stream_mapping(spark: SparkSession, path: str, spec: MappingSpec, max_files_
     return apply_mapping(stream_source(spark, path, spec, max_files_per_trigger), spec)
 
 
-def start_ingest(mapped: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str | None = None,
-                 available_now: bool = True) -> StreamingQuery:
-    """Run ``sink(batch_df, batch_id)`` per micro-batch.  ``available_now`` processes what is
-    there and stops (scheduled runs); otherwise it runs continuously."""
+def start_ingest(mapped: DataFrame, sink: Callable[[DataFrame, int], None] | None = None,
+                 checkpoint: str | None = None, available_now: bool = True, path: str | None = None,
+                 fmt: str = "parquet") -> StreamingQuery:
+    """Start the ingest.
+
+    With ``path`` the mapped rows are appended to a table folder by Spark's file sink
+    (exactly once, tracked in the checkpoint; runs entirely in the JVM).  With ``sink``
+    each micro-batch is handed to ``sink(batch_df, batch_id)`` (``foreachBatch``), e.g.
+    the JDBC append sink.  ``available_now`` processes what is there and stops
+    (scheduled runs); otherwise the query runs continuously.
+    """
     ckpt = checkpoint or scratch_path(mapped.sparkSession, "ingest-checkpoint")
-    w = mapped.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+    w = mapped.writeStream.option("checkpointLocation", ckpt)
+    if path is not None:
+        w = w.format(fmt).option("path", path).outputMode("append")
+    elif sink is not None:
+        w = w.foreachBatch(sink)
+    else:
+        raise ValueError("start_ingest needs a path or a sink")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
