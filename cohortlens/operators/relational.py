@@ -66,11 +66,34 @@ def top1_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     return best.select(*out).select(*df.columns)
 
 
-def rank_within_key(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn") -> DataFrame:
-    """``row_number`` per key with the same total order as ``top1_per_key``."""
+def rank_within_key(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn",
+                    skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+    """``row_number`` per key with the same total order as ``top1_per_key``.
+
+    The plain form is one window partitioned by the key: every row of a key goes to
+    one task.  With ``skew_safe`` a key may span many tasks:
+
+    1. range-partition on (key, order columns) -- a hot key is split across ranges;
+    2. the partition id is materialised once (reliable checkpoint, so the ranges stay
+       fixed even if a stage is recomputed after an executor loss);
+    3. rows are ranked locally per (partition, key) -- bounded by a partition;
+    4. per-key offsets = rows of the same key in lower partitions (a frame with one
+       row per (partition, key)), added to the local rank.
+    """
     fields = _ordered_fields(df, key, order_by)
-    w = Window.partitionBy(_col(key)).orderBy(*[_col(c).desc_nulls_last() for c in fields])
-    return df.withColumn(name, F.row_number().over(w))
+    order = [_col(c).desc_nulls_last() for c in fields]
+    if not skew_safe:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(_col(key)).orderBy(*order)))
+    from cohortlens.session import cut_lineage
+
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, _col(key).asc_nulls_first(), *order)
+                         .withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", _col(key)).orderBy(*order)))
+    counts = ranged.groupBy("_pid", _col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_off", F.sum("_n").over(Window.partitionBy("_k").orderBy("_pid")) - F.col("_n"))
+    j = local.join(offsets, (local["_pid"] == offsets["_pid"]) & local[key].eqNullSafe(offsets["_k"]))
+    return j.select(*[local[c] for c in df.columns], (offsets["_off"] + local["_lrn"]).alias(name))
 
 
 def lookback_bounds(as_of, months: int = 12) -> tuple[Column, Column]:

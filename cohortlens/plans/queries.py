@@ -429,7 +429,7 @@ def q_top1_per_key(spark, sf_dir):
 @query("rank_within_key", inventory="G1",
        sql=f"WITH {SQL_PROFILE}, {SQL_RANKED} SELECT {PROFILE_COLS}, rn FROM ranked")
 def q_rank_within_key(spark, sf_dir):
-    return R.rank_within_key(A.client_profile(spark, sf_dir), "cd_cliente", ["vl_faixa_faturamento"])
+    return R.rank_within_key(A.client_profile(spark, sf_dir), "cd_cliente", ["vl_faixa_faturamento"], skew_safe=True)
 
 
 SQL_C12_SIMPLE = f"""
