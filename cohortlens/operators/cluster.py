@@ -279,18 +279,34 @@ class SweepResult:
     labels: DataFrame | None      # id, cluster
 
 
+def parallel_map(fn, items: Sequence, parallelism: int) -> list:
+    """``[fn(x) for x in items]`` with up to ``parallelism`` concurrent Spark jobs (independent
+    fits on one cached input, as ``CrossValidator(parallelism=...)`` does); order kept."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(fn, items))
+
+
 def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> SweepResult:
+                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 4) -> SweepResult:
     """Fit K-Means for every k, score each labelling, keep the best (silhouette desc,
-    Davies-Bouldin asc, k asc)."""
+    Davies-Bouldin asc, k asc).  Fits for different k run concurrently."""
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
-    rows, best, best_model, best_pred = [], None, None, None
-    for k in ks:
+
+    def fit_one(k):
         km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
         model = km.fit(vec)
         pred = model.transform(vec)
         m = vector_metrics_row(pred, "features", "cluster", d=len(cols))
         m["k"] = k
+        return k, m, model, pred
+
+    rows, best, best_model, best_pred = [], None, None, None
+    for k, m, model, pred in parallel_map(fit_one, ks, parallelism):
         rows.append((k, m["silhouette"], m["davies_bouldin"], m["calinski_harabasz"]))
         if best is None or m["silhouette"] > best["silhouette"] or (
                 m["silhouette"] == best["silhouette"] and m["davies_bouldin"] < best["davies_bouldin"]):
@@ -302,20 +318,27 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
 
 
 def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-              seed: int = 42, noise_sd: float = 1e-3, tol: float = 1e-3, max_iter: int = 100) -> SweepResult:
+              seed: int = 42, noise_sd: float = 1e-3, tol: float = 1e-3, max_iter: int = 100,
+              parallelism: int = 4) -> SweepResult:
     """Fit full-covariance Gaussian mixtures for every k on features with a small
     deterministic noise floor (one-hot columns make the covariance singular otherwise);
-    keep the lowest BIC."""
+    keep the lowest BIC.
+
+    ``tol`` is per sample (change of the mean log-likelihood, as in the original
+    library); Spark's tolerance applies to the total, so ``tol * n`` is passed."""
     noisy = with_noise(df, id_col, cols, noise_sd, seed) if noise_sd > 0 else df
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(noisy)
     n = df.count()
     d = len(cols)
-    rows, best, best_model = [], None, None
-    for k in ks:
-        gm = GaussianMixture(k=k, seed=seed, tol=tol, maxIter=max_iter, featuresCol="features",
+
+    def fit_one(k):
+        gm = GaussianMixture(k=k, seed=seed, tol=tol * n, maxIter=max_iter, featuresCol="features",
                              predictionCol="cluster", probabilityCol="prob")
         model = gm.fit(vec)
-        bic = gmm_bic(model.summary.logLikelihood, n, k, d)
+        return k, model, gmm_bic(model.summary.logLikelihood, n, k, d)
+
+    rows, best, best_model = [], None, None
+    for k, model, bic in parallel_map(fit_one, ks, parallelism):
         rows.append((k, bic))
         if best is None or bic < best["bic"]:
             best, best_model = {"k": k, "bic": bic}, model

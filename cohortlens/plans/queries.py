@@ -919,11 +919,13 @@ def q_select_k(spark, sf_dir):
     from cohortlens.session import cut_lineage
 
     feats = cut_lineage(features_frame(spark, sf_dir))
-    rows = []
-    for k in SELECT_KS:
+
+    def score(k):
         lf = feats.withColumn("cluster", F.pmod(F.col("cd_cliente"), F.lit(k)))
         r = K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
-        rows.append((k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"]))
+        return (k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"])
+
+    rows = K.parallel_map(score, SELECT_KS, 4)
     metrics = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
     return K.select_k(_round_stats(metrics, "silhouette", "davies_bouldin", "calinski_harabasz"))
 
