@@ -52,14 +52,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/cohortlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared folder), never a local one.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage with a table written to the shared checkpoint folder (Parquet),
+    read back; never a local checkpoint or a machine-local folder.
 
-    Used before iterative work (model sweeps) so that a lost executor only
-    re-reads the checkpoint instead of recomputing the whole upstream plan.
+    Used before iterative work (model sweeps, multi-pass fits) so that a lost executor
+    only re-reads the written table instead of recomputing the whole upstream plan.
+    Parquet is columnar and compressed, so this is cheaper than ``Dataset.checkpoint``'s
+    row serialisation.  Files keep the partitioning and in-partition order of ``df``.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
