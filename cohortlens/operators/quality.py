@@ -106,7 +106,11 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> D
 def quality_report(df: DataFrame, value_col: str, parser=None, lo: float = 0.05, hi: float = 0.90) -> DataFrame:
     """The quality pass of one money column: parse, z-score, winsorise, then describe
     the raw, z-scored and winsorised values side by side (long form)."""
-    x = df.withColumn(value_col, parser(F.col(quote(value_col))) if parser is not None else _num(value_col))
+    from cohortlens.session import cut_lineage
+
+    # five passes follow (mean/std, bounds, moments, quantiles): parse once, materialise once
+    x = cut_lineage(df.select((parser(F.col(quote(value_col))) if parser is not None else _num(value_col))
+                              .alias(value_col)), "quality")
     x = zscore(x, value_col, "valor_z")
     x = winsorize(x, value_col, lo, hi, "valor_wins")
     return describe_numeric(x, [value_col, "valor_z", "valor_wins"])

@@ -942,7 +942,10 @@ SELECT cd_cliente % 3 AS cluster, count(*) AS clientes,
   round(100.0 * avg(CAST(multi_produto_total AS INTEGER)), 6) + 0.0 AS pct_multi_produto_total
 FROM feats GROUP BY 1""")
 def q_cluster_profile(spark, sf_dir):
-    prof = K.cluster_profile(labelled_features(spark, sf_dir), "cluster")
+    from cohortlens.session import cut_lineage
+
+    # the profile makes three passes (size check, exact medians, counts): materialise once
+    prof = K.cluster_profile(cut_lineage(labelled_features(spark, sf_dir)), "cluster")
     return _round_stats(prof, "tempo_vida_anos_median", "qt_contratos_12m_median", "valor_contratado_12m_median",
                         "produtos_distintos_12m_median", "pct_fechou_>=1ano_12m", "pct_multi_produto_total")
 
