@@ -1,6 +1,6 @@
 """Column-returning scalar helpers.
 
-Every text conversion goes through ``try_cast`` / ``try_to_timestamp`` so the
+Every text conversion goes through ``try_cast`` / ``try_make_timestamp_ntz`` so the
 result is the same whether the caller's session runs with ANSI mode on or off,
 and bad input becomes NULL instead of failing the job.  All helpers are
 built-in expressions: they stay inside whole-stage code generation.
@@ -37,15 +37,14 @@ PERIOD_MONTHS = {
 MISSING_TEXT = "-"
 MISSING_DATE = "1900-01-01"
 
-# Date patterns tried in order: day-first first, ISO second.
+# Accepted date layouts, tried in order: day-first (dd/MM/yyyy) then ISO (yyyy-MM-dd),
+# each with an optional time part ' HH:mm[:ss[.ffffff]]' (or 'T' as separator).
+_TIME = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?)?"
 DAYFIRST_PATTERNS = (
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
+    r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME + r"$",
+    r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _TIME + r"$",
 )
+_YMD_GROUPS = ((3, 2, 1), (1, 2, 3))
 
 
 def _c(c) -> Column:
@@ -97,15 +96,27 @@ def parse_money_ptbr(c) -> Column:
     return to_double(F.replace(s, F.lit(","), F.lit(".")))
 
 
+def _from_layout(s: Column, rx: str, ymd: tuple[int, int, int]) -> Column:
+    def part(i: int) -> Column:
+        return F.nullif(F.regexp_extract(s, rx, i), F.lit("")).try_cast("int")
+
+    secs = F.coalesce(F.nullif(F.regexp_extract(s, rx, 6), F.lit("")).try_cast("decimal(16,6)"),
+                      F.lit(0).cast("decimal(16,6)"))
+    ts = F.try_make_timestamp_ntz(part(ymd[0]), part(ymd[1]), part(ymd[2]),
+                                  F.coalesce(part(4), F.lit(0)), F.coalesce(part(5), F.lit(0)), secs)
+    return F.when(s.rlike(rx), ts)
+
+
 def parse_date_dayfirst(c, patterns=DAYFIRST_PATTERNS) -> Column:
-    """Day-first text date/time to TIMESTAMP_NTZ; unparseable -> NULL.
+    """Day-first text date/time to TIMESTAMP_NTZ; unparseable or impossible -> NULL.
 
     Each value is parsed on its own (no format inferred from the first row), so an
-    ISO '2024-01-05' is the 5th of January.
+    ISO '2024-01-05' is the 5th of January.  The components are built directly into a
+    zone-less timestamp: the result does not depend on the session time zone (no
+    daylight-saving gap can move a midnight) nor on the ANSI setting.
     """
     s = F.trim(_c(c).cast("string"))
-    parsed = [F.try_to_timestamp(s, F.lit(p)) for p in patterns]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    return F.coalesce(*[_from_layout(s, rx, ymd) for rx, ymd in zip(patterns, _YMD_GROUPS)])
 
 
 def as_timestamp(c, dtype: str | None) -> Column:
@@ -161,9 +172,21 @@ def winsorize(c, lo, hi) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, lo_c), hi_c))
 
 
+def _time_of_day_us(ts: Column) -> Column:
+    return ((F.hour(ts) * 3600 + F.minute(ts) * 60).cast("decimal(20,6)")
+            + F.date_part(F.lit("SECOND"), ts).cast("decimal(20,6)")) * F.lit(1_000_000)
+
+
 def elapsed_days(base, start) -> Column:
-    """Whole elapsed days, floored: (base - start) in microseconds // 86 400 000 000."""
-    us = F.timestamp_diff("MICROSECOND", _c(start).cast("timestamp_ntz"), _c(base).cast("timestamp_ntz"))
+    """Whole elapsed days, floored: (base - start) in microseconds // 86 400 000 000.
+
+    Computed on wall-clock fields (calendar-day difference + time-of-day difference), so
+    a daylight-saving change of the session time zone between the two instants cannot
+    remove or add an hour."""
+    b = _c(base).cast("timestamp_ntz")
+    s = _c(start).cast("timestamp_ntz")
+    us = (F.datediff(b.cast("date"), s.cast("date")).cast("decimal(20,6)") * F.lit(86_400_000_000)
+          + _time_of_day_us(b) - _time_of_day_us(s))
     return F.floor(us / F.lit(86_400_000_000)).cast("long")
 
 

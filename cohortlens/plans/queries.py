@@ -764,7 +764,7 @@ def yj_sql(x: str, lam: str) -> str:
 def yj_lambda_ctes(p: str, src: str, col: str) -> str:
     """CTEs ending in ``{p}_lam(lam)``: the grid-search maximum-likelihood lambda of src.col."""
     lo, hi, step = P.YJ_COARSE
-    ll = "-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s"
+    ll = "round(-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s, 6)"
     parts = [f"""{p}_base AS (SELECT count({col}) AS n, sum(sign({col}) * ln(1 + abs({col}))) AS s,
   var_pop({col}) AS v0 FROM {src} WHERE {col} IS NOT NULL)""",
              f"{p}_g1 AS (SELECT range AS m FROM range({lo}, {hi + 1}, {step}))"]
@@ -840,9 +840,14 @@ from cohortlens.operators import cluster as K  # noqa: E402
 METRIC_COLS = ["tempo_vida_anos", "qt_contratos_12m", "produtos_distintos_12m", "periodicidade_max_meses_12m"]
 
 
+def fixed_label(k: int):
+    """Fixed labelling with separated clusters: contract count capped at k - 1."""
+    return F.least(F.col("qt_contratos_12m"), F.lit(k - 1).cast("long"))
+
+
 def labelled_features(spark, sf_dir, k: int = 3) -> DataFrame:
-    """Feature table with a fixed labelling: cluster = cd_cliente mod k."""
-    return features_frame(spark, sf_dir).withColumn("cluster", F.pmod(F.col("cd_cliente"), F.lit(k)))
+    """Feature table with a fixed labelling (no model): cluster = min(qt_contratos_12m, k - 1)."""
+    return features_frame(spark, sf_dir).withColumn("cluster", fixed_label(k))
 
 
 def _metrics_sql_parts(k: int, tag: str) -> str:
@@ -851,7 +856,7 @@ def _metrics_sql_parts(k: int, tag: str) -> str:
     sel = ", ".join(f"{x} AS x{i}" for i, x in enumerate(xs))
     norm = " + ".join(f"p.x{i} * p.x{i}" for i in range(d))
     return f"""
-pts{tag} AS (SELECT cd_cliente, cd_cliente % {k} AS lab, {sel} FROM feats),
+pts{tag} AS (SELECT cd_cliente, least(qt_contratos_12m, {k - 1}) AS lab, {sel} FROM feats),
 st{tag} AS (SELECT lab, count(*) AS n, {', '.join(f'sum(x{i}) AS s{i}' for i in range(d))},
   sum({' + '.join(f'x{i} * x{i}' for i in range(d))}) AS sq FROM pts{tag} GROUP BY lab),
 pd{tag} AS (SELECT p.cd_cliente, p.lab AS own, s.lab, s.n,
@@ -921,7 +926,7 @@ def q_select_k(spark, sf_dir):
     feats = cut_lineage(features_frame(spark, sf_dir))
 
     def score(k):
-        lf = feats.withColumn("cluster", F.pmod(F.col("cd_cliente"), F.lit(k)))
+        lf = feats.withColumn("cluster", fixed_label(k))
         r = K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
         return (k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"])
 
@@ -932,7 +937,7 @@ def q_select_k(spark, sf_dir):
 
 @query("cluster_profile", inventory="F9 E5 H1 Q22",
        sql=f"""WITH {SQL_FEATURES_CTE}
-SELECT cd_cliente % 3 AS cluster, count(*) AS clientes,
+SELECT least(qt_contratos_12m, 2) AS cluster, count(*) AS clientes,
   round(median(tempo_vida_anos), 6) + 0.0 AS tempo_vida_anos_median,
   round(median(qt_contratos_12m), 6) + 0.0 AS qt_contratos_12m_median,
   round(median(valor_contratado_12m), 6) + 0.0 AS valor_contratado_12m_median,

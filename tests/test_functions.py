@@ -72,3 +72,27 @@ def test_quote_awkward_names(spark):
 def test_to_double_nan_is_null(spark):
     got = _one(spark, [float("nan"), 1.5], C.to_double, "double")
     assert got[0] is None and math.isclose(got[1], 1.5)
+
+
+def test_date_parser_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # 1999-10-03 00:00 did not exist in Sao Paulo (daylight-saving gap)
+        got = _one(spark, ["03/10/1999", "1999-10-03 00:30:00", "31/02/2024", "24/12/2024 25:00"],
+                   C.parse_date_dayfirst)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(1999, 10, 3), dt.datetime(1999, 10, 3, 0, 30), None, None]
+
+
+def test_elapsed_days_ignores_daylight_saving(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([(dt.datetime(1995, 10, 15), ), (dt.datetime(2001, 7, 31, 23, 59, 59, 500000), )],
+                                   "s timestamp_ntz")
+        got = [r[0] for r in df.select(C.elapsed_days(C.ts_lit(dt.date(2001, 8, 1)), F.col("s"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(dt.date(2001, 8, 1) - dt.date(1995, 10, 15)).days, 0]
