@@ -97,11 +97,13 @@ def parse_money_ptbr(c) -> Column:
 
 
 def _from_layout(s: Column, rx: str, ymd: tuple[int, int, int]) -> Column:
+    """Validate the layout once (``rlike``), split once, build a zone-less timestamp."""
+    parts = F.split(s, r"[/\- T:]")
+
     def part(i: int) -> Column:
-        return F.nullif(F.regexp_extract(s, rx, i), F.lit("")).try_cast("int")
+        return F.try_element_at(parts, F.lit(i)).try_cast("int")
 
-    secs = F.coalesce(F.nullif(F.regexp_extract(s, rx, 6), F.lit("")).try_cast("decimal(16,6)"),
-                      F.lit(0).cast("decimal(16,6)"))
+    secs = F.coalesce(F.try_element_at(parts, F.lit(6)).try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
     ts = F.try_make_timestamp_ntz(part(ymd[0]), part(ymd[1]), part(ymd[2]),
                                   F.coalesce(part(4), F.lit(0)), F.coalesce(part(5), F.lit(0)), secs)
     return F.when(s.rlike(rx), ts)

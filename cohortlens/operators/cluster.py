@@ -292,7 +292,7 @@ def parallel_map(fn, items: Sequence, parallelism: int) -> list:
 
 
 def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 4) -> SweepResult:
+                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8) -> SweepResult:
     """Fit K-Means for every k, score each labelling, keep the best (silhouette desc,
     Davies-Bouldin asc, k asc).  Fits for different k run concurrently."""
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
@@ -319,7 +319,7 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
 
 def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
               seed: int = 42, noise_sd: float = 1e-3, tol: float = 1e-3, max_iter: int = 100,
-              parallelism: int = 4) -> SweepResult:
+              parallelism: int = 8) -> SweepResult:
     """Fit full-covariance Gaussian mixtures for every k on features with a small
     deterministic noise floor (one-hot columns make the covariance singular otherwise);
     keep the lowest BIC.
