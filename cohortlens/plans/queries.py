@@ -504,6 +504,19 @@ def q_dedup_rows(spark, sf_dir):
     return R.dedup_rows(o)
 
 
+@query("append_guard", inventory="A7 Q23",
+       sql=f"WITH {SQL_CLIENTS} SELECT cd_cliente, vl_faixa_faturamento FROM clients c "
+           f"WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.cd_cliente "
+           f"AND o.o_orderdate BETWEEN {START_TS} AND {BASE_TS})")
+def q_append_guard(spark, sf_dir):
+    """Idempotent append: only customers whose key is not yet in the target (here: the
+    customers already loaded from the 12-month orders)."""
+    new_rows = A.clients(spark, sf_dir).select("cd_cliente", "vl_faixa_faturamento")
+    existing = R.lookback_filter(_orders(spark, sf_dir), "o_orderdate", A.AS_OF).select(
+        F.col("o_custkey").alias("cd_cliente"))
+    return R.append_guard(new_rows, existing, "cd_cliente")
+
+
 # ---------------------------------------------------------------------------
 # Customer master
 # ---------------------------------------------------------------------------
@@ -930,7 +943,7 @@ def q_select_k(spark, sf_dir):
         r = K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
         return (k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"])
 
-    rows = K.parallel_map(score, SELECT_KS, 4)
+    rows = K.parallel_map(score, SELECT_KS, 8)
     metrics = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
     return K.select_k(_round_stats(metrics, "silhouette", "davies_bouldin", "calinski_harabasz"))
 
