@@ -292,7 +292,8 @@ def parallel_map(fn, items: Sequence, parallelism: int) -> list:
 
 
 def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8) -> SweepResult:
+                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8,
+                 carry: Sequence[str] = ()) -> SweepResult:
     """Fit K-Means for every k, score each labelling, keep the best (silhouette desc,
     Davies-Bouldin asc, k asc).  Fits for different k run concurrently."""
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
@@ -313,13 +314,13 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
             best, best_model, best_pred = m, model, pred
     metrics = df.sparkSession.createDataFrame(
         rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
-    labels = None if best_pred is None else best_pred.select(quote(id_col), "cluster")
+    labels = None if best_pred is None else best_pred.select(quote(id_col), *[quote(c) for c in carry], "cluster")
     return SweepResult(metrics, None if best is None else best["k"], best, best_model, labels)
 
 
 def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
               seed: int = 42, noise_sd: float = 1e-3, tol: float = 1e-3, max_iter: int = 100,
-              parallelism: int = 8) -> SweepResult:
+              parallelism: int = 8, carry: Sequence[str] = ()) -> SweepResult:
     """Fit full-covariance Gaussian mixtures for every k on features with a small
     deterministic noise floor (one-hot columns make the covariance singular otherwise);
     keep the lowest BIC.
@@ -343,7 +344,8 @@ def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int]
         if best is None or bic < best["bic"]:
             best, best_model = {"k": k, "bic": bic}, model
     metrics = df.sparkSession.createDataFrame(rows, "k int, bic double")
-    labels = None if best_model is None else best_model.transform(vec).select(quote(id_col), "cluster")
+    labels = None if best_model is None else best_model.transform(vec).select(
+        quote(id_col), *[quote(c) for c in carry], "cluster")
     return SweepResult(metrics, None if best is None else best["k"], best, best_model, labels)
 
 

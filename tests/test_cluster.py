@@ -132,3 +132,31 @@ def test_profile_and_pca(spark, labelled):
     p = np.array([[r["pca_1"], r["pca_2"]] for r in coords])
     assert abs(p[:, 0].mean()) < 1e-9 and abs(np.corrcoef(p.T)[0, 1]) < 1e-6
     assert p[:, 0].var() >= p[:, 1].var()
+
+
+def test_segment_customers_end_to_end(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from cohortlens.plans.jobs import segment_customers
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(240):
+        g = i % 3
+        rows.append((f"c{i}", dt.datetime(2020, 1, 1), ["A", "B", "C"][g], float(1 + 5 * g + rng.random()),
+                     int(2 + 10 * g + rng.integers(0, 3)), float(1000 * (1 + g) + rng.random()), int(1 + g),
+                     [1, 6, 12][g], g == 2, g > 0))
+    feats = spark.createDataFrame(rows, "cd_cliente string, dt_abertura timestamp_ntz, vl_faixa_faturamento string, "
+                                        "tempo_vida_anos double, qt_contratos_12m long, valor_contratado_12m double, "
+                                        "produtos_distintos_12m long, periodicidade_max_meses_12m int, "
+                                        "`fechou_>=1ano_12m` boolean, multi_produto_total boolean")
+    res = segment_customers(feats, ks=range(2, 5), parallelism=3)
+    labels = res.labels.collect()
+    assert len(labels) == 240 and len({r["cd_cliente"] for r in labels}) == 240
+    prof = res.profile.collect()
+    sizes = [r["clientes"] for r in prof]
+    assert sum(sizes) == 240 and sizes == sorted(sizes, reverse=True)
+    assert [r["cluster"] for r in prof] == list(range(len(prof)))   # relabelled by size
+    with pytest.raises(ValueError):
+        segment_customers(feats.unionByName(feats.limit(1)), ks=range(2, 3))
+    assert feats.select(F.count("*")).first()[0] == 240
