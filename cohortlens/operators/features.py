@@ -22,6 +22,7 @@ from cohortlens.functions.clean import (
     parse_money_ptbr,
     period_months,
     quote,
+    to_double,
     ts_lit,
 )
 from cohortlens.operators.relational import lookback_bounds
@@ -47,7 +48,8 @@ def typed_contracts(contracts: DataFrame, col_id: str = "cd_cliente", money_pars
     """Contract rows with a parsed signature timestamp, numeric value and period in months."""
     dt = _dtype(contracts, "data_assinatura_contrato")
     vt = _dtype(contracts, "valor_total_contrato")
-    value = (F.col("valor_total_contrato").cast("double") if _is_numeric(vt)
+    # numeric input: NaN is a missing value (skipped by the sums, as NULL is)
+    value = (to_double(F.col("valor_total_contrato")) if _is_numeric(vt)
              else money_parser(F.col("valor_total_contrato")))
     return contracts.select(
         F.col(quote(col_id)).alias(col_id),

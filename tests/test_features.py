@@ -75,3 +75,51 @@ def test_separate_aggregates_agree_with_fused(spark):
     for k, r in life.items():
         if k in fused:
             assert r["multi_produto_total"] == fused[k]["multi_produto_total"]
+
+
+def test_features_match_pandas_brute_force_with_hot_customer(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(17)
+    periods = ["00 - Mensal", "02 - Trimestral", "11 - Anual", "04", "-"]
+    months = {"00 - Mensal": 1, "02 - Trimestral": 3, "11 - Anual": 12}
+    base = pd.Timestamp(2024, 6, 30)
+    rows = []
+    for i in range(3000):
+        cust = "HOT" if i % 3 == 0 else f"c{rng.integers(0, 200)}"
+        day = base - pd.Timedelta(days=int(rng.integers(0, 900)))
+        val = None if rng.random() < 0.1 else round(float(rng.random() * 1000), 2)
+        rows.append((cust, f"P{rng.integers(0, 40)}", periods[rng.integers(0, 5)], val, day.to_pydatetime()))
+    contracts = pd.DataFrame(rows, columns=["cd_cliente", "produto", "periodicidade", "valor_total_contrato",
+                                            "data_assinatura_contrato"])
+    clients = pd.DataFrame({"cd_cliente": ["HOT"] + [f"c{i}" for i in range(200)],
+                            "dt_abertura": [dt.datetime(2019, 1, 1)] * 201, "vl_faixa_faturamento": "x"})
+    tickets = pd.DataFrame({"cd_cliente": ["HOT"] * 30 + ["c1"] * 3,
+                            "dt_criacao": [dt.datetime(2024, 1, 1)] * 33})
+    s_feat = feat.customer_features(
+        spark.createDataFrame(clients, "cd_cliente string, dt_abertura timestamp_ntz, vl_faixa_faturamento string"),
+        spark.createDataFrame(contracts, "cd_cliente string, produto string, periodicidade string, "
+                                         "valor_total_contrato double, data_assinatura_contrato timestamp_ntz"),
+        spark.createDataFrame(tickets, "cd_cliente string, dt_criacao timestamp_ntz"),
+        as_of=base.date()).toPandas().set_index("cd_cliente")
+
+    # brute force, straight from the rules
+    c = contracts.assign(pm=contracts.periodicidade.map(months))
+    start = base - pd.DateOffset(months=12)
+    w = c[(c.data_assinatura_contrato >= start) & (c.data_assinatura_contrato <= base)]
+    a12 = w.groupby("cd_cliente").agg(qt=("data_assinatura_contrato", "count"), val=("valor_total_contrato", "sum"),
+                                      prod=("produto", "nunique"), pmax=("pm", "max"))
+    tot = c.groupby("cd_cliente").agg(prod=("produto", "nunique"), pmax=("pm", "max"))
+    for cust, r in s_feat.iterrows():
+        q = a12.loc[cust] if cust in a12.index else None
+        assert r["qt_contratos_12m"] == (0 if q is None else q["qt"])
+        assert abs(r["valor_contratado_12m"] - (0.0 if q is None else q["val"])) < 1e-6
+        assert r["produtos_distintos_12m"] == (0 if q is None else q["prod"])
+        pm = 0 if q is None or pd.isna(q["pmax"]) else int(q["pmax"])
+        assert r["periodicidade_max_meses_12m"] == pm and r["fechou_>=1ano_12m"] == (pm >= 12)
+        t = tot.loc[cust] if cust in tot.index else None
+        assert r["multi_produto_total"] == (t is not None and t["prod"] > 1)
+        assert r["fechou_>=1ano_total"] == (t is not None and not pd.isna(t["pmax"]) and t["pmax"] >= 12)
+    assert s_feat.loc["HOT", "ticket_medio_por_mes"] == 30 / 12
+    assert len(s_feat) == 201
