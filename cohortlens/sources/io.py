@@ -70,11 +70,18 @@ def sink_jdbc_overwrite(df: DataFrame, url: str, table: str, properties: dict, n
 
 
 def sink_jdbc_append(df: DataFrame, url: str, table: str, properties: dict, key: str | None = None,
-                     num_partitions: int = 32, batch_size: int = 10_000) -> None:
-    """Append; with ``key`` only rows whose key is not in the table yet (idempotent re-run)."""
+                     num_partitions: int = 32, batch_size: int = 10_000, key_partition_column: str | None = None,
+                     key_lower_bound: int | None = None, key_upper_bound: int | None = None,
+                     key_read_partitions: int = 64) -> None:
+    """Append; with ``key`` only rows whose key is not in the table yet (idempotent re-run).
+
+    The existing keys are read with only the key column selected (pushed into the
+    query); give ``key_partition_column`` and bounds to split that read into range
+    queries instead of one connection."""
     out = df
     if key is not None:
-        existing = df.sparkSession.read.jdbc(url, table, properties=properties).select(key)
+        existing = scan_jdbc(df.sparkSession, url, table, properties, key_partition_column, key_lower_bound,
+                             key_upper_bound, key_read_partitions).select(key)
         out = df.join(existing.distinct(), on=key, how="left_anti")
     out.repartition(num_partitions).write.mode("append").option("batchsize", str(batch_size)).jdbc(
         url, table, properties=properties)
