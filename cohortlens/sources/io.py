@@ -65,8 +65,8 @@ def sink_jdbc_overwrite(df: DataFrame, url: str, table: str, properties: dict, n
                         batch_size: int = 10_000, truncate: bool = True) -> None:
     # repartition, not coalesce: coalesce would shrink the whole upstream stage to
     # ``num_partitions`` tasks; a shuffle keeps the computation wide and only caps connections
-    (df.repartition(num_partitions).write.mode("overwrite").option("truncate", str(truncate).lower())
-     .option("batchsize", str(batch_size)).jdbc(url, table, properties=properties))
+    (df.repartition(num_partitions).write.option("truncate", str(truncate).lower())
+     .option("batchsize", str(batch_size)).jdbc(url, table, mode="overwrite", properties=properties))
 
 
 def sink_jdbc_append(df: DataFrame, url: str, table: str, properties: dict, key: str | None = None,
@@ -83,5 +83,5 @@ def sink_jdbc_append(df: DataFrame, url: str, table: str, properties: dict, key:
         existing = scan_jdbc(df.sparkSession, url, table, properties, key_partition_column, key_lower_bound,
                              key_upper_bound, key_read_partitions).select(key)
         out = df.join(existing.distinct(), on=key, how="left_anti")
-    out.repartition(num_partitions).write.mode("append").option("batchsize", str(batch_size)).jdbc(
-        url, table, properties=properties)
+    out.repartition(num_partitions).write.option("batchsize", str(batch_size)).jdbc(
+        url, table, mode="append", properties=properties)
