@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about CHUNK_BYTES of text; a single longer text is one slice."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // CHUNK_BYTES
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in itertools.pairwise(edges):

@@ -75,15 +75,16 @@ def judge(docs: DataFrame, model: OrdinalModel | None, *, grade: int = 2, text:
     held = docs.sparkSession.sparkContext.broadcast(model)  # one weight for each bucket: 1 MB
     schema = StructType([*docs.schema.fields, *(StructField(c, DoubleType()) for c in names)])
 
+    at, fields = docs.columns.index(text), schema.names
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, model = HashedText(), held.value
-        at = docs.columns.index(text)
         for batch in batches:
             alone = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.string())], names=["text"])
             tails = [model.tails(scores(hashed, texts_of(part.column("text")), model.weight)) for part in chunks(alone)]
             tails = np.concatenate([np.zeros((0, len(model.thresholds))), *tails])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, grade - 1])], names=[f.name for f in schema.fields])
+                [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, grade - 1])], names=fields)
 
     return docs.mapInArrow(run, schema)
 

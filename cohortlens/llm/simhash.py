@@ -158,7 +158,7 @@ def _shards(fps: DataFrame, radius: int) -> DataFrame:
 
 
 def links(fps: DataFrame, radius: int) -> DataFrame:
-    """(a, b) with a > b: links that connect all distinct fingerprints ``fps`` (fp) within the radius."""
+    """(a, b): links that connect all distinct fingerprints ``fps`` (fp) within the radius."""
     dealt = _shards(fps, radius)
     # A shard of one fingerprint has no link.  A shard over MOST is cut into trees; cell (i, j), i <= j, searches tree i for j's members.
     sizes = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
