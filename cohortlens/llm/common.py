@@ -12,10 +12,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import table_path
+from cohortlens.session import cut_lineage, table_path
 
 #: A word: a run without the six ASCII white-space characters (also a DuckDB pattern).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -120,3 +120,38 @@ def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - counts), counts)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (column names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def small(df: DataFrame, most: int, name: str) -> DataFrame:
+    """``df``, written once; marked for a broadcast if it has at most ``most`` rows, else left to a shuffled join."""
+    df = cut_lineage(df, name)
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def ordered(df: DataFrame, order: list[Column], position: str, name: str) -> DataFrame:
+    """``df`` in one global order, written once; ``position`` has the task in its upper 31 bits and the row in its lower 33.
+
+    Rows are dealt by range, so rows equal in some keys are split by the next ones and no key meets in one task.
+    """
+    dealt = df.repartitionByRange(wide(df), *order).sortWithinPartitions(*order)
+    return cut_lineage(dealt.withColumn(position, F.monotonically_increasing_id()), name)
+
+
+def task_of(position: str) -> Column:
+    return F.shiftright(F.col(position), 33)
+
+
+def row_of(position: str) -> Column:
+    return F.col(position).bitwiseAND(F.lit((1 << 33) - 1))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortlens.llm.common import chunks, narrow, texts_of
+from cohortlens.llm.common import chunks, fresh, narrow, texts_of
 from cohortlens.llm.textmodel import HashedText, ascend, labelled_sample, scores, sigmoid
 
 
@@ -91,9 +91,9 @@ def judge(docs: DataFrame, model: OrdinalModel | None, *, grade: int = 2, text:
 
 def select_documents(docs: DataFrame, model: OrdinalModel | None, *, grade: int = 2, least: float = 0.5) -> DataFrame:
     """The documents whose probability of reaching ``grade`` is at least ``least``, with their own columns only."""
-    extra = ("__expected_grade", "__tail_prob")
-    judged = judge(docs, model, grade=grade, names=extra)
-    return judged.where(F.coalesce(F.col("__tail_prob"), F.lit(1.0)) >= least).drop(*extra)
+    extra = fresh(docs, "__expected_grade", "__tail_prob")
+    judged = judge(docs, model, grade=grade, names=tuple(extra))
+    return judged.where(F.coalesce(F.col(extra[1]), F.lit(1.0)) >= least).drop(*extra)
 
 
 def grades_of(labels: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import chunks, narrow, texts_of
+from cohortlens.llm.common import chunks, fresh, narrow, texts_of
 from cohortlens.session import cut_lineage
 
 #: Fingerprints in one BK-tree.
@@ -254,6 +254,7 @@ def keep_one(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame
     A row without a doc_id can't be told from others and stays.
     """
     found = near_duplicates(docs, shingle=shingle, radius=radius)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    (name,) = fresh(docs, "__gone")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))

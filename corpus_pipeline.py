@@ -1,26 +1,43 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns a DataFrame that the next one reads as Parquet."""
+"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns a DataFrame that the next one reads as Parquet.
+
+quality_classifier drops the documents that the ordinal classifier rejects; simhash_near_dedup keeps one document of each group;
+decontamination drops documents with a benchmark passage; mixing emits every document as often as its source's target
+asks; sharding puts the result into 24 contiguous shards.  All but the last return the columns of ``documents``; the
+last one adds size, text_crc32, shard and slot.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import quality_classifier, simhash
+from cohortlens.llm import decontam, mixing, quality_classifier, sharding, simhash
 from cohortlens.llm.common import table
 from cohortlens.session import cut_lineage
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal quality classifier accepts."""
     model = quality_classifier.fit(docs, quality_classifier.grades_of(table(spark, sf_dir, "labels")))
     return quality_classifier.select_documents(docs, model)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
-STAGES = [("quality_classifier", classify), ("simhash_near_dedup", deduplicate)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.emit(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(docs, 24)
+
+
+STAGES = [("quality_classifier", classify), ("simhash_near_dedup", deduplicate), ("benchmark_decontamination", decontaminate),
+          ("mixing", mix_sources), ("sharding", shard)]
 #: The classifier is fitted and scored outside SQL.
 ORACLE_SQL = None
 
