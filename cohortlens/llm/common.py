@@ -134,6 +134,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def named(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Helper columns under their final names; a column of ``df`` that has such a name already gives way."""
+    return df.drop(*names.values()).withColumnsRenamed(names)
+
+
 def small(df: DataFrame, most: int, name: str) -> DataFrame:
     """``df``, written once; marked for a broadcast if it has at most ``most`` rows, else left to a shuffled join."""
     df = cut_lineage(df, name)

@@ -10,7 +10,7 @@ Targets: sources in code-point order (null last) weigh 1, 2, 3, repeating, and s
 
 Defined results: null and empty texts have size 0 and count as rows; a source without any word has target 0 and is not
 taken; repeated rows are rows of their own; the offset depends on ``seed`` and the source's name only, so reruns agree;
-an empty table gives an empty table; other columns pass through whatever their names.
+an empty table gives an empty table; other columns pass through, but for those that have the name of a result column.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WORD, fresh, ordered, row_of, small, task_of
+from cohortlens.llm.common import WORD, fresh, named, ordered, row_of, small, task_of
 
 #: Rows of (partition, source) that may be broadcast; more are joined by a shuffle on both.
 MOST_PARTS = 200_000
@@ -68,16 +68,16 @@ def mix(docs: DataFrame, *, source: str = "source", text: str = "text", doc_id:
     aim = aim.select(F.col("source").alias("s"), "source_size", "target",
                      F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias(each))
     parts = parts.withColumn(rank, F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
-    key, named, total, goal = fresh(rows, "__task", "__named", "__total", "__goal")
+    key, other, total, goal = fresh(rows, "__task", "__other", "__total", "__goal")
     parts = parts.join(aim, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("task").alias(key), F.col("source").alias(named), F.col("source_size").alias(total), F.col("target").alias(goal),
+        F.col("task").alias(key), F.col("source").alias(other), F.col("source_size").alias(total), F.col("target").alias(goal),
         each, rank, (offset.cast("double") / 65536).alias(zero))
-    joined = rows.join(small(parts, MOST_PARTS, "mix-parts"), (task_of(at) == F.col(key)) & F.col(src).eqNullSafe(F.col(named)))
+    joined = rows.join(small(parts, MOST_PARTS, "mix-parts"), (task_of(at) == F.col(key)) & F.col(src).eqNullSafe(F.col(other)))
     nth = F.col(rank) + row_of(at)  # documents of the source before this one
     passed = lambda k: F.floor(F.col(zero) + k * F.col(each))
     copies = F.least(passed(nth + 1) - passed(nth), F.ceil(F.col(each))).cast("int")
-    out = joined.withColumn(crossed, copies).drop(tie, at, src, key, named, each, rank, zero)
-    return out.withColumnsRenamed(dict(zip((size, total, goal, crossed), names)))
+    out = joined.withColumn(crossed, copies).drop(tie, at, src, key, other, each, rank, zero)
+    return named(out, dict(zip((size, total, goal, crossed), names)))
 
 
 def emit(docs: DataFrame, **options) -> DataFrame:

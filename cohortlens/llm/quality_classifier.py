@@ -5,7 +5,8 @@ thresholds t_0 <= t_1 <= ...  The score of a document gives its expected grade a
 
 Defined results: a null or empty text has the score 0 (no features) and is judged by the thresholds alone; without any graded row
 both columns are null and ``select_documents`` keeps every document; repeated rows are judged alike, each on its own;
-extra columns pass through, whatever their names.
+extra columns pass through, but for those
+that have the name of a result column.
 """
 
 from __future__ import annotations
@@ -70,6 +71,7 @@ def fit(docs: DataFrame, grades: DataFrame, *, n_grades: int = 3, max_rows: int
 def judge(docs: DataFrame, model: OrdinalModel | None, *, grade: int = 2, text: str = "text",
           names: tuple[str, str] = ("expected_grade", "tail_prob")) -> DataFrame:
     """All rows and columns of ``docs`` with the expected grade and P(grade >= ``grade``), scored in Arrow batches."""
+    docs = docs.drop(*names)
     if model is None:
         return docs.withColumns({c: F.lit(None).cast("double") for c in names})
     held = docs.sparkSession.sparkContext.broadcast(model)  # one weight for each bucket: 1 MB

@@ -6,7 +6,7 @@ shard of its first byte: ``floor(bytes before it * shards / all bytes)``.
 
 Defined results: a null text counts as no text, a size has 8 bytes more than the UTF-8 text, repeated rows are rows
 of their own, one very long document may leave shards after it without a row, an empty table gives an empty table,
-other columns pass through whatever their names.
+other columns pass through, but for those that have the name of a result column.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import fresh, ordered, row_of, task_of
+from cohortlens.llm.common import fresh, named, ordered, row_of, task_of
 from cohortlens.session import cut_lineage
 
 
@@ -27,8 +27,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, *, doc_id: str = "doc_id"
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     sized = docs.withColumns({size: F.octet_length(body).cast("long") + 8, crc: F.crc32(body.cast("binary"))})
     rows = ordered(sized, [F.col(f"`{doc_id}`"), F.col(crc), F.col(size)], at, "shard-rows")
-    return _cut(rows, shards, size, at, shard, slot).withColumnsRenamed(
-        dict(zip((size, crc, shard, slot), names))).drop(at)
+    cut = _cut(rows, shards, size, at, shard, slot).drop(at)
+    return named(cut, dict(zip((size, crc, shard, slot), names)))
 
 
 def _cut(rows: DataFrame, shards: int, size: str, at: str, shard: str, slot: str) -> DataFrame:
