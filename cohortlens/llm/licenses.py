@@ -2,8 +2,8 @@
 
 Words are lower-cased and cut free of punctuation at both ends; words of punctuation only are skipped.  The hashes of all ``GRAM``-word
 runs are winnowed: of every ``WINDOW`` neighbours the smallest (of equal ones the last) is a fingerprint, so a run of
-GRAM + WINDOW - 1 words that a text shares with a template shares a fingerprint.  Fingerprints that meet on one diagonal of template and text
-(within the band) give one candidate; its template is aligned globally against the text there, inside the band.  The coverage is the
+GRAM + WINDOW - 1 words that a text shares with a template shares a fingerprint.  Every diagonal of template and text on which fingerprints
+meet is a candidate; the whole template is aligned against the text there, inside the band.  The coverage is the
 share of the template's words that the alignment matches; spans are in words of the text (white-space words, end exclusive).
 
 Defined results: null, empty and short texts match nothing; a template that stands in a text twice is reported twice;
@@ -13,6 +13,7 @@ of overlapping reports of one template the best stays; repeated rows are reporte
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,31 +88,29 @@ class Index:
         self.place = [(t, p) for _, t, p in rows]
 
     def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """(template, where it would start in the text), one for each template and diagonal."""
+        """(template, where it would start in the text) for each diagonal on which fingerprints meet."""
         at, h = winnow(words)
         low, high = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
-        found = sorted({(t, p - self.place[k][1]) for p, a, b in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist())
-                        for k in range(a, b) for t in (self.place[k][0],)})
-        out: list[tuple[int, int]] = []
-        for t, start in found:
-            if not out or out[-1][0] != t or start - out[-1][1] > BAND:  # the band covers diagonals that near
-                out.append((t, start))
-        return out
+        return sorted({(t, p - q) for p, a, b in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist())
+                       for t, q in self.place[a:b]})
 
 
 def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int, int]:
-    """(matched words, first, last + 1 matched word of the text) of the best alignment within BAND diagonals of ``start``.
+    """(matched words, first, last + 1 matched word of the text) of the best alignment within a band of diagonals around ``start``.
 
-    Longest common subsequence of the template and the text around it; cell (i, d) pairs template word i with text word start + i + d.
+    Longest common subsequence of the template and the text around it; cell (i, d) pairs template word i with text word
+    start + i + d - band.  The band has BAND diagonals on each side, a fifth of the template's words if that is fewer.
     """
-    n, width = len(template), 2 * BAND + 1
+    n = len(template)
+    band = min(BAND, max(1, n // 5))
+    width = 2 * band + 1
     score = [0] * (width + 1)
     trace = []
     for i in range(n):
         new, how = [0] * (width + 1), []
         left = 0
         for d in range(width):
-            j = start + i + d - BAND
+            j = start + i + d - band
             best, move = score[d + 1], 1  # the template word is left out: same text prefix, one diagonal up
             if left >= best:
                 best, move = left, 2  # the text word is left out
@@ -121,12 +120,12 @@ def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int,
             how.append(move)
         score = new
         trace.append(how)
-    d = max(range(width), key=lambda k: score[k])
+    d = max(range(width), key=lambda k: (score[k], -abs(k - band)))
     matched, first, last, i = score[d], -1, -1, n - 1
     while i >= 0 and 0 <= d < width:
         move = trace[i][d]
         if move == 3:
-            first = start + i + d - BAND
+            first = start + i + d - band
             last = first + 1 if last < 0 else last
             i -= 1
         elif move == 1:
@@ -136,6 +135,21 @@ def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int,
     return matched, first, last
 
 
+def best_apart(reports: list[tuple]) -> list[tuple]:
+    """Of (coverage, template, matched, start, end) the best ones of each template that don't overlap."""
+    ends: dict[int, list[int]] = {}  # by template: ends of the spans taken so far, ascending, and their starts
+    starts: dict[int, list[int]] = {}
+    out = []
+    for r in sorted(reports, key=lambda r: (-r[0], r[3])):
+        a, b = starts.setdefault(r[1], []), ends.setdefault(r[1], [])
+        k = bisect_right(b, r[3])  # the first span that ends after this one starts
+        if k == len(a) or a[k] >= r[4]:
+            a.insert(k, r[3])
+            b.insert(k, r[4])
+            out.append(r)
+    return out
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, *, least: float = LEAST) -> DataFrame:
     """(doc_id, license, coverage, matched, start_word, end_word): the templates that a text covers to ``least`` or more."""
 
@@ -158,11 +172,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, *, least: float
                         matched, a, b = align(index.words[t], words, start)
                         if matched and matched >= least * len(index.words[t]):
                             reports.append((matched / len(index.words[t]), t, matched, int(place[a]), int(place[b - 1]) + 1))
-                    taken: list[tuple] = []
-                    for r in sorted(reports, key=lambda r: (-r[0], r[3])):
-                        if all(r[1] != o[1] or r[4] <= o[3] or r[3] >= o[4] for o in taken):
-                            taken.append(r)
-                    rows += [(doc, index.names[r[1]], r[0], *r[2:]) for r in taken]
+                    rows += [(doc, index.names[r[1]], r[0], *r[2:]) for r in best_apart(reports)]
             cols = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
