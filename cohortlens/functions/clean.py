@@ -139,12 +139,13 @@ def default_text(c, value: str = MISSING_TEXT) -> Column:
 
 
 def default_number(c, value: float = 0.0, dtype: str = "double") -> Column:
-    return F.coalesce(_c(c).try_cast(dtype), F.lit(value).cast(dtype))
+    """The default for a missing value; text that is no number stays NULL (not a real-looking default)."""
+    return F.when(_c(c).isNull(), F.lit(value).cast(dtype)).otherwise(_c(c).try_cast(dtype))
 
 
 def default_date(c, value: str = MISSING_DATE) -> Column:
-    """Day-first date parse with a sentinel for missing or bad text."""
-    return F.coalesce(parse_date_dayfirst(c).cast("date"), F.lit(value).cast("date"))
+    """Day-first date parse with a sentinel for a missing value; text that is no date stays NULL."""
+    return F.when(_c(c).isNull(), F.lit(value).cast("date")).otherwise(parse_date_dayfirst(c).cast("date"))
 
 
 def period_months(c) -> Column:

@@ -8,16 +8,15 @@ Scale notes
   pass per labelling.  No pair of points is ever formed, so the cost is O(n k d).
 * The silhouette is therefore the *squared*-Euclidean silhouette (the definition of
   Spark's ``ClusteringEvaluator``, and equal to it), which decomposes exactly over
-  those statistics.
-  The plain-Euclidean silhouette needs every pair of points (O(n^2)) and is not built;
-  the model-switch threshold is a parameter (``choose_model``).
+  those statistics; it is called ``silhouette_squared`` everywhere.
+  The plain-Euclidean silhouette needs every pair of points (O(n^2)) and is not built, so a
+  threshold tuned to it does not apply: ``choose_model`` takes metric and threshold together.
 * Davies-Bouldin and Calinski-Harabasz are exact from the same two passes.
-* The driver holds only k x d numbers per labelling (centroids, statistics), with k
-  checked against ``MAX_CLUSTERS``.
-* Before a sweep the feature frame is put into a canonical layout (hash-partitioned
-  and sorted by id) and checkpointed to the shared checkpoint folder, so fits are
-  reproducible for any input partitioning and a lost executor re-reads the
-  checkpoint instead of recomputing the feature pipeline.
+* The driver holds only k x d numbers per labelling (centroids, statistics); k is what the
+  caller asked the sweep for.
+* Before a sweep the feature frame is written to the shared checkpoint folder, read back, put into a
+  canonical layout (a stated number of hash partitions, sorted by id) and persisted once; all
+  fits read that one cached frame.  Centres do not depend on the cores or the input partitioning.
 """
 
 from __future__ import annotations
@@ -36,120 +35,16 @@ from cohortlens.functions.clean import quote
 from cohortlens.operators.quantiles import exact_quantiles
 from cohortlens.session import cut_lineage
 
-MAX_CLUSTERS = 10_000
-SILHOUETTE_THRESHOLD = 0.20
-
 
 # ---------------------------------------------------------------------------
-# Sufficient statistics and indices
+# Indices from sufficient statistics
 # ---------------------------------------------------------------------------
-@dataclass
-class ClusterStats:
-    labels: list
-    n: dict
-    sums: dict          # label -> list[float] (sum vector)
-    sq: dict            # label -> sum of squared norms
-    d: int
-
-    def centroid(self, c) -> list[float]:
-        return [s / self.n[c] for s in self.sums[c]]
-
-
-def cluster_stats(df: DataFrame, cols: Sequence[str], label: str) -> ClusterStats:
-    x = [F.col(quote(c)).cast("double") for c in cols]
-    sq = sum((xi * xi for xi in x[1:]), x[0] * x[0])
-    rows = (df.filter(F.col(quote(label)).isNotNull()).groupBy(F.col(quote(label)).alias("lab"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(sq).alias("sq"),
-                 *[F.sum(xi).alias(f"s{i}") for i, xi in enumerate(x)])
-            .limit(MAX_CLUSTERS + 1).collect())
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-    labels = sorted(r["lab"] for r in rows)
-    by = {r["lab"]: r for r in rows}
-    return ClusterStats(labels, {c: by[c]["n"] for c in labels},
-                        {c: [by[c][f"s{i}"] for i in range(len(cols))] for c in labels},
-                        {c: by[c]["sq"] for c in labels}, len(cols))
-
-
-def cluster_metrics_row(df: DataFrame, cols: Sequence[str], label: str) -> dict:
-    """silhouette (squared Euclidean), davies_bouldin, calinski_harabasz of a labelling."""
-    st = cluster_stats(df, cols, label)
-    k = len(st.labels)
-    n_total = sum(st.n.values())
-    x = [F.col(quote(c)).cast("double") for c in cols]
-    lab = F.col(quote(label))
-    norm2 = sum((xi * xi for xi in x[1:]), x[0] * x[0])
-
-    # mean squared distance from the point to every member of cluster c
-    avg_d2 = {}
-    for c in st.labels:
-        nc = float(st.n[c])
-        dot = sum((xi * F.lit(s / nc) for xi, s in zip(x[1:], st.sums[c][1:])), x[0] * F.lit(st.sums[c][0] / nc))
-        avg_d2[c] = norm2 + F.lit(st.sq[c] / nc) - F.lit(2.0) * dot
-
-    def by_label(values: dict) -> Column:
-        e = None
-        for c in st.labels:
-            e = (F.when(lab == F.lit(c), values[c]) if e is None else e.when(lab == F.lit(c), values[c]))
-        return e
-
-    own_n = by_label({c: F.lit(float(st.n[c])) for c in st.labels})
-    a = by_label({c: avg_d2[c] * F.lit(st.n[c] / (st.n[c] - 1.0)) if st.n[c] > 1 else F.lit(0.0)
-                  for c in st.labels})
-    if k > 1:
-        b = F.least(*[F.when(lab == F.lit(c), F.lit(float("inf"))).otherwise(avg_d2[c]) for c in st.labels])
-    else:
-        b = F.lit(float("inf"))
-    sil = (F.when(own_n <= 1, F.lit(0.0))
-           .when(a < b, F.lit(1.0) - a / b)
-           .when(a > b, b / a - F.lit(1.0))
-           .otherwise(F.lit(0.0)))
-
-    cent = {c: st.centroid(c) for c in st.labels}
-    d2c = by_label({c: sum(((xi - F.lit(m)) * (xi - F.lit(m)) for xi, m in zip(x[1:], cent[c][1:])),
-                           (x[0] - F.lit(cent[c][0])) * (x[0] - F.lit(cent[c][0])))
-                    for c in st.labels})
-    rows = (df.filter(lab.isNotNull()).groupBy(lab.alias("lab"))
-            .agg(F.sum(sil).alias("sil"), F.sum(F.sqrt(d2c)).alias("dist"), F.sum(d2c).alias("d2"))
-            .collect())
-    agg = {r["lab"]: r for r in rows}
-
-    silhouette = sum(agg[c]["sil"] for c in st.labels) / n_total if k > 1 else 0.0
-
-    # Davies-Bouldin
-    scatter = {c: agg[c]["dist"] / st.n[c] for c in st.labels}
-    if k > 1:
-        scores = []
-        for i in st.labels:
-            best = 0.0
-            for j in st.labels:
-                if i == j:
-                    continue
-                m = math.dist(cent[i], cent[j])
-                r = (scatter[i] + scatter[j]) / m if m > 0 else 0.0
-                best = max(best, r)
-            scores.append(best)
-        db = sum(scores) / k
-    else:
-        db = 0.0
-
-    # Calinski-Harabasz
-    overall = [sum(st.sums[c][i] for c in st.labels) / n_total for i in range(st.d)]
-    between = sum(st.n[c] * sum((cm - om) ** 2 for cm, om in zip(cent[c], overall)) for c in st.labels)
-    within = sum(agg[c]["d2"] for c in st.labels)
-    if k > 1 and within > 0:
-        ch = (between / (k - 1)) / (within / (n_total - k))
-    else:
-        ch = 1.0
-    return {"k": k, "silhouette": silhouette, "davies_bouldin": db, "calinski_harabasz": ch}
-
-
 def vector_metrics_row(pred: DataFrame, features: str = "features", prediction: str = "cluster",
                        d: int | None = None) -> dict:
-    """The same three indices for a vector column (model sweeps), in two passes: one
-    statistics aggregate (count, sum vector, sum of squared norms per label) and one
-    scoring aggregate whose per-row work is O(k d) array arithmetic with a fixed-size
-    expression (the k centroids are one literal array), whatever k is."""
+    """silhouette_squared, davies_bouldin and calinski_harabasz of the labelling of a vector column,
+    in two passes: one statistics aggregate (count, sum vector, sum of squared norms per
+    label) and one scoring aggregate whose per-row work is O(k d) array arithmetic with a
+    fixed-size expression (the k centroids are one literal array), whatever k is."""
     arr = vector_to_array(F.col(features))
     if d is None:
         d = len(pred.select(features).first()[0])
@@ -157,9 +52,7 @@ def vector_metrics_row(pred: DataFrame, features: str = "features", prediction:
     rows = (pred.groupBy(F.col(prediction).alias("lab"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(norm2).alias("sq"),
                  *[F.sum(arr[i]).alias(f"s{i}") for i in range(d)])
-            .limit(MAX_CLUSTERS + 1).collect())
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+            .collect())   # one row per cluster
     labels = sorted(r["lab"] for r in rows)
     by = {r["lab"]: r for r in rows}
     n = {c: by[c]["n"] for c in labels}
@@ -167,7 +60,7 @@ def vector_metrics_row(pred: DataFrame, features: str = "features", prediction:
     k = len(labels)
     n_total = sum(n.values())
     if k < 2:
-        return {"k": k, "silhouette": 0.0, "davies_bouldin": 0.0, "calinski_harabasz": 1.0}
+        return {"k": k, "silhouette_squared": 0.0, "davies_bouldin": 0.0, "calinski_harabasz": 1.0}
 
     idx = F.create_map(*[x for j, c in enumerate(labels) for x in (F.lit(c), F.lit(j))])
     own = F.element_at(idx, F.col(prediction))                       # 0-based label index
@@ -204,14 +97,25 @@ def vector_metrics_row(pred: DataFrame, features: str = "features", prediction:
     between = sum(n[c] * sum((u - v) ** 2 for u, v in zip(cent[c], overall)) for c in labels)
     within = sum(agg[c]["w"] for c in labels)
     ch = (between / (k - 1)) / (within / (n_total - k)) if within > 0 else 1.0
-    return {"k": k, "silhouette": silhouette, "davies_bouldin": db, "calinski_harabasz": ch}
+    return {"k": k, "silhouette_squared": silhouette, "davies_bouldin": db, "calinski_harabasz": ch}
 
 
-def cluster_metrics(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    r = cluster_metrics_row(df, cols, label)
-    return df.sparkSession.createDataFrame(
-        [(r["k"], r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"])],
-        "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
+METRICS_SCHEMA = "k int, silhouette_squared double, davies_bouldin double, calinski_harabasz double"
+
+
+def labelled_metrics(df: DataFrame, cols: Sequence[str], label: str) -> dict:
+    """``vector_metrics_row`` for a labelling of plain columns; rows without a label are left out."""
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(
+        df.filter(F.col(quote(label)).isNotNull()).select(*[F.col(quote(c)).cast("double").alias(c) for c in cols],
+                                                          F.col(quote(label)).alias("cluster")))
+    return vector_metrics_row(vec, "features", "cluster", d=len(cols))
+
+
+def assign_nearest(df: DataFrame, cols: Sequence[str], centroids: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
+    """Label every row with its nearest centroid (squared Euclidean distance, ties to the smaller label)."""
+    x = [F.col(quote(c)).cast("double") for c in cols]
+    d2 = F.array(*[sum((xi - F.lit(float(m))) * (xi - F.lit(float(m))) for xi, m in zip(x, c)) for c in centroids])
+    return df.withColumn(out, (F.array_position(d2, F.array_min(d2)) - 1).cast("int"))
 
 
 # ---------------------------------------------------------------------------
@@ -219,7 +123,7 @@ def cluster_metrics(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame
 # ---------------------------------------------------------------------------
 def select_k(metrics: DataFrame) -> DataFrame:
     """Best K-Means k: highest silhouette, then lowest Davies-Bouldin, then first k."""
-    return metrics.orderBy(F.desc("silhouette"), F.asc("davies_bouldin"), F.asc("k")).limit(1)
+    return metrics.orderBy(F.desc("silhouette_squared"), F.asc("davies_bouldin"), F.asc("k")).limit(1)
 
 
 def select_k_bic(metrics: DataFrame) -> DataFrame:
@@ -233,9 +137,30 @@ def gmm_bic(log_likelihood: float, n: int, k: int, d: int) -> float:
     return -2.0 * log_likelihood + p * math.log(n)
 
 
-def choose_model(best_kmeans: dict, best_gmm: dict | None, threshold: float = SILHOUETTE_THRESHOLD) -> str:
-    """'GMM' when the best K-Means silhouette is below the threshold (and a mixture exists)."""
-    if best_gmm is not None and best_kmeans["silhouette"] < threshold:
+def mixture_log_likelihood(df: DataFrame, cols: Sequence[str], weights: Sequence[float], means: Sequence[Sequence[float]],
+                           covariances: Sequence[Sequence[Sequence[float]]]) -> tuple[int, float]:
+    """(rows, log-likelihood) of a Gaussian mixture with given parameters, one aggregate."""
+    import numpy as np
+
+    x = [F.col(quote(c)).cast("double") for c in cols]
+    terms = []
+    for w, m, cov in zip(weights, means, covariances):
+        precision = np.linalg.inv(np.asarray(cov, float))
+        d = [xi - F.lit(float(mi)) for xi, mi in zip(x, m)]
+        form = sum((d[i] * d[j] * F.lit(float(precision[i][j])) for i in range(len(d)) for j in range(len(d)) if precision[i][j]), F.lit(0.0))
+        constant = math.log(w) - 0.5 * (len(d) * math.log(2 * math.pi) + float(np.linalg.slogdet(np.asarray(cov, float))[1]))
+        terms.append(F.lit(constant) - F.lit(0.5) * form)
+    top = F.greatest(*terms) if len(terms) > 1 else terms[0]
+    logp = top + F.log(sum((F.exp(t - top) for t in terms), F.lit(0.0)))
+    r = df.agg(F.count(logp).alias("n"), F.sum(logp).alias("ll")).first()
+    return r["n"], r["ll"]
+
+
+def choose_model(best_kmeans: dict, best_gmm: dict | None, metric: str, threshold: float) -> str:
+    """'GMM' when the best K-Means value of ``metric`` is below the threshold (and a mixture exists).
+
+    The threshold belongs to the metric, so there is no default for either."""
+    if best_gmm is not None and best_kmeans[metric] < threshold:
         return "GMM"
     return "KMeans"
 
@@ -244,15 +169,17 @@ def choose_model(best_kmeans: dict, best_gmm: dict | None, threshold: float = SI
 # Fitting
 # ---------------------------------------------------------------------------
 def canonical(df: DataFrame, id_col: str, partitions: int) -> DataFrame:
-    """Hash-partition and sort by id, then checkpoint: the same layout (and therefore the
-    same fitted centres) for any upstream partitioning."""
-    laid = df.repartition(partitions, F.col(quote(id_col))).sortWithinPartitions(quote(id_col))
-    return cut_lineage(laid)
+    """The frame in ``partitions`` hash partitions of the id, each sorted by id, persisted: the same
+    layout, and therefore the same fitted centres, for any upstream partitioning and any number of cores.
+
+    The lineage is cut first: a file read back is packed into as many tasks as there are
+    cores, so the layout has to come after the read."""
+    return cut_lineage(df).repartition(partitions, F.col(quote(id_col))).sortWithinPartitions(quote(id_col)).persist()
 
 
-def unpack(df: DataFrame, vec: str, d: int, prefix: str = "f") -> DataFrame:
-    arr = vector_to_array(F.col(vec))
-    return df.select("*", *[arr[i].alias(f"{prefix}{i}") for i in range(d)])
+def assembled(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The matrix with its vector column, persisted for all fits of a sweep."""
+    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(matrix).persist()
 
 
 def _normal_noise(id_col: str, j: int, seed: int) -> Column:
@@ -296,7 +223,7 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
                  carry: Sequence[str] = ()) -> SweepResult:
     """Fit K-Means for every k, score each labelling, keep the best (silhouette desc,
     Davies-Bouldin asc, k asc).  Fits for different k run concurrently."""
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
+    vec = assembled(df, cols)
 
     def fit_one(k):
         km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
@@ -308,12 +235,11 @@ def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[i
 
     rows, best, best_model, best_pred = [], None, None, None
     for k, m, model, pred in parallel_map(fit_one, ks, parallelism):
-        rows.append((k, m["silhouette"], m["davies_bouldin"], m["calinski_harabasz"]))
-        if best is None or m["silhouette"] > best["silhouette"] or (
-                m["silhouette"] == best["silhouette"] and m["davies_bouldin"] < best["davies_bouldin"]):
+        rows.append((k, m["silhouette_squared"], m["davies_bouldin"], m["calinski_harabasz"]))
+        if best is None or m["silhouette_squared"] > best["silhouette_squared"] or (
+                m["silhouette_squared"] == best["silhouette_squared"] and m["davies_bouldin"] < best["davies_bouldin"]):
             best, best_model, best_pred = m, model, pred
-    metrics = df.sparkSession.createDataFrame(
-        rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
+    metrics = df.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
     labels = None if best_pred is None else best_pred.select(quote(id_col), *[quote(c) for c in carry], "cluster")
     return SweepResult(metrics, None if best is None else best["k"], best, best_model, labels)
 
@@ -328,7 +254,7 @@ def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int]
     ``tol`` is per sample (change of the mean log-likelihood, as in the original
     library); Spark's tolerance applies to the total, so ``tol * n`` is passed."""
     noisy = with_noise(df, id_col, cols, noise_sd, seed) if noise_sd > 0 else df
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(noisy)
+    vec = assembled(noisy, cols)
     n = df.count()
     d = len(cols)
 

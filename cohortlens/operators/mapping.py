@@ -30,7 +30,8 @@ class Field:
 
     kind: ``raw`` (as read), ``text``, ``double``, ``int``, ``timestamp`` (day-first parse),
     ``text_default`` ('-' when missing), ``number_default`` (decimal-comma parse, 0 when
-    missing), ``int_default``, ``date_default`` (parse, 1900-01-01 when missing),
+    missing), ``int_default``, ``date_default`` (parse, 1900-01-01 when missing); a default
+    replaces a NULL only, text that can't be parsed or is out of range becomes NULL;
     ``const`` (literal ``value``), ``nps`` (NPS class of the ``src`` score).
     """
 
@@ -70,15 +71,15 @@ def field_expr(f: Field) -> Column:
     elif f.kind == "double":
         e = parse_decimal_comma(c)
     elif f.kind == "int":
-        e = parse_decimal_comma(c).cast("int")
+        e = parse_decimal_comma(c).try_cast("int")
     elif f.kind == "timestamp":
         e = parse_date_dayfirst(c)
     elif f.kind == "text_default":
         e = F.coalesce(c.cast("string"), F.lit(MISSING_TEXT if f.value is None else f.value))
     elif f.kind == "number_default":
-        e = F.coalesce(parse_decimal_comma(c), F.lit(0.0 if f.value is None else float(f.value)))
+        e = F.when(c.isNull(), F.lit(0.0 if f.value is None else float(f.value))).otherwise(parse_decimal_comma(c))
     elif f.kind == "int_default":
-        e = F.coalesce(parse_decimal_comma(c).cast("int"), F.lit(0 if f.value is None else int(f.value)))
+        e = F.when(c.isNull(), F.lit(0 if f.value is None else int(f.value))).otherwise(parse_decimal_comma(c).try_cast("int"))
     elif f.kind == "date_default":
         e = default_date(c, MISSING_DATE if f.value is None else f.value)
     elif f.kind == "nps":
@@ -291,7 +292,7 @@ CLIENT_PROFILE = MappingSpec(
         _f("DS_CNAE", "ds_cnae", "text_default"),
         _f("DS_SEGMENTO", "ds_segmento", "text_default"),
         _f("DS_SUBSEGMENTO", "ds_subsegmento", "text_default"),
-        _f("FAT_FAIXA", "vl_faixa_faturamento", "text_default"),
+        _f("FAT_FAIXA", "vl_faixa_faturamento", "text"),   # ranked as it is, NULLs last; its default follows the ranking
         _f("PAIS", "nm_pais", "text_default"),
         _f("UF", "nm_uf", "text_default"),
     ),

@@ -47,7 +47,10 @@ def _stack(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column (long form)."""
-    st = _stack(df, columns)
+    from cohortlens.session import cut_lineage
+
+    # moments and quartiles are two passes: materialise the columns once
+    st = _stack(cut_lineage(df.select(*[_num(c).alias(c) for c in columns]), "describe"), columns)
     moments = st.groupBy("variavel").agg(
         F.count("valor").alias("count"), F.avg("valor").alias("mean"), F.stddev_samp("valor").alias("std"),
         F.min("valor").alias("min"), F.max("valor").alias("max"))
@@ -87,20 +90,30 @@ def zscore(df: DataFrame, column: str, out: str = "valor_z") -> DataFrame:
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataFrame:
     """Box-plot statistics per column: quartiles, IQR, whisker ends (most extreme data within
-    1.5 IQR of the box) and the number of points beyond them."""
-    st = _stack(df, columns)
-    qs = exact_quantiles(st, "valor", [0.25, 0.5, 0.75], by=["variavel"], names=["q1", "median", "q3"])
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    qs = qs.withColumn("lo_fence", F.col("q1") - F.lit(whis) * F.col("iqr")).withColumn(
-        "hi_fence", F.col("q3") + F.lit(whis) * F.col("iqr"))
-    j = st.join(qs.select("variavel", "lo_fence", "hi_fence"), on="variavel")
-    ends = j.groupBy("variavel").agg(
-        F.min(F.when(F.col("valor") >= F.col("lo_fence"), F.col("valor"))).alias("whisker_lo"),
-        F.max(F.when(F.col("valor") <= F.col("hi_fence"), F.col("valor"))).alias("whisker_hi"),
-        F.count(F.when((F.col("valor") < F.col("lo_fence")) | (F.col("valor") > F.col("hi_fence")),
-                       F.lit(1))).alias("n_outliers"))
-    return (qs.join(ends, on="variavel", how="left")
-            .select("variavel", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers"))
+    1.5 IQR of the box) and the number of points beyond them.
+
+    The input is written once for the two passes; the quartiles (one row per column) are applied
+    as literals in one global aggregate, so no data is shuffled by the column name."""
+    from cohortlens.session import cut_lineage
+
+    wide = cut_lineage(df.select(*[_num(c).alias(c) for c in columns]), "boxplot")
+    qs = {r["variavel"]: r for r in exact_quantiles(_stack(wide, columns), "valor", [0.25, 0.5, 0.75], by=["variavel"],
+                                                    names=["q1", "median", "q3"]).collect()}
+    found = [c for c in columns if c in qs]
+    if not found:
+        return df.sparkSession.createDataFrame([], "variavel string, q1 double, median double, q3 double, iqr double, "
+                                                   "whisker_lo double, whisker_hi double, n_outliers bigint")
+    aggs, fixed = [], {}
+    for i, c in enumerate(found):
+        q1, med, q3 = (float(qs[c][k]) for k in ("q1", "median", "q3"))
+        x, lo, hi = F.col(quote(c)), F.lit(q1 - whis * (q3 - q1)), F.lit(q3 + whis * (q3 - q1))
+        fixed[c] = (q1, med, q3, q3 - q1)
+        aggs.append(F.struct(F.min(F.when(x >= lo, x)).alias("whisker_lo"), F.max(F.when(x <= hi, x)).alias("whisker_hi"),
+                             F.count(F.when((x < lo) | (x > hi), F.lit(1))).alias("n_outliers")).alias(f"s{i}"))
+    one = wide.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("variavel"), *[F.lit(v).alias(n) for v, n in zip(fixed[c], ("q1", "median", "q3", "iqr"))],
+                     *[F.col(f"s{i}.{n}").alias(n) for n in ("whisker_lo", "whisker_hi", "n_outliers")]) for i, c in enumerate(found)]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def quality_report(df: DataFrame, value_col: str, parser=None, lo: float = 0.05, hi: float = 0.90) -> DataFrame:
@@ -108,7 +121,7 @@ def quality_report(df: DataFrame, value_col: str, parser=None, lo: float = 0.05,
     the raw, z-scored and winsorised values side by side (long form)."""
     from cohortlens.session import cut_lineage
 
-    # five passes follow (mean/std, bounds, moments, quantiles): parse once, materialise once
+    # mean/std and bounds are two passes: parse once, materialise once
     x = cut_lineage(df.select((parser(F.col(quote(value_col))) if parser is not None else _num(value_col))
                               .alias(value_col)), "quality")
     x = zscore(x, value_col, "valor_z")

@@ -123,8 +123,12 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def append_guard(new_rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new_rows`` whose key is not yet in ``existing`` (idempotent append)."""
-    return new_rows.join(existing.select(_col(key).alias(key)).distinct(), on=key, how="left_anti")
+    """Rows of ``new_rows`` whose key is not yet in ``existing`` (idempotent append).
+
+    A row without a key can't be told from one already loaded, so it is left out; of rows that are equal in
+    all columns one is kept.  Rows that differ under one key are all new."""
+    keys = existing.select(_col(key).alias(key)).distinct()
+    return filter_not_null(new_rows, key).distinct().join(keys, on=key, how="left_anti")
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:

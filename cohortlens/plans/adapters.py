@@ -40,6 +40,15 @@ PRIORITY_TO_PERIOD = {
     "5-LOW": "11 - Anual",
 }
 
+# event type -> billing-period label, one of them unmapped
+EVENT_TO_PERIOD = {
+    "view": "00 - Mensal",
+    "click": "02 - Trimestral",
+    "signup": "05 - Semestral",
+    "error": "04",
+    "purchase": "11 - Anual",
+}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -52,6 +61,10 @@ def priority_to_period(c) -> F.Column:
     return F.try_element_at(F.create_map(*pairs), c)
 
 
+def event_to_period(c) -> F.Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in EVENT_TO_PERIOD.items() for x in kv]), c)
+
+
 def first_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read(spark, sf_dir, "orders")
             .groupBy(F.col("o_custkey").alias("cd_cliente"))
@@ -110,24 +123,21 @@ START = _dt.date(2000, 8, 1)             # AS_OF minus 12 months
 BAND_WIDTH = 45000                       # revenue band = floor(o_totalprice / 45000) as text: '0'..'11'
 
 
-def nullable_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frame N: every customer left-joined to its orders of the 12 months to AS_OF
-    (customers without such orders carry NULL order columns)."""
-    from cohortlens.operators.relational import lookback_filter
-
+def nullable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame N: every customer left-joined to all its events (most customers have none and
+    carry NULL event columns).  Both tables are read whole."""
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    o = lookback_filter(read(spark, sf_dir, "orders"), "o_orderdate", AS_OF).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    return c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey")
+    e = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts", "props")
+    return c.join(e, c.c_custkey == e.user_id, "left").drop("user_id")
 
 
 def band_text(price) -> F.Column:
     return F.floor(price / F.lit(BAND_WIDTH)).cast("long").cast("string")
 
 
-def client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapped client-profile rows, many per customer (one per order)."""
-    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+def client_profile(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Mapped client-profile rows, many per customer (one per order); ``extra`` order columns come along."""
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", *extra)
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -142,27 +152,10 @@ def client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         band_text(F.col("o_totalprice")).alias("vl_faixa_faturamento"),
         F.col("c_nationkey").cast("string").alias("nm_pais"),
         F.col("r_name").alias("nm_uf"),
+        *extra,
     )
 
 
-def client_since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clients(spark, sf_dir).select("cd_cliente", F.col("dt_abertura").cast("date").alias("dt_abertura"))
-
-
-def hires_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cohortlens.operators.relational import lookback_filter
-
-    o = lookback_filter(read(spark, sf_dir, "orders"), "o_orderdate", AS_OF)
-    return o.groupBy(F.col("o_custkey").alias("cd_cliente")).agg(
-        F.count(F.lit(1)).alias("qt_contratacao_12m"),
-        F.round(F.sum("o_totalprice"), 2).alias("vl_contratacao_12m"))
-
-
-def mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read(spark, sf_dir, "events")
-    return ev.groupBy(F.col("user_id").alias("cd_cliente")).agg(F.round(F.sum("value"), 2).alias("vl_mrr_12m"))
-
-
 # ---------------------------------------------------------------------------
 # Raw-shaped sources: text columns under the original header names, built from the
 # test tables, so the mapping jobs run their real specs (parsing included).
@@ -180,9 +173,47 @@ def dayfirst_time_text(ts) -> F.Column:
     return F.date_format(ts, "dd/MM/yyyy HH:mm:ss")
 
 
+def ptbr_text(x) -> F.Column:
+    """12345.6 -> '12.345,60' (thousands dot, decimal comma)."""
+    return F.translate(F.format_number(x, 2), ",.", ".,")
+
+
+def raw_client_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = clients(spark, sf_dir)
+    return d.select(F.col("cd_cliente").cast("string").alias("CLIENTE"), dayfirst_text(F.col("dt_abertura")).alias("CLIENTE_DESDE"))
+
+
+def raw_hires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.operators.relational import lookback_filter
+
+    o = lookback_filter(read(spark, sf_dir, "orders"), "o_orderdate", AS_OF)
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))
+    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), (cents / F.lit(100.0)).alias("v")).select(
+        F.col("o_custkey").cast("string").alias("CD_CLIENTE"), F.col("n").cast("string").alias("QTD_CONTRATACOES_12M"),
+        comma_text(F.col("v")).alias("VLR_CONTRATACOES_12M"))
+
+
+def raw_client_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The client-data extract, one row per order: every 17th order has no city, every fifth no revenue band."""
+    p = client_profile(spark, sf_dir, "o_orderkey")
+    return p.select(
+        F.col("cd_cliente").cast("string").alias("CD_CLIENTE"),
+        F.when(F.pmod("o_orderkey", F.lit(17)) != 0, F.col("nm_cidade")).alias("CIDADE"),
+        F.col("ds_cnae").alias("DS_CNAE"), F.col("ds_segmento").alias("DS_SEGMENTO"), F.col("ds_subsegmento").alias("DS_SUBSEGMENTO"),
+        F.when(F.pmod("o_orderkey", F.lit(5)) != 0, F.col("vl_faixa_faturamento")).alias("FAT_FAIXA"),
+        F.col("nm_pais").alias("PAIS"), F.col("nm_uf").alias("UF"))
+
+
+def raw_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events")
+    cents = F.sum(F.round(F.col("value") * 100).cast("long"))
+    return ev.groupBy("user_id").agg((cents / F.lit(100.0)).alias("v")).select(
+        F.col("user_id").cast("string").alias("CLIENTE"), comma_text(F.col("v")).alias("MRR_12M"))
+
+
 def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag",
-                                                "l_linestatus")
+                                                "l_linestatus", "l_linenumber")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
                                              "o_orderstatus")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
@@ -195,8 +226,12 @@ def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("MODAL_COMERC"),
         priority_to_period(F.col("o_orderpriority")).alias("PERIODICIDADE"),
         F.col("o_orderstatus").alias("SITUACAO_CONTRATO"),
-        F.when(F.col("l_returnflag") != "A", comma_text(F.col("l_extendedprice"))).alias("VL_TOTAL_CONTRATO"),
-        F.when(F.col("l_linestatus") != "O", dayfirst_text(F.col("o_orderdate"))).alias("DT_ASSINATURA_CONTRATO"),
+        # missing, no number, another locale's number, good; missing, impossible date, good
+        F.when(F.col("l_returnflag") == "A", F.lit(None)).when(F.col("l_linenumber") == 5, F.lit("-"))
+        .when(F.col("l_linenumber") == 6, ptbr_text(F.col("l_extendedprice")))
+        .otherwise(comma_text(F.col("l_extendedprice"))).alias("VL_TOTAL_CONTRATO"),
+        F.when(F.col("l_linestatus") == "O", F.lit(None)).when(F.col("l_linenumber") == 4, F.lit("31/02/2000"))
+        .otherwise(dayfirst_text(F.col("o_orderdate"))).alias("DT_ASSINATURA_CONTRATO"),
     )
 
 
@@ -214,11 +249,11 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_telemetry_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Eleven comma-source "files": lineitem sliced by ship month (1..10, then 11-12 and
-    missing dates together), covering every row exactly once."""
-    li = read(spark, sf_dir, "lineitem")
-    t = li.select(
+def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry rows with the number (``arquivo``) of the file they belong to: the ship month, 11 for the last two
+    months and missing dates."""
+    month = F.month("l_shipdate")
+    return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("clienteid"),
         F.col("l_quantity").cast("string").alias("eventduration"),
         F.col("l_partkey").cast("string").alias("moduloid"),
@@ -228,11 +263,18 @@ def raw_telemetry_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.col("l_linestatus").alias("statuslicenca"),
         F.col("l_returnflag").alias("tcloud"),
         F.when(F.col("l_discount") >= 0.05, F.lit("S")).otherwise(F.lit("N")).alias("clienteprime"),
-        F.month("l_shipdate").alias("_m"))
-    cols = [c for c in t.columns if not c.startswith("_")]
-    slices = [t.filter(F.col("_m") == k).select(*cols) for k in range(1, 11)]
-    slices.append(t.filter((F.col("_m") >= 11) | F.col("_m").isNull()).select(*cols))
-    return slices
+        F.coalesce(F.least(month, F.lit(11)), F.lit(11)).alias("arquivo"))
+
+
+def telemetry_files(spark: SparkSession, sf_dir: str, delimiter: str) -> list[str]:
+    """The eleven comma files, written in one pass over the rows."""
+    from cohortlens.session import scratch_path
+
+    path = scratch_path(spark, "telemetria")
+    (raw_telemetry(spark, sf_dir).write.partitionBy("arquivo").option("header", "true").option("sep", delimiter).csv(path))
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [p for p in (f"{path}/arquivo={k}" for k in range(1, 12)) if fs.exists(fs_path(p))]
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +288,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("CD_CLI"),
         F.col("l_partkey").cast("string").alias("CD_PROD"),
         comma_text(F.col("l_quantity")).alias("QTD"),
-        F.when(F.col("l_linestatus") == "O", F.col("l_linenumber").cast("string")).alias("MESES_BONIF"),
+        F.when(F.col("l_linestatus") != "O", F.lit(None)).when(F.col("l_linenumber") == 3, F.lit("99999999999"))
+        .otherwise(F.col("l_linenumber").cast("string")).alias("MESES_BONIF"),
         F.when(F.col("l_returnflag") == "R", comma_text(F.col("l_tax"))).alias("VL_PCT_DESC_TEMP"),
         comma_text(F.col("l_discount")).alias("VL_PCT_DESCONTO"),
         comma_text(price).alias("PRC_UNITARIO"),
@@ -262,68 +305,43 @@ def _score_text(event_id, value, shift: int) -> F.Column:
     return survey_score(event_id + F.lit(shift), value + F.lit(shift)).cast("string")
 
 
-def _survey_roles(spec) -> dict[str, tuple[str, int]]:
-    """Role of each source header of a survey spec: key, date, score (with its shift)
-    or text."""
-    roles: dict[str, tuple[str, int]] = {}
-    shift = 0
-    for f in spec.fields:
-        if f.src is None or f.src in roles:
-            continue
-        if f.src == spec.key:
-            roles[f.src] = ("key", 0)
-        elif f.kind == "timestamp":
-            roles[f.src] = ("date", 0)
-        elif f.kind in ("double", "nps"):
-            roles[f.src] = ("score", shift)
-            shift += 1
-        else:
-            roles[f.src] = ("text", 0)
-    return roles
-
-
-def raw_survey(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
-    """Survey-shaped text frame from ``events`` for one mapping spec: the key is the user,
-    the date is the event time as day-first text, every score question is a shifted
-    ``survey_score`` fold as text, other text questions carry the event type."""
+# Fixed values, written out by hand: the questions of each survey, in the order in which they get their
+# shifted scores (0, 1, 2, ...); all other headers but key and date are text.
+SURVEY_SCORES = {
+    "nps_relational": ["resposta_NPS", "Nota_SupTec_Agilidade", "Nota_SupTec_Atendimento", "Nota_Comercial", "Nota_Custos",
+                       "Nota_AdmFin_Atendimento", "Nota_Software", "Nota_Software_Atualizacao"],
+    "nps_acquisition": ["Nota NPS", "Nota Agilidade", "Nota Conhecimento", "Nota Custo", "Nota Facilidade", "Nota Flexibilidade"],
+    "nps_implementation": ["Nota NPS", "Nota Metodologia", "Nota Gestao", "Nota Conhecimento", "Nota Qualidade", "Nota Comunicacao",
+                           "Nota Prazos"],
+    "nps_onboarding": [
+        "Em uma escala de 0 a 10, quanto você recomenda o Onboarding da TOTVS para um amigo ou colega?.",
+        "Em uma escala de 0 a 10, o quanto você acredita que o atendimento CS Onboarding ajudou no início da sua trajetória com a TOTVS?",
+        "- Duração do tempo na realização da reunião de Onboarding;", "- Clareza no acesso aos canais de comunicação da TOTVS;",
+        "- Clareza nas informações em geral transmitidas pelo CS que lhe atendeu no Onboarding;",
+        "- Expectativas atendidas no Onboarding da TOTVS."],
+    "nps_product": ["Nota"],
+    "nps_support": ["resposta_NPS", "Nota_ConhecimentoAgente", "Nota_Solucao", "Nota_TempoRetorno", "Nota_Facilidade", "Nota_Satisfacao"],
+}
+SURVEY_KEY = {"nps_relational": "metadata_codcliente", "nps_acquisition": "Cód. Cliente", "nps_implementation": "Cód. Cliente",
+              "nps_onboarding": "Cod Cliente", "nps_product": "Cód. T", "nps_support": "cliente"}
+SURVEY_OTHER = {"nps_relational": {"respondedAt": "date", "resposta_unidade": "text"}, "nps_acquisition": {"Data da Resposta": "date"},
+                "nps_implementation": {"Data da Resposta": "date"}, "nps_onboarding": {"Data de resposta": "date"},
+                "nps_product": {"Data da Resposta": "date", "Linha de Produto": "text", "Nome do Produto": "text"},
+                "nps_support": {"ticket": "text", "grupo_NPS": "text"}}
+
+
+def raw_survey(spark: SparkSession, sf_dir: str, survey: str) -> DataFrame:
+    """Survey-shaped text frame from ``events``: the key is the user, the date is the event time as
+    day-first text, every score question is a shifted ``survey_score`` fold as text, other text questions
+    carry the event type.  Headers come from the lists above, not from the mapping specs."""
     ev = read(spark, sf_dir, "events")
-    cols = []
-    for src, (role, shift) in _survey_roles(spec).items():
-        if role == "key":
-            e = F.col("user_id").cast("string")
-        elif role == "date":
-            e = dayfirst_time_text(F.col("ts"))
-        elif role == "score":
-            e = _score_text(F.col("event_id"), F.col("value"), shift)
-        else:
-            e = F.col("event_type")
-        cols.append(e.alias(src))
+    other = {"date": dayfirst_time_text(F.col("ts")), "text": F.col("event_type")}
+    cols = [F.col("user_id").cast("string").alias(SURVEY_KEY[survey])]
+    cols += [other[kind].alias(h) for h, kind in SURVEY_OTHER[survey].items()]
+    cols += [_score_text(F.col("event_id"), F.col("value"), k).alias(h) for k, h in enumerate(SURVEY_SCORES[survey])]
     return ev.select(*cols)
 
 
-def survey_oracle_sql(spec, nps_sql: str) -> str:
-    """DuckDB oracle of ``apply_mapping(raw_survey(spec), spec)``."""
-    roles = _survey_roles(spec)
-    out = []
-    for f in spec.fields:
-        if f.kind == "const":
-            out.append(f"'{f.value}' AS {f.dst}")
-            continue
-        role, shift = roles[f.src]
-        if role == "key":
-            e = "CAST(user_id AS VARCHAR)"
-        elif role == "date":
-            e = "date_trunc('second', ts)"
-        elif role == "score":
-            e = f"({survey_score_sql(shift)})"
-            if f.kind == "nps":
-                e = nps_sql.format(s=e)
-        else:
-            e = "event_type"
-        out.append(f"{e} AS {f.dst}")
-    return "SELECT " + ", ".join(out) + " FROM events WHERE user_id IS NOT NULL"
-
-
 def survey_score_sql(shift: int) -> str:
     e = f"(event_id + {shift})"
     v = f"(value + {shift})"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.functions.clean import quote
 from cohortlens.operators import features as feat
 from cohortlens.plans import adapters as A
 from cohortlens.plans.registry import query
@@ -99,16 +100,16 @@ def q_customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Shared pieces for the per-operator queries
 # ---------------------------------------------------------------------------
 from cohortlens.functions import clean as C  # noqa: E402
+from cohortlens.operators import mapping as M  # noqa: E402
 from cohortlens.operators import relational as R  # noqa: E402
 from cohortlens.operators.mapping import Field, MappingSpec, apply_mapping  # noqa: E402
 
-SQL_N = f"""
+SQL_N = """
 n AS (
-  SELECT c.c_custkey, c.c_name, c.c_mktsegment, c.c_acctbal, o.o_orderkey, o.o_orderstatus, o.o_totalprice,
-         o.o_orderdate, o.o_orderpriority
-  FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS}) o
-    ON c.c_custkey = o.o_custkey
+  SELECT c.c_custkey, c.c_name, c.c_mktsegment, c.c_acctbal, e.event_id, e.event_type, e.value, e.ts, e.props
+  FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id
 )"""
+SQL_EVENT_MONTHS = ("CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 3 WHEN 'signup' THEN 6 WHEN 'purchase' THEN 12 END")
 
 SQL_PERIOD_LABEL = ("CASE o_orderpriority WHEN '1-URGENT' THEN '00 - Mensal' WHEN '2-HIGH' THEN '02 - Trimestral' "
                     "WHEN '3-MEDIUM' THEN '05 - Semestral' WHEN '4-NOT SPECIFIED' THEN '04' "
@@ -153,7 +154,7 @@ def q_map_columns(spark, sf_dir):
 def q_cast_columns(spark, sf_dir):
     o = _orders(spark, sf_dir)
     return o.select(F.col("o_orderkey").cast("string").alias("id_item_proposta"),
-                    F.col("o_custkey").cast("int").alias("cd_cliente"),
+                    F.col("o_custkey").try_cast("int").alias("cd_cliente"),
                     F.col("o_custkey").cast("double").alias("vl_cliente"),
                     F.col("o_orderdate").cast("date").alias("dt_upload"))
 
@@ -170,56 +171,58 @@ def q_lowercase_columns(spark, sf_dir):
 # Defaults on the nullable frame N
 # ---------------------------------------------------------------------------
 @query("default_text", inventory="C4",
-       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, coalesce(o_orderstatus, '-') AS situacao_contrato, "
-           "coalesce(o_orderpriority, '-') AS periodicidade FROM n")
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, event_id, coalesce(event_type, '-') AS situacao_contrato, "
+           "coalesce(props, '-') AS periodicidade FROM n")
 def q_default_text(spark, sf_dir):
-    n = A.nullable_orders(spark, sf_dir)
-    return n.select(F.col("c_custkey").alias("cd_cliente"), C.default_text("o_orderstatus").alias("situacao_contrato"),
-                    C.default_text("o_orderpriority").alias("periodicidade"))
+    n = A.nullable_events(spark, sf_dir)
+    return n.select(F.col("c_custkey").alias("cd_cliente"), "event_id", C.default_text("event_type").alias("situacao_contrato"),
+                    C.default_text("props").alias("periodicidade"))
 
 
 @query("default_number", inventory="C5",
-       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, coalesce(o_totalprice, 0.0) AS valor_total_contrato, "
-           "coalesce(CAST(o_orderkey AS BIGINT), 0) AS id_proposta FROM n")
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, coalesce(value, 0.0) AS valor_total_contrato, "
+           "coalesce(CAST(event_id AS BIGINT), 0) AS id_proposta, CASE WHEN event_id IS NULL THEN 0.0 WHEN event_id % 11 = 0 "
+           "THEN NULL ELSE value END AS valor_texto FROM n")
 def q_default_number(spark, sf_dir):
-    n = A.nullable_orders(spark, sf_dir)
+    n = A.nullable_events(spark, sf_dir)
+    text = F.when(F.pmod("event_id", F.lit(11)) == 0, F.lit("-")).otherwise(F.col("value").cast("string"))  # no number: NULL, not 0
     return n.select(F.col("c_custkey").alias("cd_cliente"),
-                    C.default_number("o_totalprice").alias("valor_total_contrato"),
-                    C.default_number("o_orderkey", 0, "bigint").alias("id_proposta"))
+                    C.default_number("value").alias("valor_total_contrato"),
+                    C.default_number("event_id", 0, "bigint").alias("id_proposta"), C.default_number(text).alias("valor_texto"))
 
 
 @query("default_date", inventory="C6",
-       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, "
-           "coalesce(CAST(o_orderdate AS DATE), DATE '1900-01-01') AS data_assinatura_contrato FROM n")
+       sql=f"WITH {SQL_N} SELECT c_custkey AS cd_cliente, event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE "
+           "coalesce(CAST(ts AS DATE), DATE '1900-01-01') END AS data_assinatura_contrato FROM n")
 def q_default_date(spark, sf_dir):
-    n = A.nullable_orders(spark, sf_dir)
-    text = F.date_format("o_orderdate", "dd/MM/yyyy")
-    return n.select(F.col("c_custkey").alias("cd_cliente"), C.default_date(text).alias("data_assinatura_contrato"))
+    n = A.nullable_events(spark, sf_dir)
+    text = F.when(F.pmod("event_id", F.lit(13)) == 0, F.lit("31/02/2000")).otherwise(F.date_format("ts", "dd/MM/yyyy"))
+    return n.select(F.col("c_custkey").alias("cd_cliente"), "event_id", C.default_date(text).alias("data_assinatura_contrato"))
 
 
 # ---------------------------------------------------------------------------
 # Key filters
 # ---------------------------------------------------------------------------
 @query("filter_key_not_null", inventory="B1",
-       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n WHERE o_orderkey IS NOT NULL")
+       sql=f"WITH {SQL_N} SELECT c_custkey, event_id FROM n WHERE event_id IS NOT NULL")
 def q_filter_key_not_null(spark, sf_dir):
-    return R.filter_not_null(A.nullable_orders(spark, sf_dir), "o_orderkey").select("c_custkey", "o_orderkey")
+    return R.filter_not_null(A.nullable_events(spark, sf_dir), "event_id").select("c_custkey", "event_id")
 
 
 @query("filter_exclude_key", inventory="B2",
-       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n "
-           f"WHERE c_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND c_custkey <> {A.ISOLATED_KEY}")
+       sql=f"WITH {SQL_N} SELECT c_custkey, event_id FROM n "
+           f"WHERE c_custkey IS NOT NULL AND event_id IS NOT NULL AND c_custkey <> {A.ISOLATED_KEY}")
 def q_filter_exclude_key(spark, sf_dir):
-    n = A.nullable_orders(spark, sf_dir)
-    return R.exclude_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["o_orderkey"]).select("c_custkey", "o_orderkey")
+    n = A.nullable_events(spark, sf_dir)
+    return R.exclude_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["event_id"]).select("c_custkey", "event_id")
 
 
 @query("filter_isolate_key", inventory="B3",
-       sql=f"WITH {SQL_N} SELECT c_custkey, o_orderkey FROM n "
-           f"WHERE c_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND c_custkey = {A.ISOLATED_KEY}")
+       sql=f"WITH {SQL_N} SELECT c_custkey, event_id FROM n "
+           f"WHERE c_custkey IS NOT NULL AND event_id IS NOT NULL AND c_custkey = {A.ISOLATED_KEY}")
 def q_filter_isolate_key(spark, sf_dir):
-    n = A.nullable_orders(spark, sf_dir)
-    return R.isolate_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["o_orderkey"]).select("c_custkey", "o_orderkey")
+    n = A.nullable_events(spark, sf_dir)
+    return R.isolate_keys(n, "c_custkey", [A.ISOLATED_KEY], not_null=["event_id"]).select("c_custkey", "event_id")
 
 
 # ---------------------------------------------------------------------------
@@ -236,12 +239,6 @@ def q_safe_cast_int(spark, sf_dir):
                     C.safe_cast_int("o_orderstatus", 1000).alias("id_pais_default"))
 
 
-def _ptbr_text(x):
-    """12345.6 -> '12.345,60' (thousands dot, decimal comma)."""
-    us = F.format_number(x, 2)
-    return F.translate(us, ",.", ".,")
-
-
 @query("parse_decimal_comma", inventory="J1",
        sql="SELECT o_orderkey, o_totalprice AS valor_simples, "
            "CASE WHEN o_totalprice >= 1000 THEN NULL ELSE o_totalprice END AS valor_simples_milhar FROM orders")
@@ -249,7 +246,7 @@ def q_parse_decimal_comma(spark, sf_dir):
     o = _orders(spark, sf_dir)
     plain = F.translate(F.format_string("%.2f", F.col("o_totalprice")), ".", ",")
     return o.select("o_orderkey", C.parse_decimal_comma(plain).alias("valor_simples"),
-                    C.parse_decimal_comma(_ptbr_text(F.col("o_totalprice"))).alias("valor_simples_milhar"))
+                    C.parse_decimal_comma(A.ptbr_text(F.col("o_totalprice"))).alias("valor_simples_milhar"))
 
 
 @query("parse_money_ptbr", inventory="J2",
@@ -257,7 +254,7 @@ def q_parse_decimal_comma(spark, sf_dir):
 def q_parse_money_ptbr(spark, sf_dir):
     o = _orders(spark, sf_dir)
     dotted = F.format_string("%.2f", F.col("o_totalprice"))  # '1234.56' -> 123456 under the localised parser
-    return o.select("o_orderkey", C.parse_money_ptbr(_ptbr_text(F.col("o_totalprice"))).alias("valor"),
+    return o.select("o_orderkey", C.parse_money_ptbr(A.ptbr_text(F.col("o_totalprice"))).alias("valor"),
                     C.parse_money_ptbr(dotted).alias("valor_ponto"))
 
 
@@ -487,13 +484,17 @@ def q_union_distinct(spark, sf_dir):
     return R.union_distinct([rest, hot])
 
 
+# Eleven different inputs, each read once: (table, SQL of its text key).
+UNION_INPUTS = [("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey"),
+                ("part", "p_partkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "event_id"),
+                ("documents", "doc_id"), ("pages", "page_id"), ("conversations", "conv_id")]
+
+
 @query("union_many", inventory="H5 A3",
-       sql="SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")
+       sql=" UNION ALL ".join(f"SELECT '{t}' AS tabela, CAST({k} AS VARCHAR) AS chave FROM {t}" for t, k in UNION_INPUTS))
 def q_union_many(spark, sf_dir):
-    li = A.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
-    slices = [li.filter(F.month("l_shipdate") == m) for m in range(1, 13)]
-    slices.append(li.filter(F.col("l_shipdate").isNull()))
-    return R.union_many(slices)
+    return R.union_many([A.read(spark, sf_dir, t).select(F.lit(t).alias("tabela"), F.col(k).cast("string").alias("chave"))
+                         for t, k in UNION_INPUTS])
 
 
 @query("dedup_rows", inventory="F10",
@@ -505,40 +506,48 @@ def q_dedup_rows(spark, sf_dir):
 
 
 @query("append_guard", inventory="A7 Q23",
-       sql=f"WITH {SQL_CLIENTS} SELECT cd_cliente, vl_faixa_faturamento FROM clients c "
-           f"WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.cd_cliente "
-           f"AND o.o_orderdate BETWEEN {START_TS} AND {BASE_TS})")
+       sql="SELECT DISTINCT o_orderkey, o_custkey FROM orders o "
+           "WHERE o_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)")
 def q_append_guard(spark, sf_dir):
-    """Idempotent append: only customers whose key is not yet in the target (here: the
-    customers already loaded from the 12-month orders)."""
-    new_rows = A.clients(spark, sf_dir).select("cd_cliente", "vl_faixa_faturamento")
-    existing = R.lookback_filter(_orders(spark, sf_dir), "o_orderdate", A.AS_OF).select(
-        F.col("o_custkey").alias("cd_cliente"))
-    return R.append_guard(new_rows, existing, "cd_cliente")
+    """Idempotent append: only orders whose key is not yet in the target (here: the order keys of all lines),
+    by the function the JDBC sink calls; the new rows hold every order twice."""
+    new_rows = _orders(spark, sf_dir).select("o_orderkey", "o_custkey")
+    existing = A.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return R.append_guard(new_rows.union(new_rows), existing, "o_orderkey")
 
 
 # ---------------------------------------------------------------------------
 # Customer master
 # ---------------------------------------------------------------------------
 @query("customer_master", inventory="P1 E3 A7(plan) Q2 Q5 Q24 Q25",
-       sql=f"""WITH {SQL_CLIENTS}, {SQL_PROFILE}, {SQL_RANKED},
-hires AS (SELECT o_custkey AS cd_cliente, count(*) AS qt, round(sum(o_totalprice), 2) AS vl FROM orders
-          WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS} GROUP BY o_custkey),
-mrr AS (SELECT user_id AS cd_cliente, round(sum(value), 2) AS vl FROM events GROUP BY user_id)
-SELECT DISTINCT a.cd_cliente, CAST(a.dt_abertura AS DATE) AS dt_abertura,
+       sql=f"""WITH {SQL_CLIENTS},
+profile AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS cd_cliente, n.n_name AS nm_cidade, c.c_mktsegment AS ds_cnae, o.o_orderstatus AS ds_segmento,
+         o.o_orderpriority AS ds_subsegmento, CASE WHEN o.o_orderkey % 5 <> 0 THEN
+         CAST(CAST(floor(o.o_totalprice / {A.BAND_WIDTH}) AS BIGINT) AS VARCHAR) END AS vl_faixa_faturamento,
+         CAST(c.c_nationkey AS VARCHAR) AS nm_pais, r.r_name AS nm_uf
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey WHERE o.o_orderkey % 17 <> 0
+), {SQL_RANKED},
+hires AS (SELECT CAST(o_custkey AS VARCHAR) AS cd_cliente, count(*) AS qt, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100.0 AS vl
+          FROM orders WHERE o_orderdate BETWEEN {START_TS} AND {BASE_TS} GROUP BY o_custkey),
+mrr AS (SELECT CAST(user_id AS VARCHAR) AS cd_cliente, sum(CAST(round(value * 100) AS BIGINT)) / 100.0 AS vl FROM events GROUP BY user_id)
+SELECT DISTINCT r.cd_cliente, CAST(a.dt_abertura AS DATE) AS dt_abertura,
        CAST(coalesce(h.qt, 0) AS INTEGER) AS qt_contratacao_12m, CAST(coalesce(h.vl, 0) AS DOUBLE) AS vl_contratacao_12m,
        coalesce(r.nm_cidade, '-') AS nm_cidade, coalesce(r.ds_cnae, '-') AS ds_cnae,
        coalesce(r.ds_segmento, '-') AS ds_segmento, coalesce(r.ds_subsegmento, '-') AS ds_subsegmento,
        coalesce(r.vl_faixa_faturamento, '-') AS vl_faixa_faturamento, TRY_CAST(r.nm_pais AS INTEGER) AS id_pais,
        coalesce(r.nm_uf, '-') AS nm_uf, CAST(coalesce(m.vl, 0) AS DOUBLE) AS vl_mrr_12m
-FROM clients a LEFT JOIN hires h ON a.cd_cliente = h.cd_cliente
-JOIN ranked r ON a.cd_cliente = r.cd_cliente AND r.rn = 1
-LEFT JOIN mrr m ON a.cd_cliente = m.cd_cliente""")
+FROM clients a JOIN ranked r ON CAST(a.cd_cliente AS VARCHAR) = r.cd_cliente AND r.rn = 1
+LEFT JOIN hires h ON r.cd_cliente = h.cd_cliente LEFT JOIN mrr m ON r.cd_cliente = m.cd_cliente""")
 def q_customer_master(spark, sf_dir):
+    """From the four raw extracts through their specs; a missing band ranks last and gets its default afterwards."""
     from cohortlens.plans.jobs import customer_master
 
-    return customer_master(A.client_since(spark, sf_dir), A.hires_12m(spark, sf_dir),
-                           A.client_profile(spark, sf_dir), A.mrr(spark, sf_dir))
+    return customer_master(M.apply_mapping(A.raw_client_since(spark, sf_dir), M.CLIENT_SINCE),
+                           M.apply_mapping(A.raw_hires(spark, sf_dir), M.HIRES_12M),
+                           M.apply_mapping(A.raw_client_data(spark, sf_dir), M.CLIENT_PROFILE),
+                           M.apply_mapping(A.raw_mrr(spark, sf_dir), M.MRR))
 
 
 # ---------------------------------------------------------------------------
@@ -555,10 +564,9 @@ def _round_stats(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 @query("missing_report", inventory="F5",
        sql=f"WITH {SQL_N} SELECT * FROM (" + " UNION ALL ".join(
            f"SELECT '{c}' AS variaveis, count(*) - count({c}) AS n FROM n"
-           for c in ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "o_orderkey", "o_orderstatus",
-                     "o_totalprice", "o_orderdate", "o_orderpriority"]) + ")")
+           for c in ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "event_id", "event_type", "value", "ts", "props"]) + ")")
 def q_missing_report(spark, sf_dir):
-    return Q.missing_report(A.nullable_orders(spark, sf_dir))
+    return Q.missing_report(A.nullable_events(spark, sf_dir))
 
 
 def _describe_sql(src_cte: str, src: str, cols: list[str]) -> str:
@@ -576,9 +584,9 @@ DESCRIBE_STATS = ["mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
 @query("describe_numeric", inventory="F7 Q17",
-       sql=_describe_sql(SQL_N, "n", ["o_totalprice", "c_acctbal"]))
+       sql=_describe_sql(SQL_N, "n", ["value", "c_acctbal"]))
 def q_describe_numeric(spark, sf_dir):
-    d = Q.describe_numeric(A.nullable_orders(spark, sf_dir), ["o_totalprice", "c_acctbal"])
+    d = Q.describe_numeric(A.nullable_events(spark, sf_dir), ["value", "c_acctbal"])
     return _round_stats(d, *DESCRIBE_STATS)
 
 
@@ -595,9 +603,9 @@ FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med, qua
 
 
 @query("boxplot_stats", inventory="F8",
-       sql=_boxplot_sql(["o_totalprice", "c_acctbal"]))
+       sql=_boxplot_sql(["value", "c_acctbal"]))
 def q_boxplot_stats(spark, sf_dir):
-    b = Q.boxplot_stats(A.nullable_orders(spark, sf_dir), ["o_totalprice", "c_acctbal"])
+    b = Q.boxplot_stats(A.nullable_events(spark, sf_dir), ["value", "c_acctbal"])
     return _round_stats(b, "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")
 
 
@@ -643,16 +651,15 @@ def q_quality_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # The ten mapping jobs, real specs over raw-shaped text sources
 # ---------------------------------------------------------------------------
-from cohortlens.operators import mapping as M  # noqa: E402
-
-
 @query("contracts", inventory="P2 A1 B1 C1 C4-C6",
        sql=f"""SELECT CAST(o.o_custkey AS VARCHAR) AS cd_cliente, p.p_brand AS produto, p.p_type AS linha_receita,
   l.l_linestatus AS marca_totvs, coalesce(CASE WHEN l.l_returnflag <> 'N' THEN l.l_returnflag END, '-') AS modalidade_comercial,
   coalesce({SQL_PERIOD_LABEL.replace('o_orderpriority', 'o.o_orderpriority')}, '-') AS periodicidade,
   o.o_orderstatus AS situacao_contrato,
-  CASE WHEN l.l_returnflag <> 'A' THEN l.l_extendedprice ELSE 0.0 END AS valor_total_contrato,
-  CASE WHEN l.l_linestatus <> 'O' THEN CAST(o.o_orderdate AS DATE) ELSE DATE '1900-01-01' END AS data_assinatura_contrato
+  CASE WHEN l.l_returnflag = 'A' THEN 0.0 WHEN l.l_linenumber = 5 THEN NULL
+       WHEN l.l_linenumber = 6 AND l.l_extendedprice >= 1000 THEN NULL ELSE l.l_extendedprice END AS valor_total_contrato,
+  CASE WHEN l.l_linestatus = 'O' THEN DATE '1900-01-01' WHEN l.l_linenumber = 4 THEN NULL
+       ELSE CAST(o.o_orderdate AS DATE) END AS data_assinatura_contrato
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
 WHERE o.o_custkey IS NOT NULL""")
 def q_contracts(spark, sf_dir):
@@ -675,26 +682,63 @@ def q_tickets(spark, sf_dir):
   l_linestatus AS status_licenca, l_returnflag AS tcloud,
   CASE WHEN l_discount >= 0.05 THEN 'S' ELSE 'N' END AS cliente_prime FROM lineitem WHERE l_orderkey IS NOT NULL""")
 def q_telemetry(spark, sf_dir):
-    return M.apply_mapping(R.union_many(A.raw_telemetry_slices(spark, sf_dir)), M.TELEMETRY)
+    from cohortlens.sources.io import scan_source
+
+    return M.apply_mapping(scan_source(spark, A.telemetry_files(spark, sf_dir, M.TELEMETRY.delimiter), M.TELEMETRY), M.TELEMETRY)
 
 
 @query("transactions", inventory="P5 A1 B1 C1 C5 C8",
        sql="""SELECT CAST(l_orderkey AS VARCHAR) AS id_proposta, CAST(l_linenumber AS VARCHAR) AS id_item_proposta,
   CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS dt_upload, l_returnflag AS ds_hospedagem,
   CAST(l_suppkey AS VARCHAR) AS cd_cliente, CAST(l_partkey AS VARCHAR) AS cd_prod, l_quantity AS qt_solicitada,
-  CASE WHEN l_linestatus = 'O' THEN l_linenumber ELSE 0 END AS meses_bonificacao,
+  CASE WHEN l_linestatus <> 'O' THEN 0 WHEN l_linenumber = 3 THEN NULL ELSE l_linenumber END AS meses_bonificacao,
   CASE WHEN l_returnflag = 'R' THEN l_tax ELSE 0.0 END AS vl_pct_desc_temp, l_discount AS vl_pct_desc,
   l_extendedprice AS vl_preco_unitario, CASE WHEN l_returnflag = 'R' THEN l_tax ELSE 0.0 END AS vl_desc_temp,
-  l_extendedprice AS vl_total, CASE WHEN l_linestatus = 'F' THEN 0.0 ELSE l_extendedprice END AS vl_cheio,
+  l_extendedprice AS vl_total, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_extendedprice END AS vl_cheio,
   l_discount AS vl_desconto FROM lineitem WHERE l_orderkey IS NOT NULL""")
 def q_transactions(spark, sf_dir):
     return M.apply_mapping(A.raw_transactions(spark, sf_dir), M.TRANSACTIONS)
 
 
+def _score(shift: int, name: str) -> str:
+    return f"({A.survey_score_sql(shift)}) AS {name}"
+
+
+def _class(shift: int) -> str:
+    return NPS_SQL.format(s=f"({A.survey_score_sql(shift)})") + " AS classificacao_nps"
+
+
+# The expected rows of the six surveys, written out by hand (``_score(k, c)``: column c holds question k of the
+# survey's list in adapters.py).
+CUSTOMER_AND_DATE = "CAST(user_id AS VARCHAR) AS cd_cliente, date_trunc('second', ts) AS dt_resposta"
+FROM_EVENTS = " FROM events WHERE user_id IS NOT NULL"
+SURVEY_SQL = {
+    "nps_relational": "SELECT " + ", ".join([
+        CUSTOMER_AND_DATE, "'relacional' AS categoria", _score(0, "resposta_nps"), _class(0), "event_type AS resposta_unidade",
+        _score(1, "nota_suporte_agilidade"), _score(2, "nota_suporte_atendimento"), _score(3, "nota_comercial"), _score(4, "nota_custos"),
+        _score(5, "nota_adm_fin_atend"), _score(6, "nota_software"), _score(7, "nota_software_atualizacao")]) + FROM_EVENTS,
+    "nps_acquisition": "SELECT " + ", ".join([
+        CUSTOMER_AND_DATE, _score(0, "nota_nps"), _class(0), _score(1, "nota_agilidade"), _score(2, "nota_conhecimento"),
+        _score(3, "nota_custo"), _score(4, "nota_facilidade"), _score(5, "nota_flexibilidade")]) + FROM_EVENTS,
+    "nps_implementation": "SELECT " + ", ".join([
+        CUSTOMER_AND_DATE, _score(0, "nota_nps"), _class(0), _score(1, "nota_metodologia"), _score(2, "nota_gestao"),
+        _score(3, "nota_conhecimento"), _score(4, "nota_qualidade"), _score(5, "nota_comunicacao"), _score(6, "nota_prazos")]) + FROM_EVENTS,
+    "nps_onboarding": "SELECT " + ", ".join([
+        CUSTOMER_AND_DATE, _score(0, "nota_recomendacao_onboarding"), _score(1, "nota_ajuda_cs_onboarding"), _score(2, "duracao_reuniao_onboarding"),
+        _score(3, "clareza_canais_comunicacao"), _score(4, "clareza_informacoes_cs"), _score(5, "expec_atend_onb"), _class(5)]) + FROM_EVENTS,
+    "nps_product": "SELECT " + ", ".join([
+        CUSTOMER_AND_DATE, "event_type AS ds_linha_produto", "event_type AS nm_produto", _score(0, "nota"), _class(0)]) + FROM_EVENTS,
+    "nps_support": "SELECT " + ", ".join([
+        "CAST(user_id AS VARCHAR) AS cd_cliente", "event_type AS ticket", _score(0, "resposta_nps"), _class(0), "event_type AS grupo_nps",
+        _score(1, "nota_conhecimento_agente"), _score(2, "nota_solucao"), _score(3, "nota_tempo_retorno"), _score(4, "nota_facilidade"),
+        _score(5, "nota_satisfacao")]) + FROM_EVENTS,
+}
+
+
 def _survey_query(spec, inventory):
-    @query(spec.name, inventory=inventory, sql=A.survey_oracle_sql(spec, NPS_SQL))
+    @query(spec.name, inventory=inventory, sql=SURVEY_SQL[spec.name])
     def run(spark, sf_dir):
-        return M.apply_mapping(A.raw_survey(spark, sf_dir, spec), spec)
+        return M.apply_mapping(A.raw_survey(spark, sf_dir, spec.name), spec)
     return run
 
 
@@ -711,48 +755,47 @@ from cohortlens.operators import prep as P  # noqa: E402
 
 SQL_NF = f"""{SQL_N},
 nf AS (
-  SELECT c_custkey, c_mktsegment, count(o_orderkey) AS n_orders,
-         sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(o_totalprice) / 100.0 AS avg_price,
-         max({SQL_PERIOD_OF_LABEL.format(x=SQL_PERIOD_LABEL)}) AS pmax, max(o_orderpriority) AS top_prio
+  SELECT c_custkey, c_mktsegment, count(event_id) AS n_events,
+         sum(CAST(round(value * 100) AS BIGINT)) / count(value) / 100.0 AS avg_value,
+         max({SQL_EVENT_MONTHS}) AS pmax, max(event_type) AS top_type
   FROM n GROUP BY c_custkey, c_mktsegment
 )"""
 
 
 def nullable_features(spark, sf_dir) -> DataFrame:
-    """Per-customer aggregates of frame N before any fill (NULL for customers without orders)."""
-    n = A.nullable_orders(spark, sf_dir)
+    """Per-customer aggregates of frame N before any fill (NULL for customers without events)."""
+    n = A.nullable_events(spark, sf_dir)
     return n.groupBy("c_custkey", "c_mktsegment").agg(
-        F.count("o_orderkey").alias("n_orders"),
+        F.count("event_id").alias("n_events"),
         # mean from exact integer cents: the same double in every engine
-        (F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / F.count("o_totalprice") / F.lit(100.0))
-        .alias("avg_price"),
-        F.max(C.period_months(A.priority_to_period(F.col("o_orderpriority")))).alias("pmax"),
-        F.max("o_orderpriority").alias("top_prio"))
+        (F.sum(F.round(F.col("value") * 100).cast("long")) / F.count("value") / F.lit(100.0)).alias("avg_value"),
+        F.max(C.period_months(A.event_to_period(F.col("event_type")))).alias("pmax"),
+        F.max("event_type").alias("top_type"))
 
 
 @query("impute_median", inventory="K1 Q18",
-       sql=f"WITH {SQL_NF} SELECT c_custkey, round(coalesce(avg_price, (SELECT median(avg_price) FROM nf)), 6) AS avg_price, "
+       sql=f"WITH {SQL_NF} SELECT c_custkey, round(coalesce(avg_value, (SELECT median(avg_value) FROM nf)), 6) AS avg_value, "
            "round(coalesce(CAST(pmax AS DOUBLE), (SELECT median(pmax) FROM nf)), 6) AS pmax FROM nf")
 def q_impute_median(spark, sf_dir):
     nf = nullable_features(spark, sf_dir)
-    return _round_stats(P.impute_median(nf, ["avg_price", "pmax"]).select("c_custkey", "avg_price", "pmax"),
-                        "avg_price", "pmax")
+    return _round_stats(P.impute_median(nf, ["avg_value", "pmax"]).select("c_custkey", "avg_value", "pmax"),
+                        "avg_value", "pmax")
 
 
 @query("impute_mode", inventory="K4 Q19",
-       sql=f"WITH {SQL_NF} SELECT c_custkey, coalesce(top_prio, (SELECT top_prio FROM nf WHERE top_prio IS NOT NULL "
-           "GROUP BY top_prio ORDER BY count(*) DESC, top_prio LIMIT 1)) AS top_prio FROM nf")
+       sql=f"WITH {SQL_NF} SELECT c_custkey, coalesce(top_type, (SELECT top_type FROM nf WHERE top_type IS NOT NULL "
+           "GROUP BY top_type ORDER BY count(*) DESC, top_type LIMIT 1)) AS top_type FROM nf")
 def q_impute_mode(spark, sf_dir):
-    return P.impute_mode(nullable_features(spark, sf_dir), ["top_prio"]).select("c_custkey", "top_prio")
+    return P.impute_mode(nullable_features(spark, sf_dir), ["top_type"]).select("c_custkey", "top_type")
 
 
 @query("standardize", inventory="K3 Q16",
        sql=f"""WITH {SQL_NF},
-imp AS (SELECT c_custkey, coalesce(avg_price, (SELECT median(avg_price) FROM nf)) AS x FROM nf)
-SELECT c_custkey, round((x - (SELECT avg(x) FROM imp)) / (SELECT stddev_pop(x) FROM imp), 6) AS avg_price FROM imp""")
+imp AS (SELECT c_custkey, coalesce(avg_value, (SELECT median(avg_value) FROM nf)) AS x FROM nf)
+SELECT c_custkey, round((x - (SELECT avg(x) FROM imp)) / (SELECT stddev_pop(x) FROM imp), 6) AS avg_value FROM imp""")
 def q_standardize(spark, sf_dir):
-    nf = P.impute_median(nullable_features(spark, sf_dir), ["avg_price"])
-    return _round_stats(P.standardize(nf, ["avg_price"]).select("c_custkey", "avg_price"), "avg_price")
+    nf = P.impute_median(nullable_features(spark, sf_dir), ["avg_value"])
+    return _round_stats(P.standardize(nf, ["avg_value"]).select("c_custkey", "avg_value"), "avg_value")
 
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # test-data categories
@@ -760,11 +803,11 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  #
 
 @query("one_hot", inventory="K5 Q20",
        sql=f"WITH {SQL_NF} SELECT c_custkey, " + ", ".join(
-           f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END AS \"segmento_{s}\"" for s in SEGMENTS) + " FROM nf")
+           f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END AS \"segmento_{s}\"" for s in SEGMENTS[:-1]) + " FROM nf")
 def q_one_hot(spark, sf_dir):
+    """Fitted on the customers of all segments but the last: its customers are an unknown category, all zeros."""
     nf = nullable_features(spark, sf_dir)
-    trained = nf.filter(F.col("n_orders") > 0)
-    return P.one_hot(nf.select("c_custkey", "c_mktsegment"), "c_mktsegment", fit_on=trained,
+    return P.one_hot(nf.select("c_custkey", "c_mktsegment"), "c_mktsegment", fit_on=nf.where(F.col("c_mktsegment") != SEGMENTS[-1]),
                      prefix="segmento").drop("c_mktsegment")
 
 
@@ -775,35 +818,43 @@ def yj_sql(x: str, lam: str) -> str:
 
 
 def yj_lambda_ctes(p: str, src: str, col: str) -> str:
-    """CTEs ending in ``{p}_lam(lam)``: the grid-search maximum-likelihood lambda of src.col."""
-    lo, hi, step = P.YJ_COARSE
+    """CTEs ending in ``{p}_lam(lam)``: the maximum-likelihood lambda of src.col in thousandths.
+
+    A search of its own: 81 candidates over [-2000, 2000], then six times a grid over the two neighbouring steps.  Candidates that
+    overflow a double can't be the best and are left out."""
     ll = "round(-b.n / 2.0 * ln(l.v) + (l.m / 1000.0 - 1) * b.s, 6)"
-    parts = [f"""{p}_base AS (SELECT count({col}) AS n, sum(sign({col}) * ln(1 + abs({col}))) AS s,
-  var_pop({col}) AS v0 FROM {src} WHERE {col} IS NOT NULL)""",
-             f"{p}_g1 AS (SELECT range AS m FROM range({lo}, {hi + 1}, {step}))"]
-    levels = len(P.YJ_REFINE) + 1
-    for i in range(1, levels + 1):
-        parts.append(f"""{p}_l{i} AS (SELECT g.m, var_pop({yj_sql(col, 'g.m / 1000.0')}) AS v
-  FROM {src} CROSS JOIN {p}_g{i} g WHERE {col} IS NOT NULL GROUP BY g.m)""")
-        parts.append(f"""{p}_b{i} AS (SELECT l.m FROM {p}_l{i} l, {p}_base b WHERE l.v > 0 AND NOT isinf(l.v)
-  ORDER BY {ll} DESC, l.m LIMIT 1)""")
-        if i < levels:
-            st, half = P.YJ_REFINE[i - 1]
-            parts.append(f"{p}_g{i + 1} AS (SELECT b.m + k.range * {st} AS m FROM {p}_b{i} b, "
-                         f"range({-half}, {half + 1}) k)")
-    parts.append(f"""{p}_lam AS (SELECT CASE WHEN (SELECT v0 FROM {p}_base) > 0
-  THEN (SELECT m FROM {p}_b{levels}) / 1000.0 ELSE 1.0 END AS lam)""")
+    parts = [f"""{p}_val AS (SELECT {col} AS x, count(*) AS w FROM {src} WHERE {col} IS NOT NULL GROUP BY {col})""",
+             f"""{p}_base AS (SELECT sum(w) AS n, sum(w * sign(x) * ln(1 + abs(x))) AS s, count(*) AS d,
+  ln(1 + greatest(max(x), 0)) AS up, ln(1 + greatest(-min(x), 0)) AS down FROM {p}_val)""",
+             f"{p}_g1 AS (SELECT range * 50000 AS m FROM range(-40, 41))"]
+    steps = [50_000, 10_000, 2_000, 400, 80, 10, 1]
+    for i, step in enumerate(steps, 1):
+        y = yj_sql("x", "g.m / 1000.0")
+        ok = "g.m / 1000.0 * b.up < 300 AND (2 - g.m / 1000.0) * b.down < 300"
+        parts.append(f"""{p}_y{i} AS (SELECT g.m, v.w, {y} AS y FROM {p}_g{i} g JOIN {p}_base b ON {ok} CROSS JOIN {p}_val v)""")
+        parts.append(f"""{p}_c{i} AS (SELECT m, sum(w * y) / sum(w) AS c FROM {p}_y{i} GROUP BY m)""")
+        parts.append(f"""{p}_l{i} AS (SELECT y.m, sum(y.w * (y.y - c.c) * (y.y - c.c)) / sum(y.w) AS v FROM {p}_y{i} y JOIN {p}_c{i} c ON y.m = c.m GROUP BY y.m)""")
+        parts.append(f"{p}_b{i} AS (SELECT l.m FROM {p}_l{i} l, {p}_base b WHERE l.v > 0 ORDER BY {ll} DESC, l.m LIMIT 1)")
+        if i < len(steps):
+            parts.append(f"{p}_g{i + 1} AS (SELECT b.m + k.range * {steps[i]} AS m FROM {p}_b{i} b, range({-(step // steps[i])}, {step // steps[i] + 1}) k)")
+    parts.append(f"{p}_lam AS (SELECT CASE WHEN (SELECT d FROM {p}_base) > 1 THEN (SELECT m FROM {p}_b{len(steps)}) / 1000.0 ELSE 1.0 END AS lam)")
     return ",\n".join(parts)
 
 
 @query("yeo_johnson", inventory="K2",
-       sql=f"""WITH src AS (SELECT c_custkey, c_acctbal AS x FROM customer),
-{yj_lambda_ctes('a', 'src', 'x')}
-SELECT c_custkey, round({yj_sql('x', 'lam')}, 6) AS c_acctbal, lam AS lambda FROM src, a_lam""")
+       sql=f"""WITH src AS (SELECT c_custkey, any_value(c_acctbal) AS x, count(CASE WHEN e.event_type = 'error' AND e.value > 60 THEN 1 END)::DOUBLE AS r
+  FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id GROUP BY c_custkey),
+{yj_lambda_ctes('a', 'src', 'x')},
+{yj_lambda_ctes('z', 'src', 'r')}
+SELECT c_custkey, round({yj_sql('x', 'a_lam.lam')}, 6) + 0.0 AS c_acctbal, a_lam.lam AS lambda,
+  round({yj_sql('r', 'z_lam.lam')}, 9) + 0.0 AS erros_caros, z_lam.lam AS lambda_erros FROM src, a_lam, z_lam""")
 def q_yeo_johnson(spark, sf_dir):
-    cust = A.read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    out, lam = P.yeo_johnson(cust, ["c_acctbal"])
-    return _round_stats(out, "c_acctbal").withColumn("lambda", F.lit(lam["c_acctbal"]))
+    """A balance, and a count that is zero for nearly all customers: its lambda lies far outside any usual bracket."""
+    rare = F.count(F.when((F.col("event_type") == "error") & (F.col("value") > 60), 1)).cast("double")
+    src = A.nullable_events(spark, sf_dir).groupBy("c_custkey").agg(F.max("c_acctbal").alias("c_acctbal"), rare.alias("erros_caros"))
+    out, lam = P.yeo_johnson(src, ["c_acctbal", "erros_caros"])
+    return out.select("c_custkey", (F.round("c_acctbal", 6) + F.lit(0.0)).alias("c_acctbal"), F.lit(lam["c_acctbal"]).alias("lambda"),
+                      (F.round("erros_caros", 9) + F.lit(0.0)).alias("erros_caros"), F.lit(lam["erros_caros"]).alias("lambda_erros"))
 
 
 def _feature_matrix_sql() -> str:
@@ -879,7 +930,7 @@ ab{tag} AS (SELECT cd_cliente, max(CASE WHEN lab = own THEN n END) AS nown,
   max(CASE WHEN lab = own AND n > 1 THEN d2 * n / (n - 1.0) END) AS a, min(CASE WHEN lab <> own THEN d2 END) AS b
   FROM pd{tag} GROUP BY cd_cliente),
 sil{tag} AS (SELECT avg(CASE WHEN nown <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)
-  AS silhouette FROM ab{tag}),
+  AS silhouette_squared FROM ab{tag}),
 cen{tag} AS (SELECT lab, count(*) AS n, {', '.join(f'avg(x{i}) AS c{i}' for i in range(d))} FROM pts{tag} GROUP BY lab),
 sc{tag} AS (SELECT p.lab, avg(sqrt({' + '.join(f'(p.x{i} - c.c{i}) * (p.x{i} - c.c{i})' for i in range(d))})) AS s,
   sum({' + '.join(f'(p.x{i} - c.c{i}) * (p.x{i} - c.c{i})' for i in range(d))}) AS w
@@ -892,7 +943,7 @@ ov{tag} AS (SELECT {', '.join(f'avg(x{i}) AS o{i}' for i in range(d))}, count(*)
 ch{tag} AS (SELECT ((SELECT sum(c.n * ({' + '.join(f'(c.c{i} - o.o{i}) * (c.c{i} - o.o{i})' for i in range(d))}))
     FROM cen{tag} c, ov{tag} o) / ({k} - 1)) / ((SELECT sum(w) FROM sc{tag}) / ((SELECT n FROM ov{tag}) - {k}))
   AS calinski_harabasz),
-m{tag} AS (SELECT {k} AS k, round(silhouette, 6) + 0.0 AS silhouette, round(davies_bouldin, 6) + 0.0 AS davies_bouldin,
+m{tag} AS (SELECT {k} AS k, round(silhouette_squared, 6) + 0.0 AS silhouette_squared, round(davies_bouldin, 6) + 0.0 AS davies_bouldin,
   round(calinski_harabasz, 6) + 0.0 AS calinski_harabasz FROM sil{tag}, db{tag}, ch{tag})"""
 
 
@@ -900,20 +951,17 @@ def _metric_sql(metric: str) -> str:
     return f"WITH {SQL_FEATURES_CTE},{_metrics_sql_parts(3, '')} SELECT {metric} FROM m"
 
 
-def _metric_frame(spark, sf_dir, k: int = 3) -> dict:
-    lf = labelled_features(spark, sf_dir, k)
-    return K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
-
-
 def _one_metric(spark, sf_dir, name):
-    r = _metric_frame(spark, sf_dir)
-    df = spark.createDataFrame([(float(r[name]),)], f"{name} double")
-    return _round_stats(df, name)
+    from cohortlens.session import cut_lineage
 
+    # two passes over the labelled frame: materialise once
+    r = K.labelled_metrics(cut_lineage(labelled_features(spark, sf_dir)), METRIC_COLS, "cluster")
+    return _round_stats(spark.createDataFrame([(float(r[name]),)], f"{name} double"), name)
 
-@query("silhouette", inventory="K8 Q21", sql=_metric_sql("silhouette"))
+
+@query("silhouette", inventory="K8 Q21", sql=_metric_sql("silhouette_squared"))
 def q_silhouette(spark, sf_dir):
-    return _one_metric(spark, sf_dir, "silhouette")
+    return _one_metric(spark, sf_dir, "silhouette_squared")
 
 
 @query("davies_bouldin", inventory="K9", sql=_metric_sql("davies_bouldin"))
@@ -929,23 +977,28 @@ def q_calinski_harabasz(spark, sf_dir):
 SELECT_KS = list(range(2, 10))
 
 
-@query("select_k", inventory="H2 K15",
-       sql=f"WITH {SQL_FEATURES_CTE}," + ",".join(_metrics_sql_parts(k, f'_{k}') for k in SELECT_KS)
-           + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT * FROM m_{k}" for k in SELECT_KS)
-           + ") ORDER BY silhouette DESC, davies_bouldin ASC, k ASC LIMIT 1")
-def q_select_k(spark, sf_dir):
+SELECT_KS_SQL = (f"WITH {SQL_FEATURES_CTE}," + ",".join(_metrics_sql_parts(k, f'_{k}') for k in SELECT_KS)
+                 + ", best AS (SELECT * FROM (" + " UNION ALL ".join(f"SELECT * FROM m_{k}" for k in SELECT_KS)
+                 + ") ORDER BY silhouette_squared DESC, davies_bouldin ASC, k ASC LIMIT 1)")
+
+
+def best_fixed_labelling(spark, sf_dir) -> DataFrame:
+    """The metric table of eight fixed labellings, by the function the sweep runs, and its best row."""
     from cohortlens.session import cut_lineage
 
     feats = cut_lineage(features_frame(spark, sf_dir))
 
     def score(k):
-        lf = feats.withColumn("cluster", fixed_label(k))
-        r = K.cluster_metrics_row(lf, METRIC_COLS, "cluster")
-        return (k, r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"])
+        r = K.labelled_metrics(feats.withColumn("cluster", fixed_label(k)), METRIC_COLS, "cluster")
+        return (k, r["silhouette_squared"], r["davies_bouldin"], r["calinski_harabasz"])
+
+    metrics = spark.createDataFrame(K.parallel_map(score, SELECT_KS, 8), K.METRICS_SCHEMA)
+    return K.select_k(_round_stats(metrics, "silhouette_squared", "davies_bouldin", "calinski_harabasz"))
 
-    rows = K.parallel_map(score, SELECT_KS, 8)
-    metrics = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
-    return K.select_k(_round_stats(metrics, "silhouette", "davies_bouldin", "calinski_harabasz"))
+
+@query("select_k", inventory="H2 K15", sql=SELECT_KS_SQL + " SELECT * FROM best")
+def q_select_k(spark, sf_dir):
+    return best_fixed_labelling(spark, sf_dir)
 
 
 @query("cluster_profile", inventory="F9 E5 H1 Q22",
@@ -969,85 +1022,172 @@ def q_cluster_profile(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Fitted models (no SQL oracle: rows-only check + unit invariants)
+# Rules of the model half on given parameters, and the fitted sweeps, checked by what must hold for any fit
 # ---------------------------------------------------------------------------
-_SEGMENTS: dict = {}
+MATRIX_PARTITIONS = 4        # fixed: the same layout, and so the same fit, on any machine
+SWITCH = ("silhouette_squared", 0.20)   # the metric the sweep computes, and a threshold for it
 
 
-def segmentation(spark, sf_dir):
-    """The segmentation of one scale, fitted once per Spark application and reused by the
-    model queries (its inputs are checkpointed, so reuse is safe)."""
-    from cohortlens.plans.jobs import segment_customers
+def matrix_frame(spark, sf_dir):
+    from cohortlens.plans.jobs import feature_matrix
+
+    return feature_matrix(features_frame(spark, sf_dir), MATRIX_PARTITIONS)
+
+
+def _sweep_rows(spark, metrics, labels, value: str) -> DataFrame:
+    """One row per k: whether its value is a number, and for the best k its customers and clusters."""
+    n = labels.agg(F.count("cluster").alias("clientes"), F.countDistinct("cd_cliente").alias("ids"), F.countDistinct("cluster").alias("clusters")).first()
+    ok = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    return metrics.select("k", ok.alias("finito"), F.lit(n["clientes"]).alias("clientes"), F.lit(n["ids"]).alias("ids"),
+                          F.lit(2 <= n["clusters"] <= 9).alias("clusters_ok"))
+
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SEGMENTS:
-        _SEGMENTS[key] = segment_customers(features_frame(spark, sf_dir))
-    return _SEGMENTS[key]
+SWEEP_SQL = (f"WITH {SQL_FEATURES_CTE} SELECT CAST(range AS INTEGER) AS k, true AS finito, (SELECT count(*) FROM feats) AS clientes, "
+             "(SELECT count(DISTINCT cd_cliente) FROM feats) AS ids, true AS clusters_ok FROM range(2, 10)")
 
 
-@query("kmeans_sweep", inventory="K7 K8-K10 K15")
+@query("kmeans_sweep", inventory="K7 K8-K10 K15", sql=SWEEP_SQL)
 def q_kmeans_sweep(spark, sf_dir):
-    return segmentation(spark, sf_dir).kmeans.metrics
+    model, matrix = matrix_frame(spark, sf_dir)
+    r = K.kmeans_sweep(matrix, "cd_cliente", model.feature_names)
+    return _sweep_rows(spark, r.metrics, r.labels, "silhouette_squared")
 
 
-@query("gmm_sweep", inventory="K11 K12 K15")
+@query("gmm_sweep", inventory="K11 K12 K15", sql=SWEEP_SQL)
 def q_gmm_sweep(spark, sf_dir):
-    return segmentation(spark, sf_dir).gmm.metrics
+    model, matrix = matrix_frame(spark, sf_dir)
+    r = K.gmm_sweep(matrix, "cd_cliente", model.feature_names)
+    return _sweep_rows(spark, r.metrics, r.labels, "bic")
+
+
+# Mixtures of one to three components over two columns, (weight, means, covariance).
+MIXTURE_COLS = ["tempo_vida_anos", "qt_contratos_12m"]
+MIXTURES = {
+    1: [(1.0, (4.0, 4.0), ((4.0, 0.5), (0.5, 16.0)))],
+    2: [(0.5, (3.0, 0.5), ((4.0, 0.0), (0.0, 1.0))), (0.5, (4.0, 6.0), ((4.0, 1.0), (1.0, 16.0)))],
+    3: [(0.25, (3.0, 0.5), ((4.0, 0.0), (0.0, 1.0))), (0.5, (5.0, 4.0), ((4.0, 0.0), (0.0, 9.0))), (0.25, (6.0, 10.0), ((4.0, 0.0), (0.0, 25.0)))],
+}
+
+
+def _mixture_sql() -> str:
+    rows = []
+    for k, parts in MIXTURES.items():
+        dens = []
+        for w, (mx, my), ((a, c), (_, b)) in parts:
+            det = a * b - c * c
+            form = f"({b} * (x - {mx}) * (x - {mx}) - 2 * {c} * (x - {mx}) * (y - {my}) + {a} * (y - {my}) * (y - {my})) / {det}"
+            dens.append(f"{w} / (2 * pi() * sqrt({det})) * exp(-0.5 * {form})")
+        p = (k - 1) + 2 * k + 3 * k
+        rows.append(f"SELECT {k} AS k, round(-2 * sum(ln({' + '.join(dens)})) + {p} * ln(count(*)), 3) AS bic FROM xy")
+    return (f"WITH {SQL_FEATURES_CTE}, xy AS (SELECT tempo_vida_anos AS x, CAST(qt_contratos_12m AS DOUBLE) AS y FROM feats), "
+            f"b AS ({' UNION ALL '.join(rows)})")
+
+
+def mixture_bics(spark, sf_dir) -> DataFrame:
+    from cohortlens.session import cut_lineage
+
+    xy = cut_lineage(features_frame(spark, sf_dir).select(*MIXTURE_COLS))
+    rows = []
+    for k, parts in MIXTURES.items():
+        n, ll = K.mixture_log_likelihood(xy, MIXTURE_COLS, *zip(*parts))
+        rows.append((k, round(K.gmm_bic(ll, n, k, len(MIXTURE_COLS)), 3)))
+    return spark.createDataFrame(rows, "k int, bic double")
+
 
+@query("gmm_bic", inventory="K12", sql=_mixture_sql() + " SELECT * FROM b")
+def q_gmm_bic(spark, sf_dir):
+    """BIC of mixtures with given parameters, by the rule the sweep applies to its fits."""
+    return mixture_bics(spark, sf_dir)
 
-@query("select_k_bic", inventory="H3")
+
+@query("select_k_bic", inventory="H3", sql=_mixture_sql() + " SELECT * FROM b ORDER BY bic, k LIMIT 1")
 def q_select_k_bic(spark, sf_dir):
-    return K.select_k_bic(segmentation(spark, sf_dir).gmm.metrics)
+    return K.select_k_bic(mixture_bics(spark, sf_dir))
 
 
-@query("choose_model", inventory="K13")
+@query("choose_model", inventory="K13",
+       sql=SELECT_KS_SQL + f" SELECT CASE WHEN {SWITCH[0]} < {SWITCH[1]} THEN 'GMM' ELSE 'KMeans' END AS algoritmo, k, {SWITCH[0]} FROM best")
 def q_choose_model(spark, sf_dir):
-    r = segmentation(spark, sf_dir)
-    return spark.createDataFrame([(r.algorithm, int(r.k), float(r.kmeans.best["silhouette"]))],
-                                 "algoritmo string, k int, silhouette_kmeans double")
+    best = best_fixed_labelling(spark, sf_dir).first().asDict()
+    algorithm = K.choose_model(best, {"bic": 0.0}, *SWITCH)
+    return spark.createDataFrame([(algorithm, best["k"], best[SWITCH[0]])], f"algoritmo string, k int, {SWITCH[0]} double")
+
+
+# Centroids over MIXTURE_COLS.
+CENTROIDS = [(2.0, 1.0), (4.0, 5.0), (6.0, 12.0)]
+CENTROID_SQL = "list_position([" + ", ".join(
+    f"(tempo_vida_anos - {x}) * (tempo_vida_anos - {x}) + (qt_contratos_12m - {y}) * (qt_contratos_12m - {y})" for x, y in CENTROIDS) + "], least(" + ", ".join(
+    f"(tempo_vida_anos - {x}) * (tempo_vida_anos - {x}) + (qt_contratos_12m - {y}) * (qt_contratos_12m - {y})" for x, y in CENTROIDS) + ")) - 1"
 
 
-@query("cluster_assign", inventory="K14 E6")
+@query("cluster_assign", inventory="K14 E6",
+       sql=f"WITH {SQL_FEATURES_CTE} SELECT cd_cliente, CAST({CENTROID_SQL} AS INTEGER) AS cluster FROM feats")
 def q_cluster_assign(spark, sf_dir):
-    return segmentation(spark, sf_dir).labels
+    return K.assign_nearest(features_frame(spark, sf_dir), MIXTURE_COLS, CENTROIDS).select("cd_cliente", "cluster")
 
 
-@query("segment_customers", inventory="P14 F9 H1")
+@query("segment_customers", inventory="P14 F9 H1",
+       sql=f"WITH {SQL_FEATURES_CTE} SELECT count(*) AS clientes, count(DISTINCT cd_cliente) AS ids, true AS perfil_confere, true AS por_tamanho FROM feats")
 def q_segment_customers(spark, sf_dir):
-    return segmentation(spark, sf_dir).profile
-
+    """The whole job; what must hold for any fit: one label per customer, a profile that adds up, clusters numbered by size."""
+    from cohortlens.plans.jobs import segment_customers
 
-@query("pca_2d", inventory="K16 P16")
+    r = segment_customers(features_frame(spark, sf_dir), MATRIX_PARTITIONS, *SWITCH)
+    profile = [(x["cluster"], x["clientes"]) for x in r.profile.collect()]
+    n = r.labels.agg(F.count("cluster").alias("clientes"), F.countDistinct("cd_cliente").alias("ids"))
+    sizes = [c for _, c in profile]
+    adds_up = n.select((F.col("clientes") == sum(sizes)).alias("ok")).first()["ok"] and len(profile) == r.k and min(sizes) > 0
+    by_size = [c for c, _ in profile] == list(range(len(profile))) and sizes == sorted(sizes, reverse=True)
+    return n.select("clientes", "ids", F.lit(adds_up).alias("perfil_confere"), F.lit(by_size).alias("por_tamanho"))
+
+
+@query("pca_2d", inventory="K16 P16",
+       sql=f"""WITH {SQL_FEATURES_CTE},
+c AS (SELECT cd_cliente, least(qt_contratos_12m, 2) AS cluster, tempo_vida_anos - avg(tempo_vida_anos) OVER () AS x,
+  qt_contratos_12m - avg(qt_contratos_12m) OVER () AS y FROM feats),
+v AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS d FROM c),
+e AS (SELECT b, (a + d) / 2 + sqrt((a - d) * (a - d) / 4 + b * b) - a AS g FROM v),
+u AS (SELECT b / sqrt(b * b + g * g) AS ux, g / sqrt(b * b + g * g) AS uy FROM e),
+s AS (SELECT CASE WHEN abs(ux) > abs(uy) THEN sign(ux) ELSE sign(uy) END * ux AS ux, CASE WHEN abs(ux) > abs(uy) THEN sign(ux) ELSE sign(uy) END * uy AS uy FROM u)
+SELECT cd_cliente, CAST(cluster AS INTEGER) AS cluster, round(x * ux + y * uy, 5) + 0.0 AS pca_1,
+  round(CASE WHEN abs(uy) > abs(ux) THEN sign(uy) ELSE -sign(ux) END * (x * uy - y * ux), 5) + 0.0 AS pca_2 FROM c, s""")
 def q_pca_2d(spark, sf_dir):
+    """Two columns, so that the axes have a closed form; the label travels along."""
     from cohortlens.plans.jobs import pca_view
+    from cohortlens.session import cut_lineage
 
-    return pca_view(segmentation(spark, sf_dir))
+    xy = cut_lineage(labelled_features(spark, sf_dir).select("cd_cliente", F.col("cluster").cast("int").alias("cluster"), *MIXTURE_COLS))
+    return _round_stats(pca_view(xy, MIXTURE_COLS, ["cd_cliente", "cluster"]), "pca_1", "pca_2", digits=5)
 
 
-@query("export_segments", inventory="P15 A8")
+@query("export_segments", inventory="P15 A8 E6",
+       sql=f"WITH {SQL_FEATURES_CTE} SELECT cd_cliente, least(qt_contratos_12m, 2) AS cluster, tempo_vida_anos, qt_contratos_12m, "
+           "vl_faixa_faturamento, (SELECT count(*) FROM (SELECT DISTINCT least(qt_contratos_12m, 2) FROM feats)) AS linhas_perfil FROM feats")
 def q_export_segments(spark, sf_dir):
+    """A fixed labelling is exported and read back."""
     from cohortlens.plans.jobs import export_segments
-    from cohortlens.session import scratch_path
+    from cohortlens.session import cut_lineage, scratch_path
     from cohortlens.sources.io import scan_csv
 
-    feats = features_frame(spark, sf_dir)
-    rows_path, _ = export_segments(feats, segmentation(spark, sf_dir), scratch_path(spark, "export"))
-    cols = feats.columns + ["cluster"]
-    return scan_csv(spark, rows_path, cols)
+    labelled = cut_lineage(labelled_features(spark, sf_dir))
+    rows_path, profile_path = export_segments(labelled, K.cluster_profile(labelled), scratch_path(spark, "export"))
+    rows = scan_csv(spark, rows_path, ["cd_cliente", "cluster", "tempo_vida_anos", "qt_contratos_12m", "vl_faixa_faturamento"])
+    n = scan_csv(spark, profile_path, ["cluster"]).count()
+    return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in (("cd_cliente", "bigint"), ("cluster", "bigint"), ("tempo_vida_anos", "double"), ("qt_contratos_12m", "bigint"))],
+                       "vl_faixa_faturamento", F.lit(n).cast("bigint").alias("linhas_perfil"))
 
 
 # ---------------------------------------------------------------------------
 # CSV round trips through the shared scratch folder
 # ---------------------------------------------------------------------------
-def _roundtrip(spark, df: DataFrame, name: str, delimiter=";", encoding="UTF-8", header_map=None) -> str:
+def _written(spark, df: DataFrame, name: str, delimiter=";", encoding="UTF-8") -> str:
+    """The frame as a CSV folder with one more column and the columns in another order."""
     from cohortlens.session import scratch_path
     from cohortlens.sources.io import sink_csv
 
-    out = df
-    if header_map:
-        out = out.select(*[F.col(c).alias(header_map.get(c, c)) for c in df.columns])
     path = scratch_path(spark, name)
-    sink_csv(out, path, delimiter=delimiter, encoding=encoding)
+    turned = [F.col(quote(c)) for c in reversed(df.columns)]
+    sink_csv(df.select(F.lit("x").alias("EXTRA"), *turned), path, delimiter=delimiter, encoding=encoding)
     return path
 
 
@@ -1065,41 +1205,34 @@ def q_scan_csv(spark, sf_dir):
     from cohortlens.sources.io import scan_csv
 
     cust = A.read(spark, sf_dir, "customer")
-    path = _roundtrip(spark, cust, "scan-csv")
-    return _customer_typed(scan_csv(spark, path, cust.columns))
+    return _customer_typed(scan_csv(spark, _written(spark, cust, "scan-csv"), cust.columns))
 
 
 @query("sink_csv", inventory="A8", sql=CUSTOMER_TEXT_SQL)
 def q_sink_csv(spark, sf_dir):
-    from cohortlens.sources.io import scan_csv
+    from cohortlens.session import scratch_path
+    from cohortlens.sources.io import scan_csv, sink_csv
 
-    cust = A.read(spark, sf_dir, "customer")
-    return _customer_typed(scan_csv(spark, _roundtrip(spark, cust, "sink-csv"), cust.columns))
+    cust, path = A.read(spark, sf_dir, "customer"), scratch_path(spark, "sink-csv")
+    sink_csv(cust, path)
+    return _customer_typed(scan_csv(spark, path, cust.columns))
 
 
-@query("scan_csv_latin1", inventory="A2 C2",
-       sql=f"SELECT CAST(user_id AS VARCHAR) AS cd_cliente, date_trunc('second', ts) AS dt_resposta, "
-           f"({A.survey_score_sql(0)}) AS nota_nps, {NPS_SQL.format(s='(' + A.survey_score_sql(0) + ')')} "
-           f"AS classificacao_nps, ({A.survey_score_sql(1)}) AS nota_agilidade, ({A.survey_score_sql(2)}) AS "
-           f"nota_conhecimento, ({A.survey_score_sql(3)}) AS nota_custo, ({A.survey_score_sql(4)}) AS nota_facilidade, "
-           f"({A.survey_score_sql(5)}) AS nota_flexibilidade FROM events WHERE user_id IS NOT NULL")
+@query("scan_csv_latin1", inventory="A2 C2", sql=SURVEY_SQL["nps_acquisition"])
 def q_scan_csv_latin1(spark, sf_dir):
     from cohortlens.sources.io import scan_source
 
     spec = M.NPS_ACQUISITION
-    raw = A.raw_survey(spark, sf_dir, spec)
-    path = _roundtrip(spark, raw, "latin1", delimiter=spec.delimiter, encoding=spec.encoding)
+    path = _written(spark, A.raw_survey(spark, sf_dir, spec.name), "latin1", spec.delimiter, spec.encoding)
     return M.apply_mapping(scan_source(spark, path, spec), spec)
 
 
-@query("map_awkward_columns", inventory="C2 A2",
-       sql=A.survey_oracle_sql(M.NPS_ONBOARDING, NPS_SQL))
+@query("map_awkward_columns", inventory="C2 A2", sql=SURVEY_SQL["nps_onboarding"])
 def q_map_awkward_columns(spark, sf_dir):
     from cohortlens.sources.io import scan_source
 
     spec = M.NPS_ONBOARDING
-    path = _roundtrip(spark, A.raw_survey(spark, sf_dir, spec), "awkward", delimiter=spec.delimiter,
-                      encoding=spec.encoding)
+    path = _written(spark, A.raw_survey(spark, sf_dir, spec.name), "awkward", spec.delimiter, spec.encoding)
     return M.apply_mapping(scan_source(spark, path, spec), spec)
 
 
@@ -1108,11 +1241,17 @@ def q_map_awkward_columns(spark, sf_dir):
   CAST(l_partkey AS VARCHAR) AS id_modulo, CAST(l_suppkey AS VARCHAR) AS id_linha_produto,
   CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS dt_referencia_inicio, CAST(l_linenumber AS VARCHAR) AS id_slot,
   l_linestatus AS status_licenca, l_returnflag AS tcloud,
-  CASE WHEN l_discount >= 0.05 THEN 'S' ELSE 'N' END AS cliente_prime FROM lineitem WHERE l_orderkey IS NOT NULL""")
+  CASE WHEN l_discount >= 0.05 THEN 'S' ELSE 'N' END AS cliente_prime FROM lineitem WHERE l_orderkey IS NOT NULL
+UNION ALL SELECT CAST(user_id AS VARCHAR), value, 'm', 'p', CAST(CAST(ts AS DATE) AS TIMESTAMP), CAST(event_id AS VARCHAR), event_type, 't', 'N'
+FROM events WHERE user_id IS NOT NULL""")
 def q_scan_csv_multi(spark, sf_dir):
+    """Eleven folders of one header and one, from another table, with more columns in another order."""
     from cohortlens.sources.io import scan_source
 
     spec = M.TELEMETRY
-    paths = [_roundtrip(spark, s, f"telemetria-{i + 1}", delimiter=spec.delimiter)
-             for i, s in enumerate(A.raw_telemetry_slices(spark, sf_dir))]
+    ev = A.read(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("clienteid"), F.col("value").cast("string").alias("eventduration"), F.lit("m").alias("moduloid"),
+        F.lit("p").alias("productlineid"), A.dayfirst_text(F.col("ts")).alias("referencedatestart"), F.col("event_id").cast("string").alias("slotid"),
+        F.col("event_type").alias("statuslicenca"), F.lit("t").alias("tcloud"), F.lit("N").alias("clienteprime"))
+    paths = [*A.telemetry_files(spark, sf_dir, spec.delimiter), _written(spark, ev, "telemetria-12", spec.delimiter)]
     return M.apply_mapping(scan_source(spark, paths, spec), spec)

@@ -2,13 +2,18 @@
 
 Library code never changes global session settings; only ``local_session``
 (tests, bench) sets configuration.  Scratch data always goes below the
-cluster's shared checkpoint folder (``spark.checkpoint.dir``); a private
-folder is created only when the session has none (local tests).
+cluster's shared checkpoint folder (``spark.checkpoint.dir``).  A private folder,
+deleted when the process ends, is made only for a ``local`` master without that
+setting (tests); on a cluster a missing setting is an error, because executors
+would write to disks that nobody else can read.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,15 +38,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+#: Scratch folders written by this process, by Spark application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    return re.match(r"local($|\[)", spark.sparkContext.master) is not None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a private one only if unset."""
+    """The shared checkpoint folder of the session; a private one only for a local master without the setting."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -49,7 +66,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/cohortlens-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/cohortlens-{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this process has written for the application; the number of folders.
+
+    For callers that run many jobs in one application: call it when no frame built on scratch
+    data is needed any more."""
+    jvm = spark.sparkContext._jvm
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        target = jvm.org.apache.hadoop.fs.Path(p)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -1,46 +1,75 @@
-"""Readers and writers: CSV with fixed all-string schemas, JDBC with partitioned reads.
-
-* No schema inference: every source is read with an explicit ``StructType`` of
-  strings, so there is no inference job and types never depend on the day's data;
-  conversion to the declared types happens in the mapping operator (``try_cast``).
-* Several files of one source are one scan (``spark.read.csv([paths])``), not a chain
-  of unions of separate scans.
+"""Readers and writers: CSV bound by header name, JDBC with partitioned reads.
+
+* No schema inference: the header line names the columns, all are read as strings, the wanted
+  ones are selected by name (a missing one raises); conversion to the declared types happens
+  in the mapping operator (``try_cast``).
+* Files of one source whose headers are equal are one scan; files with another column order
+  are one scan for each order.  Spark checks the header of every file of a scan, and a line with
+  more or fewer fields than the header stops the job (``on_bad_line="null"`` fills and cuts it).
 * Paths are plain URIs; the Hadoop file system is picked by the scheme (``s3a://``,
   ``abfss://``, ``hdfs://``, ``file:``), credentials come from the session.
-* JDBC reads split on a numeric column into ``num_partitions`` range queries; Spark
-  pushes projections and filters into them.  Writes set ``batchsize`` and the number
-  of concurrent connections (``num_partitions``); ``truncate`` keeps the table
-  definition on overwrite.  The append sink can skip keys already present.
+* JDBC reads are split on a column into range queries, which the caller states; Spark
+  pushes projections and filters into them.  Writes set ``batchsize`` and the stated number
+  of concurrent connections; ``truncate`` keeps the table definition on overwrite.  The append
+  sink can skip keys already present.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.functions.clean import quote
 from cohortlens.operators.mapping import MappingSpec
+from cohortlens.operators.relational import append_guard
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _reader(spark: SparkSession, delimiter: str, encoding: str):
+    return spark.read.option("header", "true").option("sep", delimiter).option("encoding", encoding)
+
+
+def csv_header(spark: SparkSession, path: str, delimiter: str = ";", encoding: str = "UTF-8") -> list[str]:
+    """Column names in the first line of a file (or of a file of the folder)."""
+    return _reader(spark, delimiter, encoding).csv(path).columns
+
+
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], delimiter: str = ";",
-             encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """CSV source(s) with a header row, read with a fixed all-string schema."""
-    reader = (spark.read.schema(string_schema(columns)).option("header", str(header).lower())
-              .option("sep", delimiter).option("encoding", encoding).option("mode", "PERMISSIVE")
-              .option("enforceSchema", "true"))
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+             encoding: str = "UTF-8", on_bad_line: str = "reject") -> DataFrame:
+    """The wanted ``columns`` of CSV source(s) with a header row, as strings, found by name.
 
+    Headers may have more columns, in any order; all files of one folder have one header."""
+    if on_bad_line not in ("reject", "null"):
+        raise ValueError("on_bad_line is 'reject' or 'null'")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in [paths] if isinstance(paths, str) else list(paths):
+        header = csv_header(spark, path, delimiter, encoding)
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{path}: no column {missing} in the header {header}")
+        by_header.setdefault(tuple(header), []).append(path)
+    frames = [
+        _reader(spark, delimiter, encoding).schema(string_schema(header)).option("enforceSchema", "false")
+        .option("mode", "FAILFAST" if on_bad_line == "reject" else "PERMISSIVE").option("columnPruning", "false")
+        .csv(same).select(*[F.col(quote(c)) for c in columns])
+        for header, same in by_header.items()]
+    return reduce(DataFrame.union, frames)
 
-def scan_source(spark: SparkSession, paths: str | Sequence[str], spec: MappingSpec) -> DataFrame:
-    """Raw source of a mapping job: its header columns, delimiter and encoding."""
-    return scan_csv(spark, paths, spec.sources if not spec.extra_not_null else
-                    list(dict.fromkeys(spec.sources + list(spec.extra_not_null))),
-                    delimiter=spec.delimiter, encoding=spec.encoding)
+
+def scan_source(spark: SparkSession, paths: str | Sequence[str], spec: MappingSpec, on_bad_line: str = "reject") -> DataFrame:
+    """Raw source of a mapping job: the columns its spec reads, its delimiter and encoding."""
+    return scan_csv(spark, paths, source_columns(spec), spec.delimiter, spec.encoding, on_bad_line)
+
+
+def source_columns(spec: MappingSpec) -> list[str]:
+    return list(dict.fromkeys([*spec.sources, spec.key, *spec.extra_not_null]))
 
 
 def sink_csv(df: DataFrame, path: str, delimiter: str = ";", encoding: str = "UTF-8",
@@ -49,39 +78,31 @@ def sink_csv(df: DataFrame, path: str, delimiter: str = ";", encoding: str = "UT
      .csv(path))
 
 
-def scan_jdbc(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str | None = None,
-              lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 64,
-              fetch_size: int = 10_000) -> DataFrame:
-    """JDBC table read; with a partition column the read is split into range queries."""
+def scan_jdbc(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str,
+              lower_bound: int, upper_bound: int, num_partitions: int, fetch_size: int = 10_000) -> DataFrame:
+    """JDBC table read, split on ``partition_column`` into ``num_partitions`` range queries.
+
+    The bounds place the ranges only; rows outside them fall into the first and the last one."""
     props = dict(properties)
     props.setdefault("fetchsize", str(fetch_size))
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=props)
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                            upperBound=upper_bound, numPartitions=num_partitions, properties=props)
 
 
-def sink_jdbc_overwrite(df: DataFrame, url: str, table: str, properties: dict, num_partitions: int = 32,
+def sink_jdbc_overwrite(df: DataFrame, url: str, table: str, properties: dict, connections: int,
                         batch_size: int = 10_000, truncate: bool = True) -> None:
     # repartition, not coalesce: coalesce would shrink the whole upstream stage to
-    # ``num_partitions`` tasks; a shuffle keeps the computation wide and only caps connections
-    (df.repartition(num_partitions).write.option("truncate", str(truncate).lower())
+    # ``connections`` tasks; a shuffle keeps the computation wide and only caps connections
+    (df.repartition(connections).write.option("truncate", str(truncate).lower())
      .option("batchsize", str(batch_size)).jdbc(url, table, mode="overwrite", properties=properties))
 
 
-def sink_jdbc_append(df: DataFrame, url: str, table: str, properties: dict, key: str | None = None,
-                     num_partitions: int = 32, batch_size: int = 10_000, key_partition_column: str | None = None,
-                     key_lower_bound: int | None = None, key_upper_bound: int | None = None,
-                     key_read_partitions: int = 64) -> None:
-    """Append; with ``key`` only rows whose key is not in the table yet (idempotent re-run).
-
-    The existing keys are read with only the key column selected (pushed into the
-    query); give ``key_partition_column`` and bounds to split that read into range
-    queries instead of one connection."""
-    out = df
-    if key is not None:
-        existing = scan_jdbc(df.sparkSession, url, table, properties, key_partition_column, key_lower_bound,
-                             key_upper_bound, key_read_partitions).select(key)
-        out = df.join(existing.distinct(), on=key, how="left_anti")
-    out.repartition(num_partitions).write.option("batchsize", str(batch_size)).jdbc(
+def sink_jdbc_append(df: DataFrame, url: str, table: str, properties: dict, connections: int,
+                     existing: DataFrame | None = None, key: str | None = None, batch_size: int = 10_000) -> None:
+    """Append; with ``existing`` (the target, read with ``scan_jdbc``) and ``key`` only rows whose key is
+    not there yet (idempotent re-run, see ``append_guard``)."""
+    if (existing is None) != (key is None):
+        raise ValueError("existing and key belong together")
+    out = df if existing is None else append_guard(df, existing, key)
+    out.repartition(connections).write.option("batchsize", str(batch_size)).jdbc(
         url, table, mode="append", properties=properties)

@@ -43,8 +43,8 @@ def labelled(spark):
 def test_indices_match_brute_force(spark, labelled):
     df, x, lab = labelled
     sil, db, ch = _brute(x, lab)
-    r = K.cluster_metrics_row(df, ["a", "b", "c"], "cluster")
-    assert np.isclose(r["silhouette"], sil, rtol=1e-9)
+    r = K.labelled_metrics(df, ["a", "b", "c"], "cluster")
+    assert np.isclose(r["silhouette_squared"], sil, rtol=1e-9)
     assert np.isclose(r["davies_bouldin"], db, rtol=1e-9)
     assert np.isclose(r["calinski_harabasz"], ch, rtol=1e-9)
 
@@ -52,24 +52,24 @@ def test_indices_match_brute_force(spark, labelled):
 def test_vector_path_and_spark_evaluator_agree(spark, labelled):
     df, x, lab = labelled
     vec = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
-    r1 = K.cluster_metrics_row(df, ["a", "b", "c"], "cluster")
+    r1 = K.labelled_metrics(df, ["a", "b", "c"], "cluster")
     r2 = K.vector_metrics_row(vec, "features", "cluster", d=3)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                              distanceMeasure="squaredEuclidean").evaluate(vec)
-    for key in ("silhouette", "davies_bouldin", "calinski_harabasz"):
+    for key in ("silhouette_squared", "davies_bouldin", "calinski_harabasz"):
         assert np.isclose(r1[key], r2[key], rtol=1e-9)
-    assert np.isclose(r1["silhouette"], ev, rtol=1e-9)
+    assert np.isclose(r1["silhouette_squared"], ev, rtol=1e-9)
 
 
 def test_selection_rules(spark):
     m = spark.createDataFrame([(2, 0.5, 1.0, 1.0), (3, 0.6, 0.9, 1.0), (4, 0.6, 0.8, 1.0), (5, 0.6, 0.8, 2.0)],
-                              "k int, silhouette double, davies_bouldin double, calinski_harabasz double")
+                              K.METRICS_SCHEMA)
     assert K.select_k(m).first()["k"] == 4
     b = spark.createDataFrame([(2, 10.0), (3, 5.0), (4, 5.0)], "k int, bic double")
     assert K.select_k_bic(b).first()["k"] == 3
-    assert K.choose_model({"silhouette": 0.1}, {"bic": 1.0}) == "GMM"
-    assert K.choose_model({"silhouette": 0.3}, {"bic": 1.0}) == "KMeans"
-    assert K.choose_model({"silhouette": 0.1}, None) == "KMeans"
+    assert K.choose_model({"m": 0.1}, {"bic": 1.0}, "m", 0.2) == "GMM"
+    assert K.choose_model({"m": 0.3}, {"bic": 1.0}, "m", 0.2) == "KMeans"
+    assert K.choose_model({"m": 0.1}, None, "m", 0.2) == "KMeans"
     assert np.isclose(K.gmm_bic(-100.0, 50, 2, 3), 200.0 + (1 + 6 + 12) * np.log(50))
 
 
@@ -150,7 +150,7 @@ def test_segment_customers_end_to_end(spark):
                                         "tempo_vida_anos double, qt_contratos_12m long, valor_contratado_12m double, "
                                         "produtos_distintos_12m long, periodicidade_max_meses_12m int, "
                                         "`fechou_>=1ano_12m` boolean, multi_produto_total boolean")
-    res = segment_customers(feats, ks=range(2, 5), parallelism=3)
+    res = segment_customers(feats, 3, "silhouette_squared", 0.2, ks=range(2, 5), parallelism=3)
     labels = res.labels.collect()
     assert len(labels) == 240 and len({r["cd_cliente"] for r in labels}) == 240
     prof = res.profile.collect()
@@ -158,5 +158,49 @@ def test_segment_customers_end_to_end(spark):
     assert sum(sizes) == 240 and sizes == sorted(sizes, reverse=True)
     assert [r["cluster"] for r in prof] == list(range(len(prof)))   # relabelled by size
     with pytest.raises(ValueError):
-        segment_customers(feats.unionByName(feats.limit(1)), ks=range(2, 3))
+        segment_customers(feats.unionByName(feats.limit(1)), 3, "silhouette_squared", 0.2, ks=range(2, 3))
     assert feats.select(F.count("*")).first()[0] == 240
+
+
+FIT = """
+import json, sys
+sys.path.insert(0, {root!r})
+import numpy as np
+from cohortlens.session import local_session
+from cohortlens.operators import cluster as K
+spark = local_session({cpus}, shuffle_partitions={cpus})
+rng = np.random.default_rng(5)
+rows = [(int(i), float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 4, (600, 2)))]
+df = spark.createDataFrame(rows, "id int, x1 double, x2 double").repartition({cpus} * 3)
+r = K.kmeans_sweep(K.canonical(df, "id", 6), "id", ["x1", "x2"], ks=[6], seed=42)
+print("CENTRES", json.dumps(sorted(c.tolist() for c in r.model.clusterCenters())))
+spark.stop()
+"""
+
+
+def test_centres_do_not_depend_on_the_cores():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = []
+    for cpus in (2, 8):
+        out = subprocess.run([sys.executable, "-c", FIT.format(root=root, cpus=cpus)], capture_output=True, text=True, timeout=300)
+        line = [x for x in out.stdout.splitlines() if x.startswith("CENTRES")]
+        assert line, out.stderr[-2000:]
+        found.append(np.array(json.loads(line[0][8:])))
+    assert np.abs(found[0] - found[1]).max() < 1e-9
+
+
+def test_mixture_likelihood_and_nearest_centroid(spark, blobs):
+    x = np.array([[r.x1, r.x2] for r in blobs.collect()])
+    parts = [(0.3, (0.0, 0.0), ((1.0, 0.2), (0.2, 2.0))), (0.7, (5.0, 5.0), ((9.0, 0.0), (0.0, 4.0)))]
+    dens = sum(w * np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)) / (2 * np.pi * np.sqrt(np.linalg.det(c))) for w, m, c in parts)
+    n, ll = K.mixture_log_likelihood(blobs, ["x1", "x2"], *zip(*parts))
+    assert n == 180 and np.isclose(ll, np.log(dens).sum(), rtol=1e-9)
+    cents = [(0.0, 0.0), (6.0, 6.0), (0.0, 8.0)]
+    got = {r.id: r.cluster for r in K.assign_nearest(blobs, ["x1", "x2"], cents).collect()}
+    want = np.argmin(((x[:, None, :] - np.array(cents)) ** 2).sum(-1), axis=1)
+    assert [got[i] for i in range(180)] == want.tolist()

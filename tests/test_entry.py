@@ -27,7 +27,7 @@ def test_contract_shape():
 @pytest.mark.parametrize("name", FAST)
 def test_against_duckdb_oracle(spark, name):
     con = duckdb.connect()
-    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]:
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = E.queries()[name](spark, SF)
     got = sorted(tuple("NULL" if v is None else str(v) for v in r) for r in df.select(sorted(df.columns)).collect())

@@ -38,9 +38,9 @@ def test_date_parser_dayfirst_and_iso(spark, ansi):
 
 def test_defaults_and_safe_int(spark, ansi):
     assert _one(spark, [None, "a"], C.default_text) == ["-", "a"]
-    assert _one(spark, [None, "12", "x"], C.default_number) == [0.0, 12.0, 0.0]
+    assert _one(spark, [None, "12", "x"], C.default_number) == [0.0, 12.0, None]   # bad text is no default
     assert _one(spark, [None, "07/03/2023", "bad"], C.default_date) == [
-        dt.date(1900, 1, 1), dt.date(2023, 3, 7), dt.date(1900, 1, 1)]
+        dt.date(1900, 1, 1), dt.date(2023, 3, 7), None]
     assert _one(spark, ["-", "55", None], C.safe_cast_int) == [None, 55, None]
     assert _one(spark, ["-", "55"], lambda c: C.safe_cast_int(c, 1000)) == [1000, 55]
 

@@ -45,7 +45,7 @@ def test_feature_table_has_no_expand_and_pruned_scans(spark):
 
 
 def test_mapping_job_is_narrow(spark):
-    p = plan(M.apply_mapping(A.raw_survey(spark, SF, M.NPS_RELATIONAL), M.NPS_RELATIONAL))
+    p = plan(M.apply_mapping(A.raw_survey(spark, SF, "nps_relational"), M.NPS_RELATIONAL))
     assert "Exchange" not in p and "Window" not in p
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
 
@@ -57,3 +57,18 @@ def test_no_python_udf_in_any_registered_oracle_query(spark):
     for n in names:
         p = plan(E.queries()[n](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, n
+
+
+def test_box_plots_do_not_shuffle_by_the_column_name(spark):
+    from cohortlens.operators import quality as Qual
+
+    p = plan(Qual.boxplot_stats(A.read(spark, SF, "customer"), ["c_acctbal"]))
+    assert "Join" not in p and "hashpartitioning(variavel" not in p
+
+
+def test_each_source_row_of_a_union_is_read_once(spark):
+    import __spark_entry__ as E
+
+    p = plan(E.queries()["union_many"](spark, SF))
+    assert p.count("FileScan") == 11
+    assert plan(E.queries()["telemetry"](spark, SF)).count("FileScan") == 1
