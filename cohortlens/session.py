@@ -71,17 +71,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete every scratch folder this process has written for the application; the number of folders.
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch folders this process has written for the application and not released."""
+    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
 
-    For callers that run many jobs in one application: call it when no frame built on scratch
-    data is needed any more."""
+
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete scratch folders this process has written for the application (all, or ``paths``); the number of folders.
+
+    For callers that run many jobs in one application: call it when no frame built on that
+    scratch data is needed any more."""
     jvm = spark.sparkContext._jvm
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    for p in paths:
+    written = scratch_paths(spark)
+    gone = [p for p in written if paths is None or p in paths]
+    for p in gone:
         target = jvm.org.apache.hadoop.fs.Path(p)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    return len(paths)
+    _WRITTEN[spark.sparkContext.applicationId] = [p for p in written if p not in gone]
+    return len(gone)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
