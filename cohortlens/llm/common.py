@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import cut_lineage, table_path
+from cohortlens.session import cut_lineage, scratch_path, table_path
 
 #: A word: a run without the six ASCII white-space characters (also a DuckDB pattern).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -151,7 +151,9 @@ def ordered(df: DataFrame, order: list[Column], position: str, name: str) -> Dat
     Rows are dealt by range, so rows equal in some keys are split by the next ones and no key meets in one task.
     """
     dealt = df.repartitionByRange(wide(df), *order).sortWithinPartitions(*order)
-    return cut_lineage(dealt.withColumn(position, F.monotonically_increasing_id()), name)
+    path = scratch_path(df.sparkSession, name)
+    dealt.withColumn(position, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def task_of(position: str) -> Column:

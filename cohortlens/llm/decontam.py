@@ -19,12 +19,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import fresh, narrow
+from cohortlens.llm.common import fresh, narrow, small
 from cohortlens.session import cut_lineage
 
 RADIUS, BLOCKS, BITS = 19, 5, 64
 #: Distinct item shingles that are looked up inside the scan; more are joined by a shuffle.
 MOST_LITERALS = 50_000
+#: Documents to drop (two longs each) that may be broadcast.
+MOST_DROPPED = 1_000_000
 
 
 def word_list(text: Column) -> Column:
@@ -132,11 +134,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5, least: f
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """The documents without a benchmark passage, with their own columns."""
+    """The documents without a benchmark passage, with their own columns.
+
+    Texts are shuffled only if the documents to drop are too many to broadcast.
+    """
     d, t, text = fresh(docs, "__d", "__t", "__text")
     bad = matches(docs, benchmark, shingle=shingle, least=least).select(F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct()
     keyed = docs.withColumn(text, F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col(text) == F.col(t)), "left_anti").drop(text)
+    return keyed.join(small(bad, MOST_DROPPED, "leaks"), F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col(text) == F.col(t)), "left_anti").drop(text)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -22,11 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import chunks, fresh, narrow, texts_of
+from cohortlens.llm.common import chunks, fresh, narrow, small, texts_of
 from cohortlens.session import cut_lineage
 
 #: Fingerprints in one BK-tree.
 MOST = 4096
+#: Ids (8 bytes each) that may be broadcast.
+MOST_IDS = 2_000_000
 #: Rows that a task takes at a time for a forest of shard trees.
 FOREST = 200_000
 
@@ -249,12 +251,20 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id (of repeated rows one); same columns.
+    """One document of each group: the one with the smallest doc_id (of rows that repeat a doc_id one); same columns.
 
-    A row without a doc_id can't be told from others and stays.
+    A row without a doc_id can't be told from others and stays.  The texts are shuffled only if the ids to leave out
+    are too many to broadcast, and those of rows that repeat an id.
     """
-    found = near_duplicates(docs, shingle=shingle, radius=radius)
-    (name,) = fresh(docs, "__gone")
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    found = near_duplicates(docs, shingle=shingle, radius=radius).where("doc_id IS NOT NULL")
+    name, gone, times = fresh(docs, "__id", "__gone", "__times")
+    ids = found.groupBy(F.col("doc_id").alias(name)).agg(
+        F.max(F.coalesce(F.col("component_id") != F.col("doc_id"), F.lit(False))).alias(gone), F.count("*").alias(times))
+    ids = cut_lineage(ids.where(F.col(gone) | (F.col(times) > 1)), "simhash-ids")
+    same_id = F.col("doc_id").cast("long") == F.col(name)
+    kept = docs.join(small(ids.select(name), MOST_IDS, "simhash-gone"), same_id, "left_anti")
+    again = cut_lineage(ids.where(~F.col(gone)).select(name), "simhash-again")
+    if again.isEmpty():
+        return kept
+    repeated = docs.join(small(again, MOST_IDS, "simhash-repeated"), same_id, "left_semi")
+    return kept.union(repeated.dropDuplicates(["doc_id"]))

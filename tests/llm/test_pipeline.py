@@ -16,11 +16,16 @@ def test_every_operator_has_its_query():
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
-def test_stages(spark):
+def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, stage(spark, docs, SF)
-        assert docs.columns == before.columns, name
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        left.append(len(corpus_pipeline._SPENT[spark.sparkContext.applicationId]))
+    assert max(left) < 20  # a stage's scratch folders go when the next stage begins
     out = corpus_pipeline.run(spark, SF).cache()
     assert out.count() == docs.count() > 0
     assert out.groupBy("shard").agg((F.max("slot") + 1 == F.count("*")).alias("gapless")).where("not gapless").count() == 0
