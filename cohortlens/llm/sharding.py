@@ -20,12 +20,13 @@ from cohortlens.llm.common import fresh, named, ordered, row_of, task_of
 from cohortlens.session import cut_lineage
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, *, doc_id: str = "doc_id", text: str = "text",
+def shard_documents(docs: DataFrame, shards: int = 24, *, doc_id: str = "doc_id", text: str = "text", drop_text: bool = False,
                     names: tuple[str, str, str, str] = ("size", "text_crc32", "shard", "slot")) -> DataFrame:
-    """All columns of ``docs`` with size (bytes + 8), text_crc32, shard (int) and slot (long, gapless from 0 in a shard)."""
+    """All columns of ``docs`` (but the text, if ``drop_text``) with size (bytes + 8), text_crc32, shard (int) and slot (long, gapless from 0 in a shard)."""
     size, crc, at, shard, slot = fresh(docs, "__size", "__crc", "__at", "__shard", "__slot")
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     sized = docs.withColumns({size: F.octet_length(body).cast("long") + 8, crc: F.crc32(body.cast("binary"))})
+    sized = sized.drop(text) if drop_text else sized
     rows = ordered(sized, [F.col(f"`{doc_id}`"), F.col(crc), F.col(size)], at, "shard-rows")
     cut = _cut(rows, shards, size, at, shard, slot).drop(at)
     return named(cut, dict(zip((size, crc, shard, slot), names)))
@@ -64,5 +65,5 @@ def _cut(rows: DataFrame, shards: int, size: str, at: str, shard: str, slot: str
 
 
 def digest(docs: DataFrame, shards: int = 24) -> DataFrame:
-    out = shard_documents(docs.select("doc_id", "text"), shards).drop("text")
+    out = shard_documents(docs.select("doc_id", "text"), shards, drop_text=True)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
