@@ -20,7 +20,7 @@ def whole(texts, path=PATH):
 
 def test_words_give_the_ids_of_whole_texts():
     odd = ["", " ", "It's  John's\tCAFÉ\x0b don't", "a\u00a0b \u2003c\x1cd\x85e", "x<|endoftext|>y <|startoftext|>", "e\u0301 \u0301a ﬁ Ⅷ ½", "İstanbul ΣΑΣ", "👩‍👩‍👧 ok 中文字 12345",
-           "\u0130\u0307 I\u0300\n\n.. !!'s 'll", "a" * 3000, "ü" * 500 + " ñ"]
+           "\u0130\u0307 I\u0300\n\n.. !!'s 'll", "a" * 3000, "ü" * 500 + " ñ", "~ a ~~ b~c ~", "| ^ ~", "~"]
     got = huffman.Tokens(PATH)([t.encode() for t in odd])
     assert [g.tolist() + [1] for g in got] == whole(odd)
 
