@@ -34,6 +34,22 @@ class OrdinalModel:
         return sigmoid(score[:, None] - self.thresholds[None, :])
 
 
+def ordinal_slope(score: np.ndarray, free: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the log-likelihood of the grades ``y``: by each score, and by the free parameters (means).
+
+    The first threshold is free, each later one adds the exponential of its parameter, so they stay ordered.
+    """
+    n, cuts, rows = len(y), len(free), np.arange(len(y))
+    cut = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
+    up = np.concatenate([np.ones((n, 1)), sigmoid(score[:, None] - cut[None, :]), np.zeros((n, 1))], axis=1)
+    dens = up * (1 - up)
+    p = np.maximum(up[rows, y] - up[rows, y + 1], 1e-9)
+    by_score = (dens[rows, y] - dens[rows, y + 1]) / p
+    by_cut = np.array([np.where(y == k, dens[:, k + 1] / p, np.where(y == k + 1, -dens[:, k + 1] / p, 0)).mean() for k in range(cuts)])
+    tail = np.cumsum(by_cut[::-1])[::-1]  # a step moves all later thresholds
+    return by_score, np.concatenate([[tail[0]], tail[1:] * np.exp(free[1:])])
+
+
 def fit(docs: DataFrame, grades: DataFrame, *, n_grades: int = 3, max_rows: int = 6000, steps: int = 120) -> OrdinalModel | None:
     """Fits the model on a sample of at most ``max_rows`` graded rows; ``grades`` is (doc_id, grade 0 .. n_grades-1).
 
@@ -48,23 +64,8 @@ def fit(docs: DataFrame, grades: DataFrame, *, n_grades: int = 3, max_rows: int
     start = -np.log(np.clip(above, 1e-3, 1 - 1e-3) / (1 - np.clip(above, 1e-3, 1 - 1e-3)))
     start = np.maximum.accumulate(start + np.arange(n_grades - 1) * 1e-3)
 
-    def slope(score: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # ordered thresholds: the first is free, the others add a positive step
-        cut = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
-        up = np.concatenate([np.ones((n, 1)), sigmoid(score[:, None] - cut[None, :]), np.zeros((n, 1))], axis=1)
-        dens = up * (1 - up)
-        rows = np.arange(n)
-        p = np.maximum(up[rows, y] - up[rows, y + 1], 1e-9)
-        by_score = (dens[rows, y] - dens[rows, y + 1]) / p
-        by_cut = np.zeros((n, n_grades - 1))
-        for k in range(n_grades - 1):
-            by_cut[:, k] = np.where(y == k, dens[:, k + 1] / p, np.where(y == k + 1, -dens[:, k + 1] / p, 0))
-        by_cut = by_cut.mean(axis=0)
-        tail = np.cumsum(by_cut[::-1])[::-1]  # a step moves all later thresholds
-        return by_score, np.concatenate([[tail[0]], tail[1:] * np.exp(free[1:])])
-
     free0 = np.concatenate([[start[0]], np.log(np.maximum(np.diff(start), 1e-3))])
-    weight, free = ascend(row, bucket, value, n, slope, n_grades - 1, steps=steps, start=free0)
+    weight, free = ascend(row, bucket, value, n, lambda score, free: ordinal_slope(score, free, y), n_grades - 1, steps=steps, start=free0)
     return OrdinalModel(weight, free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))]))
 
 
