@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cohortlens.llm.common import chunks, fresh, narrow, small, texts_of
 from cohortlens.session import cut_lineage
@@ -257,14 +258,30 @@ def keep_one(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame
     are too many to broadcast, and those of rows that repeat an id.
     """
     found = near_duplicates(docs, shingle=shingle, radius=radius).where("doc_id IS NOT NULL")
-    name, gone, times = fresh(docs, "__id", "__gone", "__times")
-    ids = found.groupBy(F.col("doc_id").alias(name)).agg(
-        F.max(F.coalesce(F.col("component_id") != F.col("doc_id"), F.lit(False))).alias(gone), F.count("*").alias(times))
-    ids = cut_lineage(ids.where(F.col(gone) | (F.col(times) > 1)), "simhash-ids")
+    found = found.withColumn("stays", F.col("component_id") == F.col("doc_id"))
+    name, fp = fresh(docs, "__id", "__fp")
+    ids = found.groupBy(F.col("doc_id").alias(name)).agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
+    ids = cut_lineage(ids.where("NOT stays OR times > 1"), "simhash-ids")
     same_id = F.col("doc_id").cast("long") == F.col(name)
     kept = docs.join(small(ids.select(name), MOST_IDS, "simhash-gone"), same_id, "left_anti")
-    again = cut_lineage(ids.where(~F.col(gone)).select(name), "simhash-again")
+    again = cut_lineage(ids.where("stays").select(name), "simhash-again")
     if again.isEmpty():
         return kept
-    repeated = docs.join(small(again, MOST_IDS, "simhash-repeated"), same_id, "left_semi")
-    return kept.union(repeated.dropDuplicates(["doc_id"]))
+    # an id on several rows: the row with the fingerprint that stands for the group
+    rows = _fingerprinted(docs.join(small(again, MOST_IDS, "simhash-repeated"), same_id, "left_semi"), fp, shingle)
+    stays = found.where("stays").select(F.col("doc_id").alias(name), F.col("fp").alias("f")).distinct()
+    rows = rows.join(stays.join(again, name), same_id & (F.col(fp) == F.col("f"))).select([F.col(f"`{c}`") for c in docs.columns])
+    return kept.union(rows.dropDuplicates(["doc_id"]))
+
+
+def _fingerprinted(docs: DataFrame, name: str, shingle: int, seed: int = 42) -> DataFrame:
+    """All columns of ``docs`` and the fingerprint."""
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    at, fields = docs.columns.index("text"), schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch.column(at))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], names=fields)
+
+    return docs.mapInArrow(run, schema)

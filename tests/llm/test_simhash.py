@@ -95,3 +95,10 @@ def test_odd_rows(odd):
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 5, 7, 8]
     assert simhash.digest(odd.limit(0)).collect() == [] and simhash.keep_one(odd.limit(0)).collect() == []
+
+
+def test_an_id_on_several_rows_keeps_the_row_that_stands_for_its_group(spark):
+    rows = [(1, "one two three four five"), (2, "one two three four five"), (2, "a text that nobody else has"), (3, "third text, alone"), (3, "third text, alone"),
+            (4, "one two three four five"), (4, "one two three four five")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(1, rows[0][1]), (2, rows[2][1]), (3, rows[3][1])]
