@@ -151,6 +151,57 @@ def test_line_links_against_all_pairs(spark, threshold):
     assert want and got == want
 
 
+def one_word_replaced(rng, count):
+    """Lines of 45 to 400 characters, and each with one word replaced by one of a like length."""
+    word = lambda: "".join(rng.choice("aeinrstou") for _ in range(rng.randrange(2, 9)))
+    out = []
+    for k in range(count):
+        a = [word() for _ in range(8 + k % 60)]
+        b = list(a)
+        at = rng.randrange(len(b))
+        b[at] = "x" + word()[: max(1, sum(map(len, a)) // 20)]
+        out.append((" ".join(a), " ".join(b)))
+    return out
+
+
+def test_lines_with_one_word_replaced_are_linked(spark):
+    rng = random.Random(7)
+    pairs = one_word_replaced(rng, 180)
+    allowed = [(a, b) for a, b in pairs if edit_distance(a, b) <= max(2, max(len(a), len(b)) // linededup.PART)]
+    assert len(allowed) > 100 and sum(edit_distance(a, b) > 2 for a, b in allowed) > 60
+    rows = sorted({x for p in pairs for x in p})
+    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    line = {r.id: r.line for r in distinct.collect()}
+    got = {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct).collect()}
+    assert got == {frozenset(p) for p in allowed if p[0] != p[1]}
+
+
+@pytest.mark.parametrize("blank", [" ", ""])
+def test_growing_distance_against_all_pairs(spark, blank):
+    """Every pair within two edits, and those within the allowed share whose words differ in few places; with blank == '' no line has a space."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 7))) + rng.choice(["", "", ",", "-x"])
+    rows = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.randrange(8, 60))]
+        rows.append(base)
+        for _ in range(4):
+            w = list(base)
+            for _ in range(rng.randrange(1, max(2, len(w) // linededup.RUN))):
+                i, kind = rng.randrange(len(w)), rng.randrange(3)
+                w[i : i + 1] = [[], [word()], [w[i], word()]][kind]
+            rows.append(w)
+    rows = sorted({blank.join(w) for w in rows})
+    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    line = {r.id: r.line for r in distinct.collect()}
+    got = {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct).collect()}
+    long = [x for x in rows if len(x) >= 20]
+    near = {frozenset((a, b)): edit_distance(a, b) for i, a in enumerate(long) for b in long[:i] if abs(len(a) - len(b)) <= 40}
+    want = {p for p, d in near.items() if d <= max(2, max(map(len, p)) // linededup.PART)}
+    assert got <= want and {p for p in want if near[p] <= 2} <= got
+    assert len(want) > 50 and len(got) >= (1.0 if blank else 0.5) * len(want)
+
+
 def test_line_dedup_texts(spark, odd):
     a = "This line is long enough to be compared."
     rows = [(1, f"{a}\nshort\n\n{a}"), (2, f"short\nshorx\n{a[:-1]}!\n \nOther words, that nobody has written before."), (3, a.replace("long", "lang")), (3, None)]
