@@ -202,6 +202,14 @@ def test_growing_distance_against_all_pairs(spark, blank):
     assert len(want) > 50 and len(got) >= (1.0 if blank else 0.5) * len(want)
 
 
+@pytest.mark.parametrize("threshold", [None, 2])
+def test_lines_that_share_a_tag_are_compared(spark, threshold):
+    rows = ["This line is long enough to be compared.", "This line is lung enough to be compared.", "Quite another text that nobody has ever read."]
+    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).withColumn("tag", F.lit(5).cast("long"))
+    line = {r.id: r.line for r in distinct.collect()}
+    assert {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct, threshold=threshold).collect()} == {frozenset(rows[:2])}
+
+
 def test_line_dedup_texts(spark, odd):
     a = "This line is long enough to be compared."
     rows = [(1, f"{a}\nshort\n\n{a}"), (2, f"short\nshorx\n{a[:-1]}!\n \nOther words, that nobody has written before."), (3, a.replace("long", "lang")), (3, None)]
