@@ -2,8 +2,9 @@
 
 Words are lower-cased and cut free of punctuation at both ends; words of punctuation only are skipped.  The hashes of all ``GRAM``-word
 runs are winnowed: of every ``WINDOW`` neighbours the smallest (of equal ones the last) is a fingerprint, so a run of
-GRAM + WINDOW - 1 words that a text shares with a template shares a fingerprint.  Every diagonal of template and text on which fingerprints
-meet is a candidate; the whole template is aligned against the text there, inside the band.  The coverage is the
+GRAM + WINDOW - 1 words that a text shares with a template shares a fingerprint.  Of a template under ``SHORT`` words every pair of
+neighbouring words is one: four fifths of its words hold such a pair, four fifths of a longer one such a run, wherever words are replaced or left out.  Every diagonal of template and text on which fingerprints
+meet is a candidate if the text around it holds words enough of the template; the whole template is aligned against the text there, inside the band.  The coverage is the
 share of the template's words that the alignment matches; spans are in words of the text (white-space words, end exclusive).
 
 Defined results: null, empty and short texts match nothing; a template that stands in a text twice is reported twice;
@@ -24,6 +25,10 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import Grown, WordNumbers, chunks, narrow, texts_of
 
 GRAM, WINDOW, BAND, LEAST = 3, 2, 8, 0.8
+#: Templates of fewer words are found by any two neighbouring words.
+SHORT = 16
+#: Diagonals on each side that even a short template has.
+LEAST_BAND = 4
 _EDGE = b".,;:!?()[]{}<>\"'*#/-"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,49 +65,70 @@ def word_hash(word: bytes) -> int:
     return (zlib.crc32(w) << 8 | len(w) & 0xFF) + 1 if w else 0
 
 
-def winnow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def winnow(words: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(position, hash) of the fingerprints of a sequence of word hashes."""
-    if len(words) < GRAM:
+    if len(words) < gram:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = np.zeros(len(words) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        h = (h + words[k : len(words) - GRAM + 1 + k]) * _MUL
+    h = np.zeros(len(words) - gram + 1, np.uint64)
+    for k in range(gram):
+        h = (h + words[k : len(words) - gram + 1 + k]) * _MUL
     h ^= h >> np.uint64(29)
-    if len(h) <= WINDOW:
+    if window == 1:
+        return np.arange(len(h)), h
+    if len(h) <= window:
         best = np.array([len(h) - 1 - int(np.argmin(h[::-1]))])
     else:
-        view = np.lib.stride_tricks.sliding_window_view(h, WINDOW)[:, ::-1]
-        best = np.unique(np.arange(len(view)) + WINDOW - 1 - np.argmin(view, axis=1))
+        view = np.lib.stride_tricks.sliding_window_view(h, window)[:, ::-1]
+        best = np.unique(np.arange(len(view)) + window - 1 - np.argmin(view, axis=1))
     return best, h[best]
 
 
+def band_of(n: int) -> int:
+    """Diagonals on each side for a template of ``n`` words."""
+    return min(BAND, max(LEAST_BAND, n // 5))
+
+
 class Index:
-    """Inverted index of the templates' fingerprints."""
+    """Inverted index of the templates' fingerprints, one for short templates and one for the others."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], least: float = LEAST):
         self.names = sorted(templates)
+        self.least = least
         self.words = [np.array([h for h in map(word_hash, templates[n].encode().split()) if h], np.uint64) for n in self.names]
-        rows = [(int(h), t, int(p)) for t, w in enumerate(self.words) for p, h in zip(*winnow(w))]
-        rows.sort()
-        self.hash = np.array([r[0] for r in rows], np.uint64)
-        self.place = [(t, p) for _, t, p in rows]
+        self.parts = []
+        for short, gram, window in ((True, 2, 1), (False, GRAM, WINDOW)):
+            rows = sorted((int(h), t, int(p)) for t, w in enumerate(self.words) if (len(w) < SHORT) == short for p, h in zip(*winnow(w, gram, window)))
+            self.parts.append((gram, window, np.array([r[0] for r in rows], np.uint64), [(t, p) for _, t, p in rows]))
 
     def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
         """(template, where it would start in the text) for each diagonal on which fingerprints meet."""
-        at, h = winnow(words)
-        low, high = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
-        return sorted({(t, p - q) for p, a, b in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist())
-                       for t, q in self.place[a:b]})
+        found = set()
+        for gram, window, known, place in self.parts:
+            at, h = winnow(words, gram, window)
+            low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+            found |= {(t, p - q) for p, a, b in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()) for t, q in place[a:b]}
+        return sorted(c for c in found if self._enough(words, *c))
+
+    def _enough(self, words: np.ndarray, t: int, start: int) -> bool:
+        """Whether words enough of the template stand in the text on some diagonal of the band: no alignment matches more."""
+        template = self.words[t]
+        n, band = len(template), band_of(len(template))
+        hit = np.zeros(n, bool)
+        for at in range(start - band, start + band + 1):
+            low, high = max(0, -at), min(n, len(words) - at)
+            if low < high:
+                hit[low:high] |= template[low:high] == words[at + low : at + high]
+        return hit.sum() >= self.least * n
 
 
 def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int, int]:
     """(matched words, first, last + 1 matched word of the text) of the best alignment within a band of diagonals around ``start``.
 
     Longest common subsequence of the template and the text around it; cell (i, d) pairs template word i with text word
-    start + i + d - band.  The band has BAND diagonals on each side, a fifth of the template's words if that is fewer.
+    start + i + d - band.  The band has BAND diagonals on each side, a fifth of the template's words if that is fewer, LEAST_BAND at least.
     """
     n = len(template)
-    band = min(BAND, max(1, n // 5))
+    band = band_of(n)
     width = 2 * band + 1
     score = [0] * (width + 1)
     trace = []
@@ -154,7 +180,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, *, least: float
     """(doc_id, license, coverage, matched, start_word, end_word): the templates that a text covers to ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(templates)
+        index = Index(templates, least)
         hashes = Grown(np.uint64)
         number = WordNumbers(lambda new: hashes.extend(np.fromiter(map(word_hash, new), np.uint64, len(new))), hashes.clear)
         for batch in batches:

@@ -155,5 +155,25 @@ def test_alignment_and_winnowing():
     assert set(licenses.winnow(np.r_[rng.integers(1, 1000, 9).astype(np.uint64), run])[1]) & set(licenses.winnow(text)[1])
 
 
+def test_one_changed_word_of_a_template_is_found():
+    """Each word of each template replaced, left out, or one put before it: the index leads to what a full alignment covers."""
+    index = licenses.Index(licenses.TEMPLATES)
+    rng = np.random.default_rng(4)
+    other = lambda n: rng.integers(1, 1000, n).astype(np.uint64)
+    for t, words in enumerate(index.words):
+        for at in range(len(words)):
+            for new in (np.r_[words[:at], other(1), words[at + 1 :]], np.r_[words[:at], words[at + 1 :]], np.r_[words[:at], other(1), words[at:]]):
+                text = np.r_[other(9), new.astype(np.uint64), other(9)]
+                full = lcs(words.tolist(), text.tolist()) if len(words) < 40 else len(words) - 1
+                if full >= licenses.LEAST * len(words):
+                    assert max((licenses.align(words, text, s)[0] for u, s in index.candidates(text) if u == t), default=0) >= full, (index.names[t], at)
+
+
+def test_short_licenses_with_changed_words(spark):
+    rows = [(1, "Released with the MIT License."), (2, "Released under MIT License."), (3, "Released under the terms of the MIT License"), (4, "Licensed under the CC BY-NC 4.0.")]
+    got = {r.doc_id: (r.license, r.coverage) for r in licenses.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("MIT", 0.8), 2: ("MIT", 0.8), 3: ("MIT", 1.0), 4: ("CC-BY-NC-4.0", 1.0)}
+
+
 def test_license_odd_rows(odd):
     assert licenses.digest(odd).collect() == [] and licenses.digest(odd.limit(0)).collect() == []
