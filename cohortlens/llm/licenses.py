@@ -8,7 +8,7 @@ meet is a candidate if the text around it holds words enough of the template; th
 share of the template's words that the alignment matches; spans are in words of the text (white-space words, end exclusive).
 
 Defined results: null, empty and short texts match nothing; a template that stands in a text twice is reported twice;
-of overlapping reports of one template the best stays; repeated rows are reported alike; other columns are not read.
+of overlapping reports, of whatever templates, the best stays: the one with the most words matched, less its words missed; repeated rows are reported alike; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import license_texts
 from cohortlens.llm.common import Grown, WordNumbers, chunks, narrow, texts_of
 
 GRAM, WINDOW, BAND, LEAST = 3, 2, 8, 0.8
@@ -32,31 +33,10 @@ LEAST_BAND = 4
 _EDGE = b".,;:!?()[]{}<>\"'*#/-"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
-#: Common grant sentences and notices, by SPDX-like name.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-notice": (
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
-        'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
-        "either express or implied. See the License for the specific language governing permissions and limitations under the License."),
-    "BSD-notice": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    "MIT": "Released under the MIT License.",
-    "MIT-notice": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    "MPL-2.0-notice": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
-        "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
-}
+#: The stated list, grant sentences, whole notices and whole licenses, by SPDX-like name.
+TEMPLATES = license_texts.load()
+#: Words of all templates together that a scan takes: the index travels with the tasks and each worker holds it.
+MOST_TEMPLATE_WORDS = 500_000
 
 
 def word_hash(word: bytes) -> int:
@@ -113,6 +93,8 @@ class Index:
         """Whether words enough of the template stand in the text on some diagonal of the band: no alignment matches more."""
         template = self.words[t]
         n, band = len(template), band_of(len(template))
+        if min(n, len(words) - start + band) - max(0, -start - band) < self.least * n:
+            return False  # the text ends before
         hit = np.zeros(n, bool)
         for at in range(start - band, start + band + 1):
             low, high = max(0, -at), min(n, len(words) - at)
@@ -162,16 +144,15 @@ def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int,
 
 
 def best_apart(reports: list[tuple]) -> list[tuple]:
-    """Of (coverage, template, matched, start, end) the best ones of each template that don't overlap."""
-    ends: dict[int, list[int]] = {}  # by template: ends of the spans taken so far, ascending, and their starts
-    starts: dict[int, list[int]] = {}
+    """Of (coverage, template, matched, start, end) the best ones that don't overlap: most words matched, less those of the template that aren't."""
+    ends: list[int] = []  # of the spans taken so far, ascending, and their starts
+    starts: list[int] = []
     out = []
-    for r in sorted(reports, key=lambda r: (-r[0], r[3])):
-        a, b = starts.setdefault(r[1], []), ends.setdefault(r[1], [])
-        k = bisect_right(b, r[3])  # the first span that ends after this one starts
-        if k == len(a) or a[k] >= r[4]:
-            a.insert(k, r[3])
-            b.insert(k, r[4])
+    for r in sorted(reports, key=lambda r: (r[2] / r[0] - 2 * r[2], -r[0], r[3], r[1])):
+        k = bisect_right(ends, r[3])  # the first span that ends after this one starts
+        if k == len(starts) or starts[k] >= r[4]:
+            starts.insert(k, r[3])
+            ends.insert(k, r[4])
             out.append(r)
     return out
 
@@ -179,6 +160,9 @@ def best_apart(reports: list[tuple]) -> list[tuple]:
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, *, least: float = LEAST) -> DataFrame:
     """(doc_id, license, coverage, matched, start_word, end_word): the templates that a text covers to ``least`` or more."""
 
+    if sum(len(t.split()) for t in templates.values()) > MOST_TEMPLATE_WORDS:
+        raise ValueError(f"templates of more than {MOST_TEMPLATE_WORDS} words")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(templates, least)
         hashes = Grown(np.uint64)
