@@ -23,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 2 << 20
 #: Distinct words a worker remembers before it starts afresh.
 MAX_WORDS = 150_000
+#: Rows of a key from which it is hot, and rows of a table of keys that may be broadcast.
+HOT_ROWS, MOST_NAMED = 100_000, 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,6 +147,20 @@ def small(df: DataFrame, most: int, name: str) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def join_hot(rows: DataFrame, named: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``named``, which has each key once and in ``copies`` the number of rows with it.
+
+    A small ``named`` is broadcast.  Else the keys of more than ``HOT_ROWS`` rows are (there are at most rows / HOT_ROWS of them), and only the other rows are
+    shuffled, so no task gets more than HOT_ROWS rows for one key.  Keys of ``rows`` have no nulls.
+    """
+    named = cut_lineage(named, "join-named")
+    if named.count() <= MOST_NAMED:
+        return rows.join(F.broadcast(named), keys, how)
+    hot = cut_lineage(named.where(F.col("copies") > HOT_ROWS), "join-hot")
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(named.where(F.col("copies") <= HOT_ROWS), keys, how)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def ordered(df: DataFrame, order: list[Column], position: str, name: str) -> DataFrame:
     """``df`` in one global order, written once; ``position`` has the task in its upper 31 bits and the row in its lower 33.
 

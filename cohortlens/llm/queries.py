@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontam, huffman, licenses, linededup, mixing, quality_classifier, quality_rules, sharding, simhash, url_filter
+from cohortlens.llm import decontam, huffman, jaccard, licenses, linededup, mixing, quality_classifier, quality_rules, runs, sharding, simhash, url_filter, whitening
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,18 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(spark, sf_dir, "documents"))
