@@ -20,6 +20,7 @@ one id only has length 1; an empty table gives empty tables; other columns are n
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ from cohortlens.session import cut_lineage, scratch_path
 EVERY = 256
 BLOCK_IDS = 1 << 18
 MAX_LENGTH = 20
-#: Distinct words that a worker remembers, 170 bytes each.
+#: Distinct words that a worker process remembers, 170 bytes each, before it forgets the rarest ones.
 WORDS = 800_000
 #: Signs that may stand between words that are encoded together.
 MARKS = "~|^"
@@ -50,7 +51,8 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids, self.start, self.count = Grown(np.uint32, 1 << 20), Grown(np.int64), Grown(np.int64)
-        self.words = WordNumbers(self._learn, self._forget, WORDS)
+        self.words = WordNumbers(self._learn, self._forget, 2 * WORDS)
+        self.hits = np.zeros(0, np.int64)
 
         self.mark = next((m for m in MARKS if self._parts(m)), None)
         self.mark_id = self._encode([self.mark])[0][0] if self.mark else None
@@ -85,26 +87,61 @@ class Tokens:
             self.count.extend(count)
             self.ids.extend(ids)
 
+    def _keep_frequent(self) -> None:
+        """Forgets the rarest words, at least half of what may be remembered; the others keep their ids without being encoded again."""
+        most = np.sort(self.hits)[-(WORDS // 2)]
+        keep = np.flatnonzero(self.hits > most)
+        words = list(self.words.number)
+        start, count = self.start.values[keep], self.count.values[keep]
+        ids = self.ids.values[expand(start, count)]
+        self._forget()
+        self.words.number.clear()
+        self.words.number.update((words[k], n) for n, k in enumerate(keep.tolist()))
+        self.ids.extend(ids)
+        self.start.extend(np.cumsum(count) - count)
+        self.count.extend(count)
+        self.hits = self.hits[keep]
+
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(self.words.number) > WORDS:
+            self._keep_frequent()
         cut = [t.split() for t in texts]
         code = self.words([w for c in cut for w in c])
+        hits = np.bincount(code, minlength=len(self.words.number))
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         count = self.count.values[code]
         ids = self.ids.values[expand(self.start.values[code], count)]
         ends = np.cumsum(np.r_[0, count])[np.cumsum([len(c) for c in cut])] if cut else []
         return np.split(ids, ends[:-1]) if cut else []
 
 
+@functools.cache
+def tokens_of(path: str) -> Tokens:
+    """The tokenizer and what it has learned, kept by the worker process from task to task."""
+    return Tokens(path)
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """(doc_id, ids) for each row: its ids and the end id as little-endian unsigned 32-bit integers."""
+    """(doc_id, ids, counts) for each row: its ids and the end id as little-endian unsigned 32-bit integers; and a row without ids for each task, with
+    the task's numbers of ids 0, 1, ... (little-endian 64-bit)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = Tokens(tokenizer), np.uint32(end_id).tobytes()
+        tokens, end, total = tokens_of(tokenizer), np.uint32(end_id).tobytes(), np.zeros(end_id + 1, np.int64)
+        names = ["doc_id", "ids", "counts"]
         for batch in batches:
             for part in chunks(batch):
-                ids = [x.astype("<u4").tobytes() + end for x in tokens(texts_of(part.column("text")))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                found = tokens(texts_of(part.column("text")))
+                n = np.bincount(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64), minlength=len(total))
+                n[: len(total)] += total
+                n[end_id] += part.num_rows
+                total = n
+                ids = [x.astype("<u4").tobytes() + end for x in found]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.nulls(part.num_rows, pa.binary())], names=names)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return narrow(docs).mapInArrow(run, "doc_id long, ids binary")
+    return narrow(docs).mapInArrow(run, "doc_id long, ids binary, counts binary")
 
 
 # code
@@ -214,20 +251,17 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 1, max_le
     spark = docs.sparkSession
     folder = scratch_path(spark, "token-ids")
     tokenize(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(folder)
-    tokens = spark.read.schema("doc_id long, ids binary").parquet(folder)
+    written = spark.read.schema("doc_id long, ids binary, counts binary").parquet(folder)
+    tokens = written.where("ids IS NOT NULL").select("doc_id", "ids")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                n = np.bincount(np.frombuffer(x, "<u4"))
-                if len(n) > len(total):
-                    total, n = n, total
-                total[: len(n)] += n
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
-
-    counts = tokens.select("ids").mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row for each id of the vocabulary
+            for x in batch.column("counts").to_pylist():
+                n = np.frombuffer(x, "<i8")
+                ids = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n[ids])], names=["id", "n"])
+
+    counts = written.where("counts IS NOT NULL").select("counts").mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row for each id of the vocabulary
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     order = np.argsort(ids)
     code = Code(ids[order], code_lengths(n[order], max_length))
@@ -250,6 +284,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 1, max_le
 
         def block() -> pa.RecordBatch:
             offset = np.cumsum([0, *(len(r[2]) for r in rows)]) * 8
+            if offset[-1] >= 1 << 32:
+                raise ValueError(f"the code of document {rows[-1][0]} is too long for bit offsets of 32 bits (512 MB a block)")
             points = [np.frombuffer(r[3], np.uint32) + np.uint32(o) for r, o in zip(rows, offset)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([start]), pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),

@@ -25,6 +25,16 @@ def test_words_give_the_ids_of_whole_texts():
     assert [g.tolist() + [1] for g in got] == whole(odd)
 
 
+def test_forgetting_rare_words_keeps_the_ids(prose, monkeypatch):
+    monkeypatch.setattr(huffman, "WORDS", 60)
+    tokens = huffman.Tokens(PATH)
+    texts = [t for _, t in prose]
+    for k in range(0, len(texts), 7):
+        got = tokens([t.encode() for t in texts[k : k + 7]])
+        assert [g.tolist() + [1] for g in got] == whole(texts[k : k + 7])
+    assert len(tokens.words.number) == len(tokens.hits) == len(tokens.start.values)
+
+
 @pytest.mark.parametrize("n,limit", [(1, 20), (2, 20), (7, 3), (300, 9), (4000, 16)])
 def test_code_is_prefix_free_limited_and_round_trips(n, limit):
     rng = np.random.default_rng(n)

@@ -125,89 +125,92 @@ def edit_distance(a, b):
     return p[-1]
 
 
-@pytest.mark.parametrize("threshold", [1, 2, 3])
-def test_line_links_against_all_pairs(spark, threshold):
-    rng = random.Random(threshold)
+def found_links(spark, rows, steps):
+    """Linked lines, of one line a document."""
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    distinct = linededup.lines(docs)
+    line = {r.id: rows[r["first"].doc_id] for r in distinct.collect()}
+    found = [frozenset((line[r.a], line[r.b])) for r in linededup.links(docs, distinct, steps).collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def all_links(rows, steps):
+    """Every two lines within the distance that the longer one allows, by comparing all pairs of like lengths."""
+    out, most = set(), max(t for _, t in steps)
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            if abs(len(a) - len(b)) <= most:
+                t = max((s for s in steps if s[0] <= max(len(a), len(b))), default=(0, -1))[1]
+                if t >= 0 and edit_distance(a, b) <= t:
+                    out.add(frozenset((a, b)))
+    return out
 
-    def edited(s, k):
-        s = list(s)
-        for _ in range(k):
-            i, kind = rng.randrange(len(s)), rng.randrange(3)
-            if kind == 0:
-                s[i] = rng.choice("abcé")
-            elif kind == 1:
-                del s[i]
-            else:
-                s.insert(i, rng.choice("abcé"))
-        return "".join(s)
 
-    base = ["".join(rng.choice("abcé ") for _ in range(rng.randrange(20, 50))) for _ in range(30)]
-    lines = sorted({*base, *(edited(b, rng.randrange(1, 5)) for b in base for _ in range(4))})
-    distinct = linededup.lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
-    line = {r.id: r.line for r in distinct.collect()}
-    got = {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct, threshold=threshold).collect()}
-    long = [x for x in lines if len(x) >= 20]
-    want = {frozenset((a, b)) for i, a in enumerate(long) for b in long[:i] if edit_distance(a, b) <= threshold}
-    assert want and got == want
+def edited(rng, s, k, letters):
+    s = list(s)
+    for _ in range(k):
+        i, kind = rng.randrange(len(s)), rng.randrange(3)
+        if kind == 0:
+            s[i] = rng.choice(letters)
+        elif kind == 1 and len(s) > 1:
+            del s[i]
+        else:
+            s.insert(i, rng.choice(letters))
+    return "".join(s)
 
 
-def one_word_replaced(rng, count):
-    """Lines of 45 to 400 characters, and each with one word replaced by one of a like length."""
+@pytest.mark.parametrize("threshold", [0, 1, 2, 3])
+def test_line_links_against_all_pairs(spark, threshold):
+    rng = random.Random(threshold)
+    base = ["".join(rng.choice("abcé ") for _ in range(rng.randrange(20, 50))) for _ in range(30)]
+    rows = sorted({*base, *(edited(rng, b, rng.randrange(1, 5), "abcé") for b in base for _ in range(4))})
+    want = all_links(rows, ((20, threshold),))
+    assert (want or not threshold) and found_links(spark, rows, ((20, threshold),)) == want
+
+
+@pytest.mark.parametrize("steps", [linededup.STEPS, ((8, 1), (20, 2), (64, 4), (128, 8), (200, 16))])
+@pytest.mark.parametrize("kind", ["short words", "long words", "no spaces"])
+def test_no_link_is_lost(spark, steps, kind):
+    """Lines with as many edits as their length allows, one fewer and one more, in one place or spread over the line; lengths around the steps."""
+    rng = random.Random(kind)
+    word = lambda: "".join(rng.choice("aeinrstoé") for _ in range(rng.randrange(*((10, 15) if kind == "long words" else (3, 9)))))
+    rows = set()
+    for size in (7, 8, 12, 19, 20, 21, 41, 64, 90, 127, 128, 129, 190, 201, 257, 300):
+        for _ in range(2):
+            line = ("" if kind == "no spaces" else " ").join(word() for _ in range(size))[:size]
+            rows.add(line)
+            t = max((s for s in steps if s[0] <= size), default=(0, 0))[1]
+            for k in (t - 1, t, t, t, t + 1):
+                rows.add(edited(rng, line, max(k, 0), "xyz é"))
+            if t:
+                at = rng.randrange(size)
+                rows |= {line[:at] + "q" * t + line[at:], line[t:], line[:-t], line[: at // 2] + "zz"[:t] + line[at // 2 :]}
+    rows = sorted(r for r in rows if r.strip())
+    want = all_links(rows, steps)
+    assert len(want) > 150 and found_links(spark, rows, steps) == want
+
+
+def test_lines_with_one_word_replaced(spark):
+    """Linked if, and only if, the word's characters are within the allowed edits."""
+    rng = random.Random(7)
     word = lambda: "".join(rng.choice("aeinrstou") for _ in range(rng.randrange(2, 9)))
-    out = []
-    for k in range(count):
-        a = [word() for _ in range(8 + k % 60)]
+    rows = set()
+    for k in range(150):
+        a = [word() for _ in range(8 + k % 110)]
         b = list(a)
-        at = rng.randrange(len(b))
-        b[at] = "x" + word()[: max(1, sum(map(len, a)) // 20)]
-        out.append((" ".join(a), " ".join(b)))
-    return out
-
-
-def test_lines_with_one_word_replaced_are_linked(spark):
-    rng = random.Random(7)
-    pairs = one_word_replaced(rng, 180)
-    allowed = [(a, b) for a, b in pairs if edit_distance(a, b) <= max(2, max(len(a), len(b)) // linededup.PART)]
-    assert len(allowed) > 100 and sum(edit_distance(a, b) > 2 for a, b in allowed) > 60
-    rows = sorted({x for p in pairs for x in p})
-    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
-    line = {r.id: r.line for r in distinct.collect()}
-    got = {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct).collect()}
-    assert got == {frozenset(p) for p in allowed if p[0] != p[1]}
-
-
-@pytest.mark.parametrize("blank", [" ", ""])
-def test_growing_distance_against_all_pairs(spark, blank):
-    """Every pair within two edits, and those within the allowed share whose words differ in few places; with blank == '' no line has a space."""
-    rng = random.Random(11)
-    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 7))) + rng.choice(["", "", ",", "-x"])
-    rows = []
-    for _ in range(25):
-        base = [word() for _ in range(rng.randrange(8, 60))]
-        rows.append(base)
-        for _ in range(4):
-            w = list(base)
-            for _ in range(rng.randrange(1, max(2, len(w) // linededup.RUN))):
-                i, kind = rng.randrange(len(w)), rng.randrange(3)
-                w[i : i + 1] = [[], [word()], [w[i], word()]][kind]
-            rows.append(w)
-    rows = sorted({blank.join(w) for w in rows})
-    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
-    line = {r.id: r.line for r in distinct.collect()}
-    got = {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct).collect()}
-    long = [x for x in rows if len(x) >= 20]
-    near = {frozenset((a, b)): edit_distance(a, b) for i, a in enumerate(long) for b in long[:i] if abs(len(a) - len(b)) <= 40}
-    want = {p for p, d in near.items() if d <= max(2, max(map(len, p)) // linededup.PART)}
-    assert got <= want and {p for p in want if near[p] <= 2} <= got
-    assert len(want) > 50 and len(got) >= (1.0 if blank else 0.5) * len(want)
-
-
-@pytest.mark.parametrize("threshold", [None, 2])
-def test_lines_that_share_a_tag_are_compared(spark, threshold):
-    rows = ["This line is long enough to be compared.", "This line is lung enough to be compared.", "Quite another text that nobody has ever read."]
-    distinct = linededup.lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).withColumn("tag", F.lit(5).cast("long"))
-    line = {r.id: r.line for r in distinct.collect()}
-    assert {frozenset((line[r.a], line[r.b])) for r in linededup.links(distinct, threshold=threshold).collect()} == {frozenset(rows[:2])}
+        b[rng.randrange(len(b))] = "x" + word()[: max(1, sum(map(len, a)) // 60)]
+        rows |= {" ".join(a), " ".join(b)}
+    rows = sorted(rows)
+    want = all_links(rows, linededup.STEPS)
+    assert sum(edit_distance(*p) > 2 for p in want) > 30 and found_links(spark, rows, linededup.STEPS) == want
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3, 5, 8, 16, 30])
+def test_places_are_few_and_each_segment_has_its_own(edits):
+    spots = linededup.places(4 * (edits + 1), edits)
+    assert len(spots) == edits * edits // 2 + edits + 1
+    assert len({i for i, _, _ in spots}) == sum(shift == 0 for *_, shift in spots) == edits + 1
 
 
 def test_line_dedup_texts(spark, odd):
