@@ -1,22 +1,13 @@
-"""Clustering on Spark ML: K-Means and Gaussian-mixture sweeps, quality indices, model
-choice, labels, cluster profile and a 2-D PCA view.
+"""Clustering: quality indices, model choice, K-Means and Gaussian-mixture sweeps, labels, cluster profile and a 2-D view.
 
 Scale notes
 -----------
-* Quality indices are computed from per-cluster sufficient statistics (count, sum
-  vector, sum of squared norms): one aggregate pass for the statistics and one scoring
-  pass per labelling.  No pair of points is ever formed, so the cost is O(n k d).
-* The silhouette is therefore the *squared*-Euclidean silhouette (the definition of
-  Spark's ``ClusteringEvaluator``, and equal to it), which decomposes exactly over
-  those statistics; it is called ``silhouette_squared`` everywhere.
-  The plain-Euclidean silhouette needs every pair of points (O(n^2)) and is not built, so a
-  threshold tuned to it does not apply: ``choose_model`` takes metric and threshold together.
-* Davies-Bouldin and Calinski-Harabasz are exact from the same two passes.
-* The driver holds only k x d numbers per labelling (centroids, statistics); k is what the
-  caller asked the sweep for.
-* Before a sweep the feature frame is written to the shared checkpoint folder, read back, put into a
-  canonical layout (a stated number of hash partitions, sorted by id) and persisted once; all
-  fits read that one cached frame.  Centres do not depend on the cores or the input partitioning.
+* ``vector_metrics_row`` scores one given labelling from per-cluster sufficient statistics (count, sum vector, sum of squared norms): one
+  aggregate pass for the statistics and one scoring pass, O(n k d).  Its silhouette is the squared-Euclidean one (the definition of Spark's ``ClusteringEvaluator``).
+* The Euclidean silhouette, which the original's threshold of 0.20 belongs to, is ``fused.silhouettes``: exact, at the square of the number of distinct vectors.
+  ``choose_model`` and the K-Means sweep take the metric as a parameter; with ``silhouette_squared`` everything is linear.
+* Sweeps fit all k at once (``operators.fused``): one aggregate a round for all models.
+* The driver holds only sums, centres and covariances; k is what the caller asked the sweep for.
 """
 
 from __future__ import annotations
@@ -25,13 +16,13 @@ import math
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.clean import quote
+from cohortlens.operators import fused
 from cohortlens.operators.quantiles import exact_quantiles
 from cohortlens.session import cut_lineage
 
@@ -121,9 +112,9 @@ def assign_nearest(df: DataFrame, cols: Sequence[str], centroids: Sequence[Seque
 # ---------------------------------------------------------------------------
 # Model choice
 # ---------------------------------------------------------------------------
-def select_k(metrics: DataFrame) -> DataFrame:
-    """Best K-Means k: highest silhouette, then lowest Davies-Bouldin, then first k."""
-    return metrics.orderBy(F.desc("silhouette_squared"), F.asc("davies_bouldin"), F.asc("k")).limit(1)
+def select_k(metrics: DataFrame, metric: str = "silhouette_squared") -> DataFrame:
+    """Best K-Means k: highest silhouette (``metric`` names the column), then lowest Davies-Bouldin, then first k."""
+    return metrics.orderBy(F.desc(metric), F.asc("davies_bouldin"), F.asc("k")).limit(1)
 
 
 def select_k_bic(metrics: DataFrame) -> DataFrame:
@@ -169,32 +160,8 @@ def choose_model(best_kmeans: dict, best_gmm: dict | None, metric: str, threshol
 # Fitting
 # ---------------------------------------------------------------------------
 def canonical(df: DataFrame, id_col: str, partitions: int) -> DataFrame:
-    """The frame in ``partitions`` hash partitions of the id, each sorted by id, persisted: the same
-    layout, and therefore the same fitted centres, for any upstream partitioning and any number of cores.
-
-    The lineage is cut first: a file read back is packed into as many tasks as there are
-    cores, so the layout has to come after the read."""
-    return cut_lineage(df).repartition(partitions, F.col(quote(id_col))).sortWithinPartitions(quote(id_col)).persist()
-
-
-def assembled(matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The matrix with its vector column, persisted for all fits of a sweep."""
-    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(matrix).persist()
-
-
-def _normal_noise(id_col: str, j: int, seed: int) -> Column:
-    """Standard normal per (id, column, seed) by Box-Muller over two 64-bit hashes:
-    independent of partitioning, unlike ``rand()``."""
-    h1 = F.xxhash64(F.col(quote(id_col)), F.lit(j), F.lit(seed), F.lit(1))
-    h2 = F.xxhash64(F.col(quote(id_col)), F.lit(j), F.lit(seed), F.lit(2))
-    u1 = (F.pmod(h1, F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    u2 = (F.pmod(h2, F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-
-
-def with_noise(df: DataFrame, id_col: str, cols: Sequence[str], sd: float, seed: int) -> DataFrame:
-    return df.withColumns({c: F.col(quote(c)) + F.lit(sd) * _normal_noise(id_col, j, seed)
-                           for j, c in enumerate(cols)})
+    """The frame written in ``partitions`` hash partitions of the id, each sorted by id."""
+    return cut_lineage(df.repartition(partitions, F.col(quote(id_col))).sortWithinPartitions(quote(id_col)))
 
 
 @dataclass
@@ -203,76 +170,55 @@ class SweepResult:
     best_k: int | None
     best: dict | None
     model: object
-    labels: DataFrame | None      # id, cluster
-
-
-def parallel_map(fn, items: Sequence, parallelism: int) -> list:
-    """``[fn(x) for x in items]`` with up to ``parallelism`` concurrent Spark jobs (independent
-    fits on one cached input, as ``CrossValidator(parallelism=...)`` does); order kept."""
-    items = list(items)
-    if parallelism <= 1 or len(items) <= 1:
-        return [fn(x) for x in items]
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(fn, items))
-
-
-def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8,
-                 carry: Sequence[str] = ()) -> SweepResult:
-    """Fit K-Means for every k, score each labelling, keep the best (silhouette desc,
-    Davies-Bouldin asc, k asc).  Fits for different k run concurrently."""
-    vec = assembled(df, cols)
-
-    def fit_one(k):
-        km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-        model = km.fit(vec)
-        pred = model.transform(vec)
-        m = vector_metrics_row(pred, "features", "cluster", d=len(cols))
-        m["k"] = k
-        return k, m, model, pred
-
-    rows, best, best_model, best_pred = [], None, None, None
-    for k, m, model, pred in parallel_map(fit_one, ks, parallelism):
-        rows.append((k, m["silhouette_squared"], m["davies_bouldin"], m["calinski_harabasz"]))
-        if best is None or m["silhouette_squared"] > best["silhouette_squared"] or (
-                m["silhouette_squared"] == best["silhouette_squared"] and m["davies_bouldin"] < best["davies_bouldin"]):
-            best, best_model, best_pred = m, model, pred
-    metrics = df.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
-    labels = None if best_pred is None else best_pred.select(quote(id_col), *[quote(c) for c in carry], "cluster")
-    return SweepResult(metrics, None if best is None else best["k"], best, best_model, labels)
-
-
-def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10),
-              seed: int = 42, noise_sd: float = 1e-3, tol: float = 1e-3, max_iter: int = 100,
-              parallelism: int = 8, carry: Sequence[str] = ()) -> SweepResult:
-    """Fit full-covariance Gaussian mixtures for every k on features with a small
-    deterministic noise floor (one-hot columns make the covariance singular otherwise);
-    keep the lowest BIC.
-
-    ``tol`` is per sample (change of the mean log-likelihood, as in the original
-    library); Spark's tolerance applies to the total, so ``tol * n`` is passed."""
-    noisy = with_noise(df, id_col, cols, noise_sd, seed) if noise_sd > 0 else df
-    vec = assembled(noisy, cols)
-    n = df.count()
-    d = len(cols)
-
-    def fit_one(k):
-        gm = GaussianMixture(k=k, seed=seed, tol=tol * n, maxIter=max_iter, featuresCol="features",
-                             predictionCol="cluster", probabilityCol="prob")
-        model = gm.fit(vec)
-        return k, model, gmm_bic(model.summary.logLikelihood, n, k, d)
-
-    rows, best, best_model = [], None, None
-    for k, model, bic in parallel_map(fit_one, ks, parallelism):
-        rows.append((k, bic))
-        if best is None or bic < best["bic"]:
-            best, best_model = {"k": k, "bic": bic}, model
-    metrics = df.sparkSession.createDataFrame(rows, "k int, bic double")
-    labels = None if best_model is None else best_model.transform(vec).select(
-        quote(id_col), *[quote(c) for c in carry], "cluster")
-    return SweepResult(metrics, None if best is None else best["k"], best, best_model, labels)
+    labels: DataFrame | None      # id, carried columns, cluster (mixtures: and probability)
+    centres: dict | None = None   # of the K-Means fits by k
+
+
+SWEEP_SCHEMA = "k int, silhouette double, silhouette_squared double, davies_bouldin double, calinski_harabasz double"
+
+
+def kmeans_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 42, max_iter: int = 300,
+                 tol: float = 1e-4, carry: Sequence[str] = (), metric: str = "silhouette") -> SweepResult:
+    """Fit K-Means for every k at once, score each labelling, keep the best (``metric`` desc, Davies-Bouldin asc, k asc).
+
+    ``metric`` is ``silhouette`` (Euclidean; its cost is the square of the distinct vectors) or ``silhouette_squared`` (linear; ``silhouette`` is then null)."""
+    rows = fused.vectors(df, id_col, cols, carry)
+    starts = fused.race_starts(rows, id_col, max(ks), seed)
+    if not len(starts):
+        return SweepResult(df.sparkSession.createDataFrame([], SWEEP_SCHEMA), None, None, None, None)
+    centres = fused.lloyd(rows, {k: starts[:k] for k in ks}, max_iter, tol)
+    scored = fused.indices(rows, centres)
+    euclidean = {}
+    if metric == "silhouette":
+        labelled = rows.select("x", *[fused.nearest(F.col("x"), centres[k]).alias(f"k{k}") for k in ks])
+        euclidean = fused.silhouettes(labelled, [f"k{k}" for k in ks])
+    table = [{**scored[k], "silhouette": euclidean.get(f"k{k}")} for k in ks]
+    best = min(table, key=lambda m: (-m[metric], m["davies_bouldin"], m["k"]))
+    names = [c.split()[0] for c in SWEEP_SCHEMA.split(", ")]
+    metrics = df.sparkSession.createDataFrame([tuple(m[c] for c in names) for m in table], SWEEP_SCHEMA)
+    model = fused.KMeansFit(centres[best["k"]])
+    labels = rows.select(quote(id_col), *[quote(c) for c in carry], model.label(F.col("x")).alias("cluster"))
+    return SweepResult(metrics, best["k"], best, model, labels, centres)
+
+
+def gmm_sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 42, tol: float = 1e-3,
+              max_iter: int = 100, floor: float = 1e-6, carry: Sequence[str] = (), centres: dict | None = None) -> SweepResult:
+    """Fit full-covariance Gaussian mixtures for every k at once, from the clusters of K-Means ``centres`` (None: fitted here); keep the lowest BIC.
+
+    ``floor`` is added to the variances in every step, so that columns with few values (one-hot) leave no covariance singular;
+    ``tol`` is the gain of the mean log-likelihood that ends a fit, as in the original library."""
+    rows = fused.vectors(df, id_col, cols, carry)
+    if centres is None:
+        starts = fused.race_starts(rows, id_col, max(ks), seed)
+        centres = fused.lloyd(rows, {k: starts[:k] for k in ks}, 300, 1e-4) if len(starts) else {}
+    if not centres:
+        return SweepResult(df.sparkSession.createDataFrame([], "k int, bic double"), None, None, None, None)
+    n, models, seen = fused.em(rows, fused.mixtures_from_centres(rows, {k: centres[k] for k in ks}, floor), max_iter, tol, floor)
+    table = [{"k": k, "bic": gmm_bic(seen[k][-1], n, k, len(cols))} for k in ks]
+    best = min(table, key=lambda m: (m["bic"], m["k"]))
+    metrics = df.sparkSession.createDataFrame([(m["k"], m["bic"]) for m in table], "k int, bic double")
+    labels = fused.mixture_labels(rows, models[best["k"]], F.col("x")).drop("x")
+    return SweepResult(metrics, best["k"], best, models[best["k"]], labels)
 
 
 # ---------------------------------------------------------------------------
@@ -308,15 +254,13 @@ def cluster_profile(df: DataFrame, cluster: str = "cluster",
 def pca_2d(vec_df: DataFrame, features: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """Two principal coordinates of mean-centred features; each component's sign is fixed
     so that its largest-magnitude loading is positive."""
-    centred = StandardScaler(withMean=True, withStd=False, inputCol=features, outputCol="_c").fit(vec_df)
-    c = centred.transform(vec_df)
-    pca = PCA(k=2, inputCol="_c", outputCol="_p").fit(c)
-    pc = pca.pc.toArray()
-    signs = []
-    for j in range(2):
-        col = pc[:, j]
-        i = max(range(len(col)), key=lambda t: abs(col[t]))
-        signs.append(1.0 if col[i] >= 0 else -1.0)
-    arr = vector_to_array(F.col("_p"))
-    return pca.transform(c).select(*[quote(k) for k in keep], (arr[0] * F.lit(signs[0])).alias("pca_1"),
-                                   (arr[1] * F.lit(signs[1])).alias("pca_2"))
+    return coordinates(cut_lineage(vec_df.select(*[quote(k) for k in keep], vector_to_array(F.col(features)).alias("x"))), 2, keep)
+
+
+def coordinates(rows: DataFrame, count: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``pca_1`` ... ``pca_count`` (None: all) of the array column ``x``."""
+    first = rows.select("x").first()
+    d = len(first["x"]) if first else 0
+    fit = fused.principal_components(rows, d)
+    found = fit.coordinates(F.col("x"), min(d, count or d))
+    return rows.select(*[quote(k) for k in keep], *[c.alias(f"pca_{j}") for j, c in enumerate(found, 1)])

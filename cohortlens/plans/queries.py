@@ -857,7 +857,8 @@ def q_yeo_johnson(spark, sf_dir):
                       (F.round("erros_caros", 9) + F.lit(0.0)).alias("erros_caros"), F.lit(lam["erros_caros"]).alias("lambda_erros"))
 
 
-def _feature_matrix_sql() -> str:
+def _feature_matrix_sql(rounded: bool = True) -> str:
+    """Rows of the matrix; not ``rounded``: CTEs ending in ``mx(id, x)`` with the twelve columns as a list."""
     cols = P.NUMERIC_FEATURES
     ctes = [SQL_FEATURES_CTE,
             "fm AS (SELECT cd_cliente, tempo_vida_anos, CAST(qt_contratos_12m AS DOUBLE) AS qt_contratos_12m, "
@@ -873,12 +874,12 @@ def _feature_matrix_sql() -> str:
         ctes.append(yj_lambda_ctes(f"p{i}", "imp", f"x{i}"))
     tr = ", ".join(f"{yj_sql(f'x{i}', f'(SELECT lam FROM p{i}_lam)')} AS y{i}" for i in range(len(cols)))
     ctes.append(f"tr AS (SELECT cd_cliente, vl_faixa_faturamento, {tr} FROM imp)")
-    outs = ["cd_cliente"]
-    for i, c in enumerate(cols):
-        outs.append(f"round((y{i} - (SELECT avg(y{i}) FROM tr)) / (SELECT CASE WHEN stddev_pop(y{i}) > 0 "
-                    f"THEN stddev_pop(y{i}) ELSE 1 END FROM tr), 6) + 0.0 AS \"num__{c}\"")
-    for s in SEGMENTS:
-        outs.append(f"CASE WHEN vl_faixa_faturamento = '{s}' THEN 1.0 ELSE 0.0 END AS \"cat__vl_faixa_faturamento_{s}\"")
+    scaled = [f"(y{i} - (SELECT avg(y{i}) FROM tr)) / (SELECT CASE WHEN stddev_pop(y{i}) > 0 THEN stddev_pop(y{i}) ELSE 1 END FROM tr)" for i in range(len(cols))]
+    flags = [f"CASE WHEN vl_faixa_faturamento = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEGMENTS]
+    if not rounded:
+        ctes.append(f"mx AS MATERIALIZED (SELECT cd_cliente AS id, [{', '.join(scaled + flags)}]::DOUBLE[] AS x FROM tr)")
+        return ",\n".join(ctes)
+    outs = ["cd_cliente", *(f"round({x}, 6) + 0.0 AS \"num__{c}\"" for x, c in zip(scaled, cols)), *(f"{f} AS \"cat__vl_faixa_faturamento_{s}\"" for f, s in zip(flags, SEGMENTS))]
     return "WITH " + ",\n".join(ctes) + "\nSELECT " + ", ".join(outs) + " FROM tr"
 
 
@@ -900,6 +901,8 @@ def q_feature_matrix(spark, sf_dir):
 # Indices, model choice and profile on fixed labellings
 # ---------------------------------------------------------------------------
 from cohortlens.operators import cluster as K  # noqa: E402
+from cohortlens.operators import fused as FU  # noqa: E402
+from cohortlens.plans import model_sql as S  # noqa: E402
 
 METRIC_COLS = ["tempo_vida_anos", "qt_contratos_12m", "produtos_distintos_12m", "periodicidade_max_meses_12m"]
 
@@ -959,9 +962,27 @@ def _one_metric(spark, sf_dir, name):
     return _round_stats(spark.createDataFrame([(float(r[name]),)], f"{name} double"), name)
 
 
-@query("silhouette", inventory="K8 Q21", sql=_metric_sql("silhouette_squared"))
+def _fixed_points_sql(ks) -> str:
+    """``fp(id, x)`` and ``fl(k, id, j)``: the metric columns and the fixed labellings."""
+    return (f"fp AS MATERIALIZED (SELECT cd_cliente AS id, [{', '.join(f'{c}::DOUBLE' for c in METRIC_COLS)}] AS x, qt_contratos_12m AS q FROM feats),\n"
+            f"fl AS MATERIALIZED (SELECT k.k, id, least(q, k.k - 1) AS j FROM fp, (SELECT unnest({list(ks)}) AS k) k)")
+
+
+def euclidean_silhouettes(spark, sf_dir, ks) -> dict[int, float]:
+    """Of the fixed labellings, all in one pass over the distances."""
+    x = F.array(*[F.col(c).cast("double") for c in METRIC_COLS]).alias("x")
+    rows = features_frame(spark, sf_dir).select(x, *[fixed_label(k).alias(f"k{k}") for k in ks])
+    found = FU.silhouettes(rows, [f"k{k}" for k in ks])
+    return {k: found[f"k{k}"] for k in ks}
+
+
+@query("silhouette", inventory="K8 Q21",
+       sql=f"WITH {SQL_FEATURES_CTE},{_metrics_sql_parts(3, '')},\n{_fixed_points_sql([3])},\n{S.euclidean_silhouette('e', 'fp', 'fl')}\n"
+           "SELECT round(silhouette, 6) + 0.0 AS silhouette, silhouette_squared FROM m, e_sil")
 def q_silhouette(spark, sf_dir):
-    return _one_metric(spark, sf_dir, "silhouette_squared")
+    """The Euclidean form, which the original uses, and the squared one."""
+    out = _one_metric(spark, sf_dir, "silhouette_squared")
+    return out.select(F.lit(round(euclidean_silhouettes(spark, sf_dir, [3])[3], 6) + 0.0).alias("silhouette"), "silhouette_squared")
 
 
 @query("davies_bouldin", inventory="K9", sql=_metric_sql("davies_bouldin"))
@@ -992,7 +1013,7 @@ def best_fixed_labelling(spark, sf_dir) -> DataFrame:
         r = K.labelled_metrics(feats.withColumn("cluster", fixed_label(k)), METRIC_COLS, "cluster")
         return (k, r["silhouette_squared"], r["davies_bouldin"], r["calinski_harabasz"])
 
-    metrics = spark.createDataFrame(K.parallel_map(score, SELECT_KS, 8), K.METRICS_SCHEMA)
+    metrics = spark.createDataFrame([score(k) for k in SELECT_KS], K.METRICS_SCHEMA)
     return K.select_k(_round_stats(metrics, "silhouette_squared", "davies_bouldin", "calinski_harabasz"))
 
 
@@ -1024,8 +1045,9 @@ def q_cluster_profile(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Rules of the model half on given parameters, and the fitted sweeps, checked by what must hold for any fit
 # ---------------------------------------------------------------------------
-MATRIX_PARTITIONS = 4        # fixed: the same layout, and so the same fit, on any machine
-SWITCH = ("silhouette_squared", 0.20)   # the metric the sweep computes, and a threshold for it
+MATRIX_PARTITIONS = 4
+SWITCH = ("silhouette", 0.20)   # the original's measure and threshold
+SEED, ROUNDS = 42, 12           # rounds of the registered sweeps (the default is 300 with a tolerance)
 
 
 def matrix_frame(spark, sf_dir):
@@ -1034,34 +1056,50 @@ def matrix_frame(spark, sf_dir):
     return feature_matrix(features_frame(spark, sf_dir), MATRIX_PARTITIONS)
 
 
-def _sweep_rows(spark, metrics, labels, value: str) -> DataFrame:
-    """One row per k: whether its value is a number, and for the best k its customers and clusters."""
-    n = labels.agg(F.count("cluster").alias("clientes"), F.countDistinct("cd_cliente").alias("ids"), F.countDistinct("cluster").alias("clusters")).first()
-    ok = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
-    return metrics.select("k", ok.alias("finito"), F.lit(n["clientes"]).alias("clientes"), F.lit(n["ids"]).alias("ids"),
-                          F.lit(2 <= n["clusters"] <= 9).alias("clusters_ok"))
+D_MATRIX = len(P.NUMERIC_FEATURES) + len(SEGMENTS)
+SQL_KMEANS = (f"{_feature_matrix_sql(rounded=False)},\n{S.starts('km', 'mx', 9, SEED)},\n{S.lloyd('km', 'mx', range(2, 10), ROUNDS, D_MATRIX)},\n"
+              f"{S.euclidean_silhouette('km', 'mx', 'km_lab')},\n{S.indices('km', 'mx', 'km_lab', D_MATRIX)},\n"
+              "km_all AS MATERIALIZED (SELECT CAST(k AS INTEGER) AS k, round(silhouette, 6) + 0.0 AS silhouette, round(silhouette_squared, 6) + 0.0 AS silhouette_squared, "
+              "round(davies_bouldin, 6) + 0.0 AS davies_bouldin, round(calinski_harabasz, 4) + 0.0 AS calinski_harabasz FROM km_sil JOIN km_ind USING (k))")
 
 
-SWEEP_SQL = (f"WITH {SQL_FEATURES_CTE} SELECT CAST(range AS INTEGER) AS k, true AS finito, (SELECT count(*) FROM feats) AS clientes, "
-             "(SELECT count(DISTINCT cd_cliente) FROM feats) AS ids, true AS clusters_ok FROM range(2, 10)")
+def _sizes(labels: DataFrame, cluster: str = "cluster") -> str:
+    """The cluster sizes, largest first, as text."""
+    rows = labels.groupBy(cluster).count().collect()
+    return ",".join(str(n) for n in sorted((r["count"] for r in rows), reverse=True))
 
 
-@query("kmeans_sweep", inventory="K7 K8-K10 K15", sql=SWEEP_SQL)
+@query("kmeans_sweep", inventory="K7 K8-K10 K15",
+       sql=f"WITH {SQL_KMEANS},\nbest AS (SELECT k FROM km_all ORDER BY silhouette DESC, davies_bouldin, k LIMIT 1)\n"
+           "SELECT a.*, (SELECT string_agg(CAST(n AS VARCHAR), ',' ORDER BY n DESC) FROM (SELECT count(*) AS n FROM km_lab JOIN best USING (k) GROUP BY j)) AS tamanhos FROM km_all a")
 def q_kmeans_sweep(spark, sf_dir):
+    """Metrics of every k, and the cluster sizes of the best one."""
     model, matrix = matrix_frame(spark, sf_dir)
-    r = K.kmeans_sweep(matrix, "cd_cliente", model.feature_names)
-    return _sweep_rows(spark, r.metrics, r.labels, "silhouette_squared")
+    r = K.kmeans_sweep(matrix, "cd_cliente", model.feature_names, seed=SEED, max_iter=ROUNDS, tol=0.0)
+    out = _round_stats(r.metrics, "silhouette", "silhouette_squared", "davies_bouldin")
+    return out.withColumns({"calinski_harabasz": F.round("calinski_harabasz", 4) + F.lit(0.0), "tamanhos": F.lit(_sizes(r.labels))})
+
+
+MIXTURE_COLS = ["tempo_vida_anos", "qt_contratos_12m"]
+GMM_LLOYD, GMM_STEPS = 4, 5
+SQL_XY = f"xy AS MATERIALIZED (SELECT cd_cliente AS id, [tempo_vida_anos, CAST(qt_contratos_12m AS DOUBLE)] AS x FROM feats)"
 
 
-@query("gmm_sweep", inventory="K11 K12 K15", sql=SWEEP_SQL)
+@query("gmm_sweep", inventory="K11 K12 K15",
+       sql=f"WITH {SQL_FEATURES_CTE}, {SQL_XY},\n{S.starts('g', 'xy', 9, SEED)},\n{S.lloyd('g', 'xy', range(2, 10), GMM_LLOYD, 2)},\n"
+           f"{S.mixtures_of_labels('g', 'xy', 'g_lab', 1e-6)},\n{S.em('g', 'xy', 'g_of', GMM_STEPS, 1e-6)}\n"
+           f"SELECT CAST(k AS INTEGER) AS k, round(-2 * ll + (k - 1 + 5 * k) * ln((SELECT count(*) FROM xy)), 3) + 0.0 AS bic FROM g_ll WHERE step = {GMM_STEPS}")
 def q_gmm_sweep(spark, sf_dir):
-    model, matrix = matrix_frame(spark, sf_dir)
-    r = K.gmm_sweep(matrix, "cd_cliente", model.feature_names)
-    return _sweep_rows(spark, r.metrics, r.labels, "bic")
+    """Mixtures over two columns, whose covariances have a closed form in SQL, after stated K-Means rounds and EM steps."""
+    feats = features_frame(spark, sf_dir)
+    rows = FU.vectors(feats, "cd_cliente", MIXTURE_COLS)
+    starts = FU.race_starts(rows, "cd_cliente", 9, SEED)
+    centres = FU.lloyd(rows, {k: starts[:k] for k in range(2, 10)}, GMM_LLOYD, 0.0)
+    r = K.gmm_sweep(feats, "cd_cliente", MIXTURE_COLS, tol=0.0, max_iter=GMM_STEPS, centres=centres)
+    return r.metrics.withColumn("bic", F.round("bic", 3) + F.lit(0.0))
 
 
 # Mixtures of one to three components over two columns, (weight, means, covariance).
-MIXTURE_COLS = ["tempo_vida_anos", "qt_contratos_12m"]
 MIXTURES = {
     1: [(1.0, (4.0, 4.0), ((4.0, 0.5), (0.5, 16.0)))],
     2: [(0.5, (3.0, 0.5), ((4.0, 0.0), (0.0, 1.0))), (0.5, (4.0, 6.0), ((4.0, 1.0), (1.0, 16.0)))],
@@ -1105,12 +1143,58 @@ def q_select_k_bic(spark, sf_dir):
     return K.select_k_bic(mixture_bics(spark, sf_dir))
 
 
+def _given_sql() -> str:
+    rows = [f"SELECT {k} AS k, {j} AS j, {w}::DOUBLE AS w, {m[0]}::DOUBLE AS mx, {m[1]}::DOUBLE AS my, {c[0][0]}::DOUBLE AS a, {c[1][1]}::DOUBLE AS b, {c[0][1]}::DOUBLE AS c"
+            for k, parts in MIXTURES.items() for j, (w, m, c) in enumerate(parts)]
+    return f"given AS ({' UNION ALL '.join(rows)})"
+
+
+def given_mixtures() -> dict:
+    import numpy as np
+
+    return {k: FU.Mixture(*(np.array(x, float) for x in zip(*parts))) for k, parts in MIXTURES.items()}
+
+
+@query("em_steps", inventory="K11",
+       sql=f"WITH {SQL_FEATURES_CTE}, {SQL_XY}, {_given_sql()},\n{S.em('e', 'xy', 'given', 5, 1e-6)}\n"
+           + " UNION ALL ".join(f"SELECT {n} AS passos, CAST(m.k AS INTEGER) AS k, CAST(m.j AS INTEGER) AS j, round(w, 6) + 0.0 AS peso, round(mx, 5) + 0.0 AS media_x, round(my, 5) + 0.0 AS media_y, "
+                                f"round(a, 5) + 0.0 AS var_x, round(b, 5) + 0.0 AS var_y, round(c, 5) + 0.0 AS cov, round(ll, 3) AS log_verossimilhanca "
+                                f"FROM e_m{n} m JOIN e_ll l ON l.k = m.k AND l.step = {n}" for n in (1, 5)))
+def q_em_steps(spark, sf_dir):
+    """Parameters after one and five EM steps from given mixtures, and their log-likelihood."""
+    rows = FU.vectors(features_frame(spark, sf_dir), "cd_cliente", MIXTURE_COLS)
+    out = []
+    for steps in (1, 5):
+        _, models, seen = FU.em(rows, given_mixtures(), steps, 0.0, 1e-6)
+        out += [(steps, k, j, round(float(m.weights[j]), 6) + 0.0, *(round(float(v), 5) + 0.0 for v in (*m.means[j], c[0, 0], c[1, 1], c[0, 1])), round(seen[k][-1], 3))
+                for k, m in models.items() for j, c in enumerate(m.covariances)]
+    return spark.createDataFrame(out, "passos int, k int, j int, peso double, media_x double, media_y double, var_x double, var_y double, cov double, log_verossimilhanca double")
+
+
+@query("mixture_assign", inventory="K14",
+       sql=f"WITH {SQL_FEATURES_CTE}, {SQL_XY}, {_given_sql()},\n{S.em('e', 'xy', 'given', 0, 0.0)}\n"
+           "SELECT t.id AS cd_cliente, CAST(min(struct_pack(r := -t.t, j := t.j)).j AS INTEGER) AS cluster, round(exp(max(t.t) - any_value(l.l)), 6) + 0.0 AS probability "
+           "FROM e_t0 t JOIN e_l0 l ON l.k = t.k AND l.id = t.id WHERE t.k = 3 GROUP BY t.id")
+def q_mixture_assign(spark, sf_dir):
+    """Hard labels and their probability under a given mixture of three components."""
+    rows = FU.vectors(features_frame(spark, sf_dir), "cd_cliente", MIXTURE_COLS)
+    return _round_stats(FU.mixture_labels(rows, given_mixtures()[3], F.col("x")).drop("x"), "probability")
+
+
 @query("choose_model", inventory="K13",
-       sql=SELECT_KS_SQL + f" SELECT CASE WHEN {SWITCH[0]} < {SWITCH[1]} THEN 'GMM' ELSE 'KMeans' END AS algoritmo, k, {SWITCH[0]} FROM best")
+       sql=f"WITH {SQL_FEATURES_CTE},\n{_fixed_points_sql(SELECT_KS)},\n{S.euclidean_silhouette('e', 'fp', 'fl')},\n{S.indices('e', 'fp', 'fl', len(METRIC_COLS))},\n"
+           "best AS (SELECT k, round(silhouette, 6) + 0.0 AS silhouette FROM e_sil JOIN e_ind USING (k) ORDER BY round(silhouette, 6) DESC, round(davies_bouldin, 6), k LIMIT 1)\n"
+           f"SELECT CASE WHEN silhouette < {SWITCH[1]} THEN 'GMM' ELSE 'KMeans' END AS algoritmo, CAST(k AS INTEGER) AS k, silhouette FROM best")
 def q_choose_model(spark, sf_dir):
-    best = best_fixed_labelling(spark, sf_dir).first().asDict()
-    algorithm = K.choose_model(best, {"bic": 0.0}, *SWITCH)
-    return spark.createDataFrame([(algorithm, best["k"], best[SWITCH[0]])], f"algoritmo string, k int, {SWITCH[0]} double")
+    """The original's switch: the best Euclidean silhouette (of fixed labellings) against 0.20."""
+    from cohortlens.session import cut_lineage
+
+    feats = cut_lineage(features_frame(spark, sf_dir))
+    found = euclidean_silhouettes(spark, sf_dir, SELECT_KS)
+    table = [{"k": k, "silhouette": round(found[k], 6) + 0.0, "davies_bouldin": round(K.labelled_metrics(feats.withColumn("cluster", fixed_label(k)), METRIC_COLS, "cluster")["davies_bouldin"], 6)}
+             for k in SELECT_KS]
+    best = min(table, key=lambda m: (-m["silhouette"], m["davies_bouldin"], m["k"]))
+    return spark.createDataFrame([(K.choose_model(best, {"bic": 0.0}, *SWITCH), best["k"], best["silhouette"])], "algoritmo string, k int, silhouette double")
 
 
 # Centroids over MIXTURE_COLS.
@@ -1126,19 +1210,48 @@ def q_cluster_assign(spark, sf_dir):
     return K.assign_nearest(features_frame(spark, sf_dir), MIXTURE_COLS, CENTROIDS).select("cd_cliente", "cluster")
 
 
-@query("segment_customers", inventory="P14 F9 H1",
-       sql=f"WITH {SQL_FEATURES_CTE} SELECT count(*) AS clientes, count(DISTINCT cd_cliente) AS ids, true AS perfil_confere, true AS por_tamanho FROM feats")
+PROFILE_SQL = """count(*) AS clientes, round(median(tempo_vida_anos), 6) + 0.0 AS tempo_vida_anos_median, round(median(qt_contratos_12m), 6) + 0.0 AS qt_contratos_12m_median,
+  round(median(valor_contratado_12m), 6) + 0.0 AS valor_contratado_12m_median, round(median(produtos_distintos_12m), 6) + 0.0 AS produtos_distintos_12m_median,
+  max(periodicidade_max_meses_12m) AS periodicidade_max_meses_12m_max, round(100.0 * avg(CAST("fechou_>=1ano_12m" AS INTEGER)), 6) + 0.0 AS "pct_fechou_>=1ano_12m",
+  round(100.0 * avg(CAST(multi_produto_total AS INTEGER)), 6) + 0.0 AS pct_multi_produto_total"""
+
+
+@query("segment_customers", inventory="P14 F9 H1 K13",
+       sql=f"WITH {SQL_KMEANS},\nbest AS (SELECT k, silhouette FROM km_all ORDER BY silhouette DESC, davies_bouldin, k LIMIT 1),\n"
+           f"prof AS (SELECT l.j, {PROFILE_SQL} FROM feats f JOIN km_lab l ON l.id = f.cd_cliente JOIN best ON best.k = l.k GROUP BY l.j)\n"
+           f"SELECT CASE WHEN best.silhouette < {SWITCH[1]} THEN 'GMM' ELSE 'KMeans' END AS algoritmo, best.k, CAST(row_number() OVER (ORDER BY clientes DESC, j) - 1 AS INTEGER) AS cluster, "
+           "prof.* EXCLUDE (j) FROM prof, best")
 def q_segment_customers(spark, sf_dir):
-    """The whole job; what must hold for any fit: one label per customer, a profile that adds up, clusters numbered by size."""
+    """The whole job: preprocessing, both sweeps, choice, labels by size, profile.  The SQL follows it where K-Means is chosen, as on these tables."""
     from cohortlens.plans.jobs import segment_customers
 
-    r = segment_customers(features_frame(spark, sf_dir), MATRIX_PARTITIONS, *SWITCH)
-    profile = [(x["cluster"], x["clientes"]) for x in r.profile.collect()]
-    n = r.labels.agg(F.count("cluster").alias("clientes"), F.countDistinct("cd_cliente").alias("ids"))
-    sizes = [c for _, c in profile]
-    adds_up = n.select((F.col("clientes") == sum(sizes)).alias("ok")).first()["ok"] and len(profile) == r.k and min(sizes) > 0
-    by_size = [c for c, _ in profile] == list(range(len(profile))) and sizes == sorted(sizes, reverse=True)
-    return n.select("clientes", "ids", F.lit(adds_up).alias("perfil_confere"), F.lit(by_size).alias("por_tamanho"))
+    r = segment_customers(features_frame(spark, sf_dir), MATRIX_PARTITIONS, *SWITCH, max_iter=ROUNDS, tol=0.0)
+    out = _round_stats(r.profile, "tempo_vida_anos_median", "qt_contratos_12m_median", "valor_contratado_12m_median", "produtos_distintos_12m_median",
+                       "pct_fechou_>=1ano_12m", "pct_multi_produto_total")
+    return out.select(F.lit(r.algorithm).alias("algoritmo"), F.lit(r.k).alias("k"), "*")
+
+
+@query("pca_matrix", inventory="K16",
+       sql=f"WITH {_feature_matrix_sql(rounded=False)},\n"
+           f"cen AS (SELECT [{', '.join(f'avg(x[{i}])' for i in range(1, D_MATRIX + 1))}] AS m, count(*) AS n FROM mx),\n"
+           f"z AS MATERIALIZED (SELECT id, [{', '.join(f'x[{i}] - m[{i}]' for i in range(1, D_MATRIX + 1))}] AS z, n FROM mx, cen),\n"
+           "e AS MATERIALIZED (SELECT i.i, j.i AS j, sum(z[i.i] * z[j.i]) / (any_value(n) - 1) AS v FROM z, range(1, %d) i(i), range(1, %d) j(i) GROUP BY i.i, j.i),\n"
+           "e2 AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM e a JOIN e b ON a.j = b.i GROUP BY a.i, b.j)\n"
+           "SELECT id AS cd_cliente, round(list_inner_product(z, z), 5) + 0.0 AS norma2, (SELECT round(sum(v), 5) FROM e WHERE i = j) AS soma, "
+           "(SELECT round(sum(v * v), 4) FROM e) AS soma_quadrados, (SELECT round(sum(a.v * b.v), 3) FROM e2 a JOIN e b ON a.i = b.j AND a.j = b.i) AS soma_cubos, "
+           "(SELECT round(sum(v * v), 2) FROM e2) AS soma_quartas, 0.0 AS covariancia FROM z" % (D_MATRIX + 1, D_MATRIX + 1))
+def q_pca_matrix(spark, sf_dir):
+    """All components of the twelve columns: each customer's coordinates keep its squared distance from the mean, the variances' power sums are the traces of the covariance's powers,
+    and no two coordinates are correlated."""
+    model, matrix = matrix_frame(spark, sf_dir)
+    coords = K.coordinates(FU.vectors(matrix, "cd_cliente", model.feature_names), keep=["cd_cliente"])
+    names = [c for c in coords.columns if c != "cd_cliente"]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[:i]]
+    got = coords.agg(*[F.var_samp(c).alias(c) for c in names], F.greatest(*[F.abs(F.covar_samp(a, b)) for a, b in pairs]).alias("most")).first()
+    power = lambda p: sum(got[c] ** p for c in names)
+    return coords.select("cd_cliente", (F.round(sum((F.col(c) * F.col(c) for c in names), F.lit(0.0)), 5) + F.lit(0.0)).alias("norma2"), F.lit(round(power(1), 5)).alias("soma"),
+                         F.lit(round(power(2), 4)).alias("soma_quadrados"), F.lit(round(power(3), 3)).alias("soma_cubos"), F.lit(round(power(4), 2)).alias("soma_quartas"),
+                         F.lit(round(got["most"], 9) + 0.0).alias("covariancia"))
 
 
 @query("pca_2d", inventory="K16 P16",

@@ -3,7 +3,10 @@ import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 
+from pyspark.sql import functions as F
+
 from cohortlens.operators import cluster as K
+from cohortlens.operators import fused
 
 
 def _brute(x, lab):
@@ -94,26 +97,122 @@ def test_kmeans_sweep_recovers_planted_blobs(spark, blobs):
 
 
 def test_fit_independent_of_input_partitioning(spark, blobs):
-    from pyspark.ml.clustering import KMeans
     centres = []
     for parts in (1, 7):
-        m = K.canonical(blobs.repartition(parts), "id", 4)
-        vec = VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(m)
-        model = KMeans(k=3, seed=42).fit(vec)
-        centres.append(sorted(tuple(np.round(c, 12)) for c in model.clusterCenters()))
+        r = K.kmeans_sweep(blobs.repartition(parts), "id", ["x1", "x2"], ks=[3], seed=42)
+        centres.append(sorted(tuple(np.round(c, 9)) for c in r.model.clusterCenters()))
     assert centres[0] == centres[1]
 
 
-def test_gmm_sweep_and_noise_is_deterministic(spark, blobs):
-    m = K.canonical(blobs, "id", 4)
-    a = K.with_noise(m, "id", ["x1", "x2"], 0.01, 42).orderBy("id").collect()
-    b = K.with_noise(m.repartition(3), "id", ["x1", "x2"], 0.01, 42).orderBy("id").collect()
-    assert a == b
-    res = K.gmm_sweep(m, "id", ["x1", "x2"], ks=range(2, 5), seed=42)
+def _points(df):
+    rows = sorted(df.collect())
+    return np.array([[r.x1, r.x2] for r in rows])
+
+
+def test_fused_lloyd_against_separate_fits(spark, blobs):
+    x, rows = _points(blobs), fused.vectors(blobs, "id", ["x1", "x2"])
+    starts = fused.race_starts(rows, "id", 5, 1)
+    assert len({tuple(s) for s in starts}) == 5 and all((x == s).all(axis=1).any() for s in starts)
+    got = fused.lloyd(rows, {k: starts[:k] for k in (2, 3, 5)}, 50, 0.0)
+    for k in (2, 3, 5):
+        c = starts[:k].copy()
+        for _ in range(50):
+            lab = ((x[:, None] - c) ** 2).sum(-1).argmin(1)
+            c = np.array([x[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(k)])
+        assert np.allclose(got[k], c, atol=1e-9)
+    ind = fused.indices(rows, got)
+    for k in (2, 3, 5):
+        lab = ((x[:, None] - got[k]) ** 2).sum(-1).argmin(1)
+        want = _brute(x, lab)
+        assert np.allclose([ind[k]["silhouette_squared"], ind[k]["davies_bouldin"], ind[k]["calinski_harabasz"]], want)
+
+
+def test_a_round_is_one_job_for_all_k(spark, blobs):
+    rows = fused.vectors(blobs, "id", ["x1", "x2"])
+    tracker, before = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("lloyd", "")
+    try:
+        starts = np.array([[0.0, 0.0], [6.0, 6.0], [0.0, 8.0], [3.0, 3.0]])
+        fused.lloyd(rows, {k: starts[:k] for k in (2, 3, 4)}, 1, 0.0)
+        before = len(tracker.getJobIdsForGroup("lloyd"))
+        fused.lloyd(rows, {2: starts[:2]}, 1, 0.0)
+        assert len(tracker.getJobIdsForGroup("lloyd")) == 2 * before  # as many for three models as for one
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_few_distinct_vectors(spark):
+    df = spark.createDataFrame([(i, float(i % 3), 1.0) for i in range(30)], "id int, x1 double, x2 double")
+    r = K.kmeans_sweep(df, "id", ["x1", "x2"], ks=range(2, 6))
+    assert {m.k: m.silhouette for m in r.metrics.collect()}[3] == 1.0 and r.best_k == 3
+    g = K.gmm_sweep(df, "id", ["x1", "x2"], ks=[2, 3])  # singular without a floor
+    assert all(np.isfinite(m.bic) for m in g.metrics.collect()) and g.labels.count() == 30
+    assert K.kmeans_sweep(df.limit(0), "id", ["x1", "x2"]).best_k is None and K.gmm_sweep(df.limit(0), "id", ["x1", "x2"]).best_k is None
+    one = K.kmeans_sweep(df.where("id % 3 = 0"), "id", ["x1", "x2"], ks=[2])  # one distinct vector
+    assert one.best["silhouette"] == 0.0
+
+
+def _euclidean(x, lab):
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    out = []
+    for i in range(len(x)):
+        own = lab == lab[i]
+        others = [d[i, lab == c].mean() for c in set(lab.tolist()) if c != lab[i]]
+        if own.sum() == 1 or not others:
+            out.append(0.0)
+            continue
+        a, b = d[i, own].sum() / (own.sum() - 1), min(others)
+        out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return np.mean(out)
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_euclidean_silhouette_against_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(fused, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(0, 2, (90, 3)), 0)  # many equal vectors
+    labels = {"a": rng.integers(0, 3, 90), "b": (x[:, 0] > 0).astype(int), "c": np.r_[np.zeros(89, int), 1], "d": np.zeros(90, int)}
+    df = spark.createDataFrame([(list(map(float, x[i])), *(int(labels[c][i]) for c in "abcd"), None if i % 9 == 0 else int(labels["a"][i])) for i in range(90)],
+                               "x array<double>, a int, b int, c int, d int, e int").repartition(3)
+    got = fused.silhouettes(df, list("abcde"))
+    for c in "abcd":
+        assert np.isclose(got[c], _euclidean(x, labels[c]), atol=1e-12)
+    some = np.arange(90) % 9 != 0
+    assert np.isclose(got["e"], _euclidean(x[some], labels["a"][some]), atol=1e-12)
+    assert fused.silhouettes(df.limit(0), ["a"]) == {"a": 0.0}
+
+
+def test_em_likelihood_never_falls_and_labels_are_responsibilities(spark, blobs):
+    x, rows = _points(blobs), fused.vectors(blobs, "id", ["x1", "x2"])
+    starts = fused.race_starts(rows, "id", 4, 7)
+    models = fused.mixtures_from_centres(rows, {k: starts[:k] for k in (2, 3, 4)}, 1e-6)
+    n, fitted, seen = fused.em(rows, models, 20, 0.0, 1e-6)
+    assert n == 180 and all(len(v) == 21 for v in seen.values())
+    assert all(b >= a - 1e-3 for v in seen.values() for a, b in zip(v, v[1:]))
+    m = fitted[3]
+    dens = np.stack([w * np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(c), x - mu)) / (2 * np.pi * np.sqrt(np.linalg.det(c)))
+                     for w, mu, c in zip(m.weights, m.means, m.covariances)], axis=1)
+    assert np.isclose(seen[3][-1], np.log(dens.sum(1)).sum())
+    got = sorted(fused.mixture_labels(rows, m, F.col("x")).drop("x").collect())
+    assert [r.cluster for r in got] == dens.argmax(1).tolist()
+    assert np.allclose([r.probability for r in got], dens.max(1) / dens.sum(1))
+
+
+def test_gmm_sweep_keeps_the_lowest_bic(spark, blobs):
+    res = K.gmm_sweep(blobs, "id", ["x1", "x2"], ks=range(2, 5), seed=42)
     bics = {r["k"]: r["bic"] for r in res.metrics.collect()}
-    assert all(np.isfinite(v) for v in bics.values())
-    assert res.best_k == min(bics, key=lambda k: (bics[k], k))
-    assert res.labels.count() == 180
+    assert res.best_k == min(bics, key=lambda k: (bics[k], k)) == 3
+    assert res.labels.count() == 180 and set(res.labels.columns) == {"id", "cluster", "probability"}
+
+
+@pytest.mark.parametrize("d", [1, 2, 12])
+def test_jacobi_against_eigh(d):
+    rng = np.random.default_rng(d)
+    a = rng.normal(size=(d, d))
+    a = a @ a.T
+    a[:, 0] = a[0, :] = 0  # a column without variance
+    values, vecs = fused.jacobi(a)
+    assert np.allclose(values, np.linalg.eigvalsh(a)[::-1]) and np.allclose(vecs @ np.diag(values) @ vecs.T, a) and np.allclose(vecs.T @ vecs, np.eye(d))
 
 
 def test_profile_and_pca(spark, labelled):
@@ -150,7 +249,7 @@ def test_segment_customers_end_to_end(spark):
                                         "tempo_vida_anos double, qt_contratos_12m long, valor_contratado_12m double, "
                                         "produtos_distintos_12m long, periodicidade_max_meses_12m int, "
                                         "`fechou_>=1ano_12m` boolean, multi_produto_total boolean")
-    res = segment_customers(feats, 3, "silhouette_squared", 0.2, ks=range(2, 5), parallelism=3)
+    res = segment_customers(feats, 3, "silhouette_squared", 0.2, ks=range(2, 5))
     labels = res.labels.collect()
     assert len(labels) == 240 and len({r["cd_cliente"] for r in labels}) == 240
     prof = res.profile.collect()
