@@ -9,10 +9,11 @@ One tree over all documents would not do: in so many dimensions its rectangles o
 
 1. over the runs of nodes with equal least hash (ordered by it, size and set, dealt out by range, a bounded number to a tree): what is verified there
    joins most groups of near copies, each set having been shuffled once;
-2. over the shards of a prefix key: with all shingles in one order (frequent hash buckets last, then by hash), sets that are near share one of their first
-   n - ceil(n * PERCENT / 100) + 1 shingles.  Only shards with nodes of different groups are looked at.  The first search asks, for each node and each other
-   group, for the best pair only; the second, when these are verified and the groups joined, for all pairs of different groups that were not
-   yet tested.  So every link is inside a group in the end and no pairs are made inside groups.
+2. over the shards of a prefix key: with all shingles in one order (frequent hash buckets last, then by hash), sets of n and m shingles that are near share at
+   least k of their first n - ceil(n * PERCENT / 100) + k and m - ceil(m * PERCENT / 100) + k shingles; k = 1 + n div ``PART`` grows with the smaller set.  Only shards with
+   nodes of different groups are looked at, and a pair counts if it survives in k shards.  The first search asks, for each node and each other
+   group, for the best pair of a shard only.  Where it left pairs out and the groups are still apart when the best ones are verified, the second asks for all pairs between them
+   that were not yet tested.  So every link is inside a group in the end and no pairs are made inside groups.
 
 A shard of more than ``MOST`` nodes is dealt out as trees of about MOST points, each met by the queries of every tree of the shard.
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import Grown, WordNumbers, chunks, join_hot, narrow, small, texts_of, wide
+from cohortlens.llm.common import Grown, WordNumbers, chunks, expand, join_hot, narrow, small, texts_of, wide
 from cohortlens.llm.simhash import components
 from cohortlens.session import cut_lineage
 
@@ -47,8 +48,10 @@ HELD = 4_000_000
 BUCKET_BITS, REPORTED, FREQUENT = 20, 4096, 16_384
 #: Rows that a task takes at a time for shards of keys.
 FOREST = 50_000
-#: Nodes, and keys, that may be broadcast; shingles of sets to verify that may be broadcast.
-MOST_NODES, MOST_KEYS, MOST_SHINGLES = 1_000_000, 1_000_000, 2_000_000
+#: Shingles of a set for each further key that it has to share.
+PART = 64
+#: Nodes, keys and points that may be broadcast; shingles of sets to verify that may be broadcast.
+MOST_NODES, MOST_KEYS, MOST_POINTS, MOST_SHINGLES = 1_000_000, 1_000_000, 80_000, 2_000_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
@@ -289,7 +292,7 @@ def prefix_keys(nodes: DataFrame, percent: int, frequent: np.ndarray) -> DataFra
             keys, count = [], []
             for raw in batch.column("shingles").to_pylist():
                 s = _set(raw)
-                p = len(s) - -(-len(s) * percent // 100) + 1
+                p = min(len(s), len(s) - -(-len(s) * percent // 100) + 1 + len(s) // PART)
                 late = last[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 early = s[~late][:p]
                 keys.append(early if len(early) == p else np.concatenate([early, s[late][: p - len(early)]]))
@@ -302,27 +305,36 @@ def prefix_keys(nodes: DataFrame, percent: int, frequent: np.ndarray) -> DataFra
 
 
 def candidates(nodes: DataFrame, percent: int, frequent: np.ndarray, best: bool) -> DataFrame:
-    """(a, b), a < b: pairs of different groups that share a prefix key and that points and sizes allow; ``best``: for each node and other group the best of a shard."""
+    """(a, b, more), a < b: pairs of different groups that share enough prefix keys and that points and sizes allow.
+
+    ``best``: for each node and other group the best of a shard; ``more`` says that others were left out.
+    """
     keys = prefix_keys(nodes, percent, frequent)
     shards = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
     shards = shards.select("key", F.ceil(F.col("n") / MOST).cast("int").alias("trees"))
     shards = small(shards, MOST_KEYS, "jaccard-shards")
     rows = cut_lineage(prefix_keys(nodes, percent, frequent).join(shards, "key"), "jaccard-keys")
-    points = nodes.join(small(rows.select("node").distinct(), MOST_NODES, "jaccard-met"), "node", "left_semi").select("node", "n", "shingles")
-    points = small(_with_points(points), MOST_NODES // 32, "jaccard-points")
-    rows = rows.join(points, "node")
+    met = small(rows.select("node").distinct(), MOST_NODES, "jaccard-met")
+    points = cut_lineage(_with_points(nodes.join(met, "node", "left_semi").select("node", "n", "shingles")), "jaccard-points")
+    few = points.count() <= MOST_POINTS
+    if not few:  # else they needn't be shuffled with every key
+        rows = rows.join(points, "node")
     tree = F.pmod(F.xxhash64("node", "key"), F.col("trees")).cast("int")
     cell = F.transform(F.sequence(F.lit(0), F.col("trees") - 1), lambda k: F.struct(
         F.least(k, tree).alias("i"), F.greatest(k, tree).alias("j"), F.when(k == tree, 0).when(k > tree, 1).otherwise(2).alias("kind")))
-    rows = rows.select("key", "node", "group", "n", "point", F.explode(cell).alias("c"))
-    rows = rows.select(F.xxhash64("key", "c.i", "c.j").alias("shard"), "node", "group", "n", "point", F.col("c.kind").alias("kind"))
+    rows = rows.withColumn("c", F.explode(cell)).withColumns({"shard": F.xxhash64("key", "c.i", "c.j"), "kind": F.col("c.kind")}).drop("key", "c", "trees")
     rows = rows.repartition("shard").sortWithinPartitions("shard", "node")
+    if few:
+        rows = rows.join(F.broadcast(points), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _whole_shards(batches):
-            yield from _pairs(*shard, percent, best)
+        for shards in _whole_shards(batches):
+            yield from _pairs(*shards, percent, best)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select("shard", "node", "group", "n", "kind", "point")
+    pairs = rows.mapInArrow(run, "a long, b long, need long, more boolean").groupBy("a", "b").agg(
+        F.count("*").alias("keys"), F.first("need").alias("need"), F.max("more").alias("more"))
+    return pairs.where("more OR keys >= need").select("a", "b", "more")
 
 
 def _with_points(nodes: DataFrame) -> DataFrame:
@@ -335,46 +347,67 @@ def _with_points(nodes: DataFrame) -> DataFrame:
 
 
 def _whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(node, group, n, points, kind) of each shard, from rows ordered by shard."""
+    """(shard, node, group, n, kind, points) of whole shards, from rows ordered by shard."""
     names = ("shard", "node", "group", "n", "kind")
     held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in names] + [np.zeros((0, GROUPS), np.uint32)]
-
-    def cut(last: bool) -> Iterator[tuple[np.ndarray, ...]]:
-        nonlocal held
-        edge = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1], True]) if len(held[0]) else np.zeros(1, np.int64)
-        edge = edge if last else edge[:-1]  # the last shard may go on
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            yield tuple(h[a:b] for h in (held[1], held[2], held[3], held[5], held[4]))
-        held = [h[edge[-1] :] for h in held]
-
     for batch in batches:
         points = np.frombuffer(b"".join(batch.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS)
         new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names] + [points]
         held = [np.concatenate(x) for x in zip(held, new)]
         if len(held[0]) >= FOREST:
-            yield from cut(False)
-    yield from cut(True)
-
-
-def _pairs(node: np.ndarray, group: np.ndarray, n: np.ndarray, points: np.ndarray, kind: np.ndarray, percent: int, best: bool) -> Iterator[pa.RecordBatch]:
-    """Candidates of one shard: kind 0 is a point and a query, 1 a point only, 2 a query only."""
-    grown, asks = np.flatnonzero(kind < 2), np.flatnonzero(kind != 1)
-    if not len(grown) or not len(asks):
-        return
-    tree = Tree(points[grown], n[grown])
-    for k in range(0, len(asks), 512):
-        ask = asks[k : k + 512]
-        query, point, common = tree.search(points[ask], n[ask], percent)
-        a, b = ask[query], grown[point]
-        ok = (group[a] != group[b]) & ((kind[a] == 2) | (kind[b] == 1) | (node[a] < node[b]))
-        a, b, common = a[ok], b[ok], common[ok]
-        if best and len(a):
-            order = np.lexsort((node[b], -common, group[b], a))
-            a, b = a[order], b[order]
-            new = np.r_[True, (a[1:] != a[:-1]) | (group[b[1:]] != group[b[:-1]])]
-            a, b = a[new], b[new]
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], names=["a", "b"])
+            end = int(np.flatnonzero(held[0] != held[0][-1])[-1]) + 1 if held[0][0] != held[0][-1] else 0  # the last shard may go on
+            if end:
+                yield tuple(h[:end] for h in held)
+                held = [h[end:] for h in held]
+    if len(held[0]):
+        yield tuple(held)
+
+
+def _pairs(shard: np.ndarray, node: np.ndarray, group: np.ndarray, n: np.ndarray, kind: np.ndarray, points: np.ndarray, percent: int, best: bool) -> Iterator[pa.RecordBatch]:
+    """Candidates of whole shards: kind 0 is a point and a query, 1 a point only, 2 a query only."""
+    edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+    found = [_in_leaves(edge[:-1], np.diff(edge), n, points, percent)]
+    for a, b in zip(edge[:-1][np.diff(edge) > LEAF].tolist(), edge[1:][np.diff(edge) > LEAF].tolist()):
+        grown, asks = a + np.flatnonzero(kind[a:b] < 2), a + np.flatnonzero(kind[a:b] != 1)
+        if len(grown) and len(asks):
+            tree = Tree(points[grown], n[grown])
+            for k in range(0, len(asks), 512):
+                query, point, common = tree.search(points[asks[k : k + 512]], n[asks[k : k + 512]], percent)
+                query, point = asks[k : k + 512][query], grown[point]
+                ok = _wanted(query, point, node, group, kind)
+                found.append((query[ok], point[ok], common[ok]))
+    a, b, common = (np.concatenate(x) for x in zip(*found))
+    ok = _wanted(a, b, node, group, kind)
+    a, b, common = a[ok], b[ok], common[ok]
+    more = np.zeros(len(a), bool)
+    if best and len(a):
+        order = np.lexsort((node[b], -common, group[b], a))  # a is a row, so of one shard
+        a, b = a[order], b[order]
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (group[b[1:]] != group[b[:-1]])])
+        more = np.diff(np.r_[new, len(a)]) > 1
+        a, b = a[new], b[new]
+    if len(a):
+        need = 1 + np.minimum(n[a], n[b]) // PART
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(need), pa.array(more)],
+                                         names=["a", "b", "need", "more"])
+
+
+def _wanted(a: np.ndarray, b: np.ndarray, node: np.ndarray, group: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether a query and a point are of different groups, each pair once."""
+    return (group[a] != group[b]) & ((kind[a] == 2) & (kind[b] == 1) | (kind[a] == 0) & (kind[b] == 0) & (node[a] < node[b]))
+
+
+def _in_leaves(start: np.ndarray, size: np.ndarray, n: np.ndarray, points: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, most that they share) within the shards that are a single leaf, all at a time."""
+    start, size = start[size <= LEAF], size[size <= LEAF]
+    row = expand(start, size)
+    others = np.repeat(size, size)
+    a, b = np.repeat(row, others), expand(np.repeat(start, size), others)
+    ok = (a != b) & (100 * n[a] >= percent * n[b]) & (100 * n[b] >= percent * n[a])
+    a, b = a[ok], b[ok]
+    common = shared(points, a, points, b)
+    ok = (100 + percent) * common >= percent * (n[a] + n[b])
+    return a[ok], b[ok], common[ok]
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -411,15 +444,17 @@ def jaccard_components(docs: DataFrame, *, shingle: int = SHINGLE, percent: int
     runs = small(same.groupBy("least").agg(F.count("*").alias("c")).where("c > 1").select("least"), MOST_NODES, "jaccard-least")
     found = cut_lineage(near_in_runs(nodes.join(runs, "least", "left_semi"), percent), "jaccard-links")
     frequent = frequent_buckets(nodes)
-    tested = None
-    for best in (True, False):
-        root = cut_lineage(components(found, "jaccard-groups"), "jaccard-roots")
-        grouped = nodes.join(small(root, MOST_NODES, "jaccard-root").withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-        grouped = grouped.select("node", "n", "shingles", F.coalesce("root", "node").alias("group"))
-        pairs = candidates(grouped, percent, frequent, best)
-        pairs = cut_lineage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tested = pairs
-        found = cut_lineage(found.union(verified(pairs, nodes, percent)), "jaccard-links")
+    grouped, root = _with_groups(nodes, found)
+    pairs = cut_lineage(candidates(grouped, percent, frequent, True), "jaccard-pairs")
+    found = cut_lineage(found.union(verified(pairs, nodes, percent)), "jaccard-links")
+    if not pairs.where("more").isEmpty():
+        grouped, root = _with_groups(nodes, found)
+        apart = pairs.where("more").join(root.toDF("a", "ra"), "a", "left").join(root.toDF("b", "rb"), "b", "left")
+        apart = apart.select(F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra != rb")
+        left = small(apart.select(F.explode(F.array("ra", "rb")).alias("group")).distinct(), MOST_NODES, "jaccard-apart")
+        again = candidates(grouped.join(left, "group", "left_semi"), percent, frequent, False)
+        again = cut_lineage(again.join(pairs, ["a", "b"], "left_anti").select("a", "b"), "jaccard-pairs")
+        found = cut_lineage(found.union(verified(again, nodes, percent)), "jaccard-links")
 
     root = components(found, "jaccard-groups")
     named = same.join(root.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
@@ -432,5 +467,13 @@ def jaccard_components(docs: DataFrame, *, shingle: int = SHINGLE, percent: int
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(lone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
+def _with_groups(nodes: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes (node, n, shingles) with their groups, and (node, root) of the nodes that have links."""
+    root = cut_lineage(components(found, "jaccard-groups"), "jaccard-roots")
+    held = small(root, MOST_NODES, "jaccard-root").withColumnRenamed("node", "member")
+    grouped = nodes.join(held, F.col("node") == F.col("member"), "left")
+    return grouped.select("node", "n", "shingles", F.coalesce("root", "node").alias("group")), root
+
+
 def digest(docs: DataFrame) -> DataFrame:
     return jaccard_components(docs)

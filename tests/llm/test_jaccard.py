@@ -74,7 +74,7 @@ def test_components_against_brute_force(spark):
 
 
 def test_small_trees_and_shuffled_joins_give_the_same(spark, monkeypatch):
-    for name, value in {"MOST": 40, "MOST_IN_RUN": 20, "FOREST": 300, "MOST_NODES": 0, "MOST_KEYS": 0, "MOST_SHINGLES": 0}.items():
+    for name, value in {"MOST": 40, "MOST_IN_RUN": 20, "FOREST": 300, "MOST_NODES": 0, "MOST_KEYS": 0, "MOST_SHINGLES": 0, "MOST_POINTS": 0}.items():
         monkeypatch.setattr(jaccard, name, value)
     monkeypatch.setattr(common, "MOST_NAMED", 0)
     monkeypatch.setattr(common, "HOT_ROWS", 2)
