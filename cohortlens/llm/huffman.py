@@ -14,18 +14,20 @@ from a table that the next ``max_length`` bits index.
 Tokenizing works on words: the tokenizer's pre-tokenizer never joins text across ASCII white space, so a text's ids are its words' ids in
 turn, and a bounded number of words is remembered with their ids (see ``tests/llm/test_huffman.py`` for the comparison with whole texts).
 
-Defined results: a null or empty text has only the end id; repeated rows are documents of their own, ordered by their coded bytes; a code for
+Defined results: a null or empty text has only the end id; rows that share a doc_id are documents of their own, ordered by a hash of their ids; a code for
 one id only has length 1; an empty table gives empty tables; other columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -123,12 +125,12 @@ def tokens_of(path: str) -> Tokens:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """(doc_id, ids, counts) for each row: its ids and the end id as little-endian unsigned 32-bit integers; and a row without ids for each task, with
-    the task's numbers of ids 0, 1, ... (little-endian 64-bit)."""
+    """(doc_id, h, ids, counts) for each row: a hash of its ids, and its ids and the end id as little-endian unsigned 32-bit integers; and a row without ids for
+    each task, with the task's numbers of ids 0, 1, ... (little-endian 64-bit)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end, total = tokens_of(tokenizer), np.uint32(end_id).tobytes(), np.zeros(end_id + 1, np.int64)
-        names = ["doc_id", "ids", "counts"]
+        names = ["doc_id", "h", "ids", "counts"]
         for batch in batches:
             for part in chunks(batch):
                 found = tokens(texts_of(part.column("text")))
@@ -137,11 +139,12 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
                 n[end_id] += part.num_rows
                 total = n
                 ids = [x.astype("<u4").tobytes() + end for x in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.nulls(part.num_rows, pa.binary())], names=names)
+                h = np.array([xxhash.xxh3_64_intdigest(x) for x in ids], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(h), pa.array(ids, pa.binary()), pa.nulls(part.num_rows, pa.binary())], names=names)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return narrow(docs).mapInArrow(run, "doc_id long, ids binary, counts binary")
+    return narrow(docs).mapInArrow(run, "doc_id long, h long, ids binary, counts binary")
 
 
 # code
@@ -251,8 +254,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 1, max_le
     spark = docs.sparkSession
     folder = scratch_path(spark, "token-ids")
     tokenize(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(folder)
-    written = spark.read.schema("doc_id long, ids binary, counts binary").parquet(folder)
-    tokens = written.where("ids IS NOT NULL").select("doc_id", "ids")
+    written = spark.read.schema("doc_id long, h long, ids binary, counts binary").parquet(folder)
+    tokens = written.where("counts IS NULL").select("doc_id", "h", "ids")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,15 +271,20 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 1, max_le
     spark.createDataFrame(pa.table({"id": code.ids, "length": code.length.astype(np.int32)})).coalesce(1).write.mode("overwrite").parquet(f"{path}/code")
     held = spark.sparkContext.broadcast(code)  # bounded by the vocabulary
 
+    # where the tasks of the global order begin, from ids and hashes alone: a range partitioning of the code itself would encode everything twice
+    first = tokens.select("doc_id", "h").repartitionByRange(wide(docs), "doc_id", "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct("doc_id", "h")).alias("at"))
+    begins = sorted((r["at"]["doc_id"] is not None, r["at"]["doc_id"] or 0, r["at"]["h"]) for r in first.collect())  # one for each task
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(len(x) // 4, *held.value.encode(np.frombuffer(x, "<u4"))) for x in batch.column("ids").to_pylist()]
+            task = [max(bisect.bisect_right(begins, (i is not None, i or 0, h)) - 1, 0) for i, h in zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary()),
-                 pa.array([g[2].tobytes() for g in got], pa.binary())], names=["doc_id", "n", "payload", "checkpoints"])
+                [batch.column("doc_id"), batch.column("h"), pa.array(task, pa.int32()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary()),
+                 pa.array([g[2].tobytes() for g in got], pa.binary())], names=["doc_id", "h", "task", "n", "payload", "checkpoints"])
 
-    coded = tokens.mapInArrow(encode, "doc_id long, n long, payload binary, checkpoints binary")
-    coded = coded.repartitionByRange(wide(docs), "doc_id", "n", F.xxhash64("payload")).sortWithinPartitions("doc_id", "n", F.xxhash64("payload"))
+    coded = tokens.mapInArrow(encode, "doc_id long, h long, task int, n long, payload binary, checkpoints binary")
+    coded = coded.repartitionById(max(len(begins), 1), "task").sortWithinPartitions("doc_id", "h").select("doc_id", "n", "payload", "checkpoints")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = size = 0
