@@ -857,29 +857,35 @@ def q_yeo_johnson(spark, sf_dir):
                       (F.round("erros_caros", 9) + F.lit(0.0)).alias("erros_caros"), F.lit(lam["erros_caros"]).alias("lambda_erros"))
 
 
-def _feature_matrix_sql(rounded: bool = True) -> str:
-    """Rows of the matrix; not ``rounded``: CTEs ending in ``mx(id, x)`` with the twelve columns as a list."""
+def _feature_matrix_sql(rounded: bool = True, fit: str = "true") -> str:
+    """Rows of the matrix, fitted on the rows that ``fit`` selects; not ``rounded``: CTEs ending in ``mx(id, x)`` with the twelve columns as a list."""
     cols = P.NUMERIC_FEATURES
     ctes = [SQL_FEATURES_CTE,
             "fm AS (SELECT cd_cliente, tempo_vida_anos, CAST(qt_contratos_12m AS DOUBLE) AS qt_contratos_12m, "
             "valor_contratado_12m, CAST(produtos_distintos_12m AS DOUBLE) AS produtos_distintos_12m, "
             "CAST(periodicidade_max_meses_12m AS DOUBLE) AS periodicidade_max_meses_12m, "
             "CAST(\"fechou_>=1ano_12m\" AS INTEGER)::DOUBLE AS c5, CAST(multi_produto_total AS INTEGER)::DOUBLE AS c6, "
-            "vl_faixa_faturamento FROM feats)"]
+            f"vl_faixa_faturamento, ({fit}) AS fits FROM feats)"]
     src_names = ["tempo_vida_anos", "qt_contratos_12m", "valor_contratado_12m", "produtos_distintos_12m",
                  "periodicidade_max_meses_12m", "c5", "c6"]
-    imp = ", ".join(f"coalesce({s}, (SELECT median({s}) FROM fm)) AS x{i}" for i, s in enumerate(src_names))
-    ctes.append(f"imp AS (SELECT cd_cliente, vl_faixa_faturamento, {imp} FROM fm)")
+    imp = ", ".join(f"coalesce({s}, (SELECT median({s}) FROM fm WHERE fits)) AS x{i}" for i, s in enumerate(src_names))
+    ctes.append(f"every AS (SELECT cd_cliente, vl_faixa_faturamento, fits, {imp} FROM fm), imp AS (SELECT * FROM every WHERE fits)")
     for i in range(len(cols)):
         ctes.append(yj_lambda_ctes(f"p{i}", "imp", f"x{i}"))
     tr = ", ".join(f"{yj_sql(f'x{i}', f'(SELECT lam FROM p{i}_lam)')} AS y{i}" for i in range(len(cols)))
-    ctes.append(f"tr AS (SELECT cd_cliente, vl_faixa_faturamento, {tr} FROM imp)")
-    scaled = [f"(y{i} - (SELECT avg(y{i}) FROM tr)) / (SELECT CASE WHEN stddev_pop(y{i}) > 0 THEN stddev_pop(y{i}) ELSE 1 END FROM tr)" for i in range(len(cols))]
+    ctes.append(f"tr AS (SELECT cd_cliente, vl_faixa_faturamento, fits, {tr} FROM every)")
+    scaled = [f"(y{i} - (SELECT avg(y{i}) FROM tr WHERE fits)) / (SELECT CASE WHEN stddev_pop(y{i}) > 0 THEN stddev_pop(y{i}) ELSE 1 END FROM tr WHERE fits)" for i in range(len(cols))]
     flags = [f"CASE WHEN vl_faixa_faturamento = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEGMENTS]
     if not rounded:
         ctes.append(f"mx AS MATERIALIZED (SELECT cd_cliente AS id, [{', '.join(scaled + flags)}]::DOUBLE[] AS x FROM tr)")
         return ",\n".join(ctes)
-    outs = ["cd_cliente", *(f"round({x}, 6) + 0.0 AS \"num__{c}\"" for x, c in zip(scaled, cols)), *(f"{f} AS \"cat__vl_faixa_faturamento_{s}\"" for f, s in zip(flags, SEGMENTS))]
+    outs = ["cd_cliente", *(f"round({x}, 6) + 0.0 AS \"num__{c}\"" for x, c in zip(scaled, cols))]
+    if fit == "true":
+        outs += [f"{f} AS \"cat__vl_faixa_faturamento_{s}\"" for f, s in zip(flags, SEGMENTS)]
+    else:  # the place of the category in the fitted dictionary; null: unknown
+        outs.append("(SELECT count(*) FROM (SELECT vl_faixa_faturamento AS v, count(*) AS n FROM fm WHERE fits GROUP BY 1) o, "
+                    "(SELECT vl_faixa_faturamento AS v, count(*) AS n FROM fm WHERE fits GROUP BY 1) m WHERE m.v = tr.vl_faixa_faturamento AND (o.n > m.n OR o.n = m.n AND o.v < m.v)) "
+                    "+ CASE WHEN vl_faixa_faturamento IN (SELECT vl_faixa_faturamento FROM fm WHERE fits) THEN 0 END AS categoria")
     return "WITH " + ",\n".join(ctes) + "\nSELECT " + ", ".join(outs) + " FROM tr"
 
 
@@ -897,6 +903,28 @@ def q_feature_matrix(spark, sf_dir):
     return _round_stats(wide, *[f"num__{c}" for c in P.NUMERIC_FEATURES])
 
 
+FITS = f"vl_faixa_faturamento <> '{SEGMENTS[-1]}' AND CAST(cd_cliente AS BIGINT) % 3 > 0"
+
+
+@query("stored_model", inventory="K6", sql=_feature_matrix_sql(fit=FITS))
+def q_stored_model(spark, sf_dir):
+    """Fitted on a part of the customers, written, read in a fresh session and applied to all, among them a category that the fit hasn't seen."""
+    from pyspark.ml.functions import vector_to_array
+
+    from cohortlens.session import cut_lineage, scratch_path
+
+    path, data = scratch_path(spark, "model"), scratch_path(spark, "features")
+    feats = P.model_inputs(features_frame(spark, sf_dir))
+    feats.write.parquet(data)
+    P.fit_preprocessor(cut_lineage(spark.read.parquet(data).where(FITS)), P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES).save(path)
+    session = spark.newSession()
+    model = P.PreprocessorModel.read().session(session).load(path)
+    x, n = F.col("x"), len(P.NUMERIC_FEATURES)
+    out = model.transform(session.read.parquet(data)).select("cd_cliente", vector_to_array("features").alias("x"))
+    place = F.array_position(F.slice(x, n + 1, model.sizes["vl_faixa_faturamento"]), 1.0) - 1
+    return out.select("cd_cliente", *[(F.round(x[i], 6) + F.lit(0.0)).alias(f"num__{c}") for i, c in enumerate(P.NUMERIC_FEATURES)], F.when(place >= 0, place).alias("categoria"))
+
+
 # ---------------------------------------------------------------------------
 # Indices, model choice and profile on fixed labellings
 # ---------------------------------------------------------------------------
