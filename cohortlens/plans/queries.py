@@ -1396,3 +1396,76 @@ def q_scan_csv_multi(spark, sf_dir):
         F.col("event_type").alias("statuslicenca"), F.lit("t").alias("tcloud"), F.lit("N").alias("clienteprime"))
     paths = [*A.telemetry_files(spark, sf_dir, spec.delimiter), _written(spark, ev, "telemetria-12", spec.delimiter)]
     return M.apply_mapping(scan_source(spark, paths, spec), spec)
+
+
+# ---------------------------------------------------------------------------
+# A1 inferred types, A7 repeatable load, F6 mergeable summaries
+# ---------------------------------------------------------------------------
+def _typed_events(spark, sf_dir) -> DataFrame:
+    """Events as text, with a column of numbers that some rows break, one of dates and one without values."""
+    return A.read(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("value").cast("string").alias("value"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        F.date_format("ts", "yyyy-MM-dd").alias("dia"), "event_type",
+        F.when(F.col("event_type") == "error", F.lit("n/d")).otherwise(F.col("user_id").cast("string")).alias("misto"),
+        F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("momento"), F.lit("").alias("vazio"))
+
+
+@query("infer_types", inventory="A1",
+       sql="""WITH e AS (SELECT count(*) AS n, count(user_id) AS u, count(value) AS v, count(ts) AS t, count(CASE WHEN event_type = 'error' THEN 1 END) AS err,
+  count(CASE WHEN event_type = 'error' AND ts IS NOT NULL THEN 1 END) AS te, count(CASE WHEN event_type <> 'error' AND user_id IS NOT NULL THEN 1 END) AS ok,
+  count(CASE WHEN value = round(value) AND NOT regexp_matches(CAST(value AS VARCHAR), '[.]') THEN 1 END) AS whole FROM events)
+SELECT 'event_id' AS "column", 'integer' AS type, n, 0 AS not_integer, 0 AS not_decimal, n AS not_date, n AS not_timestamp FROM e
+UNION ALL SELECT 'value', 'decimal', v, v - whole, 0, v, v FROM e
+UNION ALL SELECT 'ts', 'timestamp', t, t, t, t, 0 FROM e
+UNION ALL SELECT 'dia', 'date', t, t, t, 0, 0 FROM e
+UNION ALL SELECT 'event_type', 'text', n, n, n, n, n FROM e
+UNION ALL SELECT 'misto', 'text', err + ok, err, err, err + ok, err + ok FROM e
+UNION ALL SELECT 'momento', 'timestamp', t, t, t, t - te, 0 FROM e
+UNION ALL SELECT 'vazio', 'text', 0, 0, 0, 0, 0 FROM e""")
+def q_infer_types(spark, sf_dir):
+    """Types of the columns of a CSV file, and how many values break each type."""
+    from cohortlens.sources.io import infer_types, scan_csv
+
+    events = _typed_events(spark, sf_dir)
+    return infer_types(scan_csv(spark, _written(spark, events, "infer"), events.columns))
+
+
+@query("keyed_merge", inventory="A7 P1",
+       sql="""WITH had AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey <> 3),
+has AS (SELECT c_custkey, c_name, CASE WHEN c_nationkey = 7 THEN -c_acctbal ELSE c_acctbal END AS c_acctbal, CASE WHEN c_nationkey = 8 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+  FROM customer WHERE c_nationkey <> 5)
+SELECT coalesce(h.c_custkey, i.c_custkey) AS c_custkey,
+  CASE WHEN h.c_custkey IS NULL THEN 'new' WHEN i.c_custkey IS NULL THEN 'gone' WHEN h.c_acctbal = i.c_acctbal AND h.c_mktsegment = i.c_mktsegment THEN 'unchanged' ELSE 'changed' END AS outcome,
+  CASE WHEN i.c_custkey IS NULL THEN h.c_name ELSE i.c_name END AS c_name, CASE WHEN i.c_custkey IS NULL THEN h.c_acctbal ELSE i.c_acctbal END AS c_acctbal,
+  CASE WHEN i.c_custkey IS NULL THEN h.c_mktsegment ELSE i.c_mktsegment END AS c_mktsegment
+FROM had h FULL OUTER JOIN has i ON h.c_custkey = i.c_custkey""")
+def q_keyed_merge(spark, sf_dir):
+    """A second extract against the loaded table: one nation is new, one gone, two have changed values (one of them to NULL)."""
+    cust, cols = A.read(spark, sf_dir, "customer"), ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    nation = F.col("c_nationkey")
+    later = cust.where(nation != 5).withColumns({"c_acctbal": F.when(nation == 7, -F.col("c_acctbal")).otherwise(F.col("c_acctbal")),
+                                                 "c_mktsegment": F.when(nation != 8, F.col("c_mktsegment"))})
+    return R.keyed_merge(cust.where(nation != 3).select(cols), later.select(cols), "c_custkey")
+
+
+SKETCH_POINTS, SKETCH_PROBS = 50, [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query("quantile_sketch", inventory="F6",
+       sql=f"""WITH d AS (SELECT l_returnflag, year(l_shipdate) AS ano, l_extendedprice AS v FROM lineitem),
+p AS (SELECT l_returnflag, count(*) / {SKETCH_POINTS}.0 AS w, unnest(quantile_cont(v, {[(i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS)]})) AS v FROM d GROUP BY l_returnflag, ano),
+c AS (SELECT l_returnflag, v, sum(w) OVER (PARTITION BY l_returnflag ORDER BY v RANGE UNBOUNDED PRECEDING) AS upto, sum(w) OVER (PARTITION BY l_returnflag) AS n FROM p),
+e AS (SELECT l_returnflag, q.q AS prob, any_value(n) AS n, min(v) AS value FROM c, (SELECT unnest({SKETCH_PROBS}) AS q) q WHERE upto >= q.q * n * (1 - 1e-12) GROUP BY l_returnflag, q.q)
+SELECT e.l_returnflag, CAST(prob AS DOUBLE) AS prob, CAST(round(n) AS BIGINT) AS n, round(value, 4) + 0.0 AS value, (SELECT count(*) FROM d WHERE d.l_returnflag = e.l_returnflag AND d.v <= e.value) AS posto,
+  abs((SELECT count(*) FROM d WHERE d.l_returnflag = e.l_returnflag AND d.v <= e.value) - prob * n) <= n / {SKETCH_POINTS} + 8 AS dentro FROM e""")
+def q_quantile_sketch(spark, sf_dir):
+    """Quantiles of a price from summaries kept by year, with their exact rank and whether it is within the stated error."""
+    from cohortlens.operators import sketch
+    from cohortlens.session import cut_lineage
+
+    line = A.read(spark, sf_dir, "lineitem").select("l_returnflag", F.year("l_shipdate").alias("ano"), "l_extendedprice")
+    kept = cut_lineage(sketch.summarise(line, "l_extendedprice", ["l_returnflag", "ano"], SKETCH_POINTS), "summaries")
+    found = cut_lineage(sketch.estimate(kept, SKETCH_PROBS, ["l_returnflag"]), "estimates")  # a row for each group and share
+    below = line.join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag", "prob", "n", "value").agg(F.count(F.when(F.col("l_extendedprice") <= F.col("value"), 1)).alias("posto"))
+    inside = F.abs(F.col("posto") - F.col("prob") * F.col("n")) <= F.col("n") / SKETCH_POINTS + 8
+    return below.select("l_returnflag", "prob", "n", (F.round("value", 4) + F.lit(0.0)).alias("value"), "posto", inside.alias("dentro"))

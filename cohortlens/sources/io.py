@@ -1,6 +1,6 @@
 """Readers and writers: CSV bound by header name, JDBC with partitioned reads.
 
-* No schema inference: the header line names the columns, all are read as strings, the wanted
+* No schema inference unless it is asked for (``scan_inferred``): the header line names the columns, all are read as strings, the wanted
   ones are selected by name (a missing one raises); conversion to the declared types happens
   in the mapping operator (``try_cast``).
 * Files of one source whose headers are equal are one scan; files with another column order
@@ -68,6 +68,45 @@ def scan_source(spark: SparkSession, paths: str | Sequence[str], spec: MappingSp
     return scan_csv(spark, paths, source_columns(spec), spec.delimiter, spec.encoding, on_bad_line)
 
 
+# The lattice of types, narrowest first, and the texts each takes (a date or timestamp also has to be one of the calendar).
+TYPE_PATTERNS = {
+    "integer": r"^[+-]?[0-9]{1,18}$",
+    "decimal": r"^[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?$",
+}
+SPARK_TYPES = {"integer": "bigint", "decimal": "double", "date": "date", "timestamp": "timestamp_ntz", "text": "string"}
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """(column, type, n, not_integer, not_decimal, not_date, not_timestamp) of text columns, by one aggregate over the rows.
+
+    ``n`` counts the values (NULL and blank text are none), the others the values that break a type.  A column has the first type of the lattice that nothing
+    breaks (integer below decimal; date below timestamp, which takes dates at midnight), else ``text``; a column without values is text."""
+    aggs = []
+    for i, c in enumerate(df.columns):
+        x = F.trim(F.col(quote(c)))
+        there = x.isNotNull() & (x != "")
+        fits = {t: x.rlike(p) for t, p in TYPE_PATTERNS.items()}
+        fits["date"] = fits["date"] & x.try_cast("date").isNotNull()
+        fits["timestamp"] = fits["date"] | (fits["timestamp"] & x.try_cast("timestamp_ntz").isNotNull())
+        aggs += [F.count(F.when(there, 1)).alias(f"n{i}"), *[F.count(F.when(there & ~f, 1)).alias(f"{t}{i}") for t, f in fits.items()]]
+    found = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), *[F.col(f"{t}{i}").alias(f"not_{t}") for t in TYPE_PATTERNS]) for i, c in enumerate(df.columns)])
+    out = found.select(F.explode(rows).alias("r")).select("r.*")
+    kind = F.when(F.col("n") == 0, "text")
+    for t in TYPE_PATTERNS:
+        kind = kind.when(F.col(f"not_{t}") == 0, t)
+    return out.select("column", kind.otherwise("text").alias("type"), "n", *[f"not_{t}" for t in TYPE_PATTERNS])
+
+
+def scan_inferred(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], delimiter: str = ";", encoding: str = "UTF-8") -> DataFrame:
+    """``scan_csv`` with every column in its inferred type: one more pass over the files, exact over all rows."""
+    raw = scan_csv(spark, paths, columns, delimiter, encoding)
+    types = {r["column"]: SPARK_TYPES[r["type"]] for r in infer_types(raw).collect()}  # a row for each column
+    return raw.select(*[F.col(quote(c)) if types[c] == "string" else F.trim(F.col(quote(c))).try_cast(types[c]).alias(c) for c in columns])
+
+
 def source_columns(spec: MappingSpec) -> list[str]:
     return list(dict.fromkeys([*spec.sources, spec.key, *spec.extra_not_null]))
 

@@ -70,3 +70,19 @@ def test_skew_safe_rank_equals_window(spark):
     a = sorted(tuple("" if v is None else v for v in r) for r in plain.collect())
     b = sorted(tuple("" if v is None else v for v in r) for r in safe.collect())
     assert a == b
+
+
+def test_keyed_merge_outcomes_and_repetition(spark):
+    from cohortlens.operators import relational as R
+
+    had = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (4, "", 4.0), (None, "x", 0.0), (6, "p", 1.0), (6, "q", 1.0)], "id int, `a.b` string, v double")
+    has = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0), (2, "b", 2.0), (4, None, 4.0), (5, "e", 5.0), (None, "y", 0.0), (6, "q", 1.0), (6, "p", 1.0)], "id int, `a.b` string, v double")
+    out = R.keyed_merge(had, has, "id")
+    got = {r["id"]: (r["outcome"], r["a.b"], r["v"]) for r in out.collect()}
+    assert got.pop(6)[0] == "unchanged"  # of several rows under a key both sides take the same one
+    assert got == {1: ("unchanged", "a", 1.0), 2: ("changed", "b", 2.0), 3: ("gone", "c", 3.0), 4: ("changed", None, 4.0), 5: ("new", "e", 5.0)}
+    loaded = out.where("outcome <> 'gone'").drop("outcome")
+    assert {r["outcome"] for r in R.keyed_merge(loaded, has, "id").collect()} == {"unchanged"}
+    assert {r["outcome"] for r in R.keyed_merge(had.limit(0), has, "id").collect()} == {"new"}
+    assert R.keyed_merge(had.limit(0), has.limit(0), "id").collect() == []
+    assert {r["outcome"] for r in R.keyed_merge(had, has, "id", ["a.b"]).where("id IN (1, 2)").collect()} == {"unchanged"}

@@ -95,3 +95,23 @@ def test_scratch_needs_the_shared_folder_on_a_cluster_and_can_be_released(spark)
     with pytest.raises(Exception, match="(?i)exist"):
         spark.read.parquet(path)
     session._WRITTEN[spark.sparkContext.applicationId] = other
+
+
+def test_inferred_types_and_counts_of_what_breaks_them(spark, tmp_path, ansi):
+    from cohortlens.sources import io
+
+    rows = [("1", "1.5", "2024-02-29", "2024-02-29 10:00:00", "x", "", "12", "2024-01-01"), ("-20", "3", "2023-01-31", "2024-01-01T00:00:00.5", "2024-01-01", None, "13", "2024-02-30"),
+            (" 7 ", "1e3", None, "2024-05-05", "3", " ", "1,5", "2024-01-01 25:00:00"), ("999999999999999999", "2", "2024-12-01", None, "", None, "14", "2024-01-01")]
+    names = ["i", "d", "dia", "t", "txt", "none", "mostly", "bad.date"]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    io.sink_csv(df, f"{tmp_path}/csv")
+    got = {r["column"]: r for r in io.infer_types(io.scan_csv(spark, f"{tmp_path}/csv", names)).collect()}
+    assert {c: r["type"] for c, r in got.items()} == {"i": "integer", "d": "decimal", "dia": "date", "t": "timestamp", "txt": "text", "none": "text", "mostly": "text", "bad.date": "text"}
+    assert (got["d"]["n"], got["d"]["not_integer"], got["d"]["not_decimal"]) == (4, 2, 0)
+    assert (got["t"]["n"], got["t"]["not_date"]) == (3, 2) and got["none"]["n"] == 0
+    assert got["mostly"]["not_integer"] == got["mostly"]["not_decimal"] == 1 and got["bad.date"]["not_date"] == got["bad.date"]["not_timestamp"] == 2
+    typed = io.scan_inferred(spark, f"{tmp_path}/csv", names)
+    assert dict(typed.dtypes) == {"i": "bigint", "d": "double", "dia": "date", "t": "timestamp_ntz", "txt": "string", "none": "string", "mostly": "string", "bad.date": "string"}
+    assert sorted(r["i"] for r in typed.collect()) == [-20, 1, 7, 999999999999999999] and typed.where("t IS NULL").count() == 1
+    empty = {r["column"]: r["type"] for r in io.infer_types(df.limit(0)).collect()}
+    assert set(empty.values()) == {"text"}
