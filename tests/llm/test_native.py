@@ -206,6 +206,20 @@ def test_lines_with_one_word_replaced(spark):
     assert sum(edit_distance(*p) > 2 for p in want) > 30 and found_links(spark, rows, linededup.STEPS) == want
 
 
+@pytest.mark.parametrize("threshold", [0, 1, 2, 5, 8, 30])
+def test_banded_distance_against_the_whole_table(spark, threshold):
+    rng = random.Random(threshold)
+    pairs = [("", ""), ("a", ""), ("abc", "abc")]
+    for _ in range(300):
+        a = "".join(rng.choice("ab") if rng.random() < 0.7 else rng.choice("cdé") for _ in range(rng.randrange(0, 90)))
+        pairs.append((a, edited(rng, a, rng.randrange(0, threshold + 4), "abé") if a and rng.random() < 0.8 else "".join(rng.choice("abé") for _ in a)))
+    pairs = [p for p in pairs if abs(len(p[0]) - len(p[1])) <= threshold]
+    rows = spark.createDataFrame(pairs, "line_a string, line_b string").selectExpr("line_a", "line_b", "split(line_a, '') AS a", "split(line_b, '') AS b")
+    rows = rows.selectExpr("line_a", "line_b", "IF(line_a = '', array(), a) AS a", "IF(line_b = '', array(), b) AS b")
+    got = rows.select("line_a", "line_b", F.expr(linededup.within(threshold)).alias("near")).collect()
+    assert len(got) == len(pairs) > 5 and all(r.near == (edit_distance(r.line_a, r.line_b) <= threshold) for r in got)
+
+
 @pytest.mark.parametrize("edits", [0, 1, 2, 3, 5, 8, 16, 30])
 def test_places_are_few_and_each_segment_has_its_own(edits):
     spots = linededup.places(4 * (edits + 1), edits)
