@@ -323,9 +323,10 @@ def candidates(nodes: DataFrame, percent: int, frequent: np.ndarray, best: bool)
     cell = F.transform(F.sequence(F.lit(0), F.col("trees") - 1), lambda k: F.struct(
         F.least(k, tree).alias("i"), F.greatest(k, tree).alias("j"), F.when(k == tree, 0).when(k > tree, 1).otherwise(2).alias("kind")))
     rows = rows.withColumn("c", F.explode(cell)).withColumns({"shard": F.xxhash64("key", "c.i", "c.j"), "kind": F.col("c.kind")}).drop("key", "c", "trees")
-    rows = rows.repartition("shard").sortWithinPartitions("shard", "node")
+    rows = rows.repartition("shard")
     if few:
         rows = rows.join(F.broadcast(points), "node")
+    rows = rows.sortWithinPartitions("shard", "node")  # last: the optimizer drops a sort below a join
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shards in _whole_shards(batches):
