@@ -42,12 +42,14 @@ GROUPS = 128
 MOST, LEAF = 4096, 16
 #: Sets in a tree of the first kind.
 MOST_IN_RUN = 2048
+#: Queries that search a tree at a time.
+ASKED = 128
 #: Shingles of the sets that a task holds for one tree of the first kind.
-HELD = 4_000_000
+HELD = 2_000_000
 #: Bits of the hash buckets whose numbers of shingles are counted, and the buckets a task reports, and that count as frequent at most.
 BUCKET_BITS, REPORTED, FREQUENT = 20, 4096, 16_384
 #: Rows that a task takes at a time for shards of keys.
-FOREST = 50_000
+FOREST = 16_000
 #: Shingles of a set for each further key that it has to share.
 PART = 64
 #: Nodes, keys and points that may be broadcast; shingles of sets to verify that may be broadcast.
@@ -206,8 +208,8 @@ def _joined(raw: list[bytes], percent: int) -> np.ndarray:
             x = int(label[x])
         return x
 
-    for a in range(0, len(sets), 512):
-        part = np.arange(a, min(a + 512, len(sets)))
+    for a in range(0, len(sets), ASKED):
+        part = np.arange(a, min(a + ASKED, len(sets)))
         query, point, common = tree.search(points[part], sizes[part], percent)
         query += a
         order = np.lexsort((-common, query))
@@ -270,9 +272,9 @@ def frequent_buckets(nodes: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            s = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)
-            for a in range(0, len(s), 1 << 22):
-                total += np.bincount((s[a : a + (1 << 22)] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+            for a in range(0, batch.num_rows, 64):
+                found = np.frombuffer(b"".join(batch.column("shingles").slice(a, 64).to_pylist()), np.uint64)
+                np.add.at(total, (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
         most = np.argpartition(total, -REPORTED)[-REPORTED:]
         most = most[total[most] > 4 * total.mean()]
         yield pa.RecordBatch.from_arrays([pa.array(most), pa.array(total[most])], names=["bucket", "n"])
@@ -372,9 +374,10 @@ def _pairs(shard: np.ndarray, node: np.ndarray, group: np.ndarray, n: np.ndarray
         grown, asks = a + np.flatnonzero(kind[a:b] < 2), a + np.flatnonzero(kind[a:b] != 1)
         if len(grown) and len(asks):
             tree = Tree(points[grown], n[grown])
-            for k in range(0, len(asks), 512):
-                query, point, common = tree.search(points[asks[k : k + 512]], n[asks[k : k + 512]], percent)
-                query, point = asks[k : k + 512][query], grown[point]
+            for k in range(0, len(asks), ASKED):
+                ask = asks[k : k + ASKED]
+                query, point, common = tree.search(points[ask], n[ask], percent)
+                query, point = ask[query], grown[point]
                 ok = _wanted(query, point, node, group, kind)
                 found.append((query[ok], point[ok], common[ok]))
     a, b, common = (np.concatenate(x) for x in zip(*found))
