@@ -52,10 +52,10 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [t or b"" for t in column.to_pylist()]
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about CHUNK_BYTES of text; a single longer text is one slice."""
+def chunks(batch: pa.RecordBatch, text: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of text; a single longer text is one slice."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes) // CHUNK_BYTES
+    group = np.cumsum(sizes) // size
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in itertools.pairwise(edges):
         if b > a:

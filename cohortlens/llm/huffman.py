@@ -13,6 +13,7 @@ from a table that the next ``max_length`` bits index.
 
 Tokenizing works on words: the tokenizer's pre-tokenizer never joins text across ASCII white space, so a text's ids are its words' ids in
 turn, and a bounded number of words is remembered with their ids (see ``tests/llm/test_huffman.py`` for the comparison with whole texts).
+Words of Latin letters go to the tokenizer's model without its normalizer and patterns where a trial of all pairs of letters shows that both give the same pieces.
 
 Defined results: a null or empty text has only the end id; rows that share a doc_id are documents of their own, ordered by a hash of their ids; a code for
 one id only has length 1; an empty table gives empty tables; other columns are not read.
@@ -23,24 +24,34 @@ from __future__ import annotations
 import bisect
 import functools
 import os
+import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import Grown, WordNumbers, chunks, expand, narrow, task_of, texts_of, wide
+from cohortlens.llm.common import Grown, WordNumbers, chunks, expand, narrow, task_of, wide
 from cohortlens.session import cut_lineage, scratch_path
 
 EVERY = 256
+#: Bytes of text that are tokenized at a time: equal words of a chunk are looked up once.
+CHUNK = 8 << 20
 BLOCK_IDS = 1 << 18
 MAX_LENGTH = 20
 #: Distinct words that a worker process remembers, 170 bytes each, before it forgets the rarest ones.
 WORDS = 800_000
 #: Signs that may stand between words that are encoded together.
 MARKS = "~|^"
+#: Words of Latin letters whose pieces are known without the tokenizer's normalizer and patterns, where these lower-case letters and part them from signs.
+LETTERS = [*string.ascii_letters, *(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))]
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+[.,]?")
+#: Words in one text, and texts in one call, where new words are encoded together.
+IN_TEXT, TEXTS = 64, 16
 
 
 # tokenizing
@@ -58,10 +69,35 @@ class Tokens:
 
         self.mark = next((m for m in MARKS if self._parts(m)), None)
         self.mark_id = self._encode([self.mark])[0][0] if self.mark else None
+        self.quick = self._quick()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _quick(self):
+        """The tokenizer's model alone, for PLAIN words, cut at spaces; none if it doesn't mark the ends of words or a pair of letters shows that it gets other pieces."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        normalizer, cutter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if not suffix or not normalizer or not cutter or any(set(t.content) <= {*LETTERS, ".", ","} for t in added):
+            return None
+        text = " ".join([a + b for a in LETTERS for b in LETTERS] + [a + sign for a in LETTERS for sign in ".,"])
+        if normalizer.normalize_str(text) != text.lower():
+            return None
+        pieces = [p for p, _ in cutter.pre_tokenize_str(text.lower())]
+        spaces = pre_tokenizers.WhitespaceSplit()
+        for own in (spaces, pre_tokenizers.Sequence([spaces, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])):
+            if pieces == [p for p, _ in own.pre_tokenize_str(_parted(text))]:
+                quick = Tokenizer(self.tokenizer.model)
+                quick.pre_tokenizer = own
+                vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+                self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+                self.ends[[i for word, i in vocabulary.items() if word.endswith(suffix)]] = True
+                return quick
+        return None
+
     def _parts(self, mark: str) -> bool:
         """Whether the sign between spaces is one id of its own and leaves its neighbours' ids as they are."""
         a, m, b, joined = self._encode(["it's", mark, "b", f"it's {mark} b"])
@@ -72,22 +108,39 @@ class Tokens:
             g.clear()
 
     def _learn(self, new: list[bytes]) -> None:
-        """Ids of the words: 512 at a time in one text, with the mark between them; one by one where a word holds the mark."""
-        for k in range(0, len(new), 512):
-            words = [w.decode() for w in new[k : k + 512]]
-            together = bool(self.mark) and not any(self.mark in w for w in words)
-            if together:
-                ids = np.array(self._encode([f" {self.mark} ".join(words)])[0], np.uint32)
-                cut = np.flatnonzero(ids == self.mark_id)
-                ids, count = np.delete(ids, cut), np.diff(np.r_[-1, cut, len(ids)]) - 1
-                together = len(count) == len(words)
-            if not together:
-                coded = self._encode(words)
-                count = np.fromiter(map(len, coded), np.int64, len(coded))
-                ids = np.fromiter((i for c in coded for i in c), np.uint32, int(count.sum()))
-            self.start.extend(np.cumsum(count) - count + self.ids.n)
-            self.count.extend(count)
-            self.ids.extend(ids)
+        """Ids of the words, many at a time; PLAIN ones by the model alone where that is the same."""
+        plain = np.fromiter((self.quick is not None and PLAIN.fullmatch(w) is not None for w in new), bool, len(new))
+        start, count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for together, which in ((self._of_plain, np.flatnonzero(plain)), (self._of_any, np.flatnonzero(~plain))):
+            for k in range(0, len(which), IN_TEXT * TEXTS):
+                part = which[k : k + IN_TEXT * TEXTS]
+                words = [new[i].decode() for i in part.tolist()]
+                ids, n = together(words)
+                if len(n) != len(words):  # one by one
+                    coded = self._encode(words)
+                    ids, n = np.fromiter((i for c in coded for i in c), np.uint32), np.fromiter(map(len, coded), np.int64, len(coded))
+                start[part], count[part] = np.cumsum(n) - n + self.ids.n, n
+                self.ids.extend(ids)
+        self.start.extend(start)
+        self.count.extend(count)
+
+    def _of_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of PLAIN words and their numbers, by the ids that end a piece."""
+        texts = [_parted(" ".join(words[k : k + IN_TEXT])) for k in range(0, len(words), IN_TEXT)]
+        ids = np.array([i for e in self.quick.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], np.uint32)
+        last = np.cumsum([1 + (w[-1] in ".,") for w in words]) - 1  # each word's last piece
+        end = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(np.r_[-1, end[last]])) if len(end) == last[-1] + 1 else (ids, last[:0])
+
+    def _of_any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words and their numbers, with the mark between the words; not all numbers if a word holds the mark."""
+        if not self.mark or any(self.mark in w for w in words):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        between = f" {self.mark} "
+        texts = [between.join(words[k : k + IN_TEXT]) + between for k in range(0, len(words), IN_TEXT)]
+        ids = np.array([i for c in self._encode(texts) for i in c], np.uint32)
+        cut = np.flatnonzero(ids == self.mark_id)
+        return np.delete(ids, cut), np.diff(np.r_[-1, cut]) - 1
 
     def _keep_frequent(self) -> None:
         """Forgets the rarest words, at least half of what may be remembered; the others keep their ids without being encoded again."""
@@ -104,18 +157,26 @@ class Tokens:
         self.count.extend(count)
         self.hits = self.hits[keep]
 
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+    def __call__(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
         if len(self.words.number) > WORDS:
             self._keep_frequent()
-        cut = [t.split() for t in texts]
-        code = self.words([w for c in cut for w in c])
+        cut = pc.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))  # leaves empty words at the ends of a text
+        cells = cut.flatten().dictionary_encode()
+        words = cells.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        code = self.words(words)[cells.indices.to_numpy()]
         hits = np.bincount(code, minlength=len(self.words.number))
         hits[: len(self.hits)] += self.hits
         self.hits = hits
         count = self.count.values[code]
         ids = self.ids.values[expand(self.start.values[code], count)]
-        ends = np.cumsum(np.r_[0, count])[np.cumsum([len(c) for c in cut])] if cut else []
-        return np.split(ids, ends[:-1]) if cut else []
+        n = pc.fill_null(pc.list_value_length(cut), 0).to_numpy()
+        ends = np.cumsum(np.r_[0, count])[np.cumsum(n)]
+        return np.split(ids, ends[:-1]) if len(n) else []
+
+
+def _parted(text: str) -> str:
+    """Lower-cased, with spaces before signs."""
+    return text.lower().replace(".", " .").replace(",", " ,")
 
 
 @functools.cache
@@ -132,8 +193,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
         tokens, end, total = tokens_of(tokenizer), np.uint32(end_id).tobytes(), np.zeros(end_id + 1, np.int64)
         names = ["doc_id", "h", "ids", "counts"]
         for batch in batches:
-            for part in chunks(batch):
-                found = tokens(texts_of(part.column("text")))
+            for part in chunks(batch, size=CHUNK):
+                found = tokens(part.column("text"))
                 n = np.bincount(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64), minlength=len(total))
                 n[: len(total)] += total
                 n[end_id] += part.num_rows
