@@ -50,6 +50,8 @@ HELD = 2_000_000
 BUCKET_BITS, REPORTED, FREQUENT = 20, 4096, 16_384
 #: Rows that a task takes at a time for shards of keys.
 FOREST = 16_000
+#: Pairs of a task that are passed on at a time.
+FOUND = 200_000
 #: Shingles of a set for each further key that it has to share.
 PART = 64
 #: Nodes, keys and points that may be broadcast; shingles of sets to verify that may be broadcast.
@@ -107,8 +109,14 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
     return narrow(docs).mapInArrow(run, "doc_id long, n long, least long, h1 long, h2 long, shingles binary")
 
 
-def _set(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint64)
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a column without nulls, as views: a batch of sets isn't copied."""
+    if not len(column):
+        return []
+    place = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    edge = np.frombuffer(column.buffers()[1], place)[column.offset : column.offset + len(column) + 1].tolist()
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[a:b].view(np.uint64) for a, b in zip(edge, edge[1:])]
 
 
 def _point(s: np.ndarray) -> np.ndarray:
@@ -196,9 +204,8 @@ def shared(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.nda
     return out
 
 
-def _joined(raw: list[bytes], percent: int) -> np.ndarray:
+def _joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """The smallest member of each set's group, under verified links; pairs that are in one group already are not verified."""
-    sets = [_set(r) for r in raw]
     points, sizes = np.stack([_point(s) for s in sets]), np.array([len(s) for s in sets], np.int64)
     tree = Tree(points, sizes)
     label = np.arange(len(sets))
@@ -241,7 +248,7 @@ def near_in_runs(nodes: DataFrame, percent: int) -> DataFrame:
     dealt = nodes.select("node", *order, "shingles").repartitionByRange(wide(nodes), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes]] = []
+        held: list[tuple[int, np.ndarray]] = []
         now, size = None, 0
 
         def linked() -> Iterator[pa.RecordBatch]:
@@ -252,12 +259,12 @@ def near_in_runs(nodes: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], names=["a", "b"])
 
         for batch in batches:
-            for node, least, raw in zip(*(batch.column(c).to_pylist() for c in ("node", "least", "shingles"))):
+            for node, least, s in zip(batch.column("node").to_pylist(), batch.column("least").to_pylist(), _sets(batch.column("shingles"))):
                 if least != now or size > HELD or len(held) >= MOST_IN_RUN:
                     yield from linked()
                     held, now, size = [], least, 0
-                held.append((node, raw))
-                size += len(raw) // 8
+                held.append((node, s.copy()))  # a view would keep the batch
+                size += len(s)
         yield from linked()
 
     return dealt.mapInArrow(run, "a long, b long")
@@ -272,8 +279,9 @@ def frequent_buckets(nodes: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            for a in range(0, batch.num_rows, 64):
-                found = np.frombuffer(b"".join(batch.column("shingles").slice(a, 64).to_pylist()), np.uint64)
+            sets = _sets(batch.column("shingles"))
+            for a in range(0, len(sets), 64):
+                found = np.concatenate(sets[a : a + 64])
                 np.add.at(total, (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
         most = np.argpartition(total, -REPORTED)[-REPORTED:]
         most = most[total[most] > 4 * total.mean()]
@@ -292,12 +300,11 @@ def prefix_keys(nodes: DataFrame, percent: int, frequent: np.ndarray) -> DataFra
         last[frequent] = True
         for batch in batches:
             keys, count = [], []
-            for raw in batch.column("shingles").to_pylist():
-                s = _set(raw)
+            for s in _sets(batch.column("shingles")):
                 p = min(len(s), len(s) - -(-len(s) * percent // 100) + 1 + len(s) // PART)
                 late = last[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 early = s[~late][:p]
-                keys.append(early if len(early) == p else np.concatenate([early, s[late][: p - len(early)]]))
+                keys.append(np.concatenate([early, s[late][: p - len(early)]]))  # not a view of the whole set
                 count.append(p)
             key = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
             node, group = (np.repeat(batch.column(c).to_numpy(), count) for c in ("node", "group"))
@@ -343,7 +350,7 @@ def candidates(nodes: DataFrame, percent: int, frequent: np.ndarray, best: bool)
 def _with_points(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = [_point(_set(raw)).tobytes() for raw in batch.column("shingles").to_pylist()]
+            points = [_point(s).tobytes() for s in _sets(batch.column("shingles"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(points, pa.binary())], names=["node", "n", "point"])
 
     return nodes.select("node", "n", "shingles").mapInArrow(run, "node long, n long, point binary")
@@ -369,7 +376,19 @@ def _whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
 def _pairs(shard: np.ndarray, node: np.ndarray, group: np.ndarray, n: np.ndarray, kind: np.ndarray, points: np.ndarray, percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates of whole shards: kind 0 is a point and a query, 1 a point only, 2 a query only."""
     edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
-    found = [_in_leaves(edge[:-1], np.diff(edge), n, points, percent)]
+
+    def chosen(a: np.ndarray, b: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(a, b, more) of the pairs that count; all pairs of a query, which is a row of one shard, are here."""
+        ok = _wanted(a, b, node, group, kind)
+        a, b, common = a[ok], b[ok], common[ok]
+        if not best or not len(a):
+            return a, b, np.zeros(len(a), bool)
+        order = np.lexsort((node[b], -common, group[b], a))
+        a, b = a[order], b[order]
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (group[b[1:]] != group[b[:-1]])])
+        return a[new], b[new], np.diff(np.r_[new, len(a)]) > 1
+
+    found = [chosen(*_in_leaves(edge[:-1], np.diff(edge), n, points, percent))]
     for a, b in zip(edge[:-1][np.diff(edge) > LEAF].tolist(), edge[1:][np.diff(edge) > LEAF].tolist()):
         grown, asks = a + np.flatnonzero(kind[a:b] < 2), a + np.flatnonzero(kind[a:b] != 1)
         if len(grown) and len(asks):
@@ -377,20 +396,16 @@ def _pairs(shard: np.ndarray, node: np.ndarray, group: np.ndarray, n: np.ndarray
             for k in range(0, len(asks), ASKED):
                 ask = asks[k : k + ASKED]
                 query, point, common = tree.search(points[ask], n[ask], percent)
-                query, point = ask[query], grown[point]
-                ok = _wanted(query, point, node, group, kind)
-                found.append((query[ok], point[ok], common[ok]))
-    a, b, common = (np.concatenate(x) for x in zip(*found))
-    ok = _wanted(a, b, node, group, kind)
-    a, b, common = a[ok], b[ok], common[ok]
-    more = np.zeros(len(a), bool)
-    if best and len(a):
-        order = np.lexsort((node[b], -common, group[b], a))  # a is a row, so of one shard
-        a, b = a[order], b[order]
-        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (group[b[1:]] != group[b[:-1]])])
-        more = np.diff(np.r_[new, len(a)]) > 1
-        a, b = a[new], b[new]
-    if len(a):
+                found.append(chosen(ask[query], grown[point], common))
+                if sum(len(x[0]) for x in found) > FOUND:
+                    yield from _rows_of(found, node, n)
+                    found = []
+    yield from _rows_of(found, node, n)
+
+
+def _rows_of(found: list[tuple[np.ndarray, ...]], node: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if sum(len(x[0]) for x in found):
+        a, b, more = (np.concatenate(x) for x in zip(*found))
         need = 1 + np.minimum(n[a], n[b]) // PART
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(need), pa.array(more)],
                                          names=["a", "b", "need", "more"])
@@ -424,7 +439,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [_linked(_set(x), _set(y), percent) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
+            ok = [_linked(x, y, percent) for x, y in zip(_sets(batch.column("sa")), _sets(batch.column("sb")))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
