@@ -25,6 +25,14 @@ def test_words_give_the_ids_of_whole_texts():
     assert [g.tolist() + [1] for g in got] == whole(odd)
 
 
+def test_words_of_latin_letters_go_to_the_model_alone():
+    tokens = huffman.Tokens(PATH)
+    assert tokens.quick is not None
+    texts = ["Ünïon, Straße. ÀÉÿ þorn×two÷three ÆŒ don't. stop.. a, .b", " ".join(a + b + c for a in "aZÖß" for b in "xÉ\u0301" for c in ("", ".", ",", ".,", "'s"))]
+    texts += [" ".join(f"Wört{k}, wort{chr(97 + k % 26) * (k % 40)}." for k in range(3000)), "</w> a</w>b", "i\u0307 İx"]
+    assert [g.tolist() + [1] for g in tokens([t.encode() for t in texts])] == whole(texts)
+
+
 def test_forgetting_rare_words_keeps_the_ids(prose, monkeypatch):
     monkeypatch.setattr(huffman, "WORDS", 60)
     tokens = huffman.Tokens(PATH)
