@@ -19,7 +19,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,12 +42,15 @@ def csv_header(spark: SparkSession, path: str, delimiter: str = ";", encoding: s
 
 
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], delimiter: str = ";",
-             encoding: str = "UTF-8", on_bad_line: str = "reject") -> DataFrame:
+             encoding: str = "UTF-8", on_bad_line: str = "reject", quarantine: str | None = None) -> DataFrame:
     """The wanted ``columns`` of CSV source(s) with a header row, as strings, found by name.
 
-    Headers may have more columns, in any order; all files of one folder have one header."""
-    if on_bad_line not in ("reject", "null"):
-        raise ValueError("on_bad_line is 'reject' or 'null'")
+    Headers may have more columns, in any order; all files of one folder have one header.  A line with too few or too many fields raises ("reject"), is
+    taken with nulls ("null") or left out and written to the Parquet folder ``quarantine`` as (file, line, fields) ("quarantine"; the folder is replaced)."""
+    if on_bad_line not in ("reject", "null", "quarantine"):
+        raise ValueError("on_bad_line is 'reject', 'null' or 'quarantine'")
+    if (on_bad_line == "quarantine") != (quarantine is not None):
+        raise ValueError("'quarantine' and only it needs a folder")
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in [paths] if isinstance(paths, str) else list(paths):
         header = csv_header(spark, path, delimiter, encoding)
@@ -55,17 +58,35 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
         if missing:
             raise ValueError(f"{path}: no column {missing} in the header {header}")
         by_header.setdefault(tuple(header), []).append(path)
+    wanted = [F.col(quote(c)) for c in columns]
+    if on_bad_line == "quarantine":
+        read = [_with_bad_lines(_reader(spark, delimiter, encoding), header, same) for header, same in by_header.items()]
+        bad = [df.where(line.isNotNull()).select(F.input_file_name().alias("file"), line.alias("line"), F.array(*[F.col(quote(c)) for c in df.columns[:-1]]).alias("fields"))
+               for df, line in read]
+        reduce(DataFrame.union, bad).write.mode("overwrite").parquet(quarantine)
+        # Spark refuses a query of the line alone, as a count would be: the length, never below 0, names another column
+        return reduce(DataFrame.union, [df.where(line.isNull() | (F.length(F.col(quote(df.columns[0]))) < 0)).select(*wanted) for df, line in read])
     frames = [
         _reader(spark, delimiter, encoding).schema(string_schema(header)).option("enforceSchema", "false")
         .option("mode", "FAILFAST" if on_bad_line == "reject" else "PERMISSIVE").option("columnPruning", "false")
-        .csv(same).select(*[F.col(quote(c)) for c in columns])
+        .csv(same).select(*wanted)
         for header, same in by_header.items()]
     return reduce(DataFrame.union, frames)
 
 
-def scan_source(spark: SparkSession, paths: str | Sequence[str], spec: MappingSpec, on_bad_line: str = "reject") -> DataFrame:
+def _with_bad_lines(reader, header: Sequence[str], paths: list[str]) -> tuple[DataFrame, Column]:
+    """All columns and, last, the whole line where it doesn't fit the header."""
+    name = "__line"
+    while name in header:
+        name += "_"
+    df = (reader.schema(string_schema([*header, name])).option("enforceSchema", "false").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", name).option("columnPruning", "false").csv(paths))
+    return df, F.col(name)
+
+
+def scan_source(spark: SparkSession, paths: str | Sequence[str], spec: MappingSpec, on_bad_line: str = "reject", quarantine: str | None = None) -> DataFrame:
     """Raw source of a mapping job: the columns its spec reads, its delimiter and encoding."""
-    return scan_csv(spark, paths, source_columns(spec), spec.delimiter, spec.encoding, on_bad_line)
+    return scan_csv(spark, paths, source_columns(spec), spec.delimiter, spec.encoding, on_bad_line, quarantine)
 
 
 # The lattice of types, narrowest first, and the texts each takes (a date or timestamp also has to be one of the calendar).

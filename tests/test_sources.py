@@ -115,3 +115,16 @@ def test_inferred_types_and_counts_of_what_breaks_them(spark, tmp_path, ansi):
     assert sorted(r["i"] for r in typed.collect()) == [-20, 1, 7, 999999999999999999] and typed.where("t IS NULL").count() == 1
     empty = {r["column"]: r["type"] for r in io.infer_types(df.limit(0)).collect()}
     assert set(empty.values()) == {"text"}
+
+
+def test_bad_lines_are_quarantined(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k;v;w\n1;x;p\n2;y\n3;z;q;r\n")
+    (tmp_path / "b.csv").write_text("v;__line;k\n;u;4\n5\n")
+    folder = str(tmp_path / "bad")
+    paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    good = scan_csv(spark, paths, ["k", "v"], on_bad_line="quarantine", quarantine=folder)
+    assert sorted(map(tuple, good.collect())) == [("1", "x"), ("4", None)] and good.count() == 2
+    bad = sorted((r.file[-5:], r.line, r.fields) for r in spark.read.parquet(folder).collect())
+    assert bad == [("a.csv", "2;y", ["2", "y", None]), ("a.csv", "3;z;q;r", ["3", "z", "q"]), ("b.csv", "5", ["5", None, None])]
+    with pytest.raises(ValueError):
+        scan_csv(spark, paths, ["k"], on_bad_line="quarantine")
