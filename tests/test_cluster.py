@@ -182,6 +182,22 @@ def test_euclidean_silhouette_against_all_pairs(spark, block, monkeypatch):
     assert fused.silhouettes(df.limit(0), ["a"]) == {"a": 0.0}
 
 
+def test_euclidean_silhouette_by_few_bounded_tasks(spark, monkeypatch):
+    """The tasks and the shuffled sums do not grow with the square of the blocks: 60 blocks were dealt to 3600 tasks."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(fused, "BLOCK", 8)
+    counts, deal = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, n, *cols: counts.append(n) or deal(self, n, *cols))
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 1, (240, 2)), rng.normal(1e6, 1e-3, (240, 2))])  # tight and far apart: products would cancel
+    a, b = np.arange(480) % 3, np.arange(480) // 160
+    df = spark.createDataFrame([([float(v) for v in r], int(i), str(j), None if i else 1) for r, i, j in zip(x, a, b)], "x array<double>, a int, b string, c int")
+    got = fused.silhouettes(df, ["a", "b", "c"])
+    assert np.isclose(got["a"], _euclidean(x, a), atol=1e-9) and np.isclose(got["b"], _euclidean(x, b), atol=1e-9) and got["c"] == 0.0
+    assert max(counts) <= 144
+
+
 def test_em_likelihood_never_falls_and_labels_are_responsibilities(spark, blobs):
     x, rows = _points(blobs), fused.vectors(blobs, "id", ["x1", "x2"])
     starts = fused.race_starts(rows, "id", 4, 7)
