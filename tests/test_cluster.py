@@ -182,6 +182,22 @@ def test_euclidean_silhouette_against_all_pairs(spark, block, monkeypatch):
     assert fused.silhouettes(df.limit(0), ["a"]) == {"a": 0.0}
 
 
+@pytest.mark.parametrize("name", ["silhouette", "choose_model"])
+def test_queries_of_the_silhouette_read_the_features_once(spark, name, monkeypatch):
+    from cohortlens.plans import queries as Q
+    from cohortlens.plans.registry import REGISTRY
+
+    made = []
+
+    def features(session, sf_dir):
+        made.append(sf_dir)
+        return session.createDataFrame([(0.5 + i % 3, i % 12, i % 4, i % 2) for i in range(60)], "tempo_vida_anos double, qt_contratos_12m long, produtos_distintos_12m long, periodicidade_max_meses_12m int")
+
+    monkeypatch.setattr(Q, "features_frame", features)
+    assert REGISTRY[name].fn(spark, "nowhere").count() == 1
+    assert made == ["nowhere"]
+
+
 def test_euclidean_silhouette_by_few_bounded_tasks(spark, monkeypatch):
     """The tasks and the shuffled sums do not grow with the square of the blocks: 60 blocks were dealt to 3600 tasks."""
     from pyspark.sql.classic.dataframe import DataFrame
