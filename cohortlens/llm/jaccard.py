@@ -313,16 +313,18 @@ def prefix_keys(nodes: DataFrame, percent: int, frequent: np.ndarray) -> DataFra
     return nodes.select("node", "group", "shingles").mapInArrow(run, "node long, group long, key long")
 
 
-def candidates(nodes: DataFrame, percent: int, frequent: np.ndarray, best: bool) -> DataFrame:
+def candidates(grouped: DataFrame, nodes: DataFrame, percent: int, frequent: np.ndarray, best: bool) -> DataFrame:
     """(a, b, more), a < b: pairs of different groups that share enough prefix keys and that points and sizes allow.
 
+    ``grouped`` (node, shingles, group) are looked at; their sizes and sets are read from ``nodes``, which needs no groups.
+
     ``best``: for each node and other group the best of a shard; ``more`` says that others were left out.
     """
-    keys = prefix_keys(nodes, percent, frequent)
+    keys = prefix_keys(grouped, percent, frequent)
     shards = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
     shards = shards.select("key", F.ceil(F.col("n") / MOST).cast("int").alias("trees"))
     shards = small(shards, MOST_KEYS, "jaccard-shards")
-    rows = cut_lineage(prefix_keys(nodes, percent, frequent).join(shards, "key"), "jaccard-keys")
+    rows = cut_lineage(prefix_keys(grouped, percent, frequent).join(shards, "key"), "jaccard-keys")
     met = small(rows.select("node").distinct(), MOST_NODES, "jaccard-met")
     points = cut_lineage(_with_points(nodes.join(met, "node", "left_semi").select("node", "n", "shingles")), "jaccard-points")
     few = points.count() <= MOST_POINTS
@@ -463,15 +465,15 @@ def jaccard_components(docs: DataFrame, *, shingle: int = SHINGLE, percent: int
     runs = small(same.groupBy("least").agg(F.count("*").alias("c")).where("c > 1").select("least"), MOST_NODES, "jaccard-least")
     found = cut_lineage(near_in_runs(nodes.join(runs, "least", "left_semi"), percent), "jaccard-links")
     frequent = frequent_buckets(nodes)
-    grouped, root = _with_groups(nodes, found)
-    pairs = cut_lineage(candidates(grouped, percent, frequent, True), "jaccard-pairs")
+    root = cut_lineage(components(found, "jaccard-groups"), "jaccard-roots")
+    pairs = cut_lineage(candidates(_with_groups(nodes, root), nodes, percent, frequent, True), "jaccard-pairs")
     found = cut_lineage(found.union(verified(pairs, nodes, percent)), "jaccard-links")
     if not pairs.where("more").isEmpty():
-        grouped, root = _with_groups(nodes, found)
+        root = cut_lineage(components(found, "jaccard-groups"), "jaccard-roots")
         apart = pairs.where("more").join(root.toDF("a", "ra"), "a", "left").join(root.toDF("b", "rb"), "b", "left")
         apart = apart.select(F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra != rb")
         left = small(apart.select(F.explode(F.array("ra", "rb")).alias("group")).distinct(), MOST_NODES, "jaccard-apart")
-        again = candidates(grouped.join(left, "group", "left_semi"), percent, frequent, False)
+        again = candidates(_of_groups(nodes, root, left), nodes, percent, frequent, False)
         again = cut_lineage(again.join(pairs, ["a", "b"], "left_anti").select("a", "b"), "jaccard-pairs")
         found = cut_lineage(found.union(verified(again, nodes, percent)), "jaccard-links")
 
@@ -486,12 +488,18 @@ def jaccard_components(docs: DataFrame, *, shingle: int = SHINGLE, percent: int
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(lone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
-def _with_groups(nodes: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes (node, n, shingles) with their groups, and (node, root) of the nodes that have links."""
-    root = cut_lineage(components(found, "jaccard-groups"), "jaccard-roots")
+def _with_groups(nodes: DataFrame, root: DataFrame) -> DataFrame:
+    """The nodes (node, shingles) with their groups."""
     held = small(root, MOST_NODES, "jaccard-root").withColumnRenamed("node", "member")
     grouped = nodes.join(held, F.col("node") == F.col("member"), "left")
-    return grouped.select("node", "n", "shingles", F.coalesce("root", "node").alias("group")), root
+    return grouped.select("node", "shingles", F.coalesce("root", "node").alias("group"))
+
+
+def _of_groups(nodes: DataFrame, root: DataFrame, groups: DataFrame) -> DataFrame:
+    """The nodes (node, shingles, group) of these groups alone: a root, which ``root`` doesn't list, and what it lists under it."""
+    member = root.select(F.col("node").alias("member"), F.col("root").alias("group")).join(groups, "group", "left_semi").select("member", "group")
+    member = small(member.union(groups.select(F.col("group").alias("member"), "group")), MOST_NODES, "jaccard-members")
+    return nodes.join(member, F.col("node") == F.col("member")).select("node", "shingles", "group")
 
 
 def digest(docs: DataFrame) -> DataFrame:

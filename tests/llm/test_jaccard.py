@@ -98,6 +98,14 @@ def test_tree_loses_no_pair(percent):
                 assert got[i, j] >= len(np.intersect1d(a, b))
 
 
+def test_second_search_takes_only_the_groups_that_are_apart(spark):
+    nodes = spark.createDataFrame([(i, bytes([i])) for i in range(8)], "node long, shingles binary")
+    root = spark.createDataFrame([(1, 0), (2, 0), (4, 3), (6, 5)], "node long, root long")
+    groups = spark.createDataFrame([(0,), (3,), (7,)], "group long")
+    got = sorted((r["node"], bytes(r["shingles"]), r["group"]) for r in jaccard._of_groups(nodes, root, groups).collect())
+    assert got == [(i, bytes([i]), g) for i, g in [(0, 0), (1, 0), (2, 0), (3, 3), (4, 3), (7, 7)]]
+
+
 def test_odd_rows(spark, odd):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     docs = [(r.doc_id, r.text) for r in odd.collect()]
