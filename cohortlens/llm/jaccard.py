@@ -48,18 +48,28 @@ ASKED = 128
 HELD = 2_000_000
 #: Bits of the hash buckets whose numbers of shingles are counted, and the buckets a task reports, and that count as frequent at most.
 BUCKET_BITS, REPORTED, FREQUENT = 20, 4096, 16_384
+#: Bytes of text that a task cuts into words at a time.
+CUT_BYTES = 1 << 18
 #: Rows that a task takes at a time for shards of keys.
 FOREST = 16_000
 #: Pairs of a task that are passed on at a time.
 FOUND = 200_000
 #: Shingles of a set for each further key that it has to share.
 PART = 64
-#: Nodes, keys and points that may be broadcast; shingles of sets to verify that may be broadcast.
-MOST_NODES, MOST_KEYS, MOST_POINTS, MOST_SHINGLES = 1_000_000, 1_000_000, 80_000, 2_000_000
+#: Nodes, keys and points that may be broadcast; shingles of sets to verify that may be broadcast.  Points and sets are far wider than nodes and keys.
+MOST_NODES, MOST_KEYS, MOST_POINTS, MOST_SHINGLES = 1_000_000, 1_000_000, 4_000, 250_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
 
+def _freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; Arrow's pool gives back what it keeps of those before, as workers stay for other tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 # sets
 
 
@@ -95,8 +105,8 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
-        for batch in batches:
-            for part in chunks(batch):
+        for batch in _freed(batches):
+            for part in chunks(batch, size=CUT_BYTES):
                 found = shingles(texts_of(part.column("text")))
                 n = np.array([len(s) for s in found], np.int64)
                 raw = [s.tobytes() for s in found]
@@ -124,6 +134,28 @@ def _point(s: np.ndarray) -> np.ndarray:
     return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
 
 
+def _packed(point: np.ndarray) -> bytes:
+    """A point's coordinates in four bits each if all are below 16, else in a byte or in four; a point is shuffled with every key of its node."""
+    top = point.max()
+    if top < 16:
+        return (point[0::2] | point[1::2] << 4).astype(np.uint8).tobytes()
+    return point.astype(np.uint8 if top < 256 else np.uint32).tobytes()
+
+
+def _unpacked(raw: list[bytes]) -> np.ndarray:
+    """The points that ``_packed`` wrote, as rows."""
+    out = np.empty((len(raw), GROUPS), np.uint32)
+    width = np.fromiter(map(len, raw), np.int64, len(raw))
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        data = np.frombuffer(b"".join(raw[i] for i in at.tolist()), np.uint32 if w > GROUPS else np.uint8).reshape(len(at), -1)
+        if w < GROUPS:
+            out[at, 0::2], out[at, 1::2] = data & 15, data >> 4
+        else:
+            out[at] = data
+    return out
+
+
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(a) + len(b)
     common = both - len(np.union1d(a, b))
@@ -258,7 +290,7 @@ def near_in_runs(nodes: DataFrame, percent: int) -> DataFrame:
                 far = root != np.arange(len(root))
                 yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], names=["a", "b"])
 
-        for batch in batches:
+        for batch in _freed(batches):
             for node, least, s in zip(batch.column("node").to_pylist(), batch.column("least").to_pylist(), _sets(batch.column("shingles"))):
                 if least != now or size > HELD or len(held) >= MOST_IN_RUN:
                     yield from linked()
@@ -278,7 +310,7 @@ def frequent_buckets(nodes: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
+        for batch in _freed(batches):
             sets = _sets(batch.column("shingles"))
             for a in range(0, len(sets), 64):
                 found = np.concatenate(sets[a : a + 64])
@@ -298,7 +330,7 @@ def prefix_keys(nodes: DataFrame, percent: int, frequent: np.ndarray) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.zeros(1 << BUCKET_BITS, bool)
         last[frequent] = True
-        for batch in batches:
+        for batch in _freed(batches):
             keys, count = [], []
             for s in _sets(batch.column("shingles")):
                 p = min(len(s), len(s) - -(-len(s) * percent // 100) + 1 + len(s) // PART)
@@ -351,8 +383,8 @@ def candidates(grouped: DataFrame, nodes: DataFrame, percent: int, frequent: np.
 
 def _with_points(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = [_point(s).tobytes() for s in _sets(batch.column("shingles"))]
+        for batch in _freed(batches):
+            points = [_packed(_point(s)) for s in _sets(batch.column("shingles"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(points, pa.binary())], names=["node", "n", "point"])
 
     return nodes.select("node", "n", "shingles").mapInArrow(run, "node long, n long, point binary")
@@ -362,8 +394,8 @@ def _whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
     """(shard, node, group, n, kind, points) of whole shards, from rows ordered by shard."""
     names = ("shard", "node", "group", "n", "kind")
     held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in names] + [np.zeros((0, GROUPS), np.uint32)]
-    for batch in batches:
-        points = np.frombuffer(b"".join(batch.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS)
+    for batch in _freed(batches):
+        points = _unpacked(batch.column("point").to_pylist())
         new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names] + [points]
         held = [np.concatenate(x) for x in zip(held, new)]
         if len(held[0]) >= FOREST:
@@ -440,7 +472,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     left, right = (F.broadcast(side(x)) if held <= MOST_SHINGLES else side(x) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _freed(batches):
             ok = [_linked(x, y, percent) for x, y in zip(_sets(batch.column("sa")), _sets(batch.column("sb")))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 

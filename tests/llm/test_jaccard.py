@@ -113,3 +113,12 @@ def test_odd_rows(spark, odd):
     assert jaccard.digest(odd.limit(0)).collect() == []
     lone = [(None, "a b c d e"), (None, "A b c d e"), (7, None), (8, " ")]
     assert sorted(map(tuple, jaccard.digest(spark.createDataFrame(lone, "doc_id long, text string")).collect()), key=key) == sorted(brute(lone), key=key)
+
+
+def test_points_take_half_a_byte_for_each_coordinate():
+    rng = np.random.default_rng(3)
+    points = [rng.integers(0, top, jaccard.GROUPS).astype(np.uint32) for top in (1, 2, 16, 17, 256, 257, 70_000, 16)]
+    points += [np.full(jaccard.GROUPS, top, np.uint32) for top in (15, 16, 255, 256, 1 << 20)]
+    raw = [jaccard._packed(p) for p in points]
+    assert np.array_equal(jaccard._unpacked(raw), np.stack(points)) and jaccard._unpacked([]).shape == (0, jaccard.GROUPS)
+    assert [len(r) for r in raw[-5:]] == [jaccard.GROUPS // 2, jaccard.GROUPS, jaccard.GROUPS, 4 * jaccard.GROUPS, 4 * jaccard.GROUPS]
