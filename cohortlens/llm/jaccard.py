@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import Grown, WordNumbers, chunks, expand, join_hot, narrow, small, texts_of, wide
 from cohortlens.llm.simhash import components
-from cohortlens.session import cut_lineage
+from cohortlens.session import cut_lineage, wide_rows
 
 SHINGLE, PERCENT = 4, 85
 #: Coordinates of a point.
@@ -48,8 +48,8 @@ ASKED = 128
 HELD = 2_000_000
 #: Bits of the hash buckets whose numbers of shingles are counted, and the buckets a task reports, and that count as frequent at most.
 BUCKET_BITS, REPORTED, FREQUENT = 20, 4096, 16_384
-#: Bytes of text that a task cuts into words at a time.
-CUT_BYTES = 1 << 18
+#: Bytes of text that a task cuts into words at a time, and distinct words it remembers.
+CUT_BYTES, MOST_WORDS = 1 << 18, 1 << 16
 #: Rows that a task takes at a time for shards of keys.
 FOREST = 16_000
 #: Pairs of a task that are passed on at a time.
@@ -79,7 +79,7 @@ class Shingles:
     def __init__(self, size: int):
         self.size = size
         self.hashes = Grown(np.uint64)
-        self.words = WordNumbers(lambda new: self.hashes.extend(np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)), self.hashes.clear)
+        self.words = WordNumbers(lambda new: self.hashes.extend(np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)), self.hashes.clear, MOST_WORDS)
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         cut = [t.lower().split() for t in texts]
@@ -484,6 +484,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) for each row of ``docs``."""
+    with wide_rows(docs.sparkSession):  # a set has some kilobytes
+        return _components_of(docs, shingle, percent)
+
+
+def _components_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     sets = cut_lineage(sets_of(docs, shingle).withColumn("row", F.monotonically_increasing_id()), "jaccard-all")
     same = sets.where("n > 0").groupBy("h1", "h2").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("first"), F.min("least").alias("least"), F.count("*").alias("copies"))

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortlens.llm import common, jaccard
@@ -122,3 +123,23 @@ def test_points_take_half_a_byte_for_each_coordinate():
     raw = [jaccard._packed(p) for p in points]
     assert np.array_equal(jaccard._unpacked(raw), np.stack(points)) and jaccard._unpacked([]).shape == (0, jaccard.GROUPS)
     assert [len(r) for r in raw[-5:]] == [jaccard.GROUPS // 2, jaccard.GROUPS, jaccard.GROUPS, 4 * jaccard.GROUPS, 4 * jaccard.GROUPS]
+
+
+def test_sets_reach_python_in_small_batches(spark, monkeypatch):
+    """A batch of sets has about a megabyte, whatever the number of rows; the session's settings are as before."""
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(str(rng.randrange(10**6)) for _ in range(2000))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    seen, buckets = [], jaccard.frequent_buckets
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["bytes"])
+
+    def watched(nodes):
+        seen.extend(r[0] for r in nodes.select("shingles").coalesce(1).mapInArrow(sizes, "bytes long").collect())
+        return buckets(nodes)
+
+    monkeypatch.setattr(jaccard, "frequent_buckets", watched)
+    before = spark.conf.getAll
+    assert jaccard.jaccard_components(docs).count() == 400
+    assert sum(seen) > 6_000_000 and max(seen) < 1_200_000 and spark.conf.getAll == before
