@@ -335,3 +335,82 @@ def test_mixture_likelihood_and_nearest_centroid(spark, blobs):
     got = {r.id: r.cluster for r in K.assign_nearest(blobs, ["x1", "x2"], cents).collect()}
     want = np.argmin(((x[:, None, :] - np.array(cents)) ** 2).sum(-1), axis=1)
     assert [got[i] for i in range(180)] == want.tolist()
+
+
+def _repeated():
+    rng = np.random.default_rng(12)
+    x = np.round(np.concatenate([rng.normal(c, 1, (70, 3)) for c in (0, 5, 9)]), 1) + 1e3
+    return np.concatenate([x, x[:90], x[:40]])
+
+
+def test_rounds_over_packed_distinct_vectors(spark, monkeypatch):
+    """Sums over distinct vectors with counts are those over all rows."""
+    monkeypatch.setattr(fused, "PACKED", 500)  # several blocks in a task
+    x = _repeated()
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double, c double").repartition(3)
+    rows = fused.vectors(df, "id", ["a", "b", "c"])
+    packed = fused.blocks(rows)
+    counts = [w for r in packed.collect() for w in np.frombuffer(r.w, "<f8")]
+    assert len(counts) == len(np.unique(x, axis=0)) and sum(counts) == len(x) and packed.count() > 4
+    starts = fused.race_starts(rows, "id", 4, 3)
+    one, two = (fused.lloyd(t, {k: starts[:k] for k in (2, 4)}, 6, 0.0) for t in (rows, packed))
+    assert all(np.allclose(one[k], two[k], rtol=1e-12) for k in one)
+    assert all(np.allclose(list(a.values()), list(b.values()), rtol=1e-9) for a, b in zip(fused.indices(rows, one).values(), fused.indices(packed, one).values()))
+    for table in (rows, packed):
+        models = fused.mixtures_from_centres(table, one, 1e-6)
+        n, fitted, seen = fused.em(table, models, 1, 0.0, 1e-6)
+        assert n == len(x)
+        for k in (2, 4):
+            lab = ((x[:, None] - one[k]) ** 2).sum(-1).argmin(1)
+            m = models[k]
+            assert np.allclose(m.weights, np.bincount(lab, minlength=k) / len(x)) and np.allclose(m.means, [x[lab == j].mean(0) for j in range(k)], rtol=1e-12)
+            assert np.allclose(m.covariances, [np.cov(x[lab == j].T, bias=True) + 1e-6 * np.eye(3) for j in range(k)], atol=1e-8)
+            dens = np.stack([w * np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(c), x - mu)) / np.sqrt((2 * np.pi) ** 3 * np.linalg.det(c))
+                             for w, mu, c in zip(m.weights, m.means, m.covariances)], axis=1)
+            r = dens / dens.sum(axis=1, keepdims=True)
+            assert np.isclose(seen[k][0], np.log(dens.sum(1)).sum(), rtol=1e-9)
+            assert np.allclose(fitted[k].means, (r.T @ x) / r.sum(axis=0)[:, None], rtol=1e-9)
+            want = [(r[:, j, None, None] * ((x - fitted[k].means[j])[:, :, None] * (x - fitted[k].means[j])[:, None, :])).sum(0) / r[:, j].sum() + 1e-6 * np.eye(3) for j in range(k)]
+            assert np.allclose(fitted[k].covariances, want, atol=1e-7)
+
+
+def test_nearest_centre_of_rows_between_centres():
+    """Ties go to the first centre, and products that cancel decide nothing."""
+    far = 1e7
+    x = np.array([[far + v, -far] for v in (0.0, 0.5, 1.0, 1.5, 2.0, 1.0 + 1e-7, 1.0 - 1e-7)])
+    sets = [np.array([[far, -far], [far + 2, -far], [far + 1, -far]]), np.array([[far, -far], [far + 2, -far]]), np.array([[far + 2, -far], [far, -far]])]
+    a, b, c = fused._labels(x, sets)
+    assert a.tolist() == [0, 0, 2, 1, 1, 2, 2] and b.tolist() == [0, 0, 0, 1, 1, 1, 0] and c.tolist() == [1, 1, 0, 0, 0, 0, 1]
+
+
+@pytest.mark.parametrize("part", [3, 384])
+def test_euclidean_silhouette_of_counted_rows(spark, part, monkeypatch):
+    """Rows that come with counts; columns that don't vary within a block, near vectors far from zero, tiles of a block."""
+    monkeypatch.setattr(fused, "PART", part)
+    monkeypatch.setattr(fused, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 2, 120), np.full(120, 0.1), rng.normal(1e4, 0.3, 120), rng.integers(0, 3, 120)]).astype(float)
+    w, lab = rng.integers(1, 5, 120), rng.integers(0, 3, 120)
+    df = spark.createDataFrame([(list(map(float, r)), int(n), int(k)) for r, n, k in zip(x, w, lab)], "x array<double>, w long, k int").repartition(3)
+    assert np.isclose(fused.silhouettes(df, ["k"], w="w")["k"], _euclidean(np.repeat(x, w, axis=0), np.repeat(lab, w)), atol=1e-10)
+
+
+def test_segment_customers_writes_its_vectors_once(spark, monkeypatch):
+    """Both sweeps read the same packed vectors (before, each wrote its own), and a table of vectors has row groups for many tasks."""
+    import pyarrow.parquet as pq
+
+    from cohortlens.plans.jobs import CARRIED, segment_customers
+
+    made, old = [], fused.vectors
+    monkeypatch.setattr(fused, "vectors", lambda *a: made.append(old(*a)) or made[-1])
+    monkeypatch.setattr(fused, "ROW_GROUP", 10_000)
+    rng = np.random.default_rng(2)
+    rows = [(i, "AB"[i % 2], float(1 + 3 * (i % 3) + rng.random()), int(i % 3), float(100 * (i % 3) + rng.random()), int(i % 3), 1 + i % 12, i % 4 == 0, i % 3 > 0) for i in range(3000)]
+    feats = spark.createDataFrame(rows, f"cd_cliente long, vl_faixa_faturamento string, {CARRIED[0]} double, {CARRIED[1]} long, {CARRIED[2]} double, {CARRIED[3]} long, "
+                                        f"{CARRIED[4]} int, `{CARRIED[5]}` boolean, {CARRIED[6]} boolean")
+    res = segment_customers(feats, 1, "silhouette_squared", 2.0, ks=range(2, 4), max_iter=3)
+    assert res.algorithm == "GMM" and sum(r.clientes for r in res.profile.collect()) == 3000 and len(made) == 1
+    files = [f.removeprefix("file:") for f in made[0].inputFiles()]
+    assert sum(pq.ParquetFile(f).num_row_groups for f in files) > 3
+    again = K.gmm_sweep(res.matrix, "cd_cliente", res.feature_cols, range(2, 4), centres=res.kmeans.centres)
+    assert len(made) == 2 and np.allclose([r.bic for r in again.metrics.collect()], [r.bic for r in res.gmm.metrics.collect()], rtol=1e-9)
